@@ -54,3 +54,17 @@ log AS (SELECT cast(user_id % 5 AS BIGINT) AS namespace, cust AS subject, event_
 CONTAINS = f"""contains AS (SELECT {u('Order', 'l_orderkey')} AS src, {u('Part', 'l_partkey')} AS dst,
     sum(l_quantity) AS quantity, round(sum(l_extendedprice), 2) AS price, count(*) AS lines,
     min(l_shipdate) AS first_ship FROM lineitem GROUP BY l_orderkey, l_partkey)"""
+
+
+def state_sql(source: str, lists: tuple[str, ...] = ("click", "view"), stars: bool = True) -> str:
+    """CTE `state`: what the log `source` leaves behind, by window functions. With `stars`,
+    k = 0 is a star delete of the predicate and k = 50 a delete of the node."""
+    names = ", ".join(f"'{x}'" for x in lists)
+    kind = "WHEN k = 50 THEN 'node' WHEN k = 0 THEN 'star'" if stars else ""
+    return f"""marked AS (SELECT *, CASE {kind} WHEN op = 'OVR' AND predicate IN ({names}) THEN 'over' END AS ending FROM {source}),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY namespace, subject, predicate, CASE WHEN predicate IN ({names}) THEN value END
+      ORDER BY commit_ts DESC) AS rn FROM marked WHERE ending IS NULL OR ending = 'over'),
+    pe AS (SELECT namespace, subject, predicate, max(commit_ts) AS p_end FROM marked WHERE ending IN ('star', 'over') GROUP BY ALL),
+    ne AS (SELECT namespace, subject, max(commit_ts) AS n_end FROM marked WHERE ending = 'node' GROUP BY ALL),
+    state AS (SELECT r.* FROM ranked r LEFT JOIN pe USING (namespace, subject, predicate) LEFT JOIN ne USING (namespace, subject)
+      WHERE rn = 1 AND op <> 'DEL' AND commit_ts >= coalesce(p_end, 0) AND commit_ts > coalesce(n_end, 0))"""

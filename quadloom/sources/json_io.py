@@ -89,12 +89,10 @@ def object_triples(obj: Column, struct: T.StructType, via: str | None = None) ->
             one = _linked(subject, name, value, t)
         elif isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StructType):
             inner = t.elementType
-            one = F.flatten(F.transform(value, lambda c, n=name, i=inner: _linked(subject, n, c, i)))
+            one = F.flatten(F.transform(value, _each_child(subject, name, inner)))
         elif isinstance(t, T.ArrayType):
             inner = t.elementType
-            one = F.transform(
-                value, lambda c, n=name, i=inner: _triple(subject, n, value=_text(c, i), kind=_kind(i))
-            )
+            one = F.transform(value, _each_value(subject, name, inner))
         else:
             facets = None if name == via else _facets(obj, struct, name)
             one = F.array(_triple(subject, name, value=_text(value, t), kind=_kind(t), facets=facets))
@@ -103,6 +101,14 @@ def object_triples(obj: Column, struct: T.StructType, via: str | None = None) ->
     return F.concat(*[F.coalesce(p, nothing) for p in parts]) if parts else nothing
 
 
+def _each_child(subject: Column, predicate: str, struct: T.StructType):
+    return lambda child: _linked(subject, predicate, child, struct)
+
+
+def _each_value(subject: Column, predicate: str, t: T.DataType):
+    return lambda item: _triple(subject, predicate, value=_text(item, t), kind=_kind(t))
+
+
 def _linked(subject: Column, predicate: str, child: Column, struct: T.StructType) -> Column:
     link = _triple(subject, predicate, obj=node_uid(child, struct), facets=_facets(child, struct, predicate))
     return F.concat(F.array(link).cast(f"array<{_TRIPLE}>"), object_triples(child, struct, via=predicate))
