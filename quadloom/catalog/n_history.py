@@ -10,7 +10,19 @@ from quadloom.catalog.f_counting import FACTS, facts
 from quadloom.operators import history
 from quadloom.sources.tables import Graph
 
-READ_TS = 700
+
+
+def at(g: Graph, tenths: int):
+    """A timestamp that many tenths into the log."""
+    last = F.max("event_id")
+    return g.raw("events").agg(F.call_function("div", last * tenths, F.lit(10).cast("long"))).scalar()
+
+
+def at_sql(tenths: int) -> str:
+    return f"(SELECT max(event_id) * {tenths} // 10 FROM events)"
+
+
+READ_SQL = at_sql(7)
 
 
 @query(
@@ -24,20 +36,20 @@ def committed(g: Graph):
 
 @query(
     "n02_as_of",
-    f"""WITH {LOG}, past AS (SELECT * FROM log WHERE NOT aborted AND commit_ts <= {READ_TS}), {state_sql('past')}
+    f"""WITH {LOG}, past AS (SELECT * FROM log WHERE NOT aborted AND commit_ts <= {READ_SQL}), {state_sql('past')}
     SELECT namespace, subject, predicate, value, k FROM state""",
 )
 def as_of(g: Graph):
     done = history.committed(log_with_stars(g), g.txn_status())
-    return state_rows(history.as_of(done, READ_TS, LISTS))
+    return state_rows(history.as_of(done, at(g, 7), LISTS))
 
 
 @query(
     "n03_feed",
-    f"""WITH {LOG} SELECT commit_ts, namespace, subject, predicate, value, op FROM log WHERE commit_ts > {READ_TS} AND NOT aborted""",
+    f"""WITH {LOG} SELECT commit_ts, namespace, subject, predicate, value, op FROM log WHERE commit_ts > {READ_SQL} AND NOT aborted""",
 )
 def feed(g: Graph):
-    rows = history.feed(history.committed(g.log(), g.txn_status()), READ_TS)
+    rows = history.feed(history.committed(g.log(), g.txn_status()), at(g, 7))
     return rows.select("commit_ts", "namespace", "subject", "predicate", "value", "op")
 
 
@@ -56,7 +68,7 @@ def conflicts(g: Graph):
 
 @query(
     "a06_export",
-    f"""WITH {LOG}, past AS (SELECT * FROM log WHERE NOT aborted AND commit_ts <= {READ_TS}), {state_sql('past')}
+    f"""WITH {LOG}, past AS (SELECT * FROM log WHERE NOT aborted AND commit_ts <= {READ_SQL}), {state_sql('past')}
     SELECT 'rdf' AS form, predicate, '<0x' || lower(to_hex(subject)) || '> <' || predicate || '> ' || value || ' (k=' || k || ') .' AS line FROM state WHERE namespace = 3
     UNION ALL SELECT 'json', predicate, '{{"uid":"0x' || lower(to_hex(subject)) || '","' || predicate || '":' || value || ',"' || predicate || '|k":' || k || '}}' FROM state WHERE namespace = 3""",
 )
@@ -64,7 +76,7 @@ def export(g: Graph):
     done = history.committed(log_with_stars(g), g.txn_status())
     out = None
     for form in ("rdf", "json"):
-        rows = history.export_rows(done, READ_TS, 3, form, LISTS).select(F.lit(form).alias("form"), "predicate", "line")
+        rows = history.export_rows(done, at(g, 7), 3, form, LISTS).select(F.lit(form).alias("form"), "predicate", "line")
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -83,25 +95,25 @@ def bulk_summary(g: Graph):
 @query(
     "a08_backup",
     f"""WITH {LOG}, p AS (SELECT predicate FROM log WHERE k = 99 GROUP BY 1)
-    SELECT start_ts, commit_ts, predicate, value, op FROM log WHERE commit_ts > 300 AND commit_ts <= {READ_TS} AND NOT aborted AND predicate IN (FROM p)
-    UNION ALL SELECT start_ts, commit_ts, predicate, value, op FROM log WHERE commit_ts <= 300 AND NOT aborted""",
+    SELECT start_ts, commit_ts, predicate, value, op FROM log WHERE commit_ts > {at_sql(3)} AND commit_ts <= {READ_SQL} AND NOT aborted AND predicate IN (FROM p)
+    UNION ALL SELECT start_ts, commit_ts, predicate, value, op FROM log WHERE commit_ts <= {at_sql(3)} AND NOT aborted""",
 )
 def backup(g: Graph):
     """An incremental slice of chosen predicates and a forced full one."""
     done = history.committed(g.log(), g.txn_status())
     chosen = g.events().where("k = 99").select(F.col("event_type").alias("predicate")).distinct()
-    slice_ = history.backup(done, 300, READ_TS, chosen)
-    full = history.backup(done, 300, 300, force_full=True)
+    slice_ = history.backup(done, at(g, 3), at(g, 7), chosen)
+    full = history.backup(done, at(g, 3), at(g, 3), force_full=True)
     return slice_.unionByName(full).select("start_ts", "commit_ts", "predicate", "value", "op")
 
 
 @query(
     "a09_restore",
-    f"""WITH {LOG}, past AS (SELECT * FROM log WHERE NOT aborted AND commit_ts <= {READ_TS}), {state_sql('past')}
+    f"""WITH {LOG}, past AS (SELECT * FROM log WHERE NOT aborted AND commit_ts <= {READ_SQL}), {state_sql('past')}
     SELECT namespace, subject, predicate, value, k FROM state""",
 )
 def restore(g: Graph):
     done = history.committed(log_with_stars(g), g.txn_status())
-    full = history.backup(done, 0, 300, force_full=True)
-    slices = [full, history.backup(done, 300, 600), history.backup(done, 600, 900)]
-    return state_rows(history.restore(slices, READ_TS, list_predicates=LISTS))
+    full = history.backup(done, 0, at(g, 3), force_full=True)
+    slices = [full, history.backup(done, at(g, 3), at(g, 6)), history.backup(done, at(g, 6), at(g, 9))]
+    return state_rows(history.restore(slices, at(g, 7), list_predicates=LISTS))

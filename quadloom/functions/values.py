@@ -86,7 +86,8 @@ def ticks_to_time_text(ticks: Column) -> Column:
 
 # bytes and vectors -----------------------------------------------------------
 def bytes_to_text(data: Column) -> Column:
-    return F.base64(data)
+    """Base64 in one line; some Spark settings break it every 76 characters."""
+    return F.replace(F.base64(data), F.lit("\r\n"), F.lit(""))
 
 
 def text_to_bytes(text: Column) -> Column:
@@ -148,26 +149,62 @@ SPARK_TYPES = {
 }
 
 
+_FLOAT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def is_int(text: Column) -> Column:
+    return text.try_cast("bigint").isNotNull()
+
+
+def is_float(text: Column) -> Column:
+    return text.rlike(_FLOAT) & text.try_cast("double").isNotNull()
+
+
+def is_bool(text: Column) -> Column:
+    return F.lower(F.trim(text)).isin("true", "false")
+
+
+def is_time(text: Column) -> Column:
+    return text.try_cast("timestamp").isNotNull()
+
+
 def coerce(text: Column, value_type: str) -> Column:
     """Text to the Spark type of a schema type; unparsable text leaves the value unset."""
     if value_type == "float32vector":
         return parse_vector(text)
-    return text.try_cast(SPARK_TYPES.get(value_type, "string"))
+    value = text.try_cast(SPARK_TYPES.get(value_type, "string"))
+    if value_type == "float":
+        return F.when(text.rlike(_FLOAT), value)
+    if value_type == "bool":
+        return F.when(is_bool(text), value)
+    return value
 
 
 def conforms(text: Column, value_type: Column) -> Column:
     """Does the text parse as the type named in another column?"""
     return (
-        F.when(value_type == "int", text.try_cast("bigint").isNotNull())
-        .when(value_type == "float", text.try_cast("double").isNotNull())
-        .when(value_type == "bool", text.try_cast("boolean").isNotNull())
-        .when(value_type == "dateTime", text.try_cast("timestamp").isNotNull())
+        F.when(value_type == "int", is_int(text))
+        .when(value_type == "float", is_float(text))
+        .when(value_type == "bool", is_bool(text))
+        .when(value_type == "dateTime", is_time(text))
         .when(value_type == "float32vector", parse_vector(text).isNotNull())
         .when(value_type == "geo", F.get_json_object(text, "$.type").isNotNull())
         .otherwise(text.isNotNull())
     )
 
 
+def literal_of(value: Column, data_type: T.DataType) -> Column:
+    """Literal per type: booleans in lower case, times to the second with Z, numbers bare,
+    everything else quoted; null as `null`."""
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        text = json_literal(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    elif isinstance(data_type, (T.BooleanType, T.FloatType, T.DoubleType, T.IntegerType)):
+        text = value.cast("string")
+    else:
+        text = json_literal(value.cast("string"))
+    return F.coalesce(text, F.lit("null"))
+
+
 # geo -------------------------------------------------------------------------
 POINT = "type string, coordinates array<double>"
 MULTIPOINT = "type string, coordinates array<array<double>>"

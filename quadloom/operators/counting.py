@@ -3,8 +3,9 @@ map-side combine; distinct counts go through Spark's two-step distinct plan."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from quadloom.functions.values import is_bool, is_float, is_int, is_time
 from quadloom.operators.roots import compare
 from quadloom.plans.pages import PAGE_SIZE, nest
 
@@ -66,17 +67,14 @@ def observed_types(facts: DataFrame) -> DataFrame:
     holds more than one value."""
     v = F.col("value")
 
-    def all_parse(kind: str) -> Column:
-        return F.bool_and(v.try_cast(kind).isNotNull())
-
     # One row per subject first: the per-predicate step then folds small partial rows.
     per_subject = facts.groupBy("predicate", "subject").agg(
         F.count(F.lit(1)).alias("n"),
         F.bool_and(F.col("object_uid").isNotNull()).alias("is_uid"),
-        all_parse("bigint").alias("is_int"),
-        all_parse("double").alias("is_float"),
-        all_parse("boolean").alias("is_bool"),
-        all_parse("timestamp").alias("is_time"),
+        F.bool_and(is_int(v)).alias("is_int"),
+        F.bool_and(is_float(v)).alias("is_float"),
+        F.bool_and(is_bool(v)).alias("is_bool"),
+        F.bool_and(is_time(v)).alias("is_time"),
     )
     return (
         per_subject.groupBy("predicate")

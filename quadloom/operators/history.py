@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quadloom.functions import uid as uids
 from quadloom.functions.values import typed_literal
@@ -19,12 +19,12 @@ def committed(log: DataFrame, status: DataFrame) -> DataFrame:
     return log.drop("commit_ts").join(done, "start_ts").select(*log.columns)
 
 
-def as_of(log: DataFrame, read_ts: int, list_predicates: Iterable[str] = ()) -> DataFrame:
+def as_of(log: DataFrame, read_ts: int | Column, list_predicates: Iterable[str] = ()) -> DataFrame:
     """State at a read timestamp (inclusive); the filter reaches the log scan."""
     return resolve(log.where(F.col("commit_ts") <= read_ts), list_predicates)
 
 
-def feed(log: DataFrame, sent_ts: int) -> DataFrame:
+def feed(log: DataFrame, sent_ts: int | Column) -> DataFrame:
     """Changes after the last timestamp already sent, in commit order."""
     return log.where(F.col("commit_ts") > sent_ts).orderBy("commit_ts", "seq")
 
@@ -65,7 +65,7 @@ def conflicts(
 
 # backup and restore ----------------------------------------------------------
 def backup(
-    log: DataFrame, since_ts: int, read_ts: int, predicates: DataFrame | None = None, force_full: bool = False
+    log: DataFrame, since_ts: int | Column, read_ts: int | Column, predicates: DataFrame | None = None, force_full: bool = False
 ) -> DataFrame:
     """Changes with since_ts < commit_ts <= read_ts, or all up to read_ts when forced."""
     rows = log.where(F.col("commit_ts") <= read_ts)
@@ -76,7 +76,7 @@ def backup(
     return rows
 
 
-def restore(slices: list[DataFrame], restore_ts: int, incremental_from: int | None = None, list_predicates: Iterable[str] = ()) -> DataFrame:
+def restore(slices: list[DataFrame], restore_ts: int | Column, incremental_from: int | None = None, list_predicates: Iterable[str] = ()) -> DataFrame:
     """State rebuilt from a full slice and its incrementals up to `restore_ts`; with
     `incremental_from`, only changes committed after it."""
     rows = slices[0]
@@ -89,7 +89,7 @@ def restore(slices: list[DataFrame], restore_ts: int, incremental_from: int | No
 
 # export ----------------------------------------------------------------------
 def export_rows(
-    log: DataFrame, read_ts: int, namespace: int | None = None, form: str = "rdf", list_predicates: Iterable[str] = ()
+    log: DataFrame, read_ts: int | Column, namespace: int | None = None, form: str = "rdf", list_predicates: Iterable[str] = ()
 ) -> DataFrame:
     """(predicate, line) of the state at `read_ts`, as N-Quad lines or JSON objects."""
     facts = as_of(log, read_ts, list_predicates)
@@ -125,7 +125,7 @@ def export_rows(
     raise ValueError(f"unknown export form {form}")
 
 
-def export(spark: SparkSession, log: DataFrame, path: str, read_ts: int, namespace: int | None = None, form: str = "rdf", list_predicates: Iterable[str] = ()) -> None:
+def export(spark: SparkSession, log: DataFrame, path: str, read_ts: int | Column, namespace: int | None = None, form: str = "rdf", list_predicates: Iterable[str] = ()) -> None:
     """Write the export, one folder per predicate. Rows keep the partitioning of the last
     shuffle, so a large predicate becomes many files rather than one task's file."""
     export_rows(log, read_ts, namespace, form, list_predicates).write.partitionBy("predicate").text(path)
