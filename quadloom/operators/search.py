@@ -83,8 +83,8 @@ def required_trigrams(pattern: str) -> list[str]:
     java = to_java_pattern(pattern)
     if java.startswith("(?") or re.search(r"[|()\[\]\\{]", java):
         return []
-    runs = re.sub(r".[*?]", "\0", java.strip("^$"))  # an optional character ends a run
-    runs = re.sub(r"[.+^$]", "\0", runs)
+    runs = re.sub(r".[*?][?+]*", "\0", java)  # an optional character ends a run
+    runs = re.sub(r"[.+*?^$]", "\0", runs)
     return sorted({run[i : i + 3] for run in runs.split("\0") for i in range(len(run) - 2)})
 
 
