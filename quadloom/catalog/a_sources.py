@@ -53,7 +53,7 @@ def _nquad_lines(g: Graph):
     UNION ALL SELECT '_:order' || o_orderkey, 'is_final', NULL, CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END, 'bool', NULL, NULL, false FROM o
     UNION ALL SELECT s, 'old_note', NULL, '_STAR_ALL', 'default', NULL, NULL, false FROM o
     UNION ALL SELECT NULL, NULL, NULL, '<' || s || '> <no_dot> "x" ', 'end of line', NULL, NULL, true FROM o
-    UNION ALL SELECT NULL, NULL, NULL, '<0xG' || o_orderkey || '> <bad_uid> "x" .', 'subject or predicate', NULL, NULL, true FROM o
+    UNION ALL SELECT NULL, NULL, NULL, '<0xG' || o_orderkey || '> <bad_uid> "x" .', 'subject', NULL, NULL, true FROM o
     UNION ALL SELECT {hexa(u('Document', 'doc_id'))}, 'text', NULL, text, 'string', lang, NULL, false FROM documents""",
 )
 def nquad_source(g: Graph):

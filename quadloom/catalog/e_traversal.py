@@ -42,7 +42,7 @@ def nested_query(g: Graph):
         edges.select("src", "dst", "quantity", F.date_format("first_ship", "yyyy-MM-dd").alias("shipped")),
         ["src"], ["dst"],
         F.concat_ws("|", F.col("dst").cast("string"), F.col("quantity").cast("long").cast("string"), "shipped"),
-        "lines",
+        "lines", keep=True,
     )
     nested = orders.join(lines.withColumnRenamed("page", "lines_page"), F.col("src") == F.col("order_uid"), "left")
     per_customer = nest(
@@ -52,7 +52,7 @@ def nested_query(g: Graph):
             F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" "), F.col("order_uid").cast("string"), F.lit(" ["),
             F.coalesce(F.array_join("lines", ";"), F.lit("")), F.lit("]"),
         ),
-        "orders",
+        "orders", keep=True,
     )
     out = customers.join(per_customer, customers["uid"] == per_customer["placed_by"], "left")
     return out.select(

@@ -96,4 +96,4 @@ def observed_types(g: Graph):
     from quadloom.model import FACT_COLUMNS, value_fact
 
     sizes = value_fact(g.raw("part"), F.col("p_partkey"), "p_size", F.col("p_size"), "int")
-    return counting.observed_types(facts(g).unionByName(g.log().select(*FACT_COLUMNS)).unionByName(sizes))
+    return counting.observed_types(facts(g).unionByName(g.log().select(*FACT_COLUMNS)).unionByName(sizes)).select("predicate", "rows", "observed", "hint")

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-from quadloom.functions.values import decode_literal, is_float, is_int, json_literal
+from quadloom.functions.values import decode_literal, is_float, is_int, json_literal, to_bool
 
 # The separators of a facet key and of a language key, and the types a
 # facet keeps; any other type is kept as text.
@@ -43,7 +43,8 @@ def get(facets: Column, name: str, spark_type: str = "string", default=None) ->
     elif spark_type in ("timestamp", "date"):
         value = F.when(quoted, decode_literal(literal).try_cast(spark_type))
     else:
-        value = F.when(~quoted, literal.try_cast(spark_type))
+        plain = to_bool(literal) if spark_type == "boolean" else F.when(is_float(literal), literal.try_cast(spark_type))
+        value = F.when(~quoted, plain)
     return F.coalesce(value, F.lit(default).cast(spark_type))
 
 

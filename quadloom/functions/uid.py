@@ -18,7 +18,7 @@ def is_valid(text: Column) -> Column:
 
 def normalise(text: Column) -> Column:
     """Brackets off, lower case (blank labels too, so `_:A` and `_:a` are one); null if invalid."""
-    return F.when(is_valid(text), F.lower(F.regexp_extract(text, UID_PATTERN, 2)))
+    return F.when(text.rlike(UID_PATTERN), F.lower(F.translate(text, "<>", "")))
 
 
 def classify(text: Column) -> Column:

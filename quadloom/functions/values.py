@@ -21,9 +21,14 @@ def json_literal(value: Column) -> Column:
 
 
 def decode_literal(literal: Column) -> Column:
-    """The plain text of a JSON literal: quotes and escapes undone, the rest as written."""
-    quoted = F.from_json(F.concat(F.lit("["), literal, F.lit("]")), "array<string>")
-    return F.when(literal.startswith('"'), F.try_element_at(quoted, F.lit(1))).otherwise(literal)
+    """The plain text of a JSON literal: quotes and escapes undone, the rest as written.
+    Only literals with a backslash go through the JSON parser."""
+    escaped = F.from_json(F.concat(F.lit("["), literal, F.lit("]")), "array<string>")
+    return (
+        F.when(~literal.startswith('"'), literal)
+        .when(literal.contains("\\"), F.try_element_at(escaped, F.lit(1)))
+        .otherwise(F.substr(literal, F.lit(2), F.length(literal) - 2))
+    )
 
 
 def typed_literal(text: Column, value_type: Column) -> Column:
@@ -139,29 +144,34 @@ def enum_name(number: Column, members: dict[str, int]) -> Column:
 
 
 # coercion --------------------------------------------------------------------
-SPARK_TYPES = {
-    "int": "bigint",
-    "float": "double",
-    "bool": "boolean",
-    "dateTime": "timestamp",
-    "string": "string",
-    "default": "string",
-}
+# Shape tests before the casts: a failing cast raises and catches an error per row.
+_INT = r"^\s*[+-]?\d{1,19}\s*$"
+_FLOAT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-_FLOAT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+def to_int(text: Column) -> Column:
+    return F.when(text.rlike(_INT), text.try_cast("bigint"))
+
+
+def to_float(text: Column) -> Column:
+    return F.when(text.rlike(_FLOAT), text.try_cast("double"))
+
+
+def to_bool(text: Column) -> Column:
+    word = F.lower(F.trim(text))
+    return F.when(word == "true", F.lit(True)).when(word == "false", F.lit(False))
 
 
 def is_int(text: Column) -> Column:
-    return text.try_cast("bigint").isNotNull()
+    return F.coalesce(text.rlike(_INT), F.lit(False)) & to_int(text).isNotNull()
 
 
 def is_float(text: Column) -> Column:
-    return text.rlike(_FLOAT) & text.try_cast("double").isNotNull()
+    return F.coalesce(text.rlike(_FLOAT), F.lit(False))
 
 
 def is_bool(text: Column) -> Column:
-    return F.lower(F.trim(text)).isin("true", "false")
+    return F.coalesce(F.lower(F.trim(text)).isin("true", "false"), F.lit(False))
 
 
 def is_time(text: Column) -> Column:
@@ -170,14 +180,8 @@ def is_time(text: Column) -> Column:
 
 def coerce(text: Column, value_type: str) -> Column:
     """Text to the Spark type of a schema type; unparsable text leaves the value unset."""
-    if value_type == "float32vector":
-        return parse_vector(text)
-    value = text.try_cast(SPARK_TYPES.get(value_type, "string"))
-    if value_type == "float":
-        return F.when(text.rlike(_FLOAT), value)
-    if value_type == "bool":
-        return F.when(is_bool(text), value)
-    return value
+    casts = {"int": to_int, "float": to_float, "bool": to_bool, "dateTime": parse_timestamp, "float32vector": parse_vector}
+    return casts.get(value_type, lambda t: t)(text)
 
 
 def conforms(text: Column, value_type: Column) -> Column:

@@ -59,40 +59,45 @@ def posting_lists(facts: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
         F.coalesce(F.col("object_uid").cast("string"), F.col("value")),
         "postings",
         page_size,
+        keep=True,
     )
 
 
+# One bit per type a text can be read as.
+_INT, _FLOAT, _BOOL, _TIME = 1, 2, 4, 8
+
+
 def observed_types(facts: DataFrame) -> DataFrame:
-    """Narrowest type every value of a predicate parses as, and whether any subject
-    holds more than one value."""
+    """Narrowest type every value of a predicate parses as, and whether any subject holds
+    more than one value. The types fold to one row per predicate before any shuffle; only
+    (predicate, subject) counts are shuffled for the hint."""
     v = F.col("value")
-
-    # One row per subject first: the per-predicate step then folds small partial rows.
-    per_subject = facts.groupBy("predicate", "subject").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.bool_and(F.col("object_uid").isNotNull()).alias("is_uid"),
-        F.bool_and(is_int(v)).alias("is_int"),
-        F.bool_and(is_float(v)).alias("is_float"),
-        F.bool_and(is_bool(v)).alias("is_bool"),
-        F.bool_and(is_time(v)).alias("is_time"),
+    readings = (
+        F.when(v.isNull(), _INT | _FLOAT | _BOOL | _TIME)
+        .when(is_int(v), _INT | _FLOAT)
+        .when(is_float(v), _FLOAT)
+        .when(is_bool(v), _BOOL)
+        .when(is_time(v), _TIME)
+        .otherwise(0)
+    )
+    kinds = facts.groupBy("predicate").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("object_uid").alias("edges"), F.bit_and(readings).alias("r")
     )
-    return (
-        per_subject.groupBy("predicate")
-        .agg(
-            F.sum("n").alias("rows"),
-            F.max("n").alias("most"),
-            *[F.bool_and(c).alias(c) for c in ("is_uid", "is_int", "is_float", "is_bool", "is_time")],
-        )
-        .select(
-            "predicate",
-            "rows",
-            F.when(F.col("is_uid"), "uid")
-            .when(F.col("is_int"), "int")
-            .when(F.col("is_float"), "float")
-            .when(F.col("is_bool"), "bool")
-            .when(F.col("is_time"), "dateTime")
-            .otherwise("string")
-            .alias("observed"),
-            F.when(F.col("most") > 1, "LIST").otherwise("SINGLE").alias("hint"),
-        )
+    most = facts.groupBy("predicate", "subject").agg(F.count(F.lit(1)).alias("n")).groupBy("predicate").agg(F.max("n").alias("most"))
+
+    def reads(bit: int):
+        return F.col("r").bitwiseAND(F.lit(bit)) != 0
+
+    return kinds.join(most, "predicate").select(
+        "predicate",
+        "rows",
+        "edges",
+        F.when(F.col("edges") == F.col("rows"), "uid")
+        .when(reads(_INT), "int")
+        .when(reads(_FLOAT), "float")
+        .when(reads(_BOOL), "bool")
+        .when(reads(_TIME), "dateTime")
+        .otherwise("string")
+        .alias("observed"),
+        F.when(F.col("most") > 1, "LIST").otherwise("SINGLE").alias("hint"),
     )

@@ -132,10 +132,7 @@ def export(spark: SparkSession, log: DataFrame, path: str, read_ts: int | Column
 
 
 def bulk_summary(facts: DataFrame) -> DataFrame:
-    """Edge count and observed schema per predicate of a load."""
+    """Rows, edge count and observed schema per predicate of a load."""
     from quadloom.operators.counting import observed_types
 
-    edges = facts.groupBy("predicate").agg(F.count("object_uid").alias("edges"))
-    return observed_types(facts).join(edges, "predicate")
-
-
+    return observed_types(facts)

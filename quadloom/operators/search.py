@@ -237,7 +237,8 @@ def similar_pairs(vectors: DataFrame, queries: DataFrame, threshold: float, buck
 def inverted_lists(index: DataFrame, page_size: int = PAGE_SIZE, key: str = "uid") -> DataFrame:
     """(predicate, term, page) -> sorted uids, for an index of (predicate, term, uid) rows.
     A common term becomes several pages instead of one huge list."""
-    return nest(index, ["predicate", "term"], [key], F.col(key), "uids", page_size)
+    rows = index.select("predicate", "term", key)
+    return nest(rows, ["predicate", "term"], [key], out="uids", page_size=page_size, keep=True)
 
 
 def reverse_index(edges: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quadloom.plans.cut import written
 from quadloom.plans.rank import positions
 
 PAGE_SIZE = 100_000
@@ -43,15 +44,23 @@ def nest(
     items: Column | None = None,
     out: str = "items",
     page_size: int = PAGE_SIZE,
+    keep: bool = False,
 ) -> DataFrame:
     """One row per (group, page) with the sorted array of children.
 
-    `order` names the sort columns (ascending, total within the group); `items` is
-    the element built from a row, by default the struct of all non-group columns."""
+    `order` names the sort columns (ascending, total within the group); `items` is the
+    element built from a row, by default the struct of all non-group columns (or the
+    order column itself, if there is no other).
+    With `keep`, the rows are written once first: right where they come from a join or
+    an aggregation that the size check would otherwise run a second time."""
     group, order = list(group), list(order)
+    if keep:
+        df = written(df, "children")
     rest = [c for c in df.columns if c not in group]
     element = items if items is not None else F.struct(*rest)
     rows = with_page(df, group, order, page_size)
+    if len(order) == 1 and items is None and rest == order:
+        return rows.groupBy(*group, "page").agg(F.array_sort(F.collect_list(order[0])).alias(out))
     rows = rows.select(*group, "page", F.struct(*[F.col(o) for o in order], element.alias("_item")).alias("_e"))
     lists = rows.groupBy(*group, "page").agg(F.array_sort(F.collect_list("_e")).alias("_list"))
     return lists.select(*group, "page", F.col("_list._item").alias(out))

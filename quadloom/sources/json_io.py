@@ -70,10 +70,9 @@ def node_uid(obj: Column, struct: T.StructType) -> Column:
     return F.coalesce(uids.normalise(obj.getField("uid")), label) if "uid" in struct.fieldNames() else label
 
 
-def object_triples(obj: Column, struct: T.StructType, via: str | None = None) -> Column:
+def object_triples(obj: Column, struct: T.StructType, subject: Column, via: str | None = None) -> Column:
     """Array of triples of one JSON object and everything nested in it. The recursion is
     over the declared schema when the plan is built; rows are handled by expressions."""
-    subject = node_uid(obj, struct)
     parts = []
     for f in struct:
         name, t = f.name, f.dataType
@@ -86,38 +85,41 @@ def object_triples(obj: Column, struct: T.StructType, via: str | None = None) ->
         elif _is_geo(t):
             one = F.array(_triple(subject, name, value=F.to_json(value), kind="geo"))
         elif isinstance(t, T.StructType):
-            one = _linked(subject, name, value, t)
+            one = _children(subject, name, F.array(value), t)
         elif isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StructType):
-            inner = t.elementType
-            one = F.flatten(F.transform(value, _each_child(subject, name, inner)))
+            one = _children(subject, name, value, t.elementType)
         elif isinstance(t, T.ArrayType):
-            inner = t.elementType
-            one = F.transform(value, _each_value(subject, name, inner))
+            one = F.transform(value, _each_value(subject, name, t.elementType))
         else:
             facets = None if name == via else _facets(obj, struct, name)
             one = F.array(_triple(subject, name, value=_text(value, t), kind=_kind(t), facets=facets))
-        parts.append(F.when(value.isNotNull(), one.cast(f"array<{_TRIPLE}>")))
+        parts.append(F.when(value.isNotNull(), one))
     nothing = F.array().cast(f"array<{_TRIPLE}>")
     return F.concat(*[F.coalesce(p, nothing) for p in parts]) if parts else nothing
 
 
-def _each_child(subject: Column, predicate: str, struct: T.StructType):
-    return lambda child: _linked(subject, predicate, child, struct)
-
-
 def _each_value(subject: Column, predicate: str, t: T.DataType):
     return lambda item: _triple(subject, predicate, value=_text(item, t), kind=_kind(t))
 
 
-def _linked(subject: Column, predicate: str, child: Column, struct: T.StructType) -> Column:
-    link = _triple(subject, predicate, obj=node_uid(child, struct), facets=_facets(child, struct, predicate))
-    return F.concat(F.array(link).cast(f"array<{_TRIPLE}>"), object_triples(child, struct, via=predicate))
+def _children(subject: Column, predicate: str, objects: Column, struct: T.StructType) -> Column:
+    """Links to nested objects and their own triples. Each child's uid is worked out once
+    and bound with the child, as many triples repeat it."""
+    bound = F.transform(objects, lambda c: F.struct(node_uid(c, struct).alias("uid"), c.alias("object")))
+
+    def one(b: Column) -> Column:
+        child, uid = b.getField("object"), b.getField("uid")
+        link = _triple(subject, predicate, obj=uid, facets=_facets(child, struct, predicate))
+        return F.concat(F.array(link), object_triples(child, struct, uid, via=predicate))
+
+    return F.flatten(F.transform(bound, one))
 
 
 def to_triples(documents: DataFrame, column: str, schema: T.StructType) -> DataFrame:
     """JSON text rows to triples: one row per leaf, list element and edge; nulls skipped."""
     parsed = documents.select(F.from_json(column, schema).alias("o"))
-    rows = parsed.select(F.inline(object_triples(F.col("o"), schema)))
+    parsed = parsed.select("o", node_uid(F.col("o"), schema).alias("_uid"))
+    rows = parsed.select(F.inline(object_triples(F.col("o"), schema, F.col("_uid"))))
     return rows.where(F.col("value").isNotNull() | F.col("object").isNotNull()).select(*TRIPLE_COLUMNS)
 
 
@@ -151,7 +153,7 @@ def documents(
     rows = nodes.select(F.col(key).alias("_uid"), *values)
     overflow = []
     for predicate, block in (blocks or {}).items():
-        lists = nest(block.rows, ["src"], list(block.order), block.item, predicate, page_size)
+        lists = nest(block.rows, ["src"], list(block.order), block.item, predicate, page_size, keep=True)
         first = lists.where("page = 0").select(F.col("src").alias("_src"), predicate)
         rows = rows.join(first, F.col("_uid") == F.col("_src"), "left").drop("_src")
         overflow.append(

@@ -16,7 +16,7 @@ from quadloom.model import STAR
 
 # The pieces of the line grammar.
 NODE = r"<0x[0-9a-fA-F]{1,16}>|_:[A-Za-z0-9_]{1,32}|uid\(\w+\)"
-HEAD = rf"^\s*({NODE})\s+<([^<>\s\"]+)>\s+"
+PREDICATE = r"^<[^<>\s\"]+>$"
 BARE = rf"^({NODE}|\*|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false)"
 TAIL = r"^(?:@([A-Za-z][A-Za-z0-9-]*))?\s*(?:\((.*)\))?\s*\.\s*$"
 FACET = r"([^\s=,()]+)\s*=\s*(\"(?:[^\"\\]|\\.)*\"|[^\s,\"]+)"
@@ -25,35 +25,50 @@ FACETS_TEXT = rf"^\s*{FACET}(?:\s*,\s*{FACET})*\s*$"
 TRIPLE_COLUMNS = ["subject", "predicate", "object", "value", "value_type", "lang", "facets", "star"]
 
 
-def _strip_brackets(node: Column) -> Column:
-    return F.when(node.startswith("uid("), node).otherwise(uids.normalise(node))
+def _node(token: Column) -> Column:
+    """Text of a token that already matched NODE: brackets off, lower case."""
+    return (
+        F.when(token.startswith("uid("), token)
+        .when(token.startswith("<"), F.lower(F.substr(token, F.lit(2), F.length(token) - 2)))
+        .otherwise(F.lower(token))
+    )
 
 
 def parse(lines: DataFrame, column: str = "value") -> DataFrame:
-    """One row per non-blank line: triple columns, the line, and `error` (null if good)."""
+    """One row per non-blank line: triple columns, the line, and `error` (null if good).
+
+    Each line is cut in three at blanks, then the object is cut off the rest; the shapes of
+    the pieces are tested once each, and only lines that need it take the longer ways
+    (escapes in a literal, anything but a dot at the end)."""
     rows = lines.select(F.col(column).alias("line")).where(F.trim("line") != "")
-    rows = rows.withColumn("_head", F.regexp_extract("line", HEAD, 0))
-    rows = rows.withColumn("_rest", F.substr(F.col("line"), F.length("_head") + 1))
-    masked = F.regexp_replace("_rest", r"\\.", "__")
-    close = F.locate('"', masked, 2)
-    rows = rows.withColumn(
-        "_object",
-        F.when(F.col("_rest").startswith('"'), F.substr(F.col("_rest"), F.lit(1), close)).otherwise(
-            F.regexp_extract("_rest", BARE, 1)
-        ),
+    rows = rows.select("line", F.split(F.ltrim("line"), r"\s+", 3).alias("_cut"))
+    piece = lambda i: F.coalesce(F.get("_cut", F.lit(i)), F.lit(""))
+    rows = rows.select("line", piece(0).alias("_s"), piece(1).alias("_p"), piece(2).alias("_rest"))
+    rest = F.col("_rest")
+    # An escape is two characters wide, and so is its mask: positions stay the same.
+    masked = F.when(rest.contains("\\"), F.regexp_replace(rest, r"\\.", "__")).otherwise(rest)
+    token = F.when(rest.startswith('"'), F.substr(rest, F.lit(1), F.locate('"', masked, 2))).otherwise(
+        F.regexp_extract(rest, BARE, 1)
+    )
+    rows = rows.select("line", "_s", "_p", "_rest", token.alias("_object"))
+    rows = rows.select("line", "_s", "_p", "_object", F.trim(F.substr(F.col("_rest"), F.length("_object") + 1)).alias("_tail"))
+    tail = F.col("_tail")
+    rows = rows.select(
+        "line", "_s", "_p", "_object", "_tail",
+        F.when(tail == ".", "").otherwise(F.regexp_extract(tail, TAIL, 2)).alias("_facets"),
+        F.when(tail != ".", F.nullif(F.regexp_extract(tail, TAIL, 1), F.lit(""))).alias("_lang"),
     )
-    rows = rows.withColumn("_tail", F.substr(F.col("_rest"), F.length("_object") + 1))
-    rows = rows.withColumn("_facets", F.regexp_extract("_tail", TAIL, 2))
     obj = F.col("_object")
     is_text = obj.startswith('"')
-    is_node = obj.rlike(rf"^(?:{NODE})$")
+    is_node = obj.startswith("<") | obj.startswith("_:") | obj.startswith("uid(")
     text = F.when(is_text, decode_literal(obj))
-    lang = F.nullif(F.regexp_extract("_tail", TAIL, 1), F.lit(""))
+    lang = F.col("_lang")
     error = (
-        F.when(F.col("_head") == "", "subject or predicate")
+        F.when(~F.col("_s").rlike(rf"^(?:{NODE})$"), "subject")
+        .when(~F.col("_p").rlike(PREDICATE), "predicate")
         .when(obj == "", "object")
         .when(is_text & text.isNull(), "literal")
-        .when(~F.col("_tail").rlike(TAIL), "end of line")
+        .when((tail != ".") & ~tail.rlike(TAIL), "end of line")
         .when(~is_text & lang.isNotNull(), "language")
         .when((F.col("_facets") != "") & ~F.col("_facets").rlike(FACETS_TEXT), "facets")
     )
@@ -66,17 +81,17 @@ def parse(lines: DataFrame, column: str = "value") -> DataFrame:
     )
     bare = F.when(~is_text & ~is_node & (obj != "*"), obj)
     kind = (
-        F.when(is_node, "uid")
+        F.when(is_text, "string")
+        .when(is_node, "uid")
         .when(obj == "*", "default")
-        .when(is_text, "string")
         .when(obj.isin("true", "false"), "bool")
-        .when(obj.rlike(r"[.eE]"), "float")
+        .when(obj.contains(".") | obj.contains("e") | obj.contains("E"), "float")
         .otherwise("int")
     )
     return rows.select(
-        _strip_brackets(F.regexp_extract("_head", HEAD, 1)).alias("subject"),
-        F.regexp_extract("_head", HEAD, 2).alias("predicate"),
-        F.when(is_node, _strip_brackets(obj)).alias("object"),
+        _node(F.col("_s")).alias("subject"),
+        F.substr(F.col("_p"), F.lit(2), F.length("_p") - 2).alias("predicate"),
+        F.when(is_node, _node(obj)).alias("object"),
         F.when(obj == "*", F.lit(STAR)).otherwise(F.coalesce(text, bare)).alias("value"),
         kind.alias("value_type"),
         lang.alias("lang"),
