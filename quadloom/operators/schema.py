@@ -115,7 +115,7 @@ def script(mappings: DataFrame) -> DataFrame:
         *VERSION, F.lit(0).alias("section"), F.lit("").alias("name"), F.lit(0).alias("part"), F.col("predicate").alias("member"), "line"
     )
     types = type_lines(mappings).select(*VERSION, F.lit(1).alias("section"), F.col("type_name").alias("name"), "part", "member", "line")
-    return predicates.unionByName(types).orderBy(*VERSION, "section", "name", "part", "member")
+    return predicates.unionByName(types).orderBy(*VERSION, "section", "name", "part", "member", "line")
 
 
 # types -----------------------------------------------------------------------
