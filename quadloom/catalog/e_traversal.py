@@ -145,7 +145,7 @@ def has_many(g: Graph):
 
 @query(
     "e07_missing_block",
-    f"""SELECT {u('Customer', 'c_custkey')} AS uid, c_name, max(CASE WHEN o_totalprice > 400000 THEN 1 ELSE 0 END) = 1 AS has_big,
+    f"""SELECT {u('Customer', 'c_custkey')} AS uid, c_name, 0::BIGINT AS page, max(CASE WHEN o_totalprice > 400000 THEN 1 ELSE 0 END) = 1 AS has_big,
       CASE WHEN count(*) FILTER (WHERE o_totalprice > 400000) > 0 THEN
         '{{"c_name":"' || c_name || '","big":[' || string_agg({u('Order', 'o_orderkey')}, ',' ORDER BY o_orderkey) FILTER (WHERE o_totalprice > 400000) || ']}}'
       ELSE '{{"c_name":"' || c_name || '"}}' END AS doc
@@ -157,7 +157,7 @@ def missing_block(g: Graph):
     customers = g.customer().select("uid", "c_name")
     rows = customers.join(lists, customers["uid"] == lists["placed_by"], "left")
     return rows.select(
-        "uid", "c_name", F.col("big").isNotNull().alias("has_big"), F.to_json(F.struct("c_name", "big")).alias("doc")
+        "uid", "c_name", F.coalesce("page", F.lit(0)).cast("long").alias("page"), F.col("big").isNotNull().alias("has_big"), F.to_json(F.struct("c_name", "big")).alias("doc")
     )
 
 

@@ -38,7 +38,7 @@ def subscribe(g: Graph):
 @query("n06_streaming_apply", f"WITH {LOG}, {state_sql('log')} SELECT namespace, subject, predicate, value, k FROM state")
 def streaming_apply(g: Graph):
     source = log_files(g, log_with_stars(g))
-    kept = feeds.StreamingState(g.spark, fresh_path(g.spark, "state"), LISTS)
+    kept = feeds.StreamingState(g.spark, fresh_path(g.spark, "state"), LISTS, merge_every=2)
     stream = feeds.log_stream(g.spark, source, files_per_batch=1)
     run = kept.start(stream, fresh_path(g.spark, "progress"), available_now=True)
     run.awaitTermination()

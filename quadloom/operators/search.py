@@ -158,61 +158,72 @@ def _score_batches(metric: str, k: int, ids: list, matrix):
     """Score whole Arrow batches against the query matrix; each batch hands on only its
     best k rows per query (ties at the edge included), so the shuffle stays small."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
+    size = matrix.shape[1]
     norms = np.sqrt((matrix * matrix).sum(axis=1))
+    sign = 1.0 if metric == "euclidean" else -1.0
 
     def run(batches):
         for batch in batches:
-            batch = batch[batch["embedding"].map(lambda x: x is not None and len(x) == matrix.shape[1])]
-            if not len(batch):
+            batch = batch.filter(pc.equal(pc.list_value_length(batch.column("embedding")), size))
+            if batch.num_rows == 0:
                 continue
-            data = np.stack(batch["embedding"].to_numpy()).astype(np.float64)
-            dots = data @ matrix.T
-            if metric == "dot":
-                score, sign = dots, -1.0
+            cells = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
+            data = cells.astype(np.float64).reshape(-1, size)
+            if metric == "euclidean":
+                score = np.stack([np.sqrt(((data - q) ** 2).sum(axis=1)) for q in matrix], axis=1)
             else:
-                sizes = np.sqrt((data * data).sum(axis=1))
-                if metric == "cosine":
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        score, sign = dots / (sizes[:, None] * norms[None, :]), -1.0
-                else:
-                    score = np.sqrt(np.stack([((data - q) ** 2).sum(axis=1) for q in matrix], axis=1))
-                    sign = 1.0
-            uids = batch["uid"].to_numpy()
+                score = data @ matrix.T
+            if metric == "cosine":
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    score = score / (np.sqrt((data * data).sum(axis=1))[:, None] * norms[None, :])
+            uids = batch.column("uid").to_numpy(zero_copy_only=False)
             for j, query_id in enumerate(ids):
                 column = np.round(score[:, j], 9)
                 usable = np.flatnonzero(np.isfinite(column))
                 if len(usable) > k:
                     edge = np.partition(sign * column[usable], k - 1)[k - 1]
                     usable = usable[sign * column[usable] <= edge]
-                yield pd.DataFrame({"query": query_id, "uid": uids[usable], "score": column[usable]})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(usable), query_id, dtype=np.int64)), pa.array(uids[usable]), pa.array(column[usable])],
+                    names=["query", "uid", "score"],
+                )
 
     return run
 
 
+def _query_blocks(queries: DataFrame):
+    """Query rows in blocks of at most MAX_QUERIES, one block at a time on the driver."""
+    head = queries.limit(MAX_QUERIES + 1).collect()
+    if len(head) <= MAX_QUERIES:
+        yield head
+        return
+    ranked = positions(queries, [F.col("query").asc()], out="_pos")
+    total = ranked.agg(F.max("_pos")).first()[0]
+    for low in range(0, total, MAX_QUERIES):
+        yield ranked.where((F.col("_pos") > low) & (F.col("_pos") <= low + MAX_QUERIES)).collect()
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "euclidean") -> DataFrame:
     """Exact k best vectors per query: (query, uid, score, rank); ties by uid.
 
     `vectors` has uid, embedding; `queries` has query (long), embedding. Query vectors are
-    parameters of the scan. They are counted first; above MAX_QUERIES the scan is repeated
-    for each block of them, so no task ever holds more."""
+    parameters of the scan: up to MAX_QUERIES of them per pass, more take more passes, so
+    no task ever holds more than one block. Vectors of another length are left out, as are
+    undefined cosines."""
     import numpy as np
 
-    total = queries.count()
-    blocks = [queries]
-    if total > MAX_QUERIES:
-        ranked = positions(queries, [F.col("query").asc()], out="_pos")
-        blocks = [
-            ranked.where((F.col("_pos") > lo) & (F.col("_pos") <= lo + MAX_QUERIES)).drop("_pos")
-            for lo in range(0, total, MAX_QUERIES)
-        ]
-    best = Window.partitionBy("query").orderBy(F.col("score").asc() if metric == "euclidean" else F.col("score").desc(), F.col("uid").asc())
+    queries = queries.select("query", "embedding")
+    first = F.col("score").asc() if metric == "euclidean" else F.col("score").desc()
+    best = Window.partitionBy("query").orderBy(first, F.col("uid").asc())
     out = None
-    for block in blocks:
-        rows = block.select("query", "embedding").collect()  # at most MAX_QUERIES rows
-        ids, matrix = [r[0] for r in rows], np.array([r[1] for r in rows], dtype=np.float64)
-        scored = vectors.select("uid", "embedding").mapInPandas(
+    for rows in _query_blocks(queries):
+        if not rows:
+            return vectors.sparkSession.createDataFrame([], "query long, uid long, score double, rank int")
+        ids, matrix = [r["query"] for r in rows], np.array([r["embedding"] for r in rows], dtype=np.float64)
+        scored = vectors.select("uid", "embedding").mapInArrow(
             _score_batches(metric, k, ids, matrix), "query long, uid long, score double"
         )
         ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

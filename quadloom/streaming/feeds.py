@@ -41,28 +41,42 @@ def subscribe(stream: DataFrame, prefixes: Sequence[str], path: str, checkpoint:
 
 
 class StreamingState:
-    """Latest state kept up to date by micro-batches.
+    """Latest state kept up to date by micro-batches, as a folder of compacted changes.
 
-    Batch n reads the folder of batch n-1 and writes its own, so repeating a batch after a
-    failure rewrites the same folder with the same rows. What is kept per batch is the
-    winning change of every key, deletes and ends of life included: late changes with a
-    lower commit timestamp still lose against them. The streaming checkpoint holds progress
-    only; no state lives in executors."""
+    Batch n writes only its own changes (`delta=n`); every `merge_every` batches the last
+    base and the deltas since are folded into a new base. A batch so costs what it brings,
+    and the whole state is rewritten once per `merge_every` batches. Repeating a batch after
+    a failure rewrites the same folders with the same rows. Kept is the winning change of
+    every key, deletes and ends of life included, so late changes with a lower commit
+    timestamp still lose. No state lives in executors."""
 
-    def __init__(self, spark: SparkSession, folder: str, list_predicates: Iterable[str] = ()):
+    def __init__(self, spark: SparkSession, folder: str, list_predicates: Iterable[str] = (), merge_every: int = 16):
         self.spark, self.folder, self.lists = spark, folder.rstrip("/"), list(list_predicates)
+        self.merge_every = merge_every
 
-    def _path(self, batch_id: int) -> str:
-        return f"{self.folder}/batch={batch_id:08d}"
+    def _path(self, kind: str, batch_id: int) -> str:
+        return f"{self.folder}/{kind}={batch_id:012d}"
 
-    def _read(self, batch_id: int) -> DataFrame:
-        return self.spark.read.schema(LOG_SCHEMA).parquet(self._path(batch_id))
+    def _exists(self, path: str) -> bool:
+        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+    def _changes(self, last: int) -> DataFrame:
+        """The newest base up to batch `last` and the deltas after it."""
+        base = (last + 1) // self.merge_every * self.merge_every - 1
+        paths = [self._path("base", base)] if base >= 0 else []
+        paths += [p for p in (self._path("delta", i) for i in range(base + 1, last + 1)) if self._exists(p)]
+        if not paths:
+            return self.spark.createDataFrame([], LOG_SCHEMA)
+        return self.spark.read.schema(LOG_SCHEMA).parquet(*paths).select(*LOG_SCHEMA.fieldNames())
 
     def fold(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*LOG_SCHEMA.fieldNames())
-        if batch_id > 0:
-            rows = rows.unionByName(self._read(batch_id - 1))
-        compact(rows, self.lists).write.mode("overwrite").parquet(self._path(batch_id))
+        delta = self._path("delta", batch_id)
+        compact(batch.select(*LOG_SCHEMA.fieldNames()), self.lists).write.mode("overwrite").parquet(delta)
+        if (batch_id + 1) % self.merge_every == 0:
+            own = self.spark.read.schema(LOG_SCHEMA).parquet(delta)
+            merged = self._changes(batch_id - 1).unionByName(own.select(*LOG_SCHEMA.fieldNames()))
+            compact(merged, self.lists).write.mode("overwrite").parquet(self._path("base", batch_id))
 
     def start(self, stream: DataFrame, checkpoint: str, available_now: bool = False) -> StreamingQuery:
         writer = stream.writeStream.foreachBatch(self.fold).option("checkpointLocation", checkpoint)
@@ -70,7 +84,7 @@ class StreamingState:
 
     def state(self, batch_id: int) -> DataFrame:
         """Facts after a batch."""
-        return resolve(self._read(batch_id), self.lists).select(*FACT_COLUMNS)
+        return resolve(self._changes(batch_id), self.lists).select(*FACT_COLUMNS)
 
 
 def compact(log: DataFrame, list_predicates: Iterable[str] = ()) -> DataFrame:
