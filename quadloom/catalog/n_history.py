@@ -40,7 +40,7 @@ def committed(g: Graph):
     SELECT namespace, subject, predicate, value, k FROM state""",
 )
 def as_of(g: Graph):
-    done = history.committed(log_with_stars(g), g.txn_status())
+    done = history.committed(log_with_stars(g), g.txn_status(), until=at(g, 7))
     return state_rows(history.as_of(done, at(g, 7), LISTS))
 
 
@@ -73,7 +73,7 @@ def conflicts(g: Graph):
     UNION ALL SELECT 'json', predicate, '{{"uid":"0x' || lower(to_hex(subject)) || '","' || predicate || '":' || value || ',"' || predicate || '|k":' || k || '}}' FROM state WHERE namespace = 3""",
 )
 def export(g: Graph):
-    done = history.committed(log_with_stars(g), g.txn_status())
+    done = history.committed(log_with_stars(g), g.txn_status(), until=at(g, 7))
     out = None
     for form in ("rdf", "json"):
         rows = history.export_rows(done, at(g, 7), 3, form, LISTS).select(F.lit(form).alias("form"), "predicate", "line")

@@ -13,10 +13,16 @@ from quadloom.operators.mutate import in_namespace, resolve
 from quadloom.sources import nquads
 
 
-def committed(log: DataFrame, status: DataFrame) -> DataFrame:
-    """Changes of committed transactions, with the commit timestamp of their status row."""
+def committed(log: DataFrame, status: DataFrame, until: int | Column | None = None) -> DataFrame:
+    """Changes of committed transactions, with the commit timestamp of their status row.
+
+    `until` keeps commits up to a timestamp. A transaction starts before it commits, so the
+    bound holds for the start as well and both sides are cut before the join."""
     done = status.where(F.col("commit_ts").isNotNull()).select("start_ts", "commit_ts")
-    return log.drop("commit_ts").join(done, "start_ts").select(*log.columns)
+    rows = log.drop("commit_ts")
+    if until is not None:
+        done, rows = done.where(F.col("commit_ts") <= until), rows.where(F.col("start_ts") <= until)
+    return rows.join(done, "start_ts").select(*log.columns)
 
 
 def as_of(log: DataFrame, read_ts: int | Column, list_predicates: Iterable[str] = ()) -> DataFrame:

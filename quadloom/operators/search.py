@@ -62,10 +62,22 @@ def query_terms(text: str) -> list[str]:
     return sorted({t for t in re.split(r"[\W_]+", text.lower()) if t})
 
 
+def holding_all(index: DataFrame, column: str, wanted: list[str], key: str = "uid") -> DataFrame:
+    """Keys that have every wanted entry: one bit per entry, so one aggregation on a number
+    and one shuffle; very long lists are counted instead."""
+    rows = index.where(F.col(column).isin(wanted))
+    if len(wanted) > 62:
+        hits = rows.groupBy(key).agg(F.count_distinct(column).alias("n"))
+        return hits.where(F.col("n") == len(wanted)).select(key)
+    bits = F.lit(0).cast("long")
+    for i, entry in enumerate(wanted):
+        bits = F.when(F.col(column) == entry, F.lit(1 << i).cast("long")).otherwise(bits)
+    hits = rows.groupBy(key).agg(F.bit_or(bits).alias("held"))
+    return hits.where(F.col("held") == (1 << len(wanted)) - 1).select(key)
+
+
 def all_terms(index: DataFrame, text: str, key: str = "uid") -> DataFrame:
-    wanted = query_terms(text)
-    hits = index.where(F.col("term").isin(wanted)).groupBy(key).agg(F.count_distinct("term").alias("n"))
-    return hits.where(F.col("n") == len(wanted)).select(key)
+    return holding_all(index, "term", query_terms(text), key)
 
 
 def any_term(index: DataFrame, text: str, key: str = "uid") -> DataFrame:
@@ -94,8 +106,7 @@ def regexp_search(df: DataFrame, index: DataFrame, column: str, pattern: str, ke
     needed = required_trigrams(pattern)
     rows = df
     if needed:
-        hits = index.where(F.col("trigram").isin(needed)).groupBy(key).agg(F.count_distinct("trigram").alias("n"))
-        rows = df.join(hits.where(F.col("n") == len(needed)).select(key), key, "left_semi")
+        rows = df.join(holding_all(index, "trigram", needed, key), key, "left_semi")
     return rows.where(F.col(column).rlike(to_java_pattern(pattern)))
 
 

@@ -33,10 +33,14 @@ def expand(
     a parent without a surviving child keeps its own fields and null child fields."""
     if where is not None:
         children = children.where(where)
+    target = f"{prefix}{child_key}"
     renamed = children.select(*[F.col(c).alias(f"{prefix}{c}") for c in children.columns])
-    hop = edges.withColumnRenamed("dst", f"{prefix}{child_key}")
-    hop = hop.join(renamed, f"{prefix}{child_key}")
-    joined = parents.join(hop, parents[key] == hop["src"], "left" if keep_childless else "inner")
+    hop = edges.withColumnRenamed("dst", target)
+    if keep_childless:
+        joined = parents.join(hop.join(renamed, target), parents[key] == F.col("src"), "left")
+    else:
+        # Roots are usually few: they cut the edges down before the children are read.
+        joined = parents.join(hop, parents[key] == hop["src"]).join(renamed, target)
     return joined.drop("src")
 
 
@@ -68,13 +72,15 @@ class TypeInfo:
 
 def expand_all(types: dict[str, TypeInfo], type_name: str, depth: int = 0, key: str = "uid") -> DataFrame:
     """Every predicate of a type, edges followed while depth > 0 (list and reverse edges
-    too). Columns are named by their path. The loop runs over depth and metadata only."""
+    too), with the uid and, where the frame has them, the type labels. Columns are named by
+    their path. The loop runs over depth and metadata only."""
 
     def level(name: str, left: int, path: str) -> DataFrame:
         info = types[name]
+        labels = [c for c in ("labels",) if c in info.nodes.columns and c not in info.values]
         rows = info.nodes.select(
             F.col(key).alias(f"{path}uid"),
-            *[F.col(v).alias(f"{path}{v}") for v in info.values],
+            *[F.col(v).alias(f"{path}{v}") for v in [*labels, *info.values]],
         )
         if left == 0:
             return rows
@@ -93,16 +99,14 @@ def wide(
     facts: DataFrame,
     values: dict[str, str],
     edges: Sequence[str] = (),
-    casts: dict[str, str] | None = None,
     key: str = "uid",
 ) -> DataFrame:
     """Triples back to one row per subject for a known predicate list (from metadata).
 
-    One hash aggregation with map-side combine; `values` maps predicate -> Spark type.
+    One aggregation with map-side combine; `values` maps predicate -> Spark type.
     List predicates are read with `value_matrix` instead."""
-    casts = casts or {}
     aggs = [
-        F.max(F.when(F.col("predicate") == p, F.col("value"))).try_cast(casts.get(p, t)).alias(p)
+        F.max(F.when(F.col("predicate") == p, F.col("value").try_cast(t))).alias(p)
         for p, t in values.items()
     ] + [F.max(F.when(F.col("predicate") == e, F.col("object_uid"))).alias(e) for e in edges]
     wanted = list(values) + list(edges)

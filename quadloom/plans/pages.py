@@ -60,7 +60,7 @@ def nest(
     element = items if items is not None else F.struct(*rest)
     rows = with_page(df, group, order, page_size)
     if len(order) == 1 and items is None and rest == order:
-        return rows.groupBy(*group, "page").agg(F.array_sort(F.collect_list(order[0])).alias(out))
+        return rows.groupBy(*group, "page").agg(F.sort_array(F.collect_list(order[0])).alias(out))
     rows = rows.select(*group, "page", F.struct(*[F.col(o) for o in order], element.alias("_item")).alias("_e"))
-    lists = rows.groupBy(*group, "page").agg(F.array_sort(F.collect_list("_e")).alias("_list"))
+    lists = rows.groupBy(*group, "page").agg(F.sort_array(F.collect_list("_e")).alias("_list"))
     return lists.select(*group, "page", F.col("_list._item").alias(out))
