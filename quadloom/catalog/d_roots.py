@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quadloom.catalog.common import EVENTS, query, u
 from quadloom.operators import roots
-from quadloom.sources.tables import Graph
+from quadloom.sources.tables import Graph, key_of
 
 
 @query("d01_eq", f"SELECT {u('Customer', 'c_custkey')} AS uid, c_name FROM customer WHERE c_mktsegment = 'BUILDING'")
@@ -26,7 +26,7 @@ def by_uid(g: Graph):
     bulk = g.raw("lineitem").where("l_quantity >= 49")
     variable = bulk.select((F.lit(5 << 40) + F.col("l_partkey")).alias("uid"))
     by_variable = roots.by_uid(g.part(), variable)
-    by_literal = roots.by_uid(g.part(), [(5 << 40) + 1])
+    by_literal = roots.by_uid(g.part(), [key_of("Part", (5 << 40) + 1)], key="p_partkey")
     return by_variable.unionByName(by_literal).select("uid", "p_name").distinct()
 
 

@@ -8,7 +8,7 @@ from quadloom.catalog.common import EVENTS, query, u
 from quadloom.operators import order
 from quadloom.plans.pages import nest
 from quadloom.plans.rank import positions
-from quadloom.sources.tables import Graph
+from quadloom.sources.tables import Graph, key_of
 
 
 @query(
@@ -62,7 +62,8 @@ def page(g: Graph):
     f"""SELECT {u('Customer', 'c_custkey')} AS uid, c_name FROM customer WHERE {u('Customer', 'c_custkey')} > 4398046511154 ORDER BY c_custkey LIMIT 25""",
 )
 def after(g: Graph):
-    return order.after(g.customer().select("uid", "c_name"), (4 << 40) + 50, 25)
+    cursor = key_of("Customer", (4 << 40) + 50)
+    return order.after(g.customer(), cursor, 25, key="c_custkey").select("uid", "c_name")
 
 
 @query(

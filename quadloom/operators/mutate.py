@@ -14,11 +14,15 @@ NODE_KEY = ["namespace", "subject"]
 PREDICATE_KEY = ["namespace", "subject", "predicate"]
 
 
+def change_time() -> Column:
+    return F.struct("commit_ts", "seq")
+
+
 def change_order() -> Column:
     """Total order of changes: commit, position inside the transaction, then deletes
-    before sets, so that ties fall the same way on every run."""
+    before sets, then a digest of the value, so that ties fall the same way on every run."""
     return F.struct(
-        F.col("commit_ts"), F.col("seq"), (F.col("op") != OP_DEL).alias("_set"), F.coalesce("value", F.lit("")).alias("_v")
+        "commit_ts", "seq", (F.col("op") != OP_DEL).alias("_set"), F.xxhash64("value", "object_uid").alias("_digest")
     )
 
 
@@ -37,18 +41,18 @@ def resolve(log: DataFrame, list_predicates: Iterable[str] = ()) -> DataFrame:
     ends = star | ((F.col("op") == OP_OVR) & is_list)
     element = F.when(is_list, F.coalesce(F.col("object_uid").cast("string"), F.col("value")))
 
-    payload = F.struct("object_uid", "value", "value_type", "facets", "op", change_order().alias("_at"))
+    payload = F.struct("object_uid", "value", "value_type", "facets", "op", change_time().alias("_at"))
     winners = (
         log.where(~star)
         .groupBy(*PREDICATE_KEY, "lang", element.alias("_element"))
         .agg(F.max_by(payload, change_order()).alias("w"))
         .select(*PREDICATE_KEY, "lang", "w.*")
     )
-    ended = log.where(ends).groupBy(*PREDICATE_KEY).agg(F.max(change_order()).alias("_end"))
+    ended = log.where(ends).groupBy(*PREDICATE_KEY).agg(F.max(change_time()).alias("_end"))
     ended_values = ended.where(F.col("predicate") != STAR)
     ended_nodes = ended.where(F.col("predicate") == STAR).select(*NODE_KEY, F.col("_end").alias("_node_end"))
     alive = (F.col("op") != OP_DEL) & (F.col("_end").isNull() | (F.col("_at") >= F.col("_end"))) & (
-        F.col("_node_end").isNull() | (F.col("_at") > F.col("_node_end"))
+        F.col("_node_end").isNull() | (F.col("_at") >= F.col("_node_end"))
     )
     return (
         winners.join(ended_values, PREDICATE_KEY, "left")

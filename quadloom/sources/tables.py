@@ -27,6 +27,12 @@ def uid_of(type_name: str, key: str | Column) -> Column:
     return F.lit(TYPE_CODES[type_name] * UID_SPAN) + key.cast("long")
 
 
+def key_of(type_name: str, uid: int) -> int:
+    """The table key behind a uid, so that a uid test becomes a test on a stored column and
+    reaches the scan."""
+    return uid - TYPE_CODES[type_name] * UID_SPAN
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
