@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quadloom.catalog.common import CONTAINS, LOG, query, state_sql, u
 from quadloom.model import STAR, TYPE_PREDICATE
 from quadloom.operators import identity, mutate
+from quadloom.plans.cut import written
 from quadloom.sources.tables import Graph
 
 LISTS = ["click", "view"]
@@ -110,6 +111,33 @@ def upsert(g: Graph):
     return mutate.upsert(batch, state, "email").select("email", "n", "is_new", "uid")
 
 
+@query(
+    "c07_upsert_variables",
+    f"""WITH {CUSTOMER_FACTS} SELECT subject, predicate, value, object_uid FROM cf WHERE NOT (predicate = 'c_mktsegment' AND bal < 0)
+    UNION ALL SELECT {CUST}, 'standing', 'in debt', NULL FROM customer WHERE c_acctbal < 0
+    UNION ALL SELECT {CUST}, 'seat', NULL, {u('Nation', 'min(n_nationkey)')} FROM customer, nation WHERE c_acctbal < 0 GROUP BY c_custkey""",
+)
+def upsert_variables(g: Graph):
+    """Mutation text over query variables: a star delete, a value and an edge for every
+    customer in debt; a variable without nodes changes nothing."""
+    from quadloom.sources import nquads
+
+    texts = ['uid(debtor) <standing> "in debt" .', "uid(debtor) <seat> uid(first) .", 'uid(nobody) <standing> "?" .']
+    sets = nquads.triples(nquads.parse(g.spark.createDataFrame([(t,) for t in texts], "value string")))
+    dels = nquads.triples(nquads.parse(g.spark.createDataFrame([("uid(debtor) <c_mktsegment> * .",)], "value string")))
+    changes = sets.withColumn("op", F.lit("SET")).unionByName(dels.withColumn("op", F.lit("DEL")))
+    customers = g.customer()
+    variables = {
+        "debtor": customers.where("c_acctbal < 0").select("uid"),
+        "first": g.nation().agg(F.min("uid").alias("uid")),
+        "nobody": customers.where("c_acctbal IS NULL").select("uid"),
+    }
+    bound = mutate.bind(changes, variables)
+    changes = written(mutate.changes_from(bound, commit_ts=1), "log")
+    state = mutate.apply(g.customer_facts(), changes)
+    return state.select("subject", "predicate", "value", "object_uid")
+
+
 @query(
     "c08_conditional",
     f"""SELECT 'held' AS batch, {ORDER} AS subject FROM orders WHERE o_orderstatus = 'P'
@@ -198,7 +226,7 @@ def save(g: Graph):
         "Customer", TYPE_PREDICATE, drop_nulls=True,
     )
     assigned = identity.assign(identity.blank_labels(rows), first_uid=1_000_000)
-    changes = mutate.changes_from(identity.propagate(rows, assigned), commit_ts=1)
+    changes = written(mutate.changes_from(identity.propagate(rows, assigned), commit_ts=1), "log")
     state = mutate.apply(g.customer_facts(), changes, [TYPE_PREDICATE])
     return state.select("subject", "predicate", "value", "object_uid")
 

@@ -8,6 +8,7 @@ from quadloom.catalog.c_mutations import LISTS, log_with_stars, state_rows
 from quadloom.catalog.common import CONTAINS, LOG, query, state_sql
 from quadloom.catalog.f_counting import FACTS, facts
 from quadloom.operators import history
+from quadloom.plans.cut import written
 from quadloom.sources.tables import Graph
 
 
@@ -116,4 +117,5 @@ def restore(g: Graph):
     done = history.committed(log_with_stars(g), g.txn_status())
     full = history.backup(done, 0, at(g, 3), force_full=True)
     slices = [full, history.backup(done, at(g, 3), at(g, 6)), history.backup(done, at(g, 6), at(g, 9))]
+    slices = [written(part, "backup") for part in slices]
     return state_rows(history.restore(slices, at(g, 7), list_predicates=LISTS))

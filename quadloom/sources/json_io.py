@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quadloom.functions import uid as uids
 from quadloom.functions.values import json_literal, to_rfc3339
-from quadloom.model import TYPE_PREDICATE
+from quadloom.model import STAR, TYPE_PREDICATE
 from quadloom.plans.pages import PAGE_SIZE, nest
 from quadloom.sources.nquads import TRIPLE_COLUMNS
 
@@ -123,6 +123,27 @@ def to_triples(documents: DataFrame, column: str, schema: T.StructType) -> DataF
     return rows.where(F.col("value").isNotNull() | F.col("object").isNotNull()).select(*TRIPLE_COLUMNS)
 
 
+def to_deletes(documents: DataFrame, column: str, schema: T.StructType) -> DataFrame:
+    """A delete payload as triples: values and edges named in it, a star where a key is
+    null, and a star over the whole node where there is nothing but the uid."""
+    named = to_triples(documents, column, schema)
+    keys = documents.select(
+        node_uid(F.from_json(column, schema), schema).alias("subject"), F.col(column).alias("j"),
+        F.json_object_keys(column).alias("keys"),
+    )
+    fields = F.filter("keys", lambda k: k != "uid")
+    # A declared key that is present without a value was null in the text.
+    present = F.from_json("j", "map<string,string>")
+    nulls = F.filter(fields, lambda k: F.try_element_at(present, k).isNull())
+    gone = F.when(F.size(fields) == 0, F.array(F.lit(STAR))).otherwise(nulls)
+    stars = keys.select("subject", F.explode(gone).alias("predicate")).select(
+        "subject", "predicate", F.lit(None).cast("string").alias("object"), F.lit(STAR).alias("value"),
+        F.lit("default").alias("value_type"), F.lit(None).cast("string").alias("lang"),
+        F.lit(None).cast("map<string,string>").alias("facets"), F.lit(True).alias("star"),
+    )
+    return named.unionByName(stars)
+
+
 # sink ------------------------------------------------------------------------
 @dataclass
 class Block:

@@ -1,7 +1,8 @@
 """N-Quad text: source and sink.
 
 Triples in text form: (subject, predicate, object, value, value_type, lang, facets, star).
-`subject` and `object` are uid texts (`0x..`, `_:label`) or variables (`uid(v)`).
+`subject` and `object` are uid texts (`0x..`, `_:label`) or variables (`uid(v)`). A star as
+object deletes a predicate of a node, `s * * .` the whole node.
 Parsing uses anchored prefixes and one masked scan for the closing quote, so the cost
 is linear in the line and long literals cannot exhaust the regex engine's stack.
 """
@@ -18,9 +19,9 @@ from quadloom.model import STAR
 NODE = r"<0x[0-9a-fA-F]{1,16}>|_:[A-Za-z0-9_]{1,32}|uid\(\w+\)"
 PREDICATE = r"^<[^<>\s\"]+>$"
 BARE = rf"^({NODE}|\*|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false)"
-TAIL = r"^(?:@([A-Za-z][A-Za-z0-9-]*))?\s*(?:\((.*)\))?\s*\.\s*$"
+TAIL = r"(?s)^(?:@([A-Za-z][A-Za-z0-9-]*))?\s*(?:\((.*)\))?\s*\.\s*$"
 FACET = r"([^\s=,()]+)\s*=\s*(\"(?:[^\"\\]|\\.)*\"|[^\s,\"]+)"
-FACETS_TEXT = rf"^\s*{FACET}(?:\s*,\s*{FACET})*\s*$"
+FACETS_TEXT = rf"(?s)^\s*{FACET}(?:\s*,\s*{FACET})*\s*$"
 
 TRIPLE_COLUMNS = ["subject", "predicate", "object", "value", "value_type", "lang", "facets", "star"]
 
@@ -40,8 +41,9 @@ def parse(lines: DataFrame, column: str = "value") -> DataFrame:
     Each line is cut in three at blanks, then the object is cut off the rest; the shapes of
     the pieces are tested once each, and only lines that need it take the longer ways
     (escapes in a literal, anything but a dot at the end)."""
-    rows = lines.select(F.col(column).alias("line")).where(F.trim("line") != "")
-    rows = rows.select("line", F.split(F.ltrim("line"), r"\s+", 3).alias("_cut"))
+    blanks = F.lit(" \t\r")
+    rows = lines.select(F.col(column).alias("line")).where(F.trim("line", blanks) != "")
+    rows = rows.select("line", F.split(F.ltrim("line", blanks), r"\s+", 3).alias("_cut"))
     piece = lambda i: F.coalesce(F.get("_cut", F.lit(i)), F.lit(""))
     rows = rows.select("line", piece(0).alias("_s"), piece(1).alias("_p"), piece(2).alias("_rest"))
     rest = F.col("_rest")
@@ -51,7 +53,7 @@ def parse(lines: DataFrame, column: str = "value") -> DataFrame:
         F.regexp_extract(rest, BARE, 1)
     )
     rows = rows.select("line", "_s", "_p", "_rest", token.alias("_object"))
-    rows = rows.select("line", "_s", "_p", "_object", F.trim(F.substr(F.col("_rest"), F.length("_object") + 1)).alias("_tail"))
+    rows = rows.select("line", "_s", "_p", "_object", F.trim(F.substr(F.col("_rest"), F.length("_object") + 1), blanks).alias("_tail"))
     tail = F.col("_tail")
     rows = rows.select(
         "line", "_s", "_p", "_object", "_tail",
@@ -65,7 +67,7 @@ def parse(lines: DataFrame, column: str = "value") -> DataFrame:
     lang = F.col("_lang")
     error = (
         F.when(~F.col("_s").rlike(rf"^(?:{NODE})$"), "subject")
-        .when(~F.col("_p").rlike(PREDICATE), "predicate")
+        .when(~(F.col("_p").rlike(PREDICATE) | ((F.col("_p") == "*") & (obj == "*"))), "predicate")
         .when(obj == "", "object")
         .when(is_text & text.isNull(), "literal")
         .when((tail != ".") & ~tail.rlike(TAIL), "end of line")
@@ -90,7 +92,7 @@ def parse(lines: DataFrame, column: str = "value") -> DataFrame:
     )
     return rows.select(
         _node(F.col("_s")).alias("subject"),
-        F.substr(F.col("_p"), F.lit(2), F.length("_p") - 2).alias("predicate"),
+        F.when(F.col("_p") == "*", STAR).otherwise(F.substr(F.col("_p"), F.lit(2), F.length("_p") - 2)).alias("predicate"),
         F.when(is_node, _node(obj)).alias("object"),
         F.when(obj == "*", F.lit(STAR)).otherwise(F.coalesce(text, bare)).alias("value"),
         kind.alias("value_type"),
@@ -161,9 +163,8 @@ def lines(rows: DataFrame) -> DataFrame:
         F.coalesce(F.concat(F.lit("@"), F.col("lang")), F.lit("")),
     )
     obj = F.when(F.col("star"), "*").otherwise(F.coalesce(node(F.col("object")), literal))
-    line = F.concat(
-        node(F.col("subject")), F.lit(" <"), F.col("predicate"), F.lit("> "), obj, facet_text(F.col("facets")), F.lit(" .")
-    )
+    predicate = F.when(F.col("predicate") == STAR, "*").otherwise(F.concat(F.lit("<"), F.col("predicate"), F.lit(">")))
+    line = F.concat(node(F.col("subject")), F.lit(" "), predicate, F.lit(" "), obj, facet_text(F.col("facets")), F.lit(" ."))
     return rows.select(line.alias("line")).where(F.col("line").isNotNull())
 
 

@@ -156,6 +156,7 @@ def test_malformed_lines_are_rejected(spark, line, error):
         ("<0x1> <h> -1.5e3 .", ("0x1", "h", None, "-1.5e3", "float", None, None, False)),
         ("<0x1> <ok> true .", ("0x1", "ok", None, "true", "bool", None, None, False)),
         ("<0x1> <old> * .", ("0x1", "old", None, "_STAR_ALL", "default", None, None, True)),
+        ("\t<0x1> * *\t.\r", ("0x1", "_STAR_ALL", None, "_STAR_ALL", "default", None, None, True)),
         ("uid(a) <friend> uid(c) .", ("uid(a)", "friend", "uid(c)", None, "uid", None, None, False)),
         ('<0x1> <t> "a \\"b\\" . (c)\\n"@pt-BR .', ("0x1", "t", None, 'a "b" . (c)\n', "string", "pt-BR", None, False)),
         ('<0x1> <t> "" .', ("0x1", "t", None, "", "string", None, None, False)),
@@ -170,6 +171,24 @@ def test_parsed_pieces(spark, line, expected):
     assert [tuple(r) for r in nquads.triples(parsed).collect()] == [expected]
 
 
+def test_any_text_survives_the_round_trip(spark):
+    import random
+
+    rng = random.Random(11)
+    alphabet = 'ab"\\/\n\t\r\u0001 .@()<>*,=|éß漢😀\u2028'
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(12))) for _ in range(400)]
+    rows = spark.createDataFrame([(i + 1, t) for i, t in enumerate(texts)], "subject long, value string")
+    facts = rows.select(
+        F.lit(0).cast("long").alias("namespace"), "subject", F.lit("t").alias("predicate"), F.lit(None).cast("long").alias("object_uid"), "value",
+        F.lit("string").alias("value_type"), F.when(F.col("subject") % 2 == 0, "en").alias("lang"),
+        F.when(F.col("subject") % 3 == 0, F.create_map(F.lit("f"), v.json_literal(F.col("value")))).alias("facets"),
+    )
+    lines = nquads.lines(nquads.from_facts(facts)).withColumnRenamed("line", "value")
+    back = nquads.to_facts(nquads.triples(nquads.parse(lines)))
+    key = lambda r: (r.subject, r.value, r.lang, str(r.facets))
+    assert sorted(map(key, back.collect())) == sorted(map(key, facts.collect()))
+
+
 def test_long_literal_with_many_escapes(spark):
     text = 'line "quoted" \\ back\n' * 20000
     line = f"<0x1> <t> {json.dumps(text)}@en ."
@@ -214,6 +233,33 @@ def test_json_languages_facets_geo_and_nested_lists(spark):
     )
 
 
+def test_json_deletes(spark):
+    """Named values and edges, a null key, and a bare uid; applied to a small state."""
+    shape = T.StructType.fromDDL("uid string, name string, age bigint, friend array<struct<uid: string>>")
+    docs = ['{"uid":"0x1","age":null,"friend":[{"uid":"0x2"}]}', '{"uid":"0x3"}', '{"uid":"0x4","name":"d"}']
+    rows = json_io.to_deletes(spark.createDataFrame([(d,) for d in docs], "j string"), "j", shape)
+    assert lines_of(nquads.lines(rows)) == ["<0x1> <age> * .", "<0x1> <friend> <0x2> .", "<0x3> * * .", '<0x4> <name> "d" .']
+    state = [(1, "age", None, "5"), (1, "name", None, "a"), (1, "friend", 2, None), (1, "friend", 3, None), (3, "name", None, "c"), (4, "name", None, "d"), (4, "age", None, "6")]
+    facts = spark.createDataFrame([(0, s, p, o, x, "string", None, None) for s, p, o, x in state], FACT_SCHEMA)
+    after = mutate.apply(facts, mutate.changes_from(rows.withColumn("op", F.lit("DEL")), 1), ["friend"])
+    assert sorted((r.subject, r.predicate, r.object_uid, r.value) for r in after.collect()) == [(1, "friend", 3, None), (1, "name", None, "a"), (4, "age", None, "6")]
+
+
+def test_variables_in_mutation_text(spark, monkeypatch):
+    texts = ["uid(a) <friend> uid(c) .", 'uid(n) <email> "e" .', '<0x9> <x> "y" .']
+    rows = nquads.triples(nquads.parse(spark.createDataFrame([(t,) for t in texts], "value string")))
+    nodes = lambda *ids: spark.createDataFrame([(i,) for i in ids], "uid long")
+    variables = {"a": nodes(1, 2), "c": nodes(3)}
+    assert lines_of(nquads.lines(mutate.bind(rows, variables))) == ["<0x1> <friend> <0x3> .", "<0x2> <friend> <0x3> .", '<0x9> <x> "y" .']
+    assert '_:n <email> "e" .' in lines_of(nquads.lines(mutate.bind(rows, variables, create=True)))
+    monkeypatch.setattr(mutate, "BLOCK", 2)
+    many = mutate.bind(rows, {"a": nodes(1, 2), "c": nodes(3, 4, 5), "n": nodes(7)})
+    assert sorted((r.subject, r.object) for r in many.collect() if r.predicate == "friend") == [
+        (f"0x{a}", f"0x{c}") for a in (1, 2) for c in (3, 4, 5)
+    ]
+    assert '<0x7> <email> "e" .' in lines_of(nquads.lines(many))
+
+
 def test_object_without_uid_gets_the_same_label_every_time(spark):
     shape = T.StructType.fromDDL("name string")
     rows = spark.createDataFrame([('{"name":"x"}',), ('{"name":"x"}',), ('{"name":"y"}',)], "j string")
