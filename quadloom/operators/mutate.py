@@ -253,10 +253,10 @@ def bind(triples: DataFrame, variables: dict[str, DataFrame], create: bool = Fal
             if last is None:
                 continue
             numbered = ends.select(F.col("_node").alias("_end"), blocks.alias("_block"))
-            spread = nodes(subject).select("_node", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("_block"))
+            spread = nodes(subject).select("_node", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))).alias("_block"))
             spread = spread.join(numbered, "_block")
             made = spread.select("_node", "_end", F.inline(_cells(rows, names)))
-                out = out.unionByName(made.withColumn("subject", F.col("_node")).withColumn("object", F.col("_end")).select(*names))
+            out = out.unionByName(made.withColumn("subject", F.col("_node")).withColumn("object", F.col("_end")).select(*names))
             continue
         position = "subject" if subject else "object"
         made = nodes(subject or target).select("_node", F.inline(_cells(rows, names)))
