@@ -8,6 +8,7 @@ from quadloom.catalog.common import CONTAINS, LOG, query, state_sql, u
 from quadloom.model import STAR, TYPE_PREDICATE
 from quadloom.operators import identity, mutate
 from quadloom.plans.cut import written
+from quadloom.plans.semi import lacking
 from quadloom.sources.tables import Graph
 
 LISTS = ["click", "view"]
@@ -67,7 +68,7 @@ def delete_star(g: Graph):
 def delete_node(g: Graph):
     """Customers without any finished order are deleted."""
     finished = g.orders().where("o_orderstatus = 'F'").select(F.col("placed_by").alias("uid"))
-    gone = g.customer().join(finished, "uid", "left_anti")
+    gone = lacking(g.customer(), finished, "uid")
     return mutate.delete_nodes(g.customer_facts(), gone).select("subject", "predicate", "value", "object_uid")
 
 

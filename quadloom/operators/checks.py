@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from quadloom.functions.values import conforms
+from quadloom.plans.semi import lacking
 
 
 def not_unique(facts: DataFrame, predicate: str) -> DataFrame:
@@ -18,7 +19,7 @@ def not_unique(facts: DataFrame, predicate: str) -> DataFrame:
 def missing(members: DataFrame, facts: DataFrame, predicate: str, key: str = "uid") -> DataFrame:
     """Nodes of a type without the non-null predicate."""
     have = facts.where((F.col("predicate") == predicate) & (F.col("value").isNotNull() | F.col("object_uid").isNotNull()))
-    return members.join(have.select(F.col("subject").alias(key)), key, "left_anti").select(key, F.lit(predicate).alias("predicate"))
+    return lacking(members, have.select(F.col("subject").alias(key)), key).select(key, F.lit(predicate).alias("predicate"))
 
 
 def null_elements(df: DataFrame, column: str, key: str = "uid") -> DataFrame:
@@ -54,4 +55,4 @@ def wrong_type(facts: DataFrame, predicates: DataFrame) -> DataFrame:
 def dangling(edges: DataFrame, nodes: DataFrame, key: str = "uid") -> DataFrame:
     """Edges whose target is missing or not of the declared type: `nodes` are the nodes of
     that type."""
-    return edges.join(nodes.select(F.col(key).alias("dst")), "dst", "left_anti").select("src", "dst")
+    return lacking(edges, nodes.select(F.col(key).alias("dst")), "dst").select("src", "dst")

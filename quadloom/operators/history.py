@@ -10,6 +10,7 @@ from quadloom.functions import uid as uids
 from quadloom.functions.values import typed_literal
 
 from quadloom.operators.mutate import in_namespace, resolve
+from quadloom.plans.semi import having
 from quadloom.sources import nquads
 
 
@@ -78,7 +79,7 @@ def backup(
     if not force_full:
         rows = rows.where(F.col("commit_ts") > since_ts)
     if predicates is not None:
-        rows = rows.join(predicates.select("predicate"), "predicate", "left_semi").select(*log.columns)
+        rows = having(rows, predicates, "predicate").select(*log.columns)
     return rows
 
 

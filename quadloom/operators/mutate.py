@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quadloom.functions import uid as uids
 from quadloom.model import FACT_COLUMNS, OP_DEL, OP_OVR, OP_SET, STAR
 from quadloom.plans.rank import positions
+from quadloom.plans.semi import lacking
 
 NODE_KEY = ["namespace", "subject"]
 PREDICATE_KEY = ["namespace", "subject", "predicate"]
@@ -82,7 +83,7 @@ def apply(snapshot: DataFrame, changes: DataFrame, list_predicates: Iterable[str
 # deletes ---------------------------------------------------------------------
 def delete_edges(edges: DataFrame, gone: DataFrame) -> DataFrame:
     """Remove single (src, dst) edges."""
-    return edges.join(gone.select("src", "dst"), ["src", "dst"], "left_anti")
+    return lacking(edges, gone, ["src", "dst"])
 
 
 def star_rows(nodes: DataFrame, predicates: Sequence[str], key: str = "uid") -> DataFrame:
@@ -93,12 +94,12 @@ def star_rows(nodes: DataFrame, predicates: Sequence[str], key: str = "uid") ->
 
 def delete_predicates(facts: DataFrame, stars: DataFrame) -> DataFrame:
     """Remove all values of (subject, predicate)."""
-    return facts.join(stars.select("subject", "predicate"), ["subject", "predicate"], "left_anti")
+    return lacking(facts, stars, ["subject", "predicate"])
 
 
 def delete_nodes(facts: DataFrame, nodes: DataFrame, key: str = "uid") -> DataFrame:
     """Remove every predicate of the given subjects; edges pointing at them stay."""
-    return facts.join(nodes.select(F.col(key).alias("subject")), "subject", "left_anti")
+    return lacking(facts, nodes.select(F.col(key).alias("subject")), "subject")
 
 
 def drop_predicate(facts: DataFrame, predicate: str) -> DataFrame:

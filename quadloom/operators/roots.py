@@ -10,6 +10,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from quadloom.plans.semi import having, lacking
+
 _COMPARE = {"eq": op.eq, "lt": op.lt, "le": op.le, "gt": op.gt, "ge": op.ge}
 
 # Fixed value: the letters accepted as trailing flags of a pattern.
@@ -25,7 +27,7 @@ def compare(column: Column | str, how: str, value) -> Column:
 def by_uid(nodes: DataFrame, uids: Iterable[int] | DataFrame, key: str = "uid") -> DataFrame:
     """Nodes with one of the given uids: literals become an IN filter, a variable a semi join."""
     if isinstance(uids, DataFrame):
-        return nodes.join(uids.select(F.col("uid").alias(key)), key, "left_semi")
+        return having(nodes, uids.select(F.col("uid").alias(key)), key)
     return nodes.where(F.col(key).isin(list(uids)))
 
 
@@ -39,12 +41,12 @@ def has_value(nodes: DataFrame, predicate: str) -> DataFrame:
 
 def has_edge(nodes: DataFrame, edges: DataFrame, key: str = "uid", reverse: bool = False) -> DataFrame:
     end = "dst" if reverse else "src"
-    return nodes.join(edges.select(F.col(end).alias(key)), key, "left_semi")
+    return having(nodes, edges.select(F.col(end).alias(key)), key)
 
 
 def lacks_edge(nodes: DataFrame, edges: DataFrame, key: str = "uid", reverse: bool = False) -> DataFrame:
     end = "dst" if reverse else "src"
-    return nodes.join(edges.select(F.col(end).alias(key)), key, "left_anti")
+    return lacking(nodes, edges.select(F.col(end).alias(key)), key)
 
 
 def subjects_with(facts: DataFrame, predicate: str) -> DataFrame:
@@ -132,4 +134,4 @@ def match_patterns(df: DataFrame, column: str, patterns: dict[str, str], out: st
 
 def allowed(df: DataFrame, allow_list: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose (user, predicate) pair is on the allow-list."""
-    return df.join(allow_list.select(*keys), keys, "left_semi")
+    return having(df, allow_list, keys)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
+
+from quadloom.plans.semi import having, lacking
 
 
 def union(*variables: DataFrame) -> DataFrame:
@@ -13,18 +15,16 @@ def union(*variables: DataFrame) -> DataFrame:
 
 def intersection(first: DataFrame, *others: DataFrame) -> DataFrame:
     kept = first.select("uid").distinct()
-    return reduce(lambda a, b: a.join(b.select("uid"), "uid", "left_semi"), others, kept)
+    return reduce(lambda a, b: having(a, b, "uid"), others, kept)
 
 
 def difference(first: DataFrame, *others: DataFrame) -> DataFrame:
     kept = first.select("uid").distinct()
-    return reduce(lambda a, b: a.join(b.select("uid"), "uid", "left_anti"), others, kept)
+    return reduce(lambda a, b: lacking(a, b, "uid"), others, kept)
 
 
 def distinct_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the smallest by `order`, so the choice is the same on every run."""
-    from pyspark.sql import functions as F
-
     rest = [c for c in df.columns if c not in keys]
     best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("r"))
     return best.select(*keys, "r.*").select(*df.columns)

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quadloom.plans.pages import PAGE_SIZE, nest
+from quadloom.plans.semi import with_partners
 
 
 def reverse(edges: DataFrame) -> DataFrame:
@@ -37,11 +38,9 @@ def expand(
     renamed = children.select(*[F.col(c).alias(f"{prefix}{c}") for c in children.columns])
     hop = edges.withColumnRenamed("dst", target)
     if keep_childless:
-        joined = parents.join(hop.join(renamed, target), parents[key] == F.col("src"), "left")
-    else:
-        # Roots are usually few: they cut the edges down before the children are read.
-        joined = parents.join(hop, parents[key] == hop["src"]).join(renamed, target)
-    return joined.drop("src")
+        return with_partners(parents, hop.join(renamed, target), key, "src")
+    # Roots are usually few: they cut the edges down before the children are read.
+    return parents.join(hop, parents[key] == hop["src"]).join(renamed, target).drop("src")
 
 
 def follow(nodes: DataFrame, link: str, targets: DataFrame, key: str = "uid", how: str = "inner") -> DataFrame:
@@ -89,7 +88,7 @@ def expand_all(types: dict[str, TypeInfo], type_name: str, depth: int = 0, key:
             child = level(target, left - 1, sub)
             hop = edges.select(F.col("src").alias(f"{path}_src"), F.col("dst").alias(f"{sub}uid"))
             reached = hop.join(child, f"{sub}uid")
-            rows = rows.join(reached, F.col(f"`{path}uid`") == F.col(f"`{path}_src`"), "left").drop(f"{path}_src")
+            rows = with_partners(rows, reached, f"{path}uid", f"{path}_src")
         return rows
 
     return level(type_name, depth, "")

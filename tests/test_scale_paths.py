@@ -359,3 +359,28 @@ def test_reverse_index_splits_a_hot_target(spark):
 def test_facts_schema_is_what_operators_produce(spark):
     log = log_frame(spark, random_log(50))
     assert mutate.resolve(log, LISTS).columns == FACT_SCHEMA.fieldNames()
+
+
+# joins ------------------------------------------------------------------------
+def test_joins_reduce_a_repeating_right_side(spark, capsys):
+    from quadloom.plans.semi import having, lacking, with_partners
+
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "n")], "k long, name string")
+    right = spark.createDataFrame([(1, 10)] * 5 + [(2, 20), (None, 30)], "r long, x long")
+    keyed = right.withColumnRenamed("r", "k")
+    assert sorted(r.name for r in having(left, keyed, "k").collect()) == ["a", "b"]
+    assert sorted(r.name for r in lacking(left, keyed, "k").collect()) == ["c", "n"]
+    got = sorted(map(tuple, with_partners(left, right, "k", "r").collect()), key=str)
+    want = sorted(map(tuple, left.join(right, left["k"] == right["r"], "left").select("k", "name", "x").collect()), key=str)
+    assert got == want
+    having(left, keyed, "k").explain()
+    assert "HashAggregate" in capsys.readouterr().out
+
+
+def test_no_plan_compares_everything_with_everything(graph, spark):
+    """Queries that join on ranges, grids or variables never fall back to a nested loop."""
+    import __spark_entry__ as entry
+
+    for name in ("c07_upsert_variables", "d10_regexp", "e04_expand_all", "k08_geo_radius", "n04_conflicts", "c08_conditional", "l12_pending", "g08_latest"):
+        plan = entry.queries()[name](spark, graph.sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
