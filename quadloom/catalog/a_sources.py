@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from quadloom.catalog.common import CONTAINS, EVENTS, hexa, query, u
 from quadloom.functions import uid as uids
 from quadloom.functions.values import json_literal
-from quadloom.model import FACETS, value_fact
+from quadloom.model import FACETS
 from quadloom.plans.cut import written
+from quadloom.plans.spread import spread_out
 from quadloom.sources import json_io, nquads
 from quadloom.sources.tables import Graph
 
@@ -18,7 +19,7 @@ ORDER, CUSTOMER, PART = u("Order", "o_orderkey"), u("Customer", "o_custkey"), u(
 def _nquad_lines(g: Graph):
     """Lines as a user would send them: typed literals, edges with facets, language-tagged
     texts, star deletes, blank subjects, and some that are malformed."""
-    orders = g.orders()
+    orders = spread_out(g.orders(), "uid")
     uid = uids.in_nquad(uids.to_text(F.col("uid")))
     cust = uids.in_nquad(uids.to_text(F.col("placed_by")))
     per_order = orders.select(
@@ -37,7 +38,7 @@ def _nquad_lines(g: Graph):
             )
         ).alias("value")
     )
-    texts = g.documents().select(
+    texts = spread_out(g.documents(), "uid").select(
         F.concat(uids.in_nquad(uids.to_text(F.col("uid"))), F.lit(" <text> "), json_literal(F.col("text")),
                  F.lit("@"), F.col("lang"), F.lit(" .")).alias("value")
     )
@@ -112,7 +113,7 @@ def nquad_sink(g: Graph):
 )
 def json_source(g: Graph):
     """Orders with a nested customer, and customers with an array of nested events."""
-    orders = g.orders().select(
+    orders = spread_out(g.orders(), "uid").select(
         F.to_json(
             F.struct(
                 uids.to_text(F.col("uid")).alias("uid"), "o_totalprice",
@@ -124,7 +125,7 @@ def json_source(g: Graph):
             )
         ).alias("json")
     )
-    events = g.events().select(
+    events = spread_out(g.events(), "uid").select(
         F.to_json(
             F.struct(
                 uids.to_text(F.col("user")).alias("uid"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quadloom.catalog.common import hexa, query, u
 from quadloom.functions import uid as uids
 from quadloom.operators import identity
-from quadloom.sources import json_io, nquads
+from quadloom.sources import json_io
 from quadloom.sources.tables import Graph
 
 CUST = u("Customer", "c_custkey")

@@ -46,13 +46,15 @@ def of_type(g: Graph):
 @query(
     "d04_has",
     f"""SELECT uid FROM (SELECT {u('Document', 'doc_id')} AS uid FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
-    UNION ALL SELECT {u('Customer', 'c_custkey')} FROM customer WHERE c_acctbal IS NOT NULL)""",
+    UNION ALL SELECT {u('Customer', 'c_custkey')} FROM customer WHERE c_acctbal IS NOT NULL
+    UNION ALL SELECT {u('Supplier', 's_suppkey')} FROM supplier WHERE s_acctbal IS NOT NULL)""",
 )
 def has(g: Graph):
     labelled = g.raw("labels").select((F.lit(7 << 40) + F.col("doc_id")).alias("src"), F.col("quality").alias("dst"))
     with_edge = roots.has_edge(g.documents(), labelled).select("uid")
     with_value = roots.subjects_with(g.customer_facts(), "c_acctbal")
-    return with_edge.unionByName(with_value)
+    wide = roots.has_value(g.supplier(), "s_acctbal").select("uid")
+    return with_edge.unionByName(with_value).unionByName(wide)
 
 
 @query(

@@ -9,6 +9,7 @@ from quadloom.functions import facets as fx
 from quadloom.functions.values import json_literal
 from quadloom.model import FACETS, edge_fact, value_fact
 from quadloom.operators import facet_ops, roots, traverse
+from quadloom.plans.spread import spread_out
 from quadloom.sources import nquads
 from quadloom.sources.tables import Graph
 
@@ -149,7 +150,7 @@ def all_languages(g: Graph):
     SELECT event_id, CASE WHEN facet = 'en' THEN 'name' ELSE 'value' END AS predicate, facet, facet = 'en' AS is_lang, facet_type, value FROM f""",
 )
 def json_facets(g: Graph):
-    docs = g.events().select(
+    docs = spread_out(g.events(), "uid").select(
         "event_id",
         F.to_json(F.struct(
             F.col("event_id").alias("uid"), F.col("k").alias("value|k"), (F.col("value") + 0.125).alias("value|v"),

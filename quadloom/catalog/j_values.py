@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quadloom.catalog.common import K, query, u
 from quadloom.functions import values as v
+from quadloom.plans.spread import spread_out
 from quadloom.sources.tables import Graph
 
 CUST = u("Customer", "c_custkey")
@@ -149,7 +150,7 @@ def literals(g: Graph):
       CASE WHEN regexp_full_match(trim(text), '[0-9]+([.][0-9]+)?') THEN trim(text)::DOUBLE END AS as_float, CASE WHEN text = 'True' THEN true END AS as_bool FROM t""",
 )
 def coercion(g: Graph):
-    rows = g.raw("events").select("event_id", F.explode(F.array(
+    rows = spread_out(g.raw("events"), "event_id").select("event_id", F.explode(F.array(
         F.get_json_object("props", "$.k"), F.col("value").cast("string"), F.lit("True"), F.col("event_type"), F.lit(""), F.lit("1.5f"), F.lit(" 7 "),
     )).alias("text"))
     text = F.col("text")

@@ -10,6 +10,7 @@ from quadloom.catalog.common import query, u
 from quadloom.functions import geo
 from quadloom.operators import search
 from quadloom.plans.cut import fresh_path
+from quadloom.plans.spread import spread_out
 from quadloom.sources.tables import Graph
 
 DOC, PART, CUST = u("Document", "doc_id"), u("Part", "p_partkey"), u("Customer", "c_custkey")
@@ -40,7 +41,7 @@ def hashed(g: Graph):
     UNION ALL SELECT DISTINCT 'any', {DOC} FROM terms WHERE term IN ('der', 'the')""",
 )
 def terms(g: Graph):
-    index = search.term_index(g.documents(), "text")
+    index = search.term_index(spread_out(g.documents(), "uid"), "text")
     found_all = search.all_terms(index, "Les que, des!").select(F.lit("all").alias("kind"), "uid")
     return found_all.unionByName(search.any_term(index, "der The").select(F.lit("any").alias("kind"), "uid"))
 
@@ -56,7 +57,7 @@ STOP_SQL = "stops AS (" + " UNION ALL ".join(
     WHERE (lang, term) NOT IN (SELECT (lang, term) FROM stops) GROUP BY term""",
 )
 def fulltext(g: Graph):
-    index = search.fulltext_index(g.documents(), "text", "lang")
+    index = search.fulltext_index(spread_out(g.documents(), "uid"), "text", "lang")
     return index.groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("uid").alias("uid_sum"))
 
 
@@ -182,7 +183,7 @@ def vector_lsh(g: Graph):
     f"""WITH {TERMS} SELECT 'text' AS predicate, term, 0::BIGINT AS page, count(*)::INTEGER AS n, string_agg(({DOC})::VARCHAR, ' ' ORDER BY doc_id) AS uids FROM terms GROUP BY term""",
 )
 def inverted_index(g: Graph):
-    index = search.term_index(g.documents(), "text").select(F.lit("text").alias("predicate"), "term", "uid")
+    index = search.term_index(spread_out(g.documents(), "uid"), "text").select(F.lit("text").alias("predicate"), "term", "uid")
     lists = search.inverted_lists(index)
     return lists.select("predicate", "term", "page", F.size("uids").alias("n"), F.array_join(F.col("uids").cast("array<string>"), " ").alias("uids"))
 

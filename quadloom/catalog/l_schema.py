@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quadloom.catalog.common import CONTAINS, LOG, query, u
+from quadloom.catalog.common import CONTAINS, LOG, query
 from quadloom.catalog.f_counting import FACTS, facts
 from quadloom.model import FACT_COLUMNS
 from quadloom.operators import counting, schema

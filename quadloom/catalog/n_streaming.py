@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from quadloom.catalog.c_mutations import LISTS, log_with_stars, state_rows
 from quadloom.catalog.common import LOG, query, state_sql
 from quadloom.model import LOG_SCHEMA

@@ -1,8 +1,8 @@
-"""Join keys for outer joins where most rows have nothing to look up."""
+"""Spreading rows: join keys where most rows have nothing to look up, and scans with few splits."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 SPREAD = 4096
 
@@ -12,3 +12,13 @@ def spread_key(key: Column, applies: Column, *by: Column) -> Column:
     would all hash to one task, these spread over all of them."""
     other = F.concat(F.lit("#"), F.pmod(F.xxhash64(*by), F.lit(SPREAD)).cast("string"))
     return F.when(applies, key).otherwise(other)
+
+
+def spread_out(scan: DataFrame, key: str) -> DataFrame:
+    """Rows of a scan over all cores, ahead of costly work per row, where the files have
+    fewer splits than there are cores (one large row group, one compressed file). An input
+    with enough splits, as any large table has, is returned as it is: no shuffle. `key`
+    should be unique. Only for scans and projections of them."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    splits = scan._jdf.queryExecution().toRdd().getNumPartitions()
+    return scan if splits >= cores else scan.repartition(cores, key)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quadloom.functions import uid as uids
-from quadloom.functions.values import decode_literal, json_literal, typed_literal
+from quadloom.functions.values import decode_literal, typed_literal
 from quadloom.model import STAR
 
 # The pieces of the line grammar.

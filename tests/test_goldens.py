@@ -305,6 +305,7 @@ def test_faceted_list(spark):
 @pytest.mark.parametrize("text", ["0x", "0xG", "0x" + "1" * 17, "_:", "_:a-b", "_:" + "a" * 33, "12"])
 def test_invalid_uids(spark, text):
     assert col(spark, text, uids.classify) == "invalid" and col(spark, text, uids.normalise) is None
+    assert col(spark, text, uids.is_valid) is False
 
 
 @pytest.mark.parametrize(
