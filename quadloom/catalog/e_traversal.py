@@ -136,7 +136,7 @@ def has_one(g: Graph):
     FROM contains GROUP BY src""",
 )
 def has_many(g: Graph):
-    parts = traverse.uid_matrix(g.contains_pairs())
+    parts = traverse.uid_matrix(g.order_parts())
     return parts.select(
         F.col("src").alias("uid"), "page", F.size("uids").alias("n"),
         F.array_join(F.col("uids").cast("array<string>"), " ").alias("parts"),
@@ -224,7 +224,7 @@ def long_to_wide(g: Graph):
     SELECT src, 0::BIGINT AS page, count(*)::INTEGER AS n, string_agg(dst::VARCHAR, ' ' ORDER BY dst) AS uids FROM e GROUP BY src""",
 )
 def uid_matrix(g: Graph):
-    rows = traverse.uid_matrix(g.supplied_by())
+    rows = traverse.uid_matrix(g.part_suppliers())
     return rows.select("src", "page", F.size("uids").alias("n"), F.array_join(F.col("uids").cast("array<string>"), " ").alias("uids"))
 
 

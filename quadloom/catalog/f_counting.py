@@ -76,7 +76,9 @@ def predicate_sizes(g: Graph):
       string_agg(coalesce(object_uid::VARCHAR, value), ' ' ORDER BY object_uid, value) AS postings FROM facts GROUP BY predicate, subject""",
 )
 def posting_lists(g: Graph):
-    rows = counting.posting_lists(facts(g))
+    pairs = g.order_parts()
+    edges = edge_fact(pairs, F.col("src"), "contains", F.col("dst"))
+    rows = counting.posting_lists(g.order_facts().unionByName(edges))
     return rows.select("predicate", "subject", "page", F.array_join("postings", " ").alias("postings"))
 
 

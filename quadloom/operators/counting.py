@@ -51,7 +51,7 @@ def predicate_sizes(facts: DataFrame) -> DataFrame:
 
 def posting_lists(facts: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """(predicate, subject, page) -> sorted postings; a posting is a uid or a value."""
-    rows = facts.select("predicate", "subject", "object_uid", "value").distinct()
+    rows = facts.select("predicate", "subject", "object_uid", "value")
     return nest(
         rows,
         ["predicate", "subject"],
@@ -59,7 +59,7 @@ def posting_lists(facts: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
         F.coalesce(F.col("object_uid").cast("string"), F.col("value")),
         "postings",
         page_size,
-        keep=True,
+        unique=True,
     )
 
 

@@ -51,7 +51,7 @@ def follow(nodes: DataFrame, link: str, targets: DataFrame, key: str = "uid", ho
 def uid_matrix(edges: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Sorted distinct targets per source: (src, page, uids)."""
     return nest(
-        edges.select("src", "dst").distinct(), ["src"], ["dst"], out="uids", page_size=page_size, keep=True
+        edges.select("src", "dst"), ["src"], ["dst"], out="uids", page_size=page_size, unique=True
     )
 
 

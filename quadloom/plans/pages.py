@@ -18,16 +18,20 @@ from quadloom.plans.rank import positions
 PAGE_SIZE = 100_000
 
 
+def _largest(df: DataFrame, group: list[str]) -> int:
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.agg(F.max("_n")).first()[0] or 0
+
+
 def with_page(df: DataFrame, group: Sequence[str], order: Sequence[str], page_size: int = PAGE_SIZE) -> DataFrame:
     """Add `page`: 0 for every row of a parent that fits, else position // page_size.
 
     The size check is one pre-aggregated count over the group columns alone; only
     when some parent is too large are its rows ranked by range partitions."""
     group = list(group)
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0]
-    if largest is None or largest <= page_size:
+    if _largest(df, group) <= page_size:
         return df.withColumn("page", F.lit(0).cast("long"))
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     big = sizes.where(F.col("_n") > page_size).select(*group)  # at most rows / page_size rows
     small_rows = df.join(big, group, "left_anti").withColumn("page", F.lit(0).cast("long"))
     big_rows = positions(
@@ -45,6 +49,7 @@ def nest(
     out: str = "items",
     page_size: int = PAGE_SIZE,
     keep: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """One row per (group, page) with the sorted array of children.
 
@@ -52,15 +57,21 @@ def nest(
     element built from a row, by default the struct of all non-group columns (or the
     order column itself, if there is no other).
     With `keep`, the rows are written once first: right where they come from a join or
-    an aggregation that the size check would otherwise run a second time."""
+    an aggregation that the size check would otherwise run a second time. With `unique`,
+    equal children count once; lists that fit are made as sets, without a shuffle of their
+    own to remove repetitions."""
     group, order = list(group), list(order)
     if keep:
         df = written(df, "children")
+    gather, fits = F.collect_list, False
+    if unique:
+        fits = _largest(df, group) <= page_size
+        gather, df = (F.collect_set, df) if fits else (F.collect_list, df.distinct())
     rest = [c for c in df.columns if c not in group]
     element = items if items is not None else F.struct(*rest)
-    rows = with_page(df, group, order, page_size)
+    rows = df.withColumn("page", F.lit(0).cast("long")) if fits else with_page(df, group, order, page_size)
     if len(order) == 1 and items is None and rest == order:
-        return rows.groupBy(*group, "page").agg(F.sort_array(F.collect_list(order[0])).alias(out))
+        return rows.groupBy(*group, "page").agg(F.sort_array(gather(order[0])).alias(out))
     rows = rows.select(*group, "page", F.struct(*[F.col(o) for o in order], element.alias("_item")).alias("_e"))
-    lists = rows.groupBy(*group, "page").agg(F.sort_array(F.collect_list("_e")).alias("_list"))
+    lists = rows.groupBy(*group, "page").agg(F.sort_array(gather("_e")).alias("_list"))
     return lists.select(*group, "page", F.col("_list._item").alias(out))

@@ -118,13 +118,17 @@ class Graph:
             )
         )
 
+    def order_parts(self) -> DataFrame:
+        """(order, part) of every line, repetitions included."""
+        return self.raw("lineitem").select(uid_of("Order", "l_orderkey").alias("src"), uid_of("Part", "l_partkey").alias("dst"))
+
     def contains_pairs(self) -> DataFrame:
         """The contains edges without facets."""
-        return (
-            self.raw("lineitem")
-            .select(uid_of("Order", "l_orderkey").alias("src"), uid_of("Part", "l_partkey").alias("dst"))
-            .distinct()
-        )
+        return self.order_parts().distinct()
+
+    def part_suppliers(self) -> DataFrame:
+        """(part, supplier) of every line, repetitions included."""
+        return self.raw("lineitem").select(uid_of("Part", "l_partkey").alias("src"), uid_of("Supplier", "l_suppkey").alias("dst"))
 
     def supplied_by(self) -> DataFrame:
         return (
