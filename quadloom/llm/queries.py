@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quadloom.llm import decontamination, quality_rules, shards
+from quadloom.llm import decontamination, language, near_copies, quality_rules, shards
 from quadloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op2_near_copies")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.groups(table(spark, sf_dir, "documents"))
+
+
 @query("op3_quality_rules")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
@@ -63,3 +68,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_shards")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(table(spark, sf_dir, "documents"), 8)
+
+
+@query("op9_language")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
