@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quadloom.llm import decontamination, language, near_copies, quality_rules, shards
+from quadloom.llm import decontamination, language, near_copies, page_text, personal_data, quality_rules, shards
 from quadloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op1_page_text")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op2_near_copies")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.groups(table(spark, sf_dir, "documents"))
@@ -65,6 +70,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(found)
 
 
+@query("op6_personal_data")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digest(personal_data.find(table(spark, sf_dir, "documents")))
+
+
 @query("op8_shards")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(table(spark, sf_dir, "documents"), 8)
