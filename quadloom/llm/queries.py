@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quadloom.llm import decontamination, language, near_copies, page_text, personal_data, quality_rules, shards
+from quadloom.llm import decontamination, language, near_copies, packing, page_text, personal_data, quality_rules, resampling, shards
 from quadloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
 
 
+@query("op4_resample")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP5_SQL = r"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -75,6 +80,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.digest(personal_data.find(table(spark, sf_dir, "documents")))
 
 
+@query("op7_pack")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query("op8_shards")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(table(spark, sf_dir, "documents"), 8)
