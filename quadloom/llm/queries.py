@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quadloom.llm import decontamination, language, near_copies, packing, page_text, personal_data, quality_rules, resampling, shards
+from quadloom.llm import decontamination, language, near_copies, packing, page_text, personal_data, quality_rules, repeats, resampling, shards
 from quadloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,24 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_language")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (
+  SELECT r, i, array_to_string(w[i:i + 34], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+often AS (SELECT hash(s) AS h, s FROM g GROUP BY s HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM g JOIN often ON often.h = hash(g.s) AND often.s = g.s),
+lost AS (SELECT r, list(p) AS ps FROM gone GROUP BY r)
+SELECT CAST(d.doc_id AS BIGINT) AS doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+  sha256(CASE WHEN ps IS NULL THEN array_to_string(d.w, ' ')
+    ELSE array_to_string(list_transform(list_sort(list_filter(range(1, len(d.w) + 1), lambda p: NOT list_contains(ps, p))), lambda p: d.w[p]), ' ') END) AS kept_sha256
+FROM d LEFT JOIN lost USING (r)
+"""
+
+
+@query("op10_repeats", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
