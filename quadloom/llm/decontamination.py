@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quadloom.llm.tables import text_of
+from quadloom.llm.tables import carried, carried_on, schema_of, text_of
 from quadloom.llm.words import byte_texts
 from quadloom.plans.cut import written
 
@@ -182,6 +182,7 @@ def decontaminate(
     coverage: float = 0.05,
     max_span: int | None = None,
     with_text: bool = False,
+    carry: bool = False,
     doc_id: str = "doc_id",
     text: str = "text",
     block_words: int = BLOCK_WORDS,
@@ -189,13 +190,13 @@ def decontaminate(
     """One row per row of `docs`: doc_id, n_words, n_hit, `spans` (flat word positions), `items`
     (ids as text, sorted), contaminated (hit words make up `coverage` of the text or more).
     `with_text` adds `cleaned`: the text without the spans of contaminated documents and
-    without any span longer than `max_span` words.
+    without any span longer than `max_span` words; `carry` adds the whole row as `row`.
 
     Null or empty texts have no words and are clean; repeated rows are judged alike; items
     without words match nothing, a null item id is the empty text; an empty benchmark leaves all
     documents clean. A benchmark of more than `block_words` words takes several passes, each
     with one automaton of bounded size."""
-    rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), text_of(docs, text).alias("text"))
+    rows = carried(docs, F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), text_of(docs, text).alias("text"), carry=carry)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), text_of(benchmark).alias("text"))
     context = docs.sparkSession.sparkContext
 
@@ -207,7 +208,7 @@ def decontaminate(
             for batch in batches:
                 raw = byte_texts(batch.column(1))
                 n_words, n_hit, spans, found, cleaned = [], [], [], [], []
-                before = [([], [])] * len(raw) if first else zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+                before = [([], [])] * len(raw) if first else zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist())
                 for body, (had, known) in zip(raw, before):
                     words = body.translate(NORMAL).split()
                     new, items_hit = automaton.match(words)
@@ -230,16 +231,16 @@ def decontaminate(
                 }
                 if with_text:
                     out["cleaned"] = pa.array(cleaned, pa.string())
-                yield pa.RecordBatch.from_pydict(out)
+                yield pa.RecordBatch.from_pydict(out | carried_on(batch))
 
-        schema = "doc_id bigint, " + "text string, " * keep + "spans array<int>, items array<string>, n_words bigint, n_hit bigint" + ", cleaned string" * with_text
-        return df.mapInArrow(run, schema)
+        columns = "doc_id bigint, " + "text string, " * keep + "spans array<int>, items array<string>, n_words bigint, n_hit bigint" + ", cleaned string" * with_text
+        return df.mapInArrow(run, schema_of(columns, docs if carry else None))
 
     waiting, first = blocks(items, window, block_words), True
     automaton = next(waiting)
     while automaton is not None:
         following = next(waiting, None)
-        source = rows if first else written(rows.select("doc_id", "text", "spans", "items"), "decontamination")
+        source = rows if first else written(rows.select("doc_id", "text", "spans", "items", *["row"] * carry), "decontamination")
         rows = one_pass(source, context.broadcast(automaton), first, following is None)
         automaton, first = following, False
     share = F.lit(round(1 / coverage)) if coverage else F.lit(0)

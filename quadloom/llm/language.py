@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quadloom.llm.tables import text_of
+from quadloom.llm.tables import carried, carried_on, schema_of, text_of
 
 #: Symbols: 0 between words, 1-26 for a-z, the rest shared by all other letters.
 SYMBOLS, DIMENSIONS, SEED, LETTERS_TO = 64, 1024, 7, 0x323B0
@@ -129,8 +129,9 @@ def _fold(doc_id: str) -> Column:
     return F.crc32(F.col(f"`{doc_id}`").cast("string").cast("binary")) % 4
 
 
-def identify(docs: DataFrame, learn_from: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row per row of `docs`: doc_id, held_out, lang_pred and score, (1 + cosine) / 2.
+def identify(docs: DataFrame, learn_from: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", carry: bool = False) -> DataFrame:
+    """One row per row of `docs`: doc_id, held_out, lang_pred and score, (1 + cosine) / 2; with
+    `carry` the whole row as `row`.
 
     Profiles come from the rows of `learn_from` (default `docs`) that have a language and are
     not held out. The language is `und` and the score 0 for null texts, texts without a letter,
@@ -147,7 +148,7 @@ def identify(docs: DataFrame, learn_from: DataFrame | None = None, doc_id: str =
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "held_out": batch.column(1),
                 "lang_pred": pa.array([f[0] for f in found], pa.string()), "score": pa.array([f[1] for f in found], pa.float64()),
-            })
+            } | carried_on(batch))
 
-    rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), held_out(doc_id).alias("held_out"), text_of(docs, text).alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double")
+    rows = carried(docs, F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), held_out(doc_id).alias("held_out"), text_of(docs, text).alias("text"), carry=carry)
+    return rows.mapInArrow(run, schema_of("doc_id bigint, held_out boolean, lang_pred string, score double", docs if carry else None))

@@ -46,14 +46,18 @@ def fingerprint(text: bytes, shingle: int = 3) -> bytes:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and `print`, the 64 bits as a signed bigint, for every row."""
+    """doc_id, text_hash and `print`, the 64 bits as a signed bigint, for every row."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        raw = b"".join(map(fingerprint, byte_texts(batch.column(1))))
-        return {"doc_id": batch.column(0), "print": pa.array(np.frombuffer(raw, ">i8").astype(np.int64))}
+        raw = b"".join(map(fingerprint, byte_texts(batch.column(2))))
+        return {"doc_id": batch.column(0), "text_hash": batch.column(1), "print": pa.array(np.frombuffer(raw, ">i8").astype(np.int64))}
 
-    rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), text_of(docs, text).alias("text"))
-    return map_batches(rows, run, "doc_id bigint, print bigint")
+    rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), _text_hash(docs, text).alias("text_hash"), text_of(docs, text).alias("text"))
+    return map_batches(rows, run, "doc_id bigint, text_hash bigint, print bigint")
+
+
+def _text_hash(docs: DataFrame, text: str) -> Column:
+    return F.xxhash64(F.coalesce(text_of(docs, text), F.lit("")))
 
 
 def parts(bits: list[int], n: int) -> list[list[int]]:
@@ -179,6 +183,17 @@ def links(prints: DataFrame) -> DataFrame:
         rows = heavy.select("print", (F.col("path") * 4 + F.explode(F.sequence(F.lit(0), F.lit(3)))).alias("path"))
 
 
+def _named(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """All rows (doc_id, text_hash, print), and per print its component and the first of the
+    component: (null id last, id, text_hash)."""
+    prints = written(fingerprints(docs, doc_id, text), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
+    distinct = prints.groupBy("print").agg(first.alias("first"))
+    member = components(links(distinct.select("print")))  # (node, component), linked prints only
+    of = distinct.join(member.withColumnRenamed("node", "print"), "print", "left").withColumn("component", F.coalesce("component", "print"))
+    return prints, of.join(of.groupBy("component").agg(F.min("first").alias("chosen")), "component").select("print", "chosen")
+
+
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, `fingerprint` (16 hex digits) and component_id, the
     smallest doc_id reachable over links of at most 3 differing bits, its own included.
@@ -186,10 +201,18 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     Null and empty texts have the fingerprint zero and are linked like any other. Null ids have
     a row but never name a group (component_id is null where a group has no id). Repeated rows
     all stay. An empty table gives no rows; other columns are not looked at."""
-    prints = written(fingerprints(docs, doc_id, text), "fingerprints")
-    distinct = prints.groupBy("print").agg(F.min("doc_id").alias("first"))
-    member = components(links(distinct.select("print")))  # (node, component), linked prints only
-    of = distinct.join(member.withColumnRenamed("node", "print"), "print", "left").withColumn("component", F.coalesce("component", "print"))
-    smallest = of.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = of.join(smallest, "component").select("print", "component_id")
-    return prints.join(named, "print").select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+    prints, named = _named(docs, doc_id, text)
+    return prints.join(named, "print").select(
+        "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), F.col("chosen.doc_id").alias("component_id")
+    )
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs` without near copies: of each group of `groups` the row with the
+    smallest doc_id stays (ids before null; of rows with one id the smallest text hash, of
+    repeated rows one), with all its columns."""
+    _, named = _named(docs, doc_id, text)
+    keep = named.select("chosen.doc_id", "chosen.text_hash").distinct().withColumnsRenamed({"doc_id": "kept_id", "text_hash": "kept_hash"})
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _text_hash(docs, text).alias("own_hash"), F.col(f"`{doc_id}`").cast("bigint").alias("own_id"))
+    kept = rows.join(keep, (F.col("own_hash") == F.col("kept_hash")) & F.col("own_id").eqNullSafe(F.col("kept_id")))
+    return kept.dropDuplicates(["own_hash", "own_id"]).select("row.*")

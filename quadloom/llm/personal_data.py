@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quadloom.llm.tables import map_batches, text_of
+from quadloom.llm.tables import carried, carried_on, map_batches, schema_of, text_of
 from quadloom.plans.cut import written
 
 KINDS = ["email", "ip", "card", "phone", "secret"]
@@ -218,14 +218,16 @@ def confident(edges: DataFrame, candidates: list[tuple[str, str]], rounds: int,
     return {p: kind for p, (_, kind) in best.items()}
 
 
-def find(docs: DataFrame, share: float = 0.01, least: int = 5, rounds: int = 3, confidence: float = 0.9, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def find(docs: DataFrame, share: float = 0.01, least: int = 5, rounds: int = 3, confidence: float = 0.9, with_text: bool = False, carry: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, `base` and `found`, arrays of (kind, start, end) in
     code points, end exclusive, by start, then kind; `found` has the base spans and the spans of
-    confident patterns that touch no base span.
+    confident patterns that touch no base span. `with_text` adds `masked`, the text with every
+    found span replaced by its kind in angle brackets (null stays null); `carry` adds the whole
+    row as `row`.
 
     A null or empty text has no spans. Texts of any length are read whole. Repeated rows all
     stay, null ids stay null, an empty table gives no rows, other columns are not looked at."""
-    rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), text_of(docs, text).alias("text"))
+    rows = carried(docs, F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), text_of(docs, text).alias("text"), carry=carry)
     candidates = seed_patterns(rows.select("text"), share, least)
     known = confident(graph(rows.select("text"), {p for _, p in candidates}), candidates, rounds, confidence) if candidates else {}
     names = set(known)
@@ -242,12 +244,31 @@ def find(docs: DataFrame, share: float = 0.01, least: int = 5, rounds: int = 3,
         return [[{"kind": k, "start": a, "end": b} for a, k, b in x] for x in (base, every)]
 
     def run(batch: pa.RecordBatch) -> dict:
-        both = [spans(t) for t in batch.column(1).to_pylist()]
+        texts = batch.column(1).to_pylist()
+        both = [spans(t) for t in texts]
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        return {"doc_id": batch.column(0), "base": pa.array([x for x, _ in both], kind), "found": pa.array([x for _, x in both], kind)}
+        out = {"doc_id": batch.column(0), "base": pa.array([x for x, _ in both], kind), "found": pa.array([x for _, x in both], kind)}
+        if with_text:
+            out["masked"] = pa.array([masked(t, every) for t, (_, every) in zip(texts, both)], pa.string())
+        return out | carried_on(batch)
 
     struct = "array<struct<kind: string, start: int, end: int>>"
-    return map_batches(rows, run, f"doc_id bigint, base {struct}, found {struct}")
+    columns = f"doc_id bigint, base {struct}, found {struct}" + ", masked string" * with_text
+    return map_batches(rows, run, schema_of(columns, docs if carry else None))
+
+
+def masked(text: str | None, spans: list[dict]) -> str | None:
+    """The text with spans replaced; of spans that overlap the first names the mark."""
+    if not spans:
+        return text
+    out, at, open_to = [], 0, -1
+    for s in spans:
+        if s["start"] < open_to:
+            open_to = at = max(open_to, s["end"])
+            continue
+        out += [text[at : s["start"]], f"<{s['kind'].upper()}>"]
+        at = open_to = s["end"]
+    return "".join([*out, text[at:]])
 
 
 def joined(spans: str):
