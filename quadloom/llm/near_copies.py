@@ -180,7 +180,8 @@ def links(prints: DataFrame) -> DataFrame:
         if heavy.isEmpty():
             return found
         paths = longer_paths(paths)
-        rows = heavy.select("print", (F.col("path") * 4 + F.explode(F.sequence(F.lit(0), F.lit(3)))).alias("path"))
+        part = F.explode(F.sequence(F.lit(0), F.lit(LIMIT))).alias("part")
+        rows = heavy.select("print", "path", part).select("print", (F.col("path") * (LIMIT + 1) + F.col("part")).alias("path"))
 
 
 def _named(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:

@@ -61,7 +61,8 @@ def longest_repeats(words: np.ndarray, text: np.ndarray, window: int) -> tuple[n
     """Word positions (ascending) at which a repeat of at least `window` words of the same text
     begins, and the length of the longest repeat there: the larger common prefix with the
     neighbours in suffix order. The prefix shared with the suffix before, less one word, is
-    shared at the next position, so all are found in linear time."""
+    shared at the next position (while that is at least what makes a group), so all are found in
+    linear time."""
     least = 1 << (window.bit_length() - 1)
     starts, order, end = suffix_order(words, text, least)
     if not len(starts):
@@ -71,7 +72,7 @@ def longest_repeats(words: np.ndarray, text: np.ndarray, window: int) -> tuple[n
     near = dict(zip(order.tolist(), before.tolist()))
     w, prefix, size, last = words.tolist(), {}, 0, -2
     for i, stop in zip(starts.tolist(), end[starts].tolist()):
-        size = size - 1 if i == last + 1 and size else 0
+        size = size - 1 if i == last + 1 and size > least else 0
         j = near[i]
         if j < 0:
             size = 0
