@@ -21,7 +21,7 @@ def _nquad_lines(g: Graph):
     texts, star deletes, blank subjects, and some that are malformed."""
     orders = spread_out(g.orders(), "uid")
     uid = uids.in_nquad(uids.to_text(F.col("uid")))
-    cust = uids.in_nquad(uids.to_text(F.col("placed_by")))
+    cust = uids.in_nquad(uids.to_text(F.col("placed_by") + F.lit(-(2**63))))  # uids above 2^63
     per_order = orders.select(
         F.explode(
             F.array(
@@ -34,6 +34,7 @@ def _nquad_lines(g: Graph):
                 F.concat(uid, F.lit(" <old_note> * .")),
                 F.concat(uid, F.lit(' <no_dot> "x" ')),
                 F.concat(F.lit("<0xG"), F.col("o_orderkey").cast("string"), F.lit('> <bad_uid> "x" .')),
+                F.concat(F.lit('<0x0> <no_node> "'), F.col("o_orderkey").cast("string"), F.lit('" .')),
                 F.lit("   "),
             )
         ).alias("value")
@@ -47,13 +48,14 @@ def _nquad_lines(g: Graph):
 
 @query(
     "a01_nquad_source",
-    f"""WITH o AS (SELECT *, {hexa(ORDER)} AS s, {hexa(CUSTOMER)} AS c FROM orders)
+    f"""WITH o AS (SELECT *, {hexa(ORDER)} AS s, {hexa(CUSTOMER + ' - 9223372036854775807 - 1')} AS c FROM orders)
     SELECT s AS subject, 'o_totalprice' AS predicate, NULL AS object, o_totalprice::VARCHAR AS value, 'float' AS value_type, NULL AS lang, NULL AS facets, false AS rejected FROM o
     UNION ALL SELECT s, 'o_orderpriority', NULL, o_orderpriority, 'string', NULL, NULL, false FROM o
     UNION ALL SELECT s, 'placed_by', c, NULL, 'uid', NULL, 'since="' || strftime(o_orderdate, '%Y-%m-%d') || '", status="' || o_orderstatus || '"', false FROM o
     UNION ALL SELECT '_:order' || o_orderkey, 'is_final', NULL, CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END, 'bool', NULL, NULL, false FROM o
     UNION ALL SELECT s, 'old_note', NULL, '_STAR_ALL', 'default', NULL, NULL, false FROM o
     UNION ALL SELECT NULL, NULL, NULL, '<' || s || '> <no_dot> "x" ', 'end of line', NULL, NULL, true FROM o
+    UNION ALL SELECT NULL, NULL, NULL, '<0x0> <no_node> "' || o_orderkey || '" .', 'subject', NULL, NULL, true FROM o
     UNION ALL SELECT NULL, NULL, NULL, '<0xG' || o_orderkey || '> <bad_uid> "x" .', 'subject', NULL, NULL, true FROM o
     UNION ALL SELECT {hexa(u('Document', 'doc_id'))}, 'text', NULL, text, 'string', lang, NULL, false FROM documents""",
 )

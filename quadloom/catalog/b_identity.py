@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from quadloom.catalog.common import hexa, query, u
 from quadloom.functions import uid as uids
+from quadloom.functions.uid import UID_PATTERN as GRAMMAR
 from quadloom.operators import identity
 from quadloom.sources import json_io
 from quadloom.sources.tables import Graph
 
 CUST = u("Customer", "c_custkey")
-GRAMMAR = "^(<)?(0x[a-fA-F0-9]{1,16}|_:[a-zA-Z0-9_]{1,32})(>)?$"
 
 TEXTS = f"""texts AS (SELECT c_custkey, unnest(['<' || {hexa(CUST)} || '>', upper(to_hex({CUST})), '0x' || to_hex({CUST}),
     '_:' || 'Cust_' || c_custkey, '<_:c' || c_custkey || '>', '', '0x', '0xG' || c_custkey, '0x12345678901234567',
@@ -56,10 +56,13 @@ def normalise(g: Graph):
 @query(
     "b03_hex",
     f"""SELECT {CUST} AS uid, {hexa(CUST)} AS text, '18446744073709551615' AS top, CAST(NULL AS VARCHAR) AS zero_uid, {CUST} AS back FROM customer
-    UNION ALL SELECT {u('Order', 'o_orderkey')}, {hexa(u('Order', 'o_orderkey'))}, '18446744073709551615', NULL, {u('Order', 'o_orderkey')} FROM orders""",
+    UNION ALL SELECT {u('Order', 'o_orderkey')}, {hexa(u('Order', 'o_orderkey'))}, '18446744073709551615', NULL, {u('Order', 'o_orderkey')} FROM orders
+    UNION ALL SELECT -1 - p_partkey, {hexa('-1 - p_partkey')}, '18446744073709551615', NULL, -1 - p_partkey FROM part""",
 )
 def hexadecimal(g: Graph):
-    both = g.customer().select("uid").unionByName(g.orders().select("uid"))
+    """Uids of both halves of the unsigned range: the last ones belong to parts."""
+    last = g.raw("part").select((F.lit(-1) - F.col("p_partkey")).cast("long").alias("uid"))
+    both = g.customer().select("uid").unionByName(g.orders().select("uid")).unionByName(last)
     return both.select(
         "uid",
         uids.to_text(F.col("uid")).alias("text"),
@@ -71,11 +74,15 @@ def hexadecimal(g: Graph):
 
 @query(
     "b04_compare",
-    f"""SELECT o_orderkey, '0x' || lower(to_hex(o_orderkey + 1)) < '0x' || lower(to_hex(o_custkey + 1)) AS text_less, o_orderkey < o_custkey AS number_less FROM orders""",
+    f"""SELECT o_orderkey, '0x' || lower(to_hex(o_orderkey + 1)) < '0x' || lower(to_hex(o_custkey + 1)) AS text_less, o_orderkey < o_custkey AS number_less,
+      true AS less_than_last FROM orders""",
 )
 def compare(g: Graph):
     a, b = uids.to_text(F.col("o_orderkey") + 1), uids.to_text(F.col("o_custkey") + 1)
-    return g.raw("orders").select("o_orderkey", (a < b).alias("text_less"), (uids.to_long(a) < uids.to_long(b)).alias("number_less"))
+    number = lambda text: uids.unsigned_order(uids.to_long(text))
+    last = uids.to_text(F.lit(-1) - F.col("o_custkey"))
+    return g.raw("orders").select(
+        "o_orderkey", (a < b).alias("text_less"), (number(a) < number(b)).alias("number_less"), (number(a) < number(last)).alias("less_than_last"))
 
 
 @query(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quadloom.catalog.common import CONTAINS, LOG, query, state_sql, u
-from quadloom.model import STAR, TYPE_PREDICATE
+from quadloom.catalog.f_counting import TENANTS, shared, tenant
+from quadloom.model import STAR, TYPE_PREDICATE, wide_to_facts
 from quadloom.operators import identity, mutate
 from quadloom.plans.cut import written
 from quadloom.plans.semi import lacking
@@ -52,24 +53,39 @@ CUSTOMER_FACTS = f"""cf AS (SELECT {CUST} AS subject, c_acctbal AS bal, unnest([
     unnest([c_name, c_acctbal::VARCHAR, c_mktsegment, NULL]) AS value, unnest([NULL, NULL, NULL, {u('Nation', 'c_nationkey')}]) AS object_uid FROM customer)"""
 
 
+# Five tenants that use the same subjects: customer k is node k div 5 of tenant k mod 5.
+TENANT_FACTS = f"""tf AS (SELECT cast(c_custkey % {TENANTS} AS BIGINT) AS namespace, {u('Customer', f'c_custkey // {TENANTS}')} AS subject, c_acctbal AS bal,
+    unnest(['c_name', 'c_acctbal', 'in_nation']) AS predicate, unnest([c_name, c_acctbal::VARCHAR, NULL]) AS value, unnest([NULL, NULL, {u('Nation', 'c_nationkey')}]) AS object_uid FROM customer)"""
+
+
+def tenant_customers(g: Graph):
+    return g.customer().withColumn("namespace", tenant("c_custkey")).withColumn("uid", shared("Customer", "c_custkey"))
+
+
+def tenant_facts(g: Graph):
+    values = {"c_name": ("c_name", "string"), "c_acctbal": ("c_acctbal", "float")}
+    return wide_to_facts(tenant_customers(g), "uid", values, {"in_nation": "in_nation"}, namespace="namespace")
+
+
 @query(
     "c03_delete_star",
-    f"""WITH {CUSTOMER_FACTS} SELECT subject, predicate, value, object_uid FROM cf WHERE NOT (bal < 0 AND predicate IN ('c_acctbal', 'in_nation'))""",
+    f"""WITH {TENANT_FACTS} SELECT namespace, subject, predicate, value, object_uid FROM tf WHERE NOT (bal < 0 AND predicate IN ('c_acctbal', 'in_nation'))""",
 )
 def delete_star(g: Graph):
-    stars = mutate.star_rows(g.customer().where("c_acctbal < 0"), ["c_acctbal", "in_nation"])
-    return mutate.delete_predicates(g.customer_facts(), stars).select("subject", "predicate", "value", "object_uid")
+    stars = mutate.star_rows(tenant_customers(g).where("c_acctbal < 0"), ["c_acctbal", "in_nation"])
+    return mutate.delete_predicates(tenant_facts(g), stars).select("namespace", "subject", "predicate", "value", "object_uid")
 
 
 @query(
     "c04_delete_node",
-    f"""WITH {CUSTOMER_FACTS} SELECT subject, predicate, value, object_uid FROM cf WHERE subject IN (SELECT {u('Customer', 'o_custkey')} FROM orders WHERE o_orderstatus = 'F')""",
+    f"""WITH {TENANT_FACTS} SELECT namespace, subject, predicate, value, object_uid FROM tf
+    WHERE (namespace, subject) IN (SELECT (o_custkey % {TENANTS}, {u('Customer', f'o_custkey // {TENANTS}')}) FROM orders WHERE o_orderstatus = 'F')""",
 )
 def delete_node(g: Graph):
     """Customers without any finished order are deleted."""
-    finished = g.orders().where("o_orderstatus = 'F'").select(F.col("placed_by").alias("uid"))
-    gone = lacking(g.customer(), finished, "uid")
-    return mutate.delete_nodes(g.customer_facts(), gone).select("subject", "predicate", "value", "object_uid")
+    finished = g.orders().where("o_orderstatus = 'F'").select(tenant("o_custkey").alias("namespace"), shared("Customer", "o_custkey").alias("uid"))
+    gone = lacking(tenant_customers(g), finished, ["namespace", "uid"])
+    return mutate.delete_nodes(tenant_facts(g), gone).select("namespace", "subject", "predicate", "value", "object_uid")
 
 
 @query(
@@ -82,15 +98,18 @@ def drop_predicate(g: Graph):
 
 @query(
     "c06_set_delete",
-    """WITH l AS (SELECT l_orderkey, l_linenumber, unnest(['l_discount', 'l_tax', 'l_returnflag']) AS predicate,
-      unnest([l_discount::VARCHAR, l_tax::VARCHAR, nullif(l_returnflag, 'N')]) AS v FROM lineitem)
-    SELECT l_orderkey, l_linenumber, predicate, CASE WHEN v <> '0.0' THEN v END AS value, CASE WHEN v <> '0.0' THEN 'SET' ELSE 'DEL' END AS op FROM l""",
+    """WITH l AS (SELECT l_orderkey, l_linenumber, unnest(['l_discount', 'l_tax', 'line', 'late', 'l_returnflag']) AS predicate,
+      unnest([l_discount::DECIMAL(10,2)::VARCHAR, l_tax::VARCHAR, (l_linenumber - 1)::VARCHAR, CASE WHEN l_linenumber > 2 THEN 'true' ELSE 'false' END, nullif(l_returnflag, 'N')]) AS v FROM lineitem),
+    s AS (SELECT *, v IS NOT NULL AND v <> 'false' AND coalesce(try_cast(v AS DOUBLE) <> 0, true) AS stays FROM l)
+    SELECT l_orderkey, l_linenumber, predicate, CASE WHEN stays THEN v END AS value, CASE WHEN stays THEN 'SET' ELSE 'DEL' END AS op FROM s""",
 )
 def set_delete(g: Graph):
-    rows = g.raw("lineitem").select("l_orderkey", "l_linenumber", "l_discount", "l_tax", F.nullif("l_returnflag", F.lit("N")).alias("l_returnflag"))
+    rows = g.raw("lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_discount").cast("decimal(10,2)").alias("l_discount"), "l_tax", (F.col("l_linenumber") - 1).alias("line"),
+        (F.col("l_linenumber") > 2).alias("late"), F.nullif("l_returnflag", F.lit("N")).alias("l_returnflag"))
     pair = mutate.set_and_delete(
         rows, ["l_orderkey", "l_linenumber"],
-        {"l_discount": ("l_discount", "float"), "l_tax": ("l_tax", "float"), "l_returnflag": ("l_returnflag", "string")},
+        {"l_discount": ("l_discount", "float"), "l_tax": ("l_tax", "float"), "line": ("line", "float"), "late": ("late", "bool"), "l_returnflag": ("l_returnflag", "string")},
         drop_defaults=True,
     )
     return pair.select("l_orderkey", "l_linenumber", "predicate", "value", "op")
@@ -206,15 +225,15 @@ def namespace(g: Graph):
 @query(
     "c12_save",
     f"""WITH {CUSTOMER_FACTS}, c AS (SELECT *, {CUST} AS old FROM customer),
-    fresh AS (SELECT *, 1000000 + row_number() OVER (ORDER BY sha256(c_name)) - 1 AS uid FROM c WHERE c_acctbal <= 0),
+    fresh AS (SELECT *, -9223372036854775807 + 999999 + row_number() OVER (ORDER BY sha256(c_name)) - 1 AS uid FROM c WHERE c_acctbal <= 0),
     saved AS (SELECT old AS uid, c_name, c_mktsegment FROM c WHERE c_acctbal > 0 UNION ALL SELECT uid, c_name, c_mktsegment FROM fresh)
     SELECT subject, predicate, value, object_uid FROM cf WHERE predicate IN ('c_acctbal', 'in_nation') OR (bal <= 0)
     UNION ALL SELECT uid, 'c_name', c_name, NULL FROM saved UNION ALL SELECT uid, 'node.type', 'Customer', NULL FROM saved
     UNION ALL SELECT uid, 'c_mktsegment', c_mktsegment, NULL FROM saved WHERE c_mktsegment <> 'BUILDING'""",
 )
 def save(g: Graph):
-    """Customers in credit are saved onto their node, the others as new nodes; a missing
-    segment deletes the stored one."""
+    """Customers in credit are saved onto their node, the others as new nodes with uids above
+    2^63; a missing segment deletes the stored one."""
     from quadloom.functions import uid as uids
 
     entities = g.customer().select(
@@ -226,7 +245,7 @@ def save(g: Graph):
         entities, "c_name", {"c_name": ("c_name", "string"), "c_mktsegment": ("c_mktsegment", "string")},
         "Customer", TYPE_PREDICATE, drop_nulls=True,
     )
-    assigned = identity.assign(identity.blank_labels(rows), first_uid=1_000_000)
+    assigned = identity.assign(identity.blank_labels(rows), first_uid=1_000_000 - 2**63)
     changes = written(mutate.changes_from(identity.propagate(rows, assigned), commit_ts=1), "log")
     state = mutate.apply(g.customer_facts(), changes, [TYPE_PREDICATE])
     return state.select("subject", "predicate", "value", "object_uid")

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from quadloom.catalog.common import EVENTS, query, u
+from quadloom.catalog.c_mutations import TENANTS, tenant_facts
 from quadloom.operators import roots
 from quadloom.sources.tables import Graph, key_of
 
@@ -45,15 +46,16 @@ def of_type(g: Graph):
 
 @query(
     "d04_has",
-    f"""SELECT uid FROM (SELECT {u('Document', 'doc_id')} AS uid FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
-    UNION ALL SELECT {u('Customer', 'c_custkey')} FROM customer WHERE c_acctbal IS NOT NULL
-    UNION ALL SELECT {u('Supplier', 's_suppkey')} FROM supplier WHERE s_acctbal IS NOT NULL)""",
+    f"""SELECT 0::BIGINT AS namespace, {u('Document', 'doc_id')} AS uid FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
+    UNION ALL SELECT c_custkey % {TENANTS}, {u('Customer', f'c_custkey // {TENANTS}')} FROM customer WHERE c_acctbal IS NOT NULL
+    UNION ALL SELECT 0, {u('Supplier', 's_suppkey')} FROM supplier WHERE s_acctbal IS NOT NULL""",
 )
 def has(g: Graph):
     labelled = g.raw("labels").select((F.lit(7 << 40) + F.col("doc_id")).alias("src"), F.col("quality").alias("dst"))
-    with_edge = roots.has_edge(g.documents(), labelled).select("uid")
-    with_value = roots.subjects_with(g.customer_facts(), "c_acctbal")
-    wide = roots.has_value(g.supplier(), "s_acctbal").select("uid")
+    zero = F.lit(0).cast("long").alias("namespace")
+    with_edge = roots.has_edge(g.documents(), labelled).select(zero, "uid")
+    with_value = roots.subjects_with(tenant_facts(g), "c_acctbal")
+    wide = roots.has_value(g.supplier(), "s_acctbal").select(zero, "uid")
     return with_edge.unionByName(with_value).unionByName(wide)
 
 
@@ -107,7 +109,7 @@ def filter_tree(g: Graph):
 
 @query(
     "d09_parameters",
-    """SELECT o_orderkey, o_orderpriority, 'string' AS status_type, 'int' AS floor_type, '["F","P"]' AS status_text
+    """SELECT o_orderkey, o_orderpriority, 'string' AS status_type, 'int' AS floor_type, '[F,P]' AS status_text
     FROM orders WHERE o_orderstatus IN ('F', 'P') AND o_custkey >= 20""",
 )
 def parameters(g: Graph):
@@ -118,12 +120,11 @@ def parameters(g: Graph):
         {"statuses": F.array(F.lit("F"), F.lit("P")), "floor": 20},
         orders=g.raw("orders"),
     )
-    text = declared["$statuses"][1].replace("F", '"F"').replace("P", '"P"')
     return rows.select(
         "*",
         F.lit(declared["$statuses"][0]).alias("status_type"),
         F.lit(declared["$floor"][0]).alias("floor_type"),
-        F.lit(text).alias("status_text"),
+        F.lit(declared["$statuses"][1]).alias("status_text"),
     )
 
 

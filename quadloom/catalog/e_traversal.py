@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quadloom.catalog.common import CONTAINS, EVENTS, query, u
+from quadloom.catalog.f_counting import TENANTS, order_facts, shared, tenant
+from quadloom.model import value_fact
 from quadloom.operators import roots, traverse
 from quadloom.operators.traverse import TypeInfo
 from quadloom.plans.pages import nest
@@ -163,13 +165,13 @@ def missing_block(g: Graph):
 
 @query(
     "e08_nested_result",
-    f"""SELECT {u('Nation', 'n_nationkey')} AS uid, 0::BIGINT AS page, count(*)::INTEGER AS n,
+    f"""SELECT {u('Nation', 'c_nationkey')} AS uid, page, count(*)::INTEGER AS n,
       '[' || string_agg('{{"uid":' || {u('Customer', 'c_custkey')} || ',"c_name":"' || c_name || '"}}', ',' ORDER BY c_custkey) || ']' AS customers
-    FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey""",
+    FROM (SELECT *, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 5 AS page FROM customer) GROUP BY c_nationkey, page""",
 )
 def nested_result(g: Graph):
     children = g.customer().select("in_nation", "uid", "c_name")
-    nested = nest(children, ["in_nation"], ["uid"], F.struct("uid", "c_name"), "customers")
+    nested = nest(children, ["in_nation"], ["uid"], F.struct("uid", "c_name"), "customers", page_size=5)
     return nested.select(
         F.col("in_nation").alias("uid"), "page", F.size("customers").alias("n"), F.to_json("customers").alias("customers")
     )
@@ -208,11 +210,13 @@ def blocks(g: Graph):
 
 @query(
     "e11_long_to_wide",
-    f"""SELECT {u('Order', 'o_orderkey')} AS uid, o_orderstatus, o_totalprice, o_orderpriority, {u('Customer', 'o_custkey')} AS placed_by FROM orders""",
+    f"""SELECT cast(o_orderkey % {TENANTS} AS BIGINT) AS namespace, {u('Order', f'o_orderkey // {TENANTS}')} AS uid, o_orderstatus, o_totalprice, o_orderpriority, {u('Customer', 'o_custkey')} AS placed_by FROM orders""",
 )
 def long_to_wide(g: Graph):
+    """Orders of five tenants that share subjects, each with a translated priority as well."""
+    translated = value_fact(g.raw("orders"), shared("Order", "o_orderkey"), "o_orderpriority", F.lit("~"), "string", lang=F.lit("de"), namespace=tenant("o_orderkey"))
     return traverse.wide(
-        g.order_facts(),
+        order_facts(g).unionByName(translated),
         {"o_orderstatus": "string", "o_totalprice": "double", "o_orderpriority": "string"},
         ["placed_by"],
     )
@@ -221,21 +225,24 @@ def long_to_wide(g: Graph):
 @query(
     "e12_uid_matrix",
     f"""WITH e AS (SELECT DISTINCT {u('Part', 'l_partkey')} AS src, {u('Supplier', 'l_suppkey')} AS dst FROM lineitem)
-    SELECT src, 0::BIGINT AS page, count(*)::INTEGER AS n, string_agg(dst::VARCHAR, ' ' ORDER BY dst) AS uids FROM e GROUP BY src""",
+    SELECT src, page, count(*)::INTEGER AS n, string_agg(dst::VARCHAR, ' ' ORDER BY dst) AS uids
+    FROM (SELECT *, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // 4 AS page FROM e) GROUP BY src, page""",
 )
 def uid_matrix(g: Graph):
-    rows = traverse.uid_matrix(g.part_suppliers())
+    rows = traverse.uid_matrix(g.part_suppliers(), page_size=4)
     return rows.select("src", "page", F.size("uids").alias("n"), F.array_join(F.col("uids").cast("array<string>"), " ").alias("uids"))
 
 
 @query(
     "e13_value_matrix",
-    f"""WITH {EVENTS} SELECT cust AS subject, 0::BIGINT AS page, string_agg(value::VARCHAR, ' ' ORDER BY event_id) AS vals FROM ev GROUP BY cust""",
+    f"""WITH {EVENTS}, p AS (SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 4 AS page FROM ev)
+    SELECT cast(user_id % {TENANTS} AS BIGINT) AS namespace, {u('Customer', f'user_id // {TENANTS}')} AS subject, page, string_agg(value::VARCHAR, ' ' ORDER BY event_id) AS vals FROM p GROUP BY user_id, page""",
 )
 def value_matrix(g: Graph):
-    facts = g.events().select(F.col("user").alias("subject"), "event_id", F.col("value").cast("string").alias("value"))
-    rows = traverse.value_matrix(facts, ["event_id"], F.col("value"))
-    return rows.select("subject", "page", F.array_join("values", " ").alias("vals"))
+    facts = g.events().select(
+        tenant("user_id").alias("namespace"), shared("Customer", "user_id").alias("subject"), "event_id", F.col("value").cast("string").alias("value"))
+    rows = traverse.value_matrix(facts, ["event_id"], F.col("value"), page_size=4)
+    return rows.select("namespace", "subject", "page", F.array_join("values", " ").alias("vals"))
 
 
 @query(

@@ -5,20 +5,41 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quadloom.catalog.common import CONTAINS, EVENTS, LOG, query, u
-from quadloom.model import edge_fact
+from quadloom.model import edge_fact, value_fact, wide_to_facts
 from quadloom.operators import counting
-from quadloom.sources.tables import Graph
+from quadloom.sources.tables import Graph, uid_of
 
+TENANTS = 5
+# Five tenants that use the same subjects: order k is node k div 5 of tenant k mod 5.
 FACTS = f"""facts AS (
-    SELECT {u('Order', 'o_orderkey')} AS subject, unnest(['o_orderstatus', 'o_totalprice', 'o_orderpriority', 'placed_by']) AS predicate,
+    SELECT cast(o_orderkey % {TENANTS} AS BIGINT) AS namespace, {u('Order', f'o_orderkey // {TENANTS}')} AS subject, unnest(['o_orderstatus', 'o_totalprice', 'o_orderpriority', 'placed_by']) AS predicate,
       unnest([o_orderstatus, cast(o_totalprice AS VARCHAR), o_orderpriority, NULL]) AS value,
       unnest([NULL, NULL, NULL, {u('Customer', 'o_custkey')}]) AS object_uid FROM orders
-    UNION ALL SELECT src, 'contains', NULL, dst FROM contains)"""
+    UNION ALL SELECT DISTINCT cast(l_orderkey % {TENANTS} AS BIGINT), {u('Order', f'l_orderkey // {TENANTS}')}, 'contains', NULL, {u('Part', 'l_partkey')} FROM lineitem)"""
+
+
+def tenant(key: str):
+    return (F.col(key) % TENANTS).cast("long")
+
+
+def shared(type_name: str, key: str):
+    return uid_of(type_name, F.call_function("div", F.col(key).cast("long"), F.lit(TENANTS).cast("long")))
+
+
+def order_facts(g: Graph):
+    orders = g.orders().withColumn("ns", tenant("o_orderkey")).withColumn("uid", shared("Order", "o_orderkey"))
+    values = {c: (c, t) for c, t in (("o_orderstatus", "string"), ("o_totalprice", "float"), ("o_orderpriority", "string"))}
+    return wide_to_facts(orders, "uid", values, {"placed_by": "placed_by"}, namespace="ns")
+
+
+def contains_facts(g: Graph, distinct: bool = True):
+    pairs = g.raw("lineitem").select("l_orderkey", "l_partkey")
+    pairs = pairs.distinct() if distinct else pairs
+    return edge_fact(pairs, shared("Order", "l_orderkey"), "contains", uid_of("Part", "l_partkey"), namespace=tenant("l_orderkey"))
 
 
 def facts(g: Graph):
-    edges = g.contains_pairs()
-    return g.order_facts().unionByName(edge_fact(edges, F.col("src"), "contains", F.col("dst")))
+    return order_facts(g).unionByName(contains_facts(g))
 
 
 @query("f01_len", "SELECT count(DISTINCT l_suppkey) AS len FROM lineitem WHERE l_discount > 0.05")
@@ -56,7 +77,7 @@ def count_index(g: Graph):
 
 @query(
     "f05_uids_per_predicate",
-    f"""WITH {CONTAINS}, {FACTS} SELECT predicate, count(DISTINCT subject) AS num_uids FROM facts GROUP BY predicate""",
+    f"""WITH {FACTS} SELECT namespace, predicate, count(DISTINCT subject) AS num_uids FROM facts GROUP BY ALL""",
 )
 def uids_per_predicate(g: Graph):
     return counting.uids_per_predicate(facts(g))
@@ -64,7 +85,7 @@ def uids_per_predicate(g: Graph):
 
 @query(
     "f06_predicate_sizes",
-    f"""WITH {CONTAINS}, {FACTS} SELECT predicate, count(*) AS rows, cast(sum(coalesce(strlen(value), 8)) AS BIGINT) AS bytes FROM facts GROUP BY predicate""",
+    f"""WITH {FACTS} SELECT predicate, count(*) AS rows, cast(sum(coalesce(strlen(value), 8)) AS BIGINT) AS bytes FROM facts GROUP BY predicate""",
 )
 def predicate_sizes(g: Graph):
     return counting.predicate_sizes(facts(g))
@@ -72,30 +93,35 @@ def predicate_sizes(g: Graph):
 
 @query(
     "f07_posting_lists",
-    f"""WITH {CONTAINS}, {FACTS} SELECT predicate, subject, 0::BIGINT AS page,
-      string_agg(coalesce(object_uid::VARCHAR, value), ' ' ORDER BY object_uid, value) AS postings FROM facts GROUP BY predicate, subject""",
+    f"""WITH {FACTS}, p AS (SELECT *, (row_number() OVER (PARTITION BY namespace, predicate, subject ORDER BY object_uid, value) - 1) // 3 AS page FROM facts)
+    SELECT namespace, predicate, subject, page, string_agg(coalesce(object_uid::VARCHAR, value), ' ' ORDER BY object_uid, value) AS postings FROM p GROUP BY ALL""",
 )
 def posting_lists(g: Graph):
-    pairs = g.order_parts()
-    edges = edge_fact(pairs, F.col("src"), "contains", F.col("dst"))
-    rows = counting.posting_lists(g.order_facts().unionByName(edges))
-    return rows.select("predicate", "subject", "page", F.array_join("postings", " ").alias("postings"))
+    rows = counting.posting_lists(order_facts(g).unionByName(contains_facts(g, distinct=False)), page_size=3)
+    return rows.select("namespace", "predicate", "subject", "page", F.array_join("postings", " ").alias("postings"))
 
 
 @query(
     "f08_observed_types",
-    f"""WITH {CONTAINS}, {FACTS}, {LOG},
-    all_facts AS (SELECT predicate, subject, value, object_uid FROM facts UNION ALL SELECT predicate, subject, value, NULL FROM log
-      UNION ALL SELECT 'p_size', p_partkey, p_size::VARCHAR, NULL FROM part),
-    per AS (SELECT predicate, count(*) AS n, bool_and(object_uid IS NOT NULL) AS is_uid,
-      bool_and(regexp_full_match(value, '-?[0-9]+')) AS is_int, bool_and(try_cast(value AS DOUBLE) IS NOT NULL) AS is_float
-      FROM all_facts GROUP BY predicate, subject)
-    SELECT predicate, cast(sum(n) AS BIGINT) AS rows, CASE WHEN bool_and(is_uid) THEN 'uid' WHEN bool_and(is_int) THEN 'int'
-      WHEN bool_and(is_float) THEN 'float' ELSE 'string' END AS observed,
-      CASE WHEN max(n) > 1 THEN 'LIST' ELSE 'SINGLE' END AS hint FROM per GROUP BY predicate""",
+    f"""WITH {FACTS}, {LOG},
+    all_facts AS (SELECT namespace, predicate, subject, value, object_uid FROM facts UNION ALL SELECT namespace, predicate, subject, value, NULL FROM log
+      UNION ALL SELECT p_partkey % {TENANTS}, 'p_size', p_partkey // {TENANTS}, p_size::VARCHAR, NULL FROM part
+      UNION ALL SELECT p_partkey % {TENANTS}, 'p_large', p_partkey // {TENANTS}, CASE WHEN p_size > 25 THEN 'true' ELSE 'false' END, NULL FROM part
+      UNION ALL SELECT p_partkey % {TENANTS}, 'p_seen', p_partkey // {TENANTS}, '2024-05-01T10:00:' || lpad((p_size % 60)::VARCHAR, 2, '0') || 'Z', NULL FROM part),
+    per AS (SELECT namespace, predicate, count(*) AS n, bool_and(object_uid IS NOT NULL) AS is_uid,
+      bool_and(regexp_full_match(value, '-?[0-9]+')) AS is_int, bool_and(try_cast(value AS DOUBLE) IS NOT NULL) AS is_float,
+      bool_and(value IN ('true', 'false')) AS is_bool, bool_and(starts_with(value, '2024-05-01T')) AS is_time
+      FROM all_facts GROUP BY namespace, predicate, subject)
+    SELECT namespace, predicate, cast(sum(n) AS BIGINT) AS rows, CASE WHEN bool_and(is_uid) THEN 'uid' WHEN bool_and(is_int) THEN 'int'
+      WHEN bool_and(is_float) THEN 'float' WHEN bool_and(is_bool) THEN 'bool' WHEN bool_and(is_time) THEN 'dateTime' ELSE 'string' END AS observed,
+      CASE WHEN max(n) > 1 THEN 'LIST' ELSE 'SINGLE' END AS hint FROM per GROUP BY namespace, predicate""",
 )
 def observed_types(g: Graph):
-    from quadloom.model import FACT_COLUMNS, value_fact
-
-    sizes = value_fact(g.raw("part"), F.col("p_partkey"), "p_size", F.col("p_size"), "int")
-    return counting.observed_types(facts(g).unionByName(g.log().select(*FACT_COLUMNS)).unionByName(sizes)).select("predicate", "rows", "observed", "hint")
+    from quadloom.model import FACT_COLUMNS
+
+    rows = facts(g).unionByName(g.log().select(*FACT_COLUMNS))
+    node = F.call_function("div", F.col("p_partkey").cast("long"), F.lit(TENANTS).cast("long"))
+    seen = F.concat(F.lit("2024-05-01T10:00:"), F.lpad((F.col("p_size") % 60).cast("string"), 2, "0"), F.lit("Z"))
+    for name, value, kind in (("p_size", F.col("p_size"), "int"), ("p_large", F.col("p_size") > 25, "bool"), ("p_seen", seen, "dateTime")):
+        rows = rows.unionByName(value_fact(g.raw("part"), node, name, value, kind, namespace=tenant("p_partkey")))
+    return counting.observed_types(rows).select("namespace", "predicate", "rows", "observed", "hint")

@@ -21,13 +21,13 @@ def root_sort(g: Graph):
 
 @query(
     "g02_child_sort",
-    f"""SELECT {u('Customer', 'o_custkey')} AS customer, 0::BIGINT AS page, string_agg(o_orderpriority || ' ' || o_orderkey, ', ' ORDER BY o_orderpriority, o_orderkey) AS orders
-    FROM orders GROUP BY o_custkey""",
+    f"""SELECT {u('Customer', 'o_custkey')} AS customer, page, string_agg(o_orderpriority || ' ' || o_orderkey, ', ' ORDER BY o_orderpriority, o_orderkey) AS orders
+    FROM (SELECT *, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderkey) - 1) // 6 AS page FROM orders) GROUP BY o_custkey, page""",
 )
 def child_sort(g: Graph):
     rows = g.orders().select(F.col("placed_by").alias("customer"), "o_orderpriority", "o_orderkey")
     item = F.concat_ws(" ", "o_orderpriority", F.col("o_orderkey").cast("string"))
-    lists = nest(rows, ["customer"], ["o_orderpriority", "o_orderkey"], item, "orders")
+    lists = nest(rows, ["customer"], ["o_orderpriority", "o_orderkey"], item, "orders", page_size=6)
     return lists.select("customer", "page", F.array_join("orders", ", ").alias("orders"))
 
 

@@ -117,30 +117,31 @@ def facet_set(g: Graph):
     return rows.select(F.col("subject").alias("uid"), F.array_join(text, ";").alias("facets"))
 
 
-def source_texts(g: Graph):
-    """Per source and language the text of the smallest document id; a source is a node."""
-    best = g.documents().groupBy("source", "lang").agg(F.min_by("text", "doc_id").alias("text"))
-    return value_fact(best, F.crc32(F.col("source").cast("binary")), "body", F.col("text"), "string", lang=F.col("lang"))
+def node_texts(g: Graph):
+    """Every document as a language value of a node: eight documents a node, in two tenants
+    that use the same nodes."""
+    node = F.call_function("div", F.col("doc_id").cast("long"), F.lit(16).cast("long"))
+    return value_fact(g.documents(), node, "body", F.col("text"), "string", lang=F.col("lang"), namespace=F.col("doc_id") % 2)
 
 
-TEXTS = "best AS (SELECT source, lang, arg_min(text, doc_id) AS text FROM documents GROUP BY source, lang)"
+TEXTS = "texts AS (SELECT cast(doc_id % 2 AS BIGINT) AS namespace, cast(doc_id // 16 AS BIGINT) AS uid, lang, text FROM documents)"
 
 
 @query(
     "i08_language",
-    f"""WITH {TEXTS} SELECT coalesce(max(text) FILTER (WHERE lang = 'de'), max(text) FILTER (WHERE lang = 'fr')) AS de_fr,
-      arg_min(text, lang) AS any_text FROM best GROUP BY source""",
+    f"""WITH {TEXTS} SELECT namespace, uid, coalesce(max(text) FILTER (WHERE lang = 'de'), max(text) FILTER (WHERE lang = 'fr')) AS de_fr,
+      first(text ORDER BY lang, text) AS any_text FROM texts GROUP BY namespace, uid""",
 )
 def language(g: Graph):
-    texts = source_texts(g)
+    texts = node_texts(g)
     first = facet_ops.in_language(texts, "body", ["de", "fr"]).withColumnRenamed("body", "de_fr")
     some = facet_ops.in_language(texts, "body", ["xx", "."]).withColumnRenamed("body", "any_text")
-    return first.join(some, "uid").select("de_fr", "any_text")
+    return first.join(some, ["namespace", "uid"]).select("namespace", "uid", "de_fr", "any_text")
 
 
-@query("i09_all_languages", f"WITH {TEXTS} SELECT lang, text AS value FROM best")
+@query("i09_all_languages", f"WITH {TEXTS} SELECT namespace, uid, lang, text AS value FROM texts")
 def all_languages(g: Graph):
-    return facet_ops.all_languages(source_texts(g), "body").select("lang", "value")
+    return facet_ops.all_languages(node_texts(g), "body").select("namespace", "uid", "lang", "value")
 
 
 @query(
@@ -223,7 +224,7 @@ def reference_facets(g: Graph):
 
 @query(
     "i15_facet_tokens",
-    f"""SELECT {ORDER} AS subject, 'placed_by' AS predicate, 'priority' AS facet, token FROM
+    f"""SELECT 0::BIGINT AS namespace, {ORDER} AS subject, 'placed_by' AS predicate, 'priority' AS facet, token FROM
       (SELECT o_orderkey, unnest(list_distinct(list_filter(regexp_split_to_array(lower(o_orderpriority), '[^a-z0-9]+'), lambda x: x <> ''))) AS token FROM orders)""",
 )
 def facet_tokens(g: Graph):

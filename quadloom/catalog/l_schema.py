@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quadloom.catalog.common import CONTAINS, LOG, query
+from quadloom.catalog.common import LOG, query
 from quadloom.catalog.f_counting import FACTS, facts
 from quadloom.model import FACT_COLUMNS
 from quadloom.operators import counting, schema
@@ -116,6 +116,7 @@ def type_mapping(g: Graph):
 
 
 AUTO = ["customer", "orders", "lineitem", "part", "events", "documents", "embeddings"]
+ENUMS = {"customer": ["c_mktsegment"], "orders": ["o_orderstatus", "o_orderpriority"], "lineitem": ["l_returnflag", "l_linestatus"], "events": ["event_type"], "documents": ["lang"]}
 
 
 def _auto_sql() -> str:
@@ -136,7 +137,7 @@ def _auto_sql() -> str:
         line = {
             "int": f"'{name}: int @index(int) .'", "float": f"'{name}: float @index(float) .'", "dateTime": f"'{name}: dateTime @index(hour) .'",
             "float32vector": f"""'{name}: float32vector @index(hnsw(metric:"Euclidean")) .'""",
-            "string": f"'{name}: string @index(' || CASE WHEN (SELECT count(DISTINCT {name}) FROM {table}) <= 10 THEN 'exact' ELSE 'term' END || ') .'",
+            "string": f"'{name}: string @index({'exact' if name in ENUMS.get(table, ()) else 'term'}) .'",
         }[kind]
         parts.append(f"SELECT '{table}' AS type_name, '{name}' AS predicate, {line} AS line")
     return " UNION ALL ".join(parts)
@@ -144,7 +145,7 @@ def _auto_sql() -> str:
 
 @query("l06_automatic_mapping", _auto_sql())
 def automatic_mapping(g: Graph):
-    rows = schema.automatic_mapping({t: g.raw(t) for t in AUTO})
+    rows = schema.automatic_mapping({t: g.raw(t) for t in AUTO}, ENUMS)
     return schema.schema_lines(rows).select("type_name", "predicate", "line")
 
 
@@ -176,11 +177,11 @@ def diff(g: Graph):
 
 @query(
     "l09_profile",
-    f"""WITH {CONTAINS}, {FACTS}, {LOG}, a AS (SELECT predicate, subject FROM facts UNION ALL SELECT predicate, subject FROM log),
-    per AS (SELECT predicate, subject, count(*) AS n FROM a GROUP BY ALL) SELECT predicate, CASE WHEN max(n) > 1 THEN 'LIST' ELSE 'SINGLE' END AS hint FROM per GROUP BY predicate""",
+    f"""WITH {FACTS}, {LOG}, a AS (SELECT namespace, predicate, subject FROM facts UNION ALL SELECT namespace, predicate, subject FROM log),
+    per AS (SELECT namespace, predicate, subject, count(*) AS n FROM a GROUP BY ALL) SELECT namespace, predicate, CASE WHEN max(n) > 1 THEN 'LIST' ELSE 'SINGLE' END AS hint FROM per GROUP BY ALL""",
 )
 def profile(g: Graph):
-    return counting.observed_types(facts(g).unionByName(g.log().select(*FACT_COLUMNS))).select("predicate", "hint")
+    return counting.observed_types(facts(g).unionByName(g.log().select(*FACT_COLUMNS))).select("namespace", "predicate", "hint")
 
 
 @query(
@@ -238,7 +239,7 @@ def pending(g: Graph):
 
 @query(
     "l13_migrate",
-    f"""WITH {CONTAINS}, {FACTS}, kept AS (SELECT * FROM facts WHERE predicate <> 'o_orderpriority')
+    f"""WITH {FACTS}, kept AS (SELECT * FROM facts WHERE predicate <> 'o_orderpriority')
     SELECT 'fact' AS part, predicate AS name, subject, coalesce(value, object_uid::VARCHAR) AS detail FROM kept
     UNION ALL SELECT 'type', * FROM (VALUES ('Order', 0::BIGINT, 'placed_by'), ('Order', 0, 'o_orderstatus'), ('Order', 0, 'note')) t
     UNION ALL SELECT 'ledger', 'First', 0, '2023-05-25 17:56:26'

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quadloom.catalog.c_mutations import TENANTS, tenant_customers
 from quadloom.catalog.common import LOG, query, u
 from quadloom.model import FACT_COLUMNS, value_fact, wide_to_facts
 from quadloom.operators import checks
@@ -23,14 +24,16 @@ def unique(g: Graph):
 
 @query(
     "m02_not_null",
-    f"""SELECT 'value' AS kind, {CUST} AS uid FROM customer WHERE c_mktsegment = 'BUILDING' UNION ALL SELECT 'element', {PART} FROM part WHERE p_type = 'ECONOMY'""",
+    f"""SELECT 'value' AS kind, cast(c_custkey % {TENANTS} AS BIGINT) AS namespace, {u('Customer', f'c_custkey // {TENANTS}')} AS uid FROM customer WHERE c_mktsegment = 'BUILDING'
+    UNION ALL SELECT 'element', 0, {PART} FROM part WHERE p_type = 'ECONOMY'""",
 )
 def not_null(g: Graph):
-    customers = g.customer().withColumn("segment", F.nullif("c_mktsegment", F.lit("BUILDING")))
-    facts = wide_to_facts(customers, "uid", {"segment": ("segment", "string"), "c_name": ("c_name", "string")})
-    values = checks.missing(customers.select("uid"), facts, "segment").select(F.lit("value").alias("kind"), "uid")
+    customers = tenant_customers(g).withColumn("segment", F.nullif("c_mktsegment", F.lit("BUILDING")))
+    facts = wide_to_facts(customers, "uid", {"segment": ("segment", "string"), "c_name": ("c_name", "string")}, namespace="namespace")
+    values = checks.missing(customers, facts, "segment").select(F.lit("value").alias("kind"), "namespace", "uid")
     lists = g.part().select("uid", F.array("p_name", F.nullif("p_type", F.lit("ECONOMY"))).alias("items"))
-    return values.unionByName(checks.null_elements(lists, "items").select(F.lit("element").alias("kind"), "uid"))
+    zero = F.lit(0).cast("long").alias("namespace")
+    return values.unionByName(checks.null_elements(lists, "items").select(F.lit("element").alias("kind"), zero, "uid"))
 
 
 @query(
@@ -54,9 +57,9 @@ def single_value(g: Graph):
 
 @query(
     "m05_value_type",
-    f"""SELECT {CUST} AS subject, 'c_name' AS predicate, c_name AS value, 'int' AS declared FROM customer
-    UNION ALL SELECT {CUST}, 'c_acctbal', c_acctbal::VARCHAR, 'int' FROM customer
-    UNION ALL SELECT {CUST}, 'c_mktsegment', c_mktsegment, 'bool' FROM customer""",
+    f"""SELECT 0::BIGINT AS namespace, {CUST} AS subject, 'c_name' AS predicate, c_name AS value, 'int' AS declared FROM customer
+    UNION ALL SELECT 0, {CUST}, 'c_acctbal', c_acctbal::VARCHAR, 'int' FROM customer
+    UNION ALL SELECT 0, {CUST}, 'c_mktsegment', c_mktsegment, 'bool' FROM customer""",
 )
 def value_type(g: Graph):
     """Customer values against a schema that declares three of them wrongly."""

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quadloom.catalog.c_mutations import LISTS, log_with_stars, state_rows
-from quadloom.catalog.common import CONTAINS, LOG, query, state_sql
-from quadloom.catalog.f_counting import FACTS, facts
-from quadloom.operators import history
+from quadloom.catalog.common import LOG, query, state_sql
+from quadloom.catalog.f_counting import FACTS, TENANTS, facts, shared, tenant
+from quadloom.model import TYPE_PREDICATE, value_fact
+from quadloom.operators import history, mutate
 from quadloom.plans.cut import written
 from quadloom.sources.tables import Graph
 
@@ -56,14 +57,15 @@ def feed(g: Graph):
 
 @query(
     "n04_conflicts",
-    f"""WITH {LOG}, t AS (SELECT namespace, subject, predicate, start_ts, start_ts + 1 + k * 20 AS commit_ts FROM log WHERE predicate <> 'view')
+    f"""WITH {LOG}, t AS (SELECT namespace, subject, predicate, start_ts, start_ts + k // 2 * 40 AS commit_ts FROM log WHERE predicate <> 'view')
     SELECT a.namespace, a.subject, a.predicate, a.start_ts AS first_ts, b.start_ts AS second_ts FROM t a JOIN t b
       ON a.namespace = b.namespace AND a.subject = b.subject AND a.predicate = b.predicate
       AND a.start_ts < b.start_ts AND b.start_ts < a.commit_ts AND a.start_ts < b.commit_ts""",
 )
 def conflicts(g: Graph):
+    """Transactions of 0 to 1,960 ticks; those without length lie inside others."""
     k = F.try_element_at("facets", F.lit("k")).cast("long")
-    rows = g.log().withColumn("commit_ts", F.col("start_ts") + 1 + k * 20)
+    rows = g.log().withColumn("commit_ts", F.col("start_ts") + F.call_function("div", k, F.lit(2).cast("long")) * 40)
     return history.conflicts(rows, no_conflict=["view"])
 
 
@@ -84,13 +86,19 @@ def export(g: Graph):
 
 @query(
     "a07_bulk_summary",
-    f"""WITH {CONTAINS}, {FACTS}, per AS (SELECT predicate, count(*) AS n, count(object_uid) AS edges, bool_and(object_uid IS NOT NULL) AS is_uid,
-      bool_and(try_cast(value AS DOUBLE) IS NOT NULL) AS is_float FROM facts GROUP BY predicate, subject)
-    SELECT predicate, cast(sum(n) AS BIGINT) AS rows, cast(sum(edges) AS BIGINT) AS edges, CASE WHEN bool_and(is_uid) THEN 'uid' WHEN bool_and(is_float) THEN 'float' ELSE 'string' END AS observed,
-      CASE WHEN max(n) > 1 THEN 'LIST' ELSE 'SINGLE' END AS hint FROM per GROUP BY predicate""",
+    f"""WITH {FACTS}, labels AS (SELECT cast(o_orderkey % {TENANTS} AS BIGINT) AS namespace, 'node.type' AS predicate, o_orderkey // {TENANTS} AS subject,
+      CASE WHEN o_orderstatus = 'F' THEN 'Finished' ELSE 'Order' END AS value FROM orders),
+    every AS (SELECT namespace, predicate, subject, value, object_uid FROM facts UNION ALL SELECT namespace, predicate, subject, value, NULL FROM labels),
+    per AS (SELECT namespace, predicate, count(*) AS n, count(object_uid) AS edges, bool_and(object_uid IS NOT NULL) AS is_uid,
+      bool_and(try_cast(value AS DOUBLE) IS NOT NULL) AS is_float FROM every GROUP BY namespace, predicate, subject)
+    SELECT namespace, 'predicate' AS kind, predicate AS name, cast(sum(n) AS BIGINT) AS rows, cast(sum(edges) AS BIGINT) AS edges, CASE WHEN bool_and(is_uid) THEN 'uid' WHEN bool_and(is_float) THEN 'float' ELSE 'string' END AS observed,
+      CASE WHEN max(n) > 1 THEN 'LIST' ELSE 'SINGLE' END AS hint FROM per GROUP BY namespace, predicate
+    UNION ALL SELECT namespace, 'type', value, count(DISTINCT subject), 0, NULL, NULL FROM labels GROUP BY namespace, value""",
 )
 def bulk_summary(g: Graph):
-    return history.bulk_summary(facts(g))
+    label = F.when(F.col("o_orderstatus") == "F", "Finished").otherwise("Order")
+    labels = value_fact(g.raw("orders"), shared("Order", "o_orderkey"), TYPE_PREDICATE, label, "string", namespace=tenant("o_orderkey"))
+    return history.bulk_summary(facts(g).unionByName(labels))
 
 
 @query(
@@ -119,3 +127,22 @@ def restore(g: Graph):
     slices = [full, history.backup(done, at(g, 3), at(g, 6)), history.backup(done, at(g, 6), at(g, 9))]
     slices = [written(part, "backup") for part in slices]
     return state_rows(history.restore(slices, at(g, 7), list_predicates=LISTS))
+
+
+@query(
+    "a09_restore_incremental",
+    f"""WITH {LOG}, past AS (SELECT * FROM log WHERE NOT aborted AND commit_ts <= {READ_SQL}), {state_sql('past')}
+    SELECT 3::BIGINT AS asked, namespace, subject, predicate, value, k FROM state
+    UNION ALL SELECT 4, 7, subject, predicate, value, k FROM state WHERE namespace = 2""",
+)
+def restore_incremental(g: Graph):
+    """Increments on top of a state restored before, and one tenant restored as another."""
+    done = history.committed(log_with_stars(g), g.txn_status())
+    full = history.backup(done, 0, at(g, 3), force_full=True)
+    increments = [history.backup(done, at(g, 2), at(g, 6)), history.backup(done, at(g, 6), at(g, 9))]
+    slices = [written(part, "backup") for part in (full, *increments)]
+    before = written(mutate.as_log(history.restore(slices[:1], at(g, 3), list_predicates=LISTS), 1), "restored")
+    on_top = history.restore([before, *slices[1:]], at(g, 7), at(g, 3), LISTS)
+    moved = history.restore(slices, at(g, 7), list_predicates=LISTS, from_namespace=2, to_namespace=7)
+    rows = [state_rows(s).select(F.lit(i).cast("long").alias("asked"), "*") for i, s in ((3, on_top), (4, moved))]
+    return rows[0].unionByName(rows[1])

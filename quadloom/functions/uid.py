@@ -1,7 +1,9 @@
 """Node identifiers as column expressions.
 
 Text form: `0x` + 1-16 hex digits (concrete) or `_:` + 1-32 word characters (blank),
-each bracket optional and independent. Inside the engine a uid is a BIGINT.
+each bracket optional and independent. Inside the engine a uid is a BIGINT that holds all 64
+bits (uids above 2^63-1 are negative there); only 0 is refused. Order unsigned where numeric
+order is asked: `unsigned_order`.
 """
 
 from __future__ import annotations
@@ -44,15 +46,20 @@ def to_unsigned(text: Column) -> Column:
 
 
 def to_long(text: Column) -> Column:
-    """Concrete text to BIGINT; null where refused or beyond 63 bits."""
+    """Concrete text to the 64 bits of a BIGINT; zero and non-concrete text give null."""
     body = normalise(text)
-    number = F.conv(F.substring(body, 3, 16), 16, 10).try_cast("bigint")
-    return F.when(body.startswith("0x") & (number > 0), number)
+    number = F.conv(F.substring(body, 3, 16), 16, -10).try_cast("bigint")
+    return F.when(body.startswith("0x") & (number != 0), number)
 
 
 def to_text(number: Column) -> Column:
-    """BIGINT to lower-case hex text; zero and negatives are refused as null."""
-    return F.when(number > 0, F.concat(F.lit("0x"), F.lower(F.hex(number.cast("long")))))
+    """The 64 bits of a BIGINT as lower-case hex text; zero is refused as null."""
+    return F.when(number != 0, F.concat(F.lit("0x"), F.lower(F.hex(number.cast("long")))))
+
+
+def unsigned_order(number: Column) -> Column:
+    """A BIGINT that sorts and compares as the unsigned reading of `number` does."""
+    return number.cast("long").bitwiseXOR(F.lit(-(2**63)))
 
 
 def in_nquad(text: Column) -> Column:

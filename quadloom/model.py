@@ -48,6 +48,11 @@ LOG_SCHEMA = T.StructType(
 FACT_COLUMNS = FACT_SCHEMA.fieldNames()
 
 
+def namespace_of(df: DataFrame) -> Column:
+    """The tenant of a row; frames without the column belong to tenant 0."""
+    return F.col("namespace").cast("long") if "namespace" in df.columns else F.lit(0).cast("long")
+
+
 def no_facets() -> Column:
     return F.lit(None).cast(FACETS)
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from quadloom.functions.values import conforms
+from quadloom.model import namespace_of
 from quadloom.plans.semi import lacking
 
 
@@ -17,9 +18,12 @@ def not_unique(facts: DataFrame, predicate: str) -> DataFrame:
 
 
 def missing(members: DataFrame, facts: DataFrame, predicate: str, key: str = "uid") -> DataFrame:
-    """Nodes of a type without the non-null predicate."""
+    """Nodes of a type without the non-null predicate in their tenant."""
     have = facts.where((F.col("predicate") == predicate) & (F.col("value").isNotNull() | F.col("object_uid").isNotNull()))
-    return lacking(members, have.select(F.col("subject").alias(key)), key).select(key, F.lit(predicate).alias("predicate"))
+    nodes = members.select(namespace_of(members).alias("namespace"), key)
+    return lacking(nodes, have.select("namespace", F.col("subject").alias(key)), ["namespace", key]).select(
+        "namespace", key, F.lit(predicate).alias("predicate")
+    )
 
 
 def null_elements(df: DataFrame, column: str, key: str = "uid") -> DataFrame:
@@ -48,7 +52,7 @@ def wrong_type(facts: DataFrame, predicates: DataFrame) -> DataFrame:
     declared = predicates.select("predicate", F.col("value_type").alias("declared"))
     rows = facts.drop("value_type").join(declared, "predicate")
     return rows.where(F.col("value").isNotNull() & ~conforms(F.col("value"), F.col("declared"))).select(
-        "subject", "predicate", "value", "declared"
+        "namespace", "subject", "predicate", "value", "declared"
     )
 
 

@@ -37,8 +37,9 @@ def with_count(edges: DataFrame, how: str, n: int) -> DataFrame:
 
 
 def uids_per_predicate(facts: DataFrame, approximate: bool = False) -> DataFrame:
+    """Nodes per tenant and predicate."""
     n = F.approx_count_distinct("subject") if approximate else F.count_distinct("subject")
-    return facts.groupBy("predicate").agg(n.alias("num_uids"))
+    return facts.groupBy("namespace", "predicate").agg(n.alias("num_uids"))
 
 
 def predicate_sizes(facts: DataFrame) -> DataFrame:
@@ -50,11 +51,11 @@ def predicate_sizes(facts: DataFrame) -> DataFrame:
 
 
 def posting_lists(facts: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """(predicate, subject, page) -> sorted postings; a posting is a uid or a value."""
-    rows = facts.select("predicate", "subject", "object_uid", "value")
+    """(namespace, predicate, subject, page) -> sorted postings; a posting is a uid or a value."""
+    rows = facts.select("namespace", "predicate", "subject", "object_uid", "value")
     return nest(
         rows,
-        ["predicate", "subject"],
+        ["namespace", "predicate", "subject"],
         ["object_uid", "value"],
         F.coalesce(F.col("object_uid").cast("string"), F.col("value")),
         "postings",
@@ -68,9 +69,9 @@ _INT, _FLOAT, _BOOL, _TIME = 1, 2, 4, 8
 
 
 def observed_types(facts: DataFrame) -> DataFrame:
-    """Narrowest type every value of a predicate parses as, and whether any subject holds
-    more than one value. The types fold to one row per predicate before any shuffle; only
-    (predicate, subject) counts are shuffled for the hint."""
+    """Narrowest type every value of a tenant's predicate parses as, and whether any subject
+    holds more than one value in one language. The types fold to one row per predicate before
+    any shuffle; only (predicate, subject) counts are shuffled for the hint."""
     v = F.col("value")
     readings = (
         F.when(v.isNull(), _INT | _FLOAT | _BOOL | _TIME)
@@ -80,15 +81,17 @@ def observed_types(facts: DataFrame) -> DataFrame:
         .when(is_time(v), _TIME)
         .otherwise(0)
     )
-    kinds = facts.groupBy("predicate").agg(
+    key = ["namespace", "predicate"]
+    kinds = facts.groupBy(*key).agg(
         F.count(F.lit(1)).alias("rows"), F.count("object_uid").alias("edges"), F.bit_and(readings).alias("r")
     )
-    most = facts.groupBy("predicate", "subject").agg(F.count(F.lit(1)).alias("n")).groupBy("predicate").agg(F.max("n").alias("most"))
+    most = facts.groupBy(*key, "subject", "lang").agg(F.count(F.lit(1)).alias("n")).groupBy(*key).agg(F.max("n").alias("most"))
 
     def reads(bit: int):
         return F.col("r").bitwiseAND(F.lit(bit)) != 0
 
-    return kinds.join(most, "predicate").select(
+    return kinds.join(most, key).select(
+        "namespace",
         "predicate",
         "rows",
         "edges",

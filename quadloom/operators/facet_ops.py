@@ -32,23 +32,25 @@ def facet_from_child(edges: DataFrame, children: DataFrame, column: str, facet:
 def all_languages(facts: DataFrame, predicate: str) -> DataFrame:
     """Every language variant of a predicate as rows."""
     return facts.where((F.col("predicate") == predicate) & F.col("lang").isNotNull()).select(
-        F.col("subject").alias("uid"), "lang", "value"
+        "namespace", F.col("subject").alias("uid"), "lang", "value"
     )
 
 
 def in_language(facts: DataFrame, predicate: str, preference: Sequence[str]) -> DataFrame:
-    """The value in the first language present; `.` takes any (the smallest tag). One
+    """The value in the first language present (of several the largest); `.` takes any (the
+    smallest tag, of several the smallest). One
     aggregation over the preferred languages; no list of variants is built."""
     rows = all_languages(facts, predicate)
     if "." not in preference:
         rows = rows.where(F.col("lang").isin(list(preference)))
     choices = [
-        F.min_by("value", "lang") if lang == "." else F.max(F.when(F.col("lang") == lang, F.col("value")))
+        F.min_by("value", F.struct("lang", "value")) if lang == "." else F.max(F.when(F.col("lang") == lang, F.col("value")))
         for lang in preference
     ]
-    found = rows.groupBy("uid").agg(F.coalesce(*choices).alias(predicate))
-    subjects = facts.where(F.col("predicate") == predicate).select(F.col("subject").alias("uid")).distinct()
-    return subjects.join(found, "uid", "left")
+    key = ["namespace", "uid"]
+    found = rows.groupBy(*key).agg(F.coalesce(*choices).alias(predicate))
+    subjects = facts.where(F.col("predicate") == predicate).select("namespace", F.col("subject").alias("uid")).distinct()
+    return subjects.join(found, key, "left")
 
 
 def json_facets(documents: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
@@ -107,8 +109,8 @@ def faceted_list_json(elements: Column, predicate: str) -> Column:
 
 
 def facet_tokens(facts: DataFrame) -> DataFrame:
-    """Lookup terms of every text facet: (subject, predicate, facet, token)."""
-    entries = facts.select("subject", "predicate", F.explode("facets").alias("facet", "literal"))
+    """Lookup terms of every text facet: (namespace, subject, predicate, facet, token)."""
+    entries = facts.select("namespace", "subject", "predicate", F.explode("facets").alias("facet", "literal"))
     return entries.where(F.col("literal").startswith('"')).select(
-        "subject", "predicate", "facet", F.explode(terms(decode_literal(F.col("literal")))).alias("token")
+        "namespace", "subject", "predicate", "facet", F.explode(terms(decode_literal(F.col("literal")))).alias("token")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from quadloom.functions import uid as uids
 from quadloom.functions.values import typed_literal
 
+from quadloom.model import TYPE_PREDICATE
 from quadloom.operators.mutate import in_namespace, resolve
 from quadloom.plans.semi import having
 from quadloom.sources import nquads
@@ -47,14 +48,13 @@ def conflicts(
     key = key or ["namespace", "subject", "predicate"]
     skipped = list(no_conflict)
     rows = log.where(~F.col(name).isin(skipped)) if skipped else log
-    rows = rows.select(*key, "start_ts", "commit_ts").distinct().where("commit_ts > start_ts")
+    rows = rows.select(*key, "start_ts", "commit_ts").distinct()
     length = F.col("commit_ts") - F.col("start_ts")
     scale = F.ceil(F.log2(length.cast("double"))).cast("int")
-    filed = rows.withColumn("_scale", scale).withColumn("_width", F.pow(F.lit(2.0), F.col("_scale")).cast("long"))
-    # At most 63 distinct scales exist.
-    scales = [r[0] for r in filed.select("_scale").distinct().collect()]
-    if not scales:
-        return rows.select(*key, F.col("start_ts").alias("first_ts"), F.col("start_ts").alias("second_ts"))
+    # A transaction of no length is open at no time, but may start inside another one.
+    filed = rows.where("commit_ts > start_ts").withColumn("_scale", scale)
+    filed = filed.withColumn("_width", F.pow(F.lit(2.0), F.col("_scale")).cast("long"))
+    scales = filed.agg(F.collect_set("_scale")).scalar()  # at most 63 of them
     slot = F.call_function("div", F.col("start_ts"), F.col("_width"))
     last = F.call_function("div", F.col("commit_ts") - 1, F.col("_width"))
     earlier = filed.select(
@@ -62,7 +62,7 @@ def conflicts(
         F.explode(F.sequence(slot, last)).alias("_slot"),
     )
     later = (
-        rows.withColumn("_scale", F.explode(F.array(*[F.lit(s) for s in sorted(scales)])))
+        rows.withColumn("_scale", F.explode(scales))
         .withColumn("_width", F.pow(F.lit(2.0), F.col("_scale")).cast("long"))
         .select(*key, F.col("start_ts").alias("second_ts"), "_scale", slot.alias("_slot"))
     )
@@ -83,14 +83,23 @@ def backup(
     return rows
 
 
-def restore(slices: list[DataFrame], restore_ts: int | Column, incremental_from: int | None = None, list_predicates: Iterable[str] = ()) -> DataFrame:
-    """State rebuilt from a full slice and its incrementals up to `restore_ts`; with
-    `incremental_from`, only changes committed after it."""
+def restore(
+    slices: list[DataFrame], restore_ts: int | Column, incremental_from: int | Column | None = None, list_predicates: Iterable[str] = (),
+    from_namespace: int | None = None, to_namespace: int | None = None,
+) -> DataFrame:
+    """State rebuilt from a full slice and its incrementals up to `restore_ts`. With
+    `incremental_from` the first slice is a state already restored up to there, and only later
+    changes of the others are put on top. `from_namespace` restores one tenant only, as tenant
+    `to_namespace` if that is given."""
     rows = slices[0]
     for s in slices[1:]:
+        if incremental_from is not None:
+            s = s.where(F.col("commit_ts") > incremental_from)
         rows = rows.unionByName(s)
-    if incremental_from is not None:
-        rows = rows.where(F.col("commit_ts") > incremental_from)
+    if from_namespace is not None:
+        rows = in_namespace(rows, from_namespace)
+        if to_namespace is not None:
+            rows = rows.withColumn("namespace", F.lit(to_namespace).cast("long"))
     return as_of(rows, restore_ts, list_predicates)
 
 
@@ -138,8 +147,16 @@ def export(spark: SparkSession, log: DataFrame, path: str, read_ts: int | Column
     export_rows(log, read_ts, namespace, form, list_predicates).write.partitionBy("predicate").text(path)
 
 
-def bulk_summary(facts: DataFrame) -> DataFrame:
-    """Rows, edge count and observed schema per predicate of a load."""
+def bulk_summary(facts: DataFrame, type_predicate: str = TYPE_PREDICATE) -> DataFrame:
+    """What a load holds, one row per (namespace, kind, name): for `predicate` the rows, edges,
+    observed type and hint, for `type` the nodes that carry the label."""
     from quadloom.operators.counting import observed_types
 
-    return observed_types(facts)
+    predicates = observed_types(facts).withColumnRenamed("predicate", "name").withColumn("kind", F.lit("predicate"))
+    labels = facts.where(F.col("predicate") == type_predicate)
+    types = labels.groupBy("namespace", F.col("value").alias("name")).agg(F.count_distinct("subject").alias("rows"))
+    types = types.select(
+        "namespace", F.lit("type").alias("kind"), "name", "rows", F.lit(0).cast("long").alias("edges"),
+        F.lit(None).cast("string").alias("observed"), F.lit(None).cast("string").alias("hint"),
+    )
+    return predicates.select(*types.columns).unionByName(types)

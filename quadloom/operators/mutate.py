@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quadloom.functions import uid as uids
-from quadloom.model import FACT_COLUMNS, OP_DEL, OP_OVR, OP_SET, STAR
+from quadloom.model import FACT_COLUMNS, OP_DEL, OP_OVR, OP_SET, STAR, namespace_of
 from quadloom.plans.rank import positions
 from quadloom.plans.semi import lacking
 
@@ -87,19 +87,19 @@ def delete_edges(edges: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def star_rows(nodes: DataFrame, predicates: Sequence[str], key: str = "uid") -> DataFrame:
-    """`s <p> * .` for every node and predicate."""
+    """`s <p> * .` for every node (of its tenant) and predicate."""
     names = F.explode(F.array(*[F.lit(p) for p in predicates]))
-    return nodes.select(F.col(key).alias("subject"), names.alias("predicate"))
+    return nodes.select(namespace_of(nodes).alias("namespace"), F.col(key).alias("subject"), names.alias("predicate"))
 
 
 def delete_predicates(facts: DataFrame, stars: DataFrame) -> DataFrame:
-    """Remove all values of (subject, predicate)."""
-    return lacking(facts, stars, ["subject", "predicate"])
+    """Remove all values of (namespace, subject, predicate)."""
+    return lacking(facts, stars, PREDICATE_KEY)
 
 
 def delete_nodes(facts: DataFrame, nodes: DataFrame, key: str = "uid") -> DataFrame:
-    """Remove every predicate of the given subjects; edges pointing at them stay."""
-    return lacking(facts, nodes.select(F.col(key).alias("subject")), "subject")
+    """Remove every predicate of the given nodes of their tenants; edges pointing at them stay."""
+    return lacking(facts, nodes.select(namespace_of(nodes).alias("namespace"), F.col(key).alias("subject")), NODE_KEY)
 
 
 def drop_predicate(facts: DataFrame, predicate: str) -> DataFrame:
@@ -140,8 +140,14 @@ def delete_namespace(facts: DataFrame, namespace: int) -> DataFrame:
 
 
 # set / delete pair -----------------------------------------------------------
-def _default_of(value_type: str) -> str | None:
-    return {"int": "0", "float": "0.0", "bool": "false", "string": ""}.get(value_type)
+def is_default(value: Column, value_type: str) -> Column:
+    """Whether a value is its declared type's default, whatever column type holds it: any
+    spelling of zero is the default of a number."""
+    if value_type in ("int", "float"):
+        return F.coalesce(value.try_cast("double") == 0, F.lit(False))
+    if value_type == "bool":
+        return F.coalesce(~value.try_cast("boolean"), F.lit(False))
+    return value.cast("string").eqNullSafe(F.lit("")) if value_type == "string" else F.lit(False)
 
 
 def set_and_delete(
@@ -159,9 +165,8 @@ def set_and_delete(
     for predicate, (column, value_type) in values.items():
         text = F.col(column).cast("string")
         gone = text.isNull()
-        default = _default_of(value_type)
-        if drop_defaults and default is not None:
-            gone = gone | text.eqNullSafe(F.lit(default))
+        if drop_defaults:
+            gone = gone | is_default(F.col(column), value_type)
         cells.append(
             F.struct(
                 F.lit(predicate).alias("predicate"),

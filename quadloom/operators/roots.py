@@ -50,8 +50,8 @@ def lacks_edge(nodes: DataFrame, edges: DataFrame, key: str = "uid", reverse: bo
 
 
 def subjects_with(facts: DataFrame, predicate: str) -> DataFrame:
-    """has(p) over the long form: distinct subjects of one predicate partition."""
-    return facts.where(F.col("predicate") == predicate).select(F.col("subject").alias("uid")).distinct()
+    """has(p) over the long form: distinct (namespace, uid) of one predicate partition."""
+    return facts.where(F.col("predicate") == predicate).select("namespace", F.col("subject").alias("uid")).distinct()
 
 
 def filter_tree(tree) -> Column:

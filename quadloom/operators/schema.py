@@ -147,30 +147,14 @@ def graph_type(spark_type: Column) -> Column:
     )
 
 
-ENUM_LIMIT = 10
-
-
-def enum_columns(df: DataFrame, limit: int = ENUM_LIMIT) -> set[str]:
-    """String columns of at most `limit` distinct values: one sketching pass over all of
-    them, then one exact count over the few that come near the limit."""
-    strings = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    if not strings:
-        return set()
-    sketch = df.agg(*[F.approx_count_distinct(c).alias(c) for c in strings]).first()
-    near = [c for c in strings if sketch[c] <= 2 * limit]
-    if not near:
-        return set()
-    exact = df.agg(*[F.count_distinct(c).alias(c) for c in near]).first()
-    return {c for c in near if exact[c] <= limit}
-
-
-def automatic_mapping(frames: dict[str, DataFrame], enum_limit: int = ENUM_LIMIT) -> DataFrame:
+def automatic_mapping(frames: dict[str, DataFrame], enums: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """Mapping rows from the columns of each type's frame: numbers and geo indexed, times by
-    hour, strings by term, strings with few values (enums) exact, lists counted."""
+    hour, strings by term, declared enums (type to columns) exact, lists counted. Only
+    metadata is read."""
     columns = []
     for type_name, df in frames.items():
-        enums = enum_columns(df, enum_limit)
-        columns += [(type_name, f.name, f.dataType.simpleString(), f.name in enums) for f in df.schema]
+        declared = set((enums or {}).get(type_name, ()))
+        columns += [(type_name, f.name, f.dataType.simpleString(), f.name in declared) for f in df.schema]
     spark = next(iter(frames.values())).sparkSession
     described = spark.createDataFrame(columns, "type_name string, predicate string, spark_type string, is_enum boolean")
     rows = described.withColumn("g", graph_type(F.col("spark_type"))).where(F.col("g").isNotNull())

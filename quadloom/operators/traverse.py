@@ -56,8 +56,8 @@ def uid_matrix(edges: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
 
 
 def value_matrix(facts: DataFrame, order: Sequence[str], value: Column, page_size: int = PAGE_SIZE) -> DataFrame:
-    """All values per subject, in `order`: (subject, page, values)."""
-    return nest(facts, ["subject"], list(order), value, "values", page_size)
+    """All values per node, in `order`: (namespace, subject, page, values)."""
+    return nest(facts, ["namespace", "subject"], list(order), value, "values", page_size)
 
 
 @dataclass
@@ -100,17 +100,19 @@ def wide(
     edges: Sequence[str] = (),
     key: str = "uid",
 ) -> DataFrame:
-    """Triples back to one row per subject for a known predicate list (from metadata).
+    """Triples back to one row per node, (namespace, uid), for a known predicate list (from
+    metadata). Values in a language stay out; `facet_ops.in_language` reads those.
 
     One aggregation with map-side combine; `values` maps predicate -> Spark type.
     List predicates are read with `value_matrix` instead."""
+    untagged = F.col("lang").isNull()
     aggs = [
-        F.max(F.when(F.col("predicate") == p, F.col("value").try_cast(t))).alias(p)
+        F.max(F.when(untagged & (F.col("predicate") == p), F.col("value").try_cast(t))).alias(p)
         for p, t in values.items()
     ] + [F.max(F.when(F.col("predicate") == e, F.col("object_uid"))).alias(e) for e in edges]
     wanted = list(values) + list(edges)
     return (
         facts.where(F.col("predicate").isin(wanted))
-        .groupBy(F.col("subject").alias(key))
+        .groupBy("namespace", F.col("subject").alias(key))
         .agg(*aggs)
     )

@@ -65,10 +65,11 @@ def parse(lines: DataFrame, column: str = "value") -> DataFrame:
     is_node = obj.startswith("<") | obj.startswith("_:") | obj.startswith("uid(")
     text = F.when(is_text, decode_literal(obj))
     lang = F.col("_lang")
+    zero = lambda node: F.translate(node, "0", "") == "<x>"  # noqa: E731  uid 0 names no node
     error = (
-        F.when(~F.col("_s").rlike(rf"^(?:{NODE})$"), "subject")
+        F.when(~F.col("_s").rlike(rf"^(?:{NODE})$") | zero(F.col("_s")), "subject")
         .when(~(F.col("_p").rlike(PREDICATE) | ((F.col("_p") == "*") & (obj == "*"))), "predicate")
-        .when(obj == "", "object")
+        .when((obj == "") | zero(obj), "object")
         .when(is_text & text.isNull(), "literal")
         .when((tail != ".") & ~tail.rlike(TAIL), "end of line")
         .when(~is_text & lang.isNotNull(), "language")

@@ -317,7 +317,9 @@ def test_uid_forms(spark, text, kind, clean):
 
 def test_uid_numbers(spark):
     assert str(col(spark, "0xffffffffffffffff", uids.to_unsigned)) == "18446744073709551615"
-    assert col(spark, "0xffffffffffffffff", uids.to_long) is None
+    assert col(spark, "0xffffffffffffffff", uids.to_long) == -1
+    assert col(spark, -1, uids.to_text, "long") == "0xffffffffffffffff"
+    assert col(spark, "0x8000000000000001", lambda x: uids.unsigned_order(uids.to_long(x))) > col(spark, "0x7fffffffffffffff", lambda x: uids.unsigned_order(uids.to_long(x)))
     assert col(spark, "0x0", uids.to_long) is None and col(spark, "_:a", uids.to_long) is None
     assert col(spark, 2**63 - 1, lambda x: uids.to_long(uids.to_text(x)), "long") == 2**63 - 1
     assert col(spark, 0, uids.to_text, "long") is None
@@ -490,7 +492,7 @@ def test_wide_round_trip(people):
     facts = wide_to_facts(people, "uid", {"name": ("name", "string"), "age": ("age", "int"), "married": ("married", "bool")})
     assert facts.columns == FACT_COLUMNS
     back = traverse.wide(facts, {"name": "string", "age": "int", "married": "boolean"})
-    want = people.select("uid", "name", "age", "married")
+    want = people.select(F.lit(0).cast("long"), "uid", "name", "age", "married")
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 

@@ -216,8 +216,8 @@ def test_restore_equals_as_of(spark):
     log = log_frame(spark, rows)
     slices = [history.backup(log, 0, 60, force_full=True), history.backup(log, 60, 120), history.backup(log, 120, 999)]
     assert as_rows(history.restore(slices, 150, list_predicates=LISTS)) == as_rows(history.as_of(log, 150, LISTS))
-    part = fold([r for r in rows if 60 < r["commit_ts"] <= 150], LISTS)
-    assert as_rows(history.restore(slices, 150, 60, LISTS)) == part
+    part = fold([r for r in rows if r["commit_ts"] <= 60 or 90 < r["commit_ts"] <= 150], LISTS)
+    assert as_rows(history.restore(slices, 150, 90, LISTS)) == part
 
 
 def test_export_writes_one_folder_per_predicate(spark, tmp_path):
@@ -233,7 +233,7 @@ def test_conflicts_equal_all_pairs(spark):
     rng = random.Random(2)
     rows = []
     for i in range(400):
-        length = rng.choice([1, 1, 2, 5, 30, 900])
+        length = rng.choice([0, 1, 1, 2, 5, 30, 900])
         rows.append((0, 1 if i % 3 == 0 else rng.randrange(2, 5), rng.choice(["a", "b", "free"]), i, i + length))
     log = spark.createDataFrame(rows, "namespace long, subject long, predicate string, start_ts long, commit_ts long")
     got = sorted(map(tuple, history.conflicts(log, no_conflict=["free"]).collect()))
