@@ -105,22 +105,44 @@ def nested_path(g: Graph):
     )
 
 
+CUSTOMER_UID, NATION_UID, ORDER_UID = u("Customer", "c_custkey"), u("Nation", "n_nationkey"), u("Order", "o_orderkey")
+NAMED = """'{{"{0}":"' || {0} || '"}}'"""
+EXPANDED = {
+    "": ("NULL", CUSTOMER_UID, "Customer", NAMED.format("c_name"), "customer"),
+    "in_nation": (CUSTOMER_UID, NATION_UID, "Nation", NAMED.format("n_name"), "customer JOIN nation ON n_nationkey = c_nationkey"),
+    "in_nation.~in_nation": (NATION_UID, u("Supplier", "s_suppkey"), "Supplier", NAMED.format("s_name"),
+                             "customer JOIN nation ON n_nationkey = c_nationkey JOIN supplier ON s_nationkey = n_nationkey"),
+    "in_nation.in_region": (NATION_UID, u("Region", "r_regionkey"), "Region", NAMED.format("r_name"),
+                            "customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey"),
+    "~placed_by": (CUSTOMER_UID, ORDER_UID, "Order", NAMED.format("o_orderstatus"), "customer JOIN orders ON o_custkey = c_custkey"),
+    "~placed_by.contains": (ORDER_UID, u("Part", "p_partkey"), "Part", NAMED.format("p_brand"),
+                            "customer JOIN orders ON o_custkey = c_custkey JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey"),
+    "~placed_by.placed_by": (ORDER_UID, CUSTOMER_UID, "Customer", NAMED.format("c_name"), "customer JOIN orders ON o_custkey = c_custkey"),
+    "did": (CUSTOMER_UID, u("Event", "event_id"), "Event", NAMED.format("event_type"), "customer JOIN events ON user_id = c_custkey"),
+}
+
+
 @query(
     "e04_expand_all",
-    f"""SELECT {u('Order', 'o_orderkey')} AS uid, o_orderstatus, {u('Customer', 'c_custkey')} AS "placed_by.uid",
-      c_name AS "placed_by.c_name", {u('Nation', 'n_nationkey')} AS "placed_by.in_nation.uid", n_name AS "placed_by.in_nation.n_name"
-    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
+    " UNION ALL ".join(
+        f"SELECT {CUSTOMER_UID} AS root, '{path}' AS path, cast({parent} AS BIGINT) AS parent, {uid} AS uid, '{name}' AS type, {fields} AS fields FROM {rows}"
+        for path, (parent, uid, name, fields, rows) in EXPANDED.items()
+    ),
 )
 def expand_all(g: Graph):
-    orders, customers, nations = g.orders(), g.customer(), g.nation()
+    """Customers, two hops: single, list and reverse edges side by side."""
+    customers, nations, orders, suppliers, events = g.customer(), g.nation(), g.orders(), g.supplier(), g.events()
+    edge = lambda df, src, dst: df.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
     types = {
-        "Order": TypeInfo(orders, ["o_orderstatus"], {
-            "placed_by": (orders.select(F.col("uid").alias("src"), F.col("placed_by").alias("dst")), "Customer")}),
         "Customer": TypeInfo(customers, ["c_name"], {
-            "in_nation": (customers.select(F.col("uid").alias("src"), F.col("in_nation").alias("dst")), "Nation")}),
-        "Nation": TypeInfo(nations, ["n_name"]),
+            "in_nation": (edge(customers, "uid", "in_nation"), "Nation"), "~placed_by": (edge(orders, "placed_by", "uid"), "Order"), "did": (edge(events, "user", "uid"), "Event")}),
+        "Nation": TypeInfo(nations, ["n_name"], {
+            "~in_nation": (edge(suppliers, "in_nation", "uid"), "Supplier"), "in_region": (edge(nations, "uid", "in_region"), "Region")}),
+        "Order": TypeInfo(orders, ["o_orderstatus"], {
+            "contains": (g.contains_pairs(), "Part"), "placed_by": (edge(orders, "uid", "placed_by"), "Customer")}),
+        "Supplier": TypeInfo(suppliers, ["s_name"]), "Region": TypeInfo(g.region(), ["r_name"]), "Part": TypeInfo(g.part(), ["p_brand"]), "Event": TypeInfo(events, ["event_type"]),
     }
-    return traverse.expand_all(types, "Order", 2)
+    return traverse.expand_all(types, "Customer", 2)
 
 
 @query(

@@ -173,11 +173,19 @@ def geojson(g: Graph):
     )
 
 
-@query("j13_password", f"SELECT {CUST} AS uid, c_name FROM customer")
+@query(
+    "j13_password",
+    f"""WITH s AS (SELECT {CUST} AS uid, c_name, sha256('pepper' || {CUST}) AS salt FROM customer)
+    SELECT uid, c_name, '2$' || salt || '$' || sha256(salt || sha256(salt || c_name)) AS secret, 'uid c_name' AS readable, true AS matches, false AS wrong FROM s""",
+)
 def password(g: Graph):
-    """Stored as a digest, and left out of what a read returns."""
-    stored = g.customer().select("uid", "c_name", v.store_password(F.col("c_name")).alias("secret"))
-    return stored.select(*v.readable(stored.columns, {"secret": "password"}))
+    """Stored as a salted, repeated digest, and left out of what a read returns."""
+    salt = F.sha2(F.concat(F.lit("pepper"), F.col("uid").cast("string")), 256)
+    stored = g.customer().select("uid", "c_name", v.store_password(F.col("c_name"), salt, rounds=2).alias("secret"))
+    return stored.select(
+        "*", F.lit(" ".join(v.readable(stored.columns, {"secret": "password"}))).alias("readable"),
+        v.password_matches(F.col("secret"), F.col("c_name")).alias("matches"), v.password_matches(F.col("secret"), F.lit("guess")).alias("wrong"),
+    )
 
 
 @query(

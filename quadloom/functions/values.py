@@ -232,8 +232,22 @@ def geojson_points(text: Column) -> Column:
 
 
 # passwords -------------------------------------------------------------------
-def store_password(text: Column) -> Column:
-    return F.sha2(text, 256)
+def store_password(text: Column, salt: Column, rounds: int = 64) -> Column:
+    """`rounds$salt$digest`: a salted digest, applied over and over so that guessing is dear.
+    The salt should differ per row, such as a digest of the node's uid and a secret."""
+    body = F.sha2(F.concat(salt, text), 256)
+    steps = F.sequence(F.lit(2), F.lit(rounds))
+    digest = F.aggregate(steps, body, lambda d, _: F.sha2(F.concat(salt, d), 256))
+    return F.when(text.isNotNull(), F.concat_ws("$", F.lit(str(rounds)), salt, digest))
+
+
+def password_matches(stored: Column, text: Column) -> Column:
+    """Whether `text` is the password behind a stored digest."""
+    rounds = F.split_part(stored, F.lit("$"), F.lit(1)).cast("int")
+    salt = F.split_part(stored, F.lit("$"), F.lit(2))
+    start = F.sha2(F.concat(salt, text), 256)
+    digest = F.aggregate(F.sequence(F.lit(2), rounds), start, lambda d, _: F.sha2(F.concat(salt, d), 256))
+    return digest == F.split_part(stored, F.lit("$"), F.lit(3))
 
 
 def readable(columns: list[str], value_types: dict[str, str]) -> list[str]:

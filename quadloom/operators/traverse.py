@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -70,28 +71,32 @@ class TypeInfo:
 
 
 def expand_all(types: dict[str, TypeInfo], type_name: str, depth: int = 0, key: str = "uid") -> DataFrame:
-    """Every predicate of a type, edges followed while depth > 0 (list and reverse edges
-    too), with the uid and, where the frame has them, the type labels. Columns are named by
-    their path. The loop runs over depth and metadata only."""
+    """Every predicate of a type, edges followed while depth > 0 (list and reverse edges too).
 
-    def level(name: str, left: int, path: str) -> DataFrame:
+    One row per node reached: root, path (predicates joined by dots, empty for the root), the
+    parent's uid, uid, type and `fields`, the node's labels and values as a JSON object. Sibling
+    edges are branches of their own, so their lists do not multiply each other, and a hot
+    parent is as many rows as it has children. The loop runs over depth and metadata only."""
+    branches: list[DataFrame] = []
+
+    def add(reached: DataFrame, name: str, path: str, left: int) -> None:
         info = types[name]
         labels = [c for c in ("labels",) if c in info.nodes.columns and c not in info.values]
-        rows = info.nodes.select(
-            F.col(key).alias(f"{path}uid"),
-            *[F.col(v).alias(f"{path}{v}") for v in [*labels, *info.values]],
+        nodes = info.nodes.select(F.col(key).alias("uid"), F.to_json(F.struct(*labels, *info.values)).alias("fields"))
+        branches.append(
+            reached.join(nodes, "uid").select(
+                "root", F.lit(path).alias("path"), "parent", "uid", F.lit(name).alias("type"), "fields"
+            )
         )
-        if left == 0:
-            return rows
-        for predicate, (edges, target) in info.edges.items():
-            sub = f"{path}{predicate}."
-            child = level(target, left - 1, sub)
-            hop = edges.select(F.col("src").alias(f"{path}_src"), F.col("dst").alias(f"{sub}uid"))
-            reached = hop.join(child, f"{sub}uid")
-            rows = with_partners(rows, reached, f"{path}uid", f"{path}_src")
-        return rows
-
-    return level(type_name, depth, "")
+        if left:
+            for predicate, (edges, target) in info.edges.items():
+                hop = edges.select(F.col("src").alias("parent"), F.col("dst").alias("uid"))
+                step = reached.select("root", F.col("uid").alias("parent")).join(hop, "parent")
+                add(step, target, f"{path}.{predicate}" if path else predicate, left - 1)
+
+    start = types[type_name].nodes.select(F.col(key).alias("root"), F.lit(None).cast("long").alias("parent"), F.col(key).alias("uid"))
+    add(start, type_name, "", depth)
+    return reduce(DataFrame.unionByName, branches)
 
 
 def wide(

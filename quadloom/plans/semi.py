@@ -1,9 +1,8 @@
-"""Semi, anti and outer joins whose right side may repeat one key very often.
+"""Semi, anti and outer joins.
 
 Spark can split a skewed left side of such a join at run time but never the right side,
-which has to be seen whole for a key. So the right side is reduced to its distinct keys
-(folded before the shuffle), and an outer join that needs the right rows is an inner join,
-which can be split on both sides, plus the rows without a partner."""
+which has to be seen whole for a key. So the right side of a semi or anti join is reduced to
+its distinct keys (folded before the shuffle)."""
 
 from __future__ import annotations
 
@@ -29,12 +28,9 @@ def lacking(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> Dat
 
 
 def with_partners(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Left outer join: all left columns, then the right ones without their key, null for
-    left rows without a partner."""
-    others = [f for f in right.schema if f.name != right_key]
+    """Left outer join: all left columns, then the right ones without their key, null for left
+    rows without a partner. Each input is planned once. Spark splits a hot left key at run
+    time; where the right side may repeat one key very often, keep it as rows of its own
+    (`traverse.expand_all`) instead of joining it to the parent."""
     renamed = right.withColumnRenamed(right_key, "_key")
-    key = f"`{left_key}`"
-    matched = left.join(renamed, F.col(key) == F.col("_key")).drop("_key")
-    alone = left.join(_keys(renamed, ["_key"]), F.col(key) == F.col("_key"), "left_anti")
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in others]
-    return matched.unionByName(alone.select("*", *nulls))
+    return left.join(renamed, F.col(f"`{left_key}`") == F.col("_key"), "left").drop("_key")
