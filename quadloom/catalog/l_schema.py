@@ -242,9 +242,9 @@ def pending(g: Graph):
     f"""WITH {FACTS}, kept AS (SELECT * FROM facts WHERE predicate <> 'o_orderpriority')
     SELECT 'fact' AS part, predicate AS name, subject, coalesce(value, object_uid::VARCHAR) AS detail FROM kept
     UNION ALL SELECT 'type', * FROM (VALUES ('Order', 0::BIGINT, 'placed_by'), ('Order', 0, 'o_orderstatus'), ('Order', 0, 'note')) t
-    UNION ALL SELECT 'ledger', 'First', 0, '2023-05-25 17:56:26'
-    UNION ALL SELECT 'removed', 'First', 0, '2023-05-25 17:56:26'
-    UNION ALL SELECT 'ledger', 'Second', 0, '2023-05-25 18:02:33'""",
+    UNION ALL SELECT 'ledger', 'First', 0, '2024-03-11 09:45:00'
+    UNION ALL SELECT 'removed', 'First', 0, '2024-03-11 09:45:00'
+    UNION ALL SELECT 'ledger', 'Second', 0, '2024-04-02 18:20:30'""",
 )
 def migrate(g: Graph):
     """First is known already; Second drops a predicate with its values and a type; a later
@@ -254,10 +254,10 @@ def migrate(g: Graph):
     types_ = spark.createDataFrame(
         [("Order", "placed_by"), ("Order", "o_orderstatus"), ("Order", "o_orderpriority"), ("Legacy", "placed_by")], "type_name string, predicate string"
     )
-    applied = F.lit("2023-05-25 17:56:26").cast("timestamp_ntz")
+    applied = F.lit("2024-03-11 09:45:00").cast("timestamp_ntz")
     ledger = spark.range(1).select(F.lit("First").alias("name"), applied.alias("generated_at"), applied.alias("applied_at"))
-    first = Migration("First", "2023-05-25 17:56:26", Step(drop_predicates=["o_totalprice"]), Step())
-    second = Migration("Second", "2023-05-25 18:02:33", Step(drop_types=["Legacy"], drop_predicates=["o_orderpriority"], set_types=[("Order", "note")]), Step(drop_types=["Order"]))
+    first = Migration("First", "2024-03-11 09:45:00", Step(drop_predicates=["o_totalprice"]), Step())
+    second = Migration("Second", "2024-04-02 18:20:30", Step(drop_types=["Legacy"], drop_predicates=["o_orderpriority"], set_types=[("Order", "note")]), Step(drop_types=["Order"]))
     store = Store(rows, types_, ledger)
     for m in (first, second):
         store = schema.migrate(store, m, applied_at="2024-01-01 00:00:00")
