@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quadloom.catalog.common import EVENTS, query, u
+from quadloom.catalog.i_facets import TEXTS, node_texts
 from quadloom.operators import order
 from quadloom.plans.pages import nest
 from quadloom.plans.rank import positions
@@ -41,6 +42,18 @@ def multi_key_sort(g: Graph):
     return positions(rows, keys).select("doc_id", "lang", "source", "position")
 
 
+@query(
+    "g03_language_sort",
+    f"""WITH {TEXTS}, v AS (SELECT namespace, uid, coalesce(max(text) FILTER (WHERE lang = 'de'), max(text) FILTER (WHERE lang = 'fr')) AS body FROM texts GROUP BY ALL)
+    SELECT namespace, uid, body, row_number() OVER (ORDER BY body DESC NULLS LAST, namespace, uid) AS position FROM v""",
+)
+def language_sort(g: Graph):
+    """Nodes by their German text, else the French one."""
+    texts = node_texts(g)
+    nodes = texts.select("namespace", F.col("subject").alias("uid")).distinct()
+    return order.by_language(nodes, texts, "body", ["de", "fr"], descending=True)
+
+
 @query(
     "g04_first",
     f"""SELECT {u('Order', 'o_orderkey')} AS uid, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""",

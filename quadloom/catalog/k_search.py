@@ -172,10 +172,23 @@ for _metric in ("euclidean", "dot", "cosine"):
     _vectors(_metric)
 
 
-@query("k09_vector_lsh")
+@query("k09_vector_lsh", "SELECT DISTINCT label::BIGINT AS query, true AS all_within, true AS recall_ok FROM embeddings")
 def vector_lsh(g: Graph):
-    pairs = search.similar_pairs(g.vectors(), label_centres(g), 1.0)
-    return pairs.select("query", "uid", F.round("distance", 6).alias("distance"))
+    """Approximate neighbours of every label's centre against the exact ones: all that are
+    reported lie within the threshold, and at least 0.7 of the true ones are reported."""
+    limit = 1.0
+    centres = label_centres(g)
+    found = search.similar_pairs(g.vectors(), centres, limit).groupBy("query").agg(
+        F.count(F.lit(1)).alias("n"), F.max("distance").alias("most"))
+    asked = centres.agg(F.collect_list(F.struct("query", "embedding"))).scalar()  # one per label
+    exact = g.vectors().select("embedding", F.explode(asked).alias("q")).where(
+        search.similarity("euclidean", F.col("embedding"), F.col("q.embedding")) <= limit
+    ).groupBy(F.col("q.query").alias("query")).agg(F.count(F.lit(1)).alias("true_n"))
+    rows = centres.select("query").join(found, "query", "left").join(exact, "query", "left")
+    return rows.select(
+        "query", F.coalesce(F.col("most") <= limit + 1e-9, F.lit(True)).alias("all_within"),
+        (F.coalesce("n", F.lit(0)) >= 0.7 * F.coalesce("true_n", F.lit(0))).alias("recall_ok"),
+    )
 
 
 @query(

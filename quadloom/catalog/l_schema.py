@@ -195,6 +195,21 @@ def schema_query(g: Graph):
     return schema.query_schema(merged).select(F.lit("all").alias("asked"), "*").unionByName(some)
 
 
+@query(
+    "l10_schema_fields",
+    f"""WITH {MAPPINGS}, {MERGED} SELECT namespace, version, predicate, indexed OR fulltext OR trigram OR token <> 'none' OR upsert AS "index",
+      array_to_string(list_filter([CASE WHEN fulltext THEN 'fulltext' END, CASE WHEN trigram THEN 'trigram' END, nullif(token, 'none')], lambda x: x IS NOT NULL), ',') AS tokenizer,
+      reverse OR (kind = 'list' AND reversed) AS reverse, "count", kind = 'list' AS list, upsert, lang, NULL AS type_name FROM merged
+    UNION ALL SELECT DISTINCT namespace, version, predicate, NULL, NULL, NULL, NULL, NULL, NULL, NULL, type_name FROM mappings WHERE type_name IN ('ECONOMY', 'PROMO')""",
+)
+def schema_fields(g: Graph):
+    """Every field of every predicate, and the predicates of two types."""
+    rows = mappings(g)
+    fields = schema.query_schema(schema.merge(rows), fields=["index", "tokenizer", "reverse", "count", "list", "upsert", "lang"])
+    types = schema.query_types(rows, ["ECONOMY", "PROMO"])
+    return fields.unionByName(types, allowMissingColumns=True)
+
+
 NAMES = """names AS (SELECT event_id, upper(left(event_type, 1)) || substr(event_type, 2) || event_id AS good, strftime(ts, '%Y%m%d%H%M%S') AS stamp,
   date_trunc('second', ts)::TIMESTAMP AS generated_at, cast(user_id % 5 AS BIGINT) AS namespace FROM events)"""
 
@@ -239,32 +254,33 @@ def pending(g: Graph):
 
 @query(
     "l13_migrate",
-    f"""WITH {FACTS}, kept AS (SELECT * FROM facts WHERE predicate <> 'o_orderpriority')
-    SELECT 'fact' AS part, predicate AS name, subject, coalesce(value, object_uid::VARCHAR) AS detail FROM kept
-    UNION ALL SELECT 'type', * FROM (VALUES ('Order', 0::BIGINT, 'placed_by'), ('Order', 0, 'o_orderstatus'), ('Order', 0, 'note')) t
-    UNION ALL SELECT 'ledger', 'First', 0, '2024-03-11 09:45:00'
-    UNION ALL SELECT 'removed', 'First', 0, '2024-03-11 09:45:00'
-    UNION ALL SELECT 'ledger', 'Second', 0, '2024-04-02 18:20:30'""",
+    f"""WITH {FACTS}, kept AS (SELECT * FROM facts WHERE NOT (predicate = 'o_orderpriority' AND namespace IN (1, 2)) AND NOT (predicate = 'o_totalprice' AND namespace = 2))
+    SELECT namespace, 'fact' AS part, predicate AS name, subject, coalesce(value, object_uid::VARCHAR) AS detail FROM kept
+    UNION ALL SELECT n, 'type', t, 0, p FROM (VALUES ('Order', 'placed_by'), ('Order', 'o_orderstatus')) t(t, p), (VALUES (0::BIGINT), (1), (2)) n(n)
+    UNION ALL SELECT * FROM (VALUES (0::BIGINT, 'type', 'Order', 0::BIGINT, 'o_orderpriority'), (0, 'type', 'Legacy', 0, 'placed_by'), (1, 'type', 'Order', 0, 'note'), (2, 'type', 'Order', 0, 'note')) t
+    UNION ALL SELECT * FROM (VALUES (1::BIGINT, 'ledger', 'First', 0::BIGINT, '2024-03-11 09:45:00'), (2, 'ledger', 'First', 0, '2024-03-11 09:45:00'),
+      (1, 'ledger', 'Second', 0, '2024-04-02 18:20:30'), (2, 'ledger', 'Second', 0, '2024-04-02 18:20:30'), (1, 'removed', 'First', 0, '2024-03-11 09:45:00'),
+      (2, 'removed', 'First', 0, '2024-03-11 09:45:00'), (2, 'removed', 'Second', 0, '2024-04-02 18:20:30')) t""",
 )
 def migrate(g: Graph):
-    """First is known already; Second drops a predicate with its values and a type; a later
-    removal takes Second back out of the ledger, its dropped values stay gone."""
+    """Two of three tenants migrate. Tenant 1 knows First already, tenant 2 does not; Second drops
+    a predicate with its values and a type; a later removal in tenant 1 takes Second back out
+    of its ledger, its dropped values stay gone."""
     rows = facts(g)
     spark = g.spark
-    types_ = spark.createDataFrame(
-        [("Order", "placed_by"), ("Order", "o_orderstatus"), ("Order", "o_orderpriority"), ("Legacy", "placed_by")], "type_name string, predicate string"
-    )
+    pairs = [("Order", "placed_by"), ("Order", "o_orderstatus"), ("Order", "o_orderpriority"), ("Legacy", "placed_by")]
+    types_ = spark.createDataFrame([(n, *p) for n in range(3) for p in pairs], "namespace long, type_name string, predicate string")
     applied = F.lit("2024-03-11 09:45:00").cast("timestamp_ntz")
-    ledger = spark.range(1).select(F.lit("First").alias("name"), applied.alias("generated_at"), applied.alias("applied_at"))
+    ledger = spark.range(1, 2).select(F.col("id").alias("namespace"), F.lit("First").alias("name"), applied.alias("generated_at"), applied.alias("applied_at"))
     first = Migration("First", "2024-03-11 09:45:00", Step(drop_predicates=["o_totalprice"]), Step())
     second = Migration("Second", "2024-04-02 18:20:30", Step(drop_types=["Legacy"], drop_predicates=["o_orderpriority"], set_types=[("Order", "note")]), Step(drop_types=["Order"]))
     store = Store(rows, types_, ledger)
     for m in (first, second):
-        store = schema.migrate(store, m, applied_at="2024-01-01 00:00:00")
-    removed = schema.remove_migration(store, [first, second], "Second")
+        store = schema.migrate(store, m, applied_at="2024-05-01 00:00:00", tenants=[1, 2])
+    removed = schema.remove_migration(store, [first, second], "Second", tenants=[1])
 
     def part(name, df, *columns):
-        return df.select(F.lit(name).alias("part"), *[c.alias(a) for c, a in zip(columns, ("name", "subject", "detail"))])
+        return df.select("namespace", F.lit(name).alias("part"), *[c.alias(a) for c, a in zip(columns, ("name", "subject", "detail"))])
 
     zero = F.lit(0).cast("long")
     when = F.date_format("generated_at", "yyyy-MM-dd HH:mm:ss")

@@ -67,9 +67,7 @@ def value_type(g: Graph):
         g.customer(), "uid",
         {c: (c, "string") for c in ("c_name", "c_acctbal", "c_mktsegment", "c_custkey")},
     )
-    declared = g.spark.createDataFrame(
-        [("c_name", "int"), ("c_acctbal", "int"), ("c_mktsegment", "bool"), ("c_custkey", "float")], "predicate string, value_type string"
-    )
+    declared = {"c_name": "int", "c_acctbal": "int", "c_mktsegment": "bool", "c_custkey": "float"}
     return checks.wrong_type(facts, declared)
 
 

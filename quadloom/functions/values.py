@@ -20,6 +20,12 @@ def json_literal(value: Column) -> Column:
     return F.when(value.isNotNull(), F.substr(body, F.lit(6), F.length(body) - 6))
 
 
+def text_literal(text: Column) -> Column:
+    """A string as a JSON literal; only texts that need an escape go through the JSON writer."""
+    plain = F.concat(F.lit('"'), text, F.lit('"'))
+    return F.when(text.rlike(r'["\\\x00-\x1f]'), json_literal(text)).otherwise(plain)
+
+
 def decode_literal(literal: Column) -> Column:
     """The plain text of a JSON literal: quotes and escapes undone, the rest as written.
     Only literals with a backslash go through the JSON parser."""
@@ -33,7 +39,7 @@ def decode_literal(literal: Column) -> Column:
 
 def typed_literal(text: Column, value_type: Column) -> Column:
     """A stored value as a literal: numbers and booleans bare, everything else quoted."""
-    return F.when(value_type.isin("int", "float", "bool"), text).otherwise(json_literal(text))
+    return F.when(value_type.isin("int", "float", "bool"), text).otherwise(text_literal(text))
 
 
 # parameters ------------------------------------------------------------------

@@ -47,10 +47,11 @@ def several_values(facts: DataFrame, single: Sequence[str] | None = None) -> Dat
     return rows.groupBy("namespace", "subject", "predicate", "lang").agg(F.count_distinct(held).alias("n")).where("n > 1")
 
 
-def wrong_type(facts: DataFrame, predicates: DataFrame) -> DataFrame:
-    """Values that do not parse as the type declared for their predicate."""
-    declared = predicates.select("predicate", F.col("value_type").alias("declared"))
-    rows = facts.drop("value_type").join(declared, "predicate")
+def wrong_type(facts: DataFrame, declared: dict[str, str]) -> DataFrame:
+    """Values that do not parse as the type declared for their predicate. The declarations are
+    metadata and become literals of the scan; no join on the predicate, a handful of hot keys."""
+    types = F.create_map(*[F.lit(x) for pair in declared.items() for x in pair])
+    rows = facts.where(F.col("predicate").isin(list(declared))).withColumn("declared", F.try_element_at(types, F.col("predicate")))
     return rows.where(F.col("value").isNotNull() & ~conforms(F.col("value"), F.col("declared"))).select(
         "namespace", "subject", "predicate", "value", "declared"
     )

@@ -11,7 +11,6 @@ from quadloom.functions.values import typed_literal
 
 from quadloom.model import TYPE_PREDICATE
 from quadloom.operators.mutate import in_namespace, resolve
-from quadloom.plans.semi import having
 from quadloom.sources import nquads
 
 
@@ -72,14 +71,16 @@ def conflicts(
 
 # backup and restore ----------------------------------------------------------
 def backup(
-    log: DataFrame, since_ts: int | Column, read_ts: int | Column, predicates: DataFrame | None = None, force_full: bool = False
+    log: DataFrame, since_ts: int | Column, read_ts: int | Column, predicates: Iterable[str] | Column | None = None, force_full: bool = False
 ) -> DataFrame:
-    """Changes with since_ts < commit_ts <= read_ts, or all up to read_ts when forced."""
+    """Changes with since_ts < commit_ts <= read_ts, or all up to read_ts when forced, of all
+    predicates or those named (names, or an array column such as a scalar subquery)."""
     rows = log.where(F.col("commit_ts") <= read_ts)
     if not force_full:
         rows = rows.where(F.col("commit_ts") > since_ts)
     if predicates is not None:
-        rows = having(rows, predicates, "predicate").select(*log.columns)
+        chosen = predicates if isinstance(predicates, Column) else F.array(*[F.lit(p) for p in predicates])
+        rows = rows.where(F.array_contains(chosen, F.col("predicate")))
     return rows
 
 
@@ -142,9 +143,10 @@ def export_rows(
 
 
 def export(spark: SparkSession, log: DataFrame, path: str, read_ts: int | Column, namespace: int | None = None, form: str = "rdf", list_predicates: Iterable[str] = ()) -> None:
-    """Write the export, one folder per predicate. Rows keep the partitioning of the last
-    shuffle, so a large predicate becomes many files rather than one task's file."""
-    export_rows(log, read_ts, namespace, form, list_predicates).write.partitionBy("predicate").text(path)
+    """Write the export, one folder per predicate. Rows are gathered by predicate first, so the
+    number of files follows the size, and Spark splits a hot predicate over several tasks."""
+    rows = export_rows(log, read_ts, namespace, form, list_predicates)
+    rows.hint("rebalance", "predicate").write.partitionBy("predicate").text(path)
 
 
 def bulk_summary(facts: DataFrame, type_predicate: str = TYPE_PREDICATE) -> DataFrame:

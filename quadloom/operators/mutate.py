@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quadloom.functions import uid as uids
 from quadloom.model import FACT_COLUMNS, OP_DEL, OP_OVR, OP_SET, STAR, namespace_of
-from quadloom.plans.rank import positions
 from quadloom.plans.semi import lacking
 
 NODE_KEY = ["namespace", "subject"]
@@ -205,68 +204,39 @@ def upsert(batch: DataFrame, state: DataFrame, key: str, uid: str = "uid") -> Da
     ).drop("_key", "_uid")
 
 
-BLOCK = 1000
 _VARIABLE = r"^uid\((\w+)\)$"
 
 
-def _cells(rows: list, names: Sequence[str]) -> Column:
-    """Template rows as an array of literal structs."""
-    def literal(value) -> Column:
-        if isinstance(value, dict):
-            return F.create_map(*[F.lit(x) for pair in value.items() for x in pair])
-        return F.lit(value)
-
-    types = {"facets": "map<string,string>", "star": "boolean"}
-    return F.array(*[F.struct(*[literal(r[n]).cast(types.get(n, "string")).alias(n) for n in names]) for r in rows])
-
-
 def bind(triples: DataFrame, variables: dict[str, DataFrame], create: bool = False) -> DataFrame:
     """Replace `uid(v)` by every uid of variable v.
 
-    Triples that name a variable are statements of one request, a parameter; they are
-    projected onto the variable's rows, so nothing is joined and a variable may have any
-    size. Triples without variables pass through. A statement over an empty or unknown
-    variable falls away or, with `create`, names one new node per variable."""
+    Triples that name a variable are joined with (variable, node) rows on the variable's name,
+    once per position; Spark splits a variable with very many nodes. Triples without variables
+    pass through. A statement over an empty or unknown variable falls away or, with `create`,
+    names one new node per variable. A statement with variables in both positions means every
+    pair of their nodes: its result has as many rows as the two sizes multiplied, so keep one of
+    them small (bound it by a limit or a link condition)."""
     names = triples.columns
-    is_var = lambda c: F.coalesce(F.col(c).rlike(_VARIABLE), F.lit(False))
-    out = triples.where(~is_var("subject") & ~is_var("object"))
-    templates = triples.where(is_var("subject") | is_var("object")).collect()
-
-    def variable(node: str | None) -> str | None:
-        return node[4:-1] if node and node.startswith("uid(") else None
-
-    def nodes(name: str) -> DataFrame:
-        known = variables.get(name)
-        if known is None:
-            known = triples.sparkSession.range(0).select(F.col("id").alias("uid"))
-        rows = known.select(uids.to_text(F.col("uid")).alias("_node"))
+    nodes = None
+    for name, known in variables.items():
+        rows = known.select(F.lit(name).alias("_name"), uids.to_text(F.col("uid")).alias("_node"))
+        if create:
+            new = known.sparkSession.range(1).select(F.lit(name).alias("_name"), F.lit(f"_:{name.lower()}").alias("_node"))
+            rows = rows.unionByName(new.where(known.agg(F.count("uid") == 0).scalar()))
+        nodes = rows if nodes is None else nodes.unionByName(rows)
+    out = triples
+    for position in ("subject", "object"):
+        name = F.regexp_extract(position, _VARIABLE, 1)
+        marked = out.withColumn("_name", F.when(F.col(position).rlike(_VARIABLE), name))
+        plain = marked.where(F.col("_name").isNull())
+        named = marked.where(F.col("_name").isNotNull())
+        made = plain
+        if nodes is not None:
+            made = made.unionByName(named.join(nodes, "_name").withColumn(position, F.col("_node")).select(*marked.columns))
         if create:
-            empty = known.agg(F.count("uid") == 0).scalar()
-            new = known.sparkSession.range(1).select(F.lit(f"_:{name.lower()}").alias("_node"))
-            rows = rows.unionByName(new.where(empty))
-        return rows
-
-    groups: dict[tuple, list] = {}
-    for t in templates:
-        groups.setdefault((variable(t["subject"]), variable(t["object"])), []).append(t)
-    for (subject, target), rows in groups.items():
-        if subject and target:
-            # Every pair is what the statement says: subjects go once to each block of
-            # targets, so that no task gets more than a block of them.
-            ends = positions(nodes(target), [F.col("_node").asc()], out="_pos")
-            blocks = F.call_function("div", F.col("_pos") - 1, F.lit(BLOCK).cast("long"))
-            last = ends.agg(F.max(blocks)).first()[0]
-            if last is None:
-                continue
-            numbered = ends.select(F.col("_node").alias("_end"), blocks.alias("_block"))
-            spread = nodes(subject).select("_node", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))).alias("_block"))
-            spread = spread.join(numbered, "_block")
-            made = spread.select("_node", "_end", F.inline(_cells(rows, names)))
-            out = out.unionByName(made.withColumn("subject", F.col("_node")).withColumn("object", F.col("_end")).select(*names))
-            continue
-        position = "subject" if subject else "object"
-        made = nodes(subject or target).select("_node", F.inline(_cells(rows, names)))
-        out = out.unionByName(made.withColumn(position, F.col("_node")).select(*names))
+            unknown = named.where(~F.col("_name").isin(list(variables)))
+            made = made.unionByName(unknown.withColumn(position, F.concat(F.lit("_:"), F.lower("_name"))))
+        out = made.select(*names)
     return out
 
 

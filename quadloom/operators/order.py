@@ -34,6 +34,17 @@ def top_per_parent(df: DataFrame, parent: str, order: list[Column], k: int) -> D
     return ranked.where(F.col("_rank") <= k).withColumnRenamed("_rank", "rank")
 
 
+def by_language(nodes: DataFrame, facts: DataFrame, predicate: str, preference: list[str], descending: bool = False, out: str = "position") -> DataFrame:
+    """Nodes (namespace, uid) with the predicate's value in the first language present and
+    their position in the order of it, nodes without a value last, ties by node."""
+    from quadloom.operators.facet_ops import in_language
+
+    value = in_language(facts, predicate, preference)
+    rows = nodes.join(value, ["namespace", "uid"], "left")
+    first = F.desc_nulls_last(predicate) if descending else F.asc_nulls_last(predicate)
+    return positions(rows, [first, F.asc("namespace"), F.asc("uid")], out=out)
+
+
 def latest(df: DataFrame, order: str) -> DataFrame:
     """The one newest row, as one aggregation without a sort."""
     whole = F.struct(*df.columns)

@@ -206,11 +206,32 @@ def diff(old: DataFrame, new: DataFrame) -> DataFrame:
     return predicates.where(F.col("change").isNotNull()).unionByName(kinds)
 
 
-def query_schema(merged: DataFrame, predicates: Sequence[str] | None = None) -> DataFrame:
-    """schema(pred: [..]) or schema{}: predicate and type, sorted by predicate."""
+def _schema_fields() -> dict[str, Column]:
+    kind, token = F.col("kind"), F.nullif("token", F.lit("none"))
+    listed = kind == "list"
+    return {
+        "type": F.when(listed, F.concat(F.lit("["), F.col("list_type"), F.lit("]"))).otherwise(kind),
+        "index": F.col("indexed") | F.col("fulltext") | F.col("trigram") | token.isNotNull() | F.col("upsert"),
+        "tokenizer": F.array_join(F.array_compact(F.array(F.when(F.col("fulltext"), "fulltext"), F.when(F.col("trigram"), "trigram"), token)), ","),
+        "reverse": F.col("reverse") | (listed & F.col("reversed")),
+        "count": F.col("count"),
+        "list": listed,
+        "upsert": F.col("upsert"),
+        "lang": F.col("lang"),
+    }
+
+
+def query_schema(merged: DataFrame, predicates: Sequence[str] | None = None, fields: Sequence[str] = ("type",)) -> DataFrame:
+    """schema(pred: [..]) {fields} or schema{}: the chosen fields per predicate, sorted by it."""
     rows = merged if predicates is None else merged.where(F.col("predicate").isin(list(predicates)))
-    kind = F.when(F.col("kind") == "list", F.concat(F.lit("["), F.col("list_type"), F.lit("]"))).otherwise(F.col("kind"))
-    return rows.select(*VERSION, "predicate", kind.alias("type")).orderBy(*VERSION, "predicate")
+    known = _schema_fields()
+    return rows.select(*VERSION, "predicate", *[known[f].alias(f) for f in fields]).orderBy(*VERSION, "predicate")
+
+
+def query_types(mappings: DataFrame, types: Sequence[str] | None = None) -> DataFrame:
+    """schema(type: [..]): the predicates of each type, as rows sorted by both."""
+    rows = mappings if types is None else mappings.where(F.col("type_name").isin(list(types)))
+    return rows.select(*VERSION, "type_name", "predicate").distinct().orderBy(*VERSION, "type_name", "predicate")
 
 
 # migrations ------------------------------------------------------------------
@@ -256,43 +277,52 @@ class Migration:
 
 @dataclass
 class Store:
-    """Facts plus metadata: `types` (type_name, predicate), `ledger` (name, generated_at, applied_at)."""
+    """Facts plus metadata of all tenants: `types` (namespace, type_name, predicate), `ledger`
+    (namespace, name, generated_at, applied_at)."""
 
     facts: DataFrame
     types: DataFrame
     ledger: DataFrame
 
 
-def migrate(store: Store, migration: Migration, applied_at: str, down: bool = False) -> Store:
-    """Apply a migration, or take it back. A known name going up and an unknown one going
-    down change nothing. Whether it is known is a scalar subquery: nothing runs here."""
-    known = store.ledger.where(F.col("name") == migration.name).agg(F.count(F.lit(1)) > 0).scalar()
-    idle = ~known if down else known
+def migrate(store: Store, migration: Migration, applied_at: str, down: bool = False, tenants: Sequence[int] = (0,)) -> Store:
+    """Apply a migration to the given tenants, or take it back. A tenant that knows it going up,
+    or does not going down, is left as it is, as are all others. Which tenants know it is a
+    scalar subquery over the ledger: nothing runs here."""
+    tenants = list(tenants)
+    known_by = store.ledger.where(F.col("name") == migration.name).agg(F.collect_set("namespace")).scalar()
+
+    def acts(namespace: Column) -> Column:
+        knows = F.array_contains(known_by, namespace)
+        return namespace.isin(tenants) & (knows if down else ~knows)
+
+    here = acts(F.col("namespace"))
     step = migration.down if down else migration.up
     gone = list(step.drop_predicates)
-    keep = idle | ~F.col("predicate").isin(gone) if gone else F.lit(True)
+    keep = ~(here & F.col("predicate").isin(gone)) if gone else F.lit(True)
     types = store.types.where(keep)
     if step.drop_types:
-        types = types.where(idle | ~F.col("type_name").isin(list(step.drop_types)))
+        types = types.where(~(here & F.col("type_name").isin(list(step.drop_types))))
+    spark = store.ledger.sparkSession
     if step.set_types:
-        spark = types.sparkSession
-        added = spark.createDataFrame(list(step.set_types), "type_name string, predicate string")
-        types = types.unionByName(added.where(~idle)).distinct()
+        added = [(n, t, p) for n in tenants for t, p in step.set_types]
+        added = spark.createDataFrame(added, "namespace long, type_name string, predicate string").where(here)
+        types = types.unionByName(added).distinct()
     if down:
-        ledger = store.ledger.where(idle | (F.col("name") != migration.name))
+        ledger = store.ledger.where(~(here & (F.col("name") == migration.name)))
     else:
-        row = store.ledger.sparkSession.range(1).select(
-            F.lit(migration.name).alias("name"), F.lit(migration.generated_at).cast("timestamp_ntz").alias("generated_at"),
+        rows = spark.createDataFrame([(n,) for n in tenants], "namespace long").where(here).select(
+            "namespace", F.lit(migration.name).alias("name"), F.lit(migration.generated_at).cast("timestamp_ntz").alias("generated_at"),
             F.lit(applied_at).cast("timestamp_ntz").alias("applied_at"),
         )
-        ledger = store.ledger.unionByName(row.where(~idle))
+        ledger = store.ledger.unionByName(rows)
     return replace(store, facts=store.facts.where(keep), types=types, ledger=ledger)
 
 
-def remove_migration(store: Store, migrations: Sequence[Migration], name: str) -> Store:
-    """Take back a migration and every later one, newest first."""
+def remove_migration(store: Store, migrations: Sequence[Migration], name: str, tenants: Sequence[int] = (0,)) -> Store:
+    """Take back a migration and every later one, newest first, in the given tenants."""
     since = next(m.generated_at for m in migrations if m.name == name)
     for m in sorted(migrations, key=lambda m: m.generated_at, reverse=True):
         if m.generated_at >= since:
-            store = migrate(store, m, applied_at=m.generated_at, down=True)
+            store = migrate(store, m, applied_at=m.generated_at, down=True, tenants=tenants)
     return store

@@ -217,13 +217,18 @@ def _query_blocks(queries: DataFrame):
         yield ranked.where((F.col("_pos") > low) & (F.col("_pos") <= low + MAX_QUERIES)).collect()
 
 
+def other_length(vectors: DataFrame, size: int) -> DataFrame:
+    """Vectors `top_k` cannot compare with queries of `size` cells: nulls and other lengths."""
+    return vectors.where(F.coalesce(F.size("embedding") != size, F.lit(True)))
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "euclidean") -> DataFrame:
     """Exact k best vectors per query: (query, uid, score, rank); ties by uid.
 
     `vectors` has uid, embedding; `queries` has query (long), embedding. Query vectors are
     parameters of the scan: up to MAX_QUERIES of them per pass, more take more passes, so
-    no task ever holds more than one block. Vectors of another length are left out, as are
-    undefined cosines."""
+    no task ever holds more than one block. Vectors of another length are left out
+    (`other_length` has them), as are undefined cosines."""
     import numpy as np
 
     queries = queries.select("query", "embedding")

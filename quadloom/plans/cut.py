@@ -33,8 +33,8 @@ def written(df: DataFrame, name: str = "cut", partition_by: list[str] | None = N
     spark = df.sparkSession
     path = fresh_path(spark, name)
     writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if partition_by:  # gathered by the partition columns first: files follow the size
+        writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
     writer.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     return back.select(*df.columns)
