@@ -4,10 +4,21 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _private_folder() -> tempfile.TemporaryDirectory:
+    """One folder per process, removed when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="quadloom-")
+
+
+_paths: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder the session names; a private one only for local runs
     that name none."""
@@ -17,14 +28,31 @@ def shared_folder(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="quadloom-")
+        named = _private_folder().name
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/quadloom-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/quadloom-{name}-{uuid.uuid4().hex}"
+    _paths.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Empty every table this process has written so far, once no frame that reads one is
+    needed any more; the number of tables. Paths that hold no table are left alone."""
+    done = 0
+    while _paths:
+        path = _paths.pop()
+        try:
+            fields = spark.read.parquet(path).schema
+        except AnalysisException:
+            continue
+        spark.createDataFrame([], fields).coalesce(1).write.mode("overwrite").parquet(path)
+        done += 1
+    return done
 
 
 def written(df: DataFrame, name: str = "cut", partition_by: list[str] | None = None) -> DataFrame:

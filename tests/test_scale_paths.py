@@ -94,6 +94,17 @@ def test_assign_is_dense_and_ordered(spark):
     assert got == [(f"_:{i:05d}", 100 + i) for i in range(2000)]
 
 
+def test_written_frames_are_released(spark):
+    from quadloom.plans import cut
+
+    before, cut._paths[:] = list(cut._paths), []
+    kept = cut.written(spark.range(100).toDF("x"), "released")
+    assert kept.count() == 100
+    path = cut._paths[0]
+    assert cut.release(spark) == 1 and spark.read.parquet(path).count() == 0 and cut._paths == []
+    cut._paths[:] = before
+
+
 def test_written_frames_use_the_shared_folder(spark):
     folder = shared_folder(spark)
     assert spark.conf.get("spark.checkpoint.dir", folder) == folder
