@@ -156,11 +156,11 @@ def has_one(g: Graph):
 
 @query(
     "e06_has_many",
-    f"""WITH {CONTAINS} SELECT src AS uid, 0::BIGINT AS page, count(*)::INTEGER AS n, string_agg(dst::VARCHAR, ' ' ORDER BY dst) AS parts
-    FROM contains GROUP BY src""",
+    f"""WITH {CONTAINS}, p AS (SELECT *, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // 3 AS page FROM contains)
+    SELECT src AS uid, page, count(*)::INTEGER AS n, string_agg(dst::VARCHAR, ' ' ORDER BY dst) AS parts FROM p GROUP BY src, page""",
 )
 def has_many(g: Graph):
-    parts = traverse.uid_matrix(g.order_parts())
+    parts = traverse.uid_matrix(g.order_parts(), page_size=3)
     return parts.select(
         F.col("src").alias("uid"), "page", F.size("uids").alias("n"),
         F.array_join(F.col("uids").cast("array<string>"), " ").alias("parts"),

@@ -193,11 +193,12 @@ def vector_lsh(g: Graph):
 
 @query(
     "k10_inverted_index",
-    f"""WITH {TERMS} SELECT 'text' AS predicate, term, 0::BIGINT AS page, count(*)::INTEGER AS n, string_agg(({DOC})::VARCHAR, ' ' ORDER BY doc_id) AS uids FROM terms GROUP BY term""",
+    f"""WITH {TERMS}, p AS (SELECT *, (row_number() OVER (PARTITION BY term ORDER BY doc_id) - 1) // 50 AS page FROM terms)
+    SELECT 'text' AS predicate, term, page, count(*)::INTEGER AS n, string_agg(({DOC})::VARCHAR, ' ' ORDER BY doc_id) AS uids FROM p GROUP BY term, page""",
 )
 def inverted_index(g: Graph):
     index = search.term_index(spread_out(g.documents(), "uid"), "text").select(F.lit("text").alias("predicate"), "term", "uid")
-    lists = search.inverted_lists(index)
+    lists = search.inverted_lists(index, page_size=50)
     return lists.select("predicate", "term", "page", F.size("uids").alias("n"), F.array_join(F.col("uids").cast("array<string>"), " ").alias("uids"))
 
 

@@ -124,19 +124,26 @@ def bucket_lookup(bucketed: DataFrame, column: str, unit: str, low, high) -> Dat
 
 
 # geo -------------------------------------------------------------------------
-def near(points: DataFrame, centres: DataFrame, cell: float = 10.0) -> DataFrame:
+def geo_index(points: DataFrame, levels: Column) -> DataFrame:
+    """(level, x, y) cells of every point at the given levels (an array)."""
+    filed = points.select("uid", "lon", "lat", F.explode(levels).alias("_level"))
+    return filed.withColumns({"_x": geo.cell_x(F.col("lon"), F.col("_level")), "_y": geo.cell_y(F.col("lat"), F.col("_level"))})
+
+
+def near(points: DataFrame, centres: DataFrame) -> DataFrame:
     """(centre, uid, metres) for points within each centre's radius. `points` has uid, lon,
-    lat; `centres` has centre, lon, lat, radius. An equi-join on grid cells, exact recheck."""
-    filed = points.select(
-        "uid", "lon", "lat", geo.cell_x(F.col("lon"), cell).alias("_x"), geo.cell_y(F.col("lat"), cell).alias("_y")
-    )
-    wanted = centres.select(
-        "centre", F.col("lon").alias("_lon"), F.col("lat").alias("_lat"), "radius",
-        F.explode(geo.covering_cells(F.col("lon"), F.col("lat"), F.col("radius"), cell)).alias("_c"),
-    ).select("centre", "_lon", "_lat", "radius", F.col("_c.x").alias("_x"), F.col("_c.y").alias("_y"))
+    lat; `centres` has centre, lon, lat, radius. An equi-join on grid cells, exact recheck. A
+    centre looks at the level that fits its radius, so a cell holds about as many points as a
+    few results; points are filed under the levels in use only."""
+    asked = centres.withColumn("_level", geo.level_of(F.col("lat"), F.col("radius")))
+    filed = geo_index(points, asked.agg(F.collect_set("_level")).scalar())  # 25 levels at most
+    wanted = asked.select(
+        "centre", F.col("lon").alias("_lon"), F.col("lat").alias("_lat"), "radius", "_level",
+        F.explode(geo.covering_cells(F.col("lon"), F.col("lat"), F.col("radius"), F.col("_level"))).alias("_c"),
+    ).select("centre", "_lon", "_lat", "radius", "_level", F.col("_c.x").alias("_x"), F.col("_c.y").alias("_y"))
     metres = geo.haversine(F.col("_lon"), F.col("_lat"), F.col("lon"), F.col("lat"))
     return (
-        filed.join(wanted, ["_x", "_y"])
+        filed.join(wanted, ["_level", "_x", "_y"])
         .withColumn("metres", metres)
         .where(F.col("metres") <= F.col("radius"))
         .select("centre", "uid", "metres")
