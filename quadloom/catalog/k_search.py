@@ -41,7 +41,7 @@ def hashed(g: Graph):
     UNION ALL SELECT DISTINCT 'any', {DOC} FROM terms WHERE term IN ('der', 'the')""",
 )
 def terms(g: Graph):
-    index = search.term_index(spread_out(g.documents(), "uid"), "text")
+    index = search.stored(search.term_index(spread_out(g.documents(), "uid"), "text"), fresh_path(g.spark, "terms"), "term")
     found_all = search.all_terms(index, "Les que, des!").select(F.lit("all").alias("kind"), "uid")
     return found_all.unionByName(search.any_term(index, "der The").select(F.lit("any").alias("kind"), "uid"))
 
@@ -69,7 +69,7 @@ def fulltext(g: Graph):
 )
 def trigram(g: Graph):
     parts = g.part().select("uid", "p_name")
-    index = search.trigram_index(parts, "p_name")
+    index = search.stored(search.trigram_index(parts, "p_name"), fresh_path(g.spark, "trigrams"), "trigram")
     out = None
     for pattern in ("re.*widget", "/RING$/i", "^blue b?olt"):
         rows = search.regexp_search(parts, index, "p_name", pattern).select(F.lit(pattern).alias("pattern"), "uid", "p_name")

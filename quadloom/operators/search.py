@@ -33,6 +33,13 @@ def write_sorted(df: DataFrame, path: str, *columns: str) -> None:
     df.repartitionByRange(*columns).sortWithinPartitions(*columns).write.parquet(path)
 
 
+def stored(index: DataFrame, path: str, column: str, key: str = "uid") -> DataFrame:
+    """An index written once, sorted by its entries: a search reads the files and row groups
+    that hold the wanted ones."""
+    write_sorted(index, path, column, key)
+    return index.sparkSession.read.schema(index.schema).parquet(path)
+
+
 def hash_index(df: DataFrame, column: str, key: str = "uid") -> DataFrame:
     return df.select(F.xxhash64(column).alias("hash"), F.col(column).alias("value"), key)
 
@@ -104,10 +111,12 @@ def regexp_search(df: DataFrame, index: DataFrame, column: str, pattern: str, ke
     """Candidates that hold all required trigrams, rechecked with the pattern; without
     required trigrams every row is rechecked."""
     needed = required_trigrams(pattern)
-    rows = df
-    if needed:
-        rows = df.join(holding_all(index, "trigram", needed, key), key, "left_semi")
-    return rows.where(F.col(column).rlike(to_java_pattern(pattern)))
+    matches = F.col(column).rlike(to_java_pattern(pattern))
+    if not needed:
+        return df.where(matches)
+    hits = holding_all(index, "trigram", needed, key).withColumn("_hit", F.monotonically_increasing_id() >= 0)
+    # The test needs a column of the hits, so it runs behind the join, on candidates only.
+    return df.join(hits, key).where(F.when(F.col("_hit"), matches).otherwise(False)).select(*df.columns)
 
 
 # date buckets ----------------------------------------------------------------

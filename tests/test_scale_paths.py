@@ -349,6 +349,16 @@ def test_regexp_search_equals_a_scan(graph, pattern):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_stored_index_is_read_by_pushed_filters(spark, graph, tmp_path):
+    parts = graph.part().select("uid", "p_name")
+    index = search.stored(search.trigram_index(parts, "p_name"), str(tmp_path / "trigrams"), "trigram")
+    found = search.regexp_search(parts, index, "p_name", "re.*widget")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(trigram" in plan
+    tested = [line for line in plan.splitlines() if "RLIKE" in line]
+    assert tested and not any("Scan" in line or "Filter" in line for line in tested)  # on candidates only
+
+
 def test_inverted_lists_of_a_common_term(spark):
     rows = [("text", "the", i) for i in range(1000)] + [("text", "rare", 5)]
     pages = search.inverted_lists(spark.createDataFrame(rows, "predicate string, term string, uid long"), page_size=300).collect()
