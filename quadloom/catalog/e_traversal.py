@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quadloom.catalog.common import CONTAINS, EVENTS, query, u
 from quadloom.catalog.f_counting import TENANTS, order_facts, shared, tenant
 from quadloom.model import value_fact
-from quadloom.operators import roots, traverse
+from quadloom.operators import roots, sets, traverse
 from quadloom.operators.traverse import TypeInfo
 from quadloom.plans.pages import nest
 from quadloom.sources.tables import Graph
@@ -99,10 +99,8 @@ def nested_path(g: Graph):
     nations = g.nation().select(F.col("uid").alias("in_nation"), "in_region", "n_name")
     customers = g.customer().select(F.col("uid").alias("placed_by"), "in_nation")
     orders = g.orders().select(F.col("uid").alias("order_uid"), "placed_by")
-    return (
-        orders.join(customers, "placed_by").join(nations, "in_nation").join(regions, "in_region")
-        .select("r_name", "n_name", F.col("placed_by").alias("customer"), "order_uid")
-    )
+    rows = traverse.follow_path(orders, [("placed_by", customers), ("in_nation", nations), ("in_region", regions)])
+    return rows.select("r_name", "n_name", F.col("placed_by").alias("customer"), "order_uid")
 
 
 CUSTOMER_UID, NATION_UID, ORDER_UID = u("Customer", "c_custkey"), u("Nation", "n_nationkey"), u("Order", "o_orderkey")
@@ -218,16 +216,11 @@ def variable(g: Graph):
     UNION ALL SELECT 'regions', {u('Region', 'r_regionkey')}, r_name FROM region""",
 )
 def blocks(g: Graph):
-    parts = {
+    return sets.blocks({
         "suppliers": g.supplier().where("s_acctbal < 0").select("uid", F.col("s_name").alias("name")),
         "customers": g.customer().where("c_acctbal < 0").select("uid", F.col("c_name").alias("name")),
         "regions": g.region().select("uid", F.col("r_name").alias("name")),
-    }
-    out = None
-    for block, rows in parts.items():
-        rows = rows.select(F.lit(block).alias("block"), "uid", "name")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    })
 
 
 @query(

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quadloom.catalog.c_mutations import LISTS, log_with_stars, state_rows
-from quadloom.catalog.common import LOG, query, state_sql
+from quadloom.catalog.common import LOG, hexa, query, state_sql, u
 from quadloom.catalog.f_counting import FACTS, TENANTS, facts, shared, tenant
-from quadloom.model import TYPE_PREDICATE, value_fact
+from quadloom.model import TYPE_PREDICATE, edge_fact, value_fact
 from quadloom.operators import history, mutate
-from quadloom.plans.cut import written
+from quadloom.plans.cut import fresh_path, written
 from quadloom.sources.tables import Graph
 
 
@@ -84,6 +84,26 @@ def export(g: Graph):
     return out
 
 
+@query(
+    "a06_export_files",
+    f"""WITH c AS (SELECT *, '<' || {hexa(u('Customer', 'c_custkey'))} || '>' AS s FROM customer)
+    SELECT 'c_name' AS predicate, s || ' <c_name> "' || c_name || '" .' AS line FROM c
+    UNION ALL SELECT 'c_acctbal', s || ' <c_acctbal> ' || c_acctbal || ' .' FROM c
+    UNION ALL SELECT 'c_mktsegment', s || ' <c_mktsegment> "' || c_mktsegment || '" .' FROM c
+    UNION ALL SELECT 'in_nation', s || ' <in_nation> <' || {hexa(u('Nation', 'c_nationkey'))} || '> .' FROM c
+    UNION ALL SELECT DISTINCT 'contains', '<' || {hexa(u('Order', 'l_orderkey'))} || '> <contains> <' || {hexa(u('Part', 'l_partkey'))} || '> .' FROM lineitem
+    UNION ALL SELECT 'source', '<' || {hexa(u('Document', 'doc_id'))} || '> <source> "' || source || '"@' || lang || ' .' FROM documents""",
+)
+def export_files(g: Graph):
+    """Values, single edges, list edges and language values written as files and read back."""
+    edges = g.contains_pairs()
+    rows = g.customer_facts().unionByName(edge_fact(edges, F.col("src"), "contains", F.col("dst")))
+    rows = rows.unionByName(value_fact(g.documents(), F.col("uid"), "source", F.col("source"), "string", lang=F.col("lang")))
+    path = fresh_path(g.spark, "export")
+    history.export(g.spark, mutate.as_log(rows, 1), path, 1, list_predicates=["contains"])
+    return g.spark.read.text(path).select("predicate", F.col("value").alias("line"))
+
+
 @query(
     "a07_bulk_summary",
     f"""WITH {FACTS}, labels AS (SELECT cast(o_orderkey % {TENANTS} AS BIGINT) AS namespace, 'node.type' AS predicate, o_orderkey // {TENANTS} AS subject,

@@ -28,3 +28,10 @@ def distinct_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("r"))
     return best.select(*keys, "r.*").select(*df.columns)
+
+
+def blocks(named: dict[str, DataFrame]) -> DataFrame:
+    """Several query blocks as one result: the rows of each under its name, in `block`. Columns
+    a block does not have are null."""
+    parts = [df.select(F.lit(name).alias("block"), "*") for name, df in named.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

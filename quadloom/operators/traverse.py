@@ -49,6 +49,14 @@ def follow(nodes: DataFrame, link: str, targets: DataFrame, key: str = "uid", ho
     return nodes.join(targets, nodes[link] == targets[key], how)
 
 
+def follow_path(nodes: DataFrame, steps: Sequence[tuple[str, DataFrame]], how: str = "inner") -> DataFrame:
+    """Expand a chain of single-valued edges: each step names the edge column and the frame
+    that has it as its key; the next step may use an edge column of that frame."""
+    for link, targets in steps:
+        nodes = nodes.join(targets, link, how)
+    return nodes
+
+
 def uid_matrix(edges: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Sorted distinct targets per source: (src, page, uids)."""
     return nest(
