@@ -9,7 +9,6 @@ are found whole, through the suffix links.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from itertools import repeat
@@ -179,7 +178,7 @@ def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
     window: int = 13,
-    coverage: float = 0.05,
+    coverage: float = 1 / 20,
     max_span: int | None = None,
     with_text: bool = False,
     carry: bool = False,
@@ -199,6 +198,7 @@ def decontaminate(
     rows = carried(docs, F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), text_of(docs, text).alias("text"), carry=carry)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), text_of(benchmark).alias("text"))
     context = docs.sparkSession.sparkContext
+    share = round(1 / coverage)  # whole numbers: no rounding at the limit
 
     def one_pass(df: DataFrame, shared, first: bool, last: bool) -> DataFrame:
         keep = with_text or not last
@@ -219,7 +219,7 @@ def decontaminate(
                     spans.append(joint)
                     found.append(sorted({*known, *(automaton.ids[i] for i in items_hit)}))
                     if with_text:
-                        over = hit and hit >= coverage * len(words)
+                        over = hit and hit * share >= len(words)
                         gone = [x for a, b in zip(joint[::2], joint[1::2]) if over or (max_span and b - a > max_span) for x in (a, b)]
                         cleaned.append(cut_out(body, gone) if gone else body.decode())
                 out = {"doc_id": batch.column(0)}
@@ -243,7 +243,6 @@ def decontaminate(
         source = rows if first else written(rows.select("doc_id", "text", "spans", "items", *["row"] * carry), "decontamination")
         rows = one_pass(source, context.broadcast(automaton), first, following is None)
         automaton, first = following, False
-    share = F.lit(round(1 / coverage)) if coverage else F.lit(0)
     return rows.drop("text").withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
 
 

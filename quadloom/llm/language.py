@@ -8,7 +8,6 @@ languages by cosine, after the mean of all languages is taken off.
 
 from __future__ import annotations
 
-import unicodedata  # noqa: F401  (str.isalpha follows it)
 from collections.abc import Iterator
 from functools import cache
 

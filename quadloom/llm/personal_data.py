@@ -29,7 +29,6 @@ KINDS = ["email", "ip", "card", "phone", "secret"]
 #: The fixed forms. The rewritten expressions match what the plain ones do, in linear time:
 #: an email's local part is looked up backwards from its @, and a run of digits is tried once.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]*+$")
 NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")

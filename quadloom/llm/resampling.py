@@ -54,8 +54,8 @@ def log_ratios(rows: DataFrame, ids: np.ndarray) -> np.ndarray:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
             texts = byte_texts(batch.column(1))
-            own = np.array([-1 if x is None else x for x in batch.column(0).to_pylist()], np.int64)
-            is_target = np.isin(own, known)
+            own = batch.column(0)
+            is_target = np.isin(own.fill_null(0).to_numpy(), known) & own.is_valid().to_numpy(zero_copy_only=False)
             for a, b in chunks(texts):
                 one, two, w = ngrams(texts[a:b])
                 mine = np.repeat(is_target[a:b], w.count)

@@ -123,20 +123,7 @@ def window_owner(first: np.ndarray, size: int) -> np.ndarray:
     return ok
 
 
-def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
-    """True for the positions 0..n-1 covered by windows of `size` from `starts`."""
-    step = np.zeros(n + 1, np.int32)
-    np.add.at(step, starts, 1)
-    np.add.at(step, np.minimum(starts + size, n), -1)
-    return np.cumsum(step[:-1]) > 0
-
-
 def sums_by_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sums of per-word values for each text."""
     total = np.concatenate([np.zeros(1, np.int64), np.cumsum(values, dtype=np.int64)])
     return total[first[1:]] - total[first[:-1]]
-
-
-def code_points(w: Words) -> np.ndarray:
-    """Code points before each byte of the chunk (length + 1 entries)."""
-    return np.concatenate([[0], np.cumsum((w.data & 0xC0) != 0x80)])
