@@ -168,7 +168,7 @@ def links(prints: DataFrame) -> DataFrame:
     found = None
     while True:
         here = keyed(rows, paths)
-        size = here.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        size = written(here.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key-sizes")
         sized = written(here.join(size, "key"), "shared-keys")
         last = BITS - min(map(len, paths)) <= FREE_BITS
         light = sized if last else sized.where(F.col("n") <= BUCKET)
