@@ -90,6 +90,7 @@ def repeated_edges(all_edges: DataFrame, k: int) -> DataFrame:
     """(key, hits): coordinates of the repeated edges of every text, with whether all
     occurrences share the right and the left neighbour."""
     often = all_edges.groupBy("edge").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("edge")
+    often = written(often, "often")  # so that the join reads two shuffles, and Spark can split a hot edge
     found = written(all_edges.join(often, "edge").distinct(), "repeated-edges")  # a repeated row has one key
     in_text = Window.partitionBy("key").orderBy("pos")  # one text at most
 
@@ -103,7 +104,7 @@ def repeated_edges(all_edges: DataFrame, k: int) -> DataFrame:
         return (F.count(side) == F.count(F.lit(1))) & (F.min(side) == F.max(side))
 
     nodes = linked.groupBy("edge").agg(F.coalesce(same("right"), F.lit(False)).alias("right_same"), F.coalesce(same("left"), F.lit(False)).alias("left_same"))
-    return found.join(nodes, "edge").groupBy("key").agg(F.collect_list(F.struct("pos", "edge", "right_same", "left_same")).alias("hits"))
+    return found.join(written(nodes, "edge-nodes"), "edge").groupBy("key").agg(F.collect_list(F.struct("pos", "edge", "right_same", "left_same")).alias("hits"))
 
 
 def proved_and_open(n: int, kept: np.ndarray, is_repeated: np.ndarray, right_same: np.ndarray, left_same: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -217,7 +218,7 @@ def compared(read: DataFrame) -> DataFrame:
     """(key, starts): windows among those to compare that occur twice or more."""
     waiting = read.where("text is not null").select("key", F.explode(F.arrays_zip("x", "one", "two")).alias("w"))
     rows = waiting.select("key", F.col("w.x").alias("x"), F.col("w.one").alias("one"), F.col("w.two").alias("two"))
-    often = rows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("one", "two")
+    often = written(rows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("one", "two"), "often")
     return rows.join(often, ["one", "two"]).groupBy("key").agg(F.collect_list("x").alias("starts"))
 
 
