@@ -213,7 +213,8 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     smallest doc_id stays (ids before null; of rows with one id the smallest text hash, of
     repeated rows one), with all its columns."""
     _, named = _named(docs, doc_id, text)
-    keep = named.select("chosen.doc_id", "chosen.text_hash").distinct().withColumnsRenamed({"doc_id": "kept_id", "text_hash": "kept_hash"})
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _text_hash(docs, text).alias("own_hash"), F.col(f"`{doc_id}`").cast("bigint").alias("own_id"))
-    kept = rows.join(keep, (F.col("own_hash") == F.col("kept_hash")) & F.col("own_id").eqNullSafe(F.col("kept_id")))
-    return kept.dropDuplicates(["own_hash", "own_id"]).select("row.*")
+    id_text = lambda c: F.coalesce(c.cast("bigint").cast("string"), F.lit("none"))  # noqa: E731  never null: one shuffle serves the join and what follows
+    keep = named.select(F.col("chosen.text_hash").alias("own_hash"), id_text(F.col("chosen.doc_id")).alias("own_id")).distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, _text_hash(docs, text).alias("own_hash"), id_text(F.col(f"`{doc_id}`")).alias("own_id"))
+    return rows.join(keep, ["own_hash", "own_id"]).dropDuplicates(["own_hash", "own_id"]).select("row.*")
