@@ -91,14 +91,17 @@ def repeated_edges(all_edges: DataFrame, k: int) -> DataFrame:
     occurrences share the right and the left neighbour."""
     often = all_edges.groupBy("edge").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("edge")
     often = written(often, "often")  # so that the join reads two shuffles, and Spark can split a hot edge
-    found = written(all_edges.join(often, "edge").distinct(), "repeated-edges")  # a repeated row has one key
+    found = written(all_edges.join(often, "edge"), "repeated-edges")
+    # A repeated row has one key: its coordinates count once as neighbours. Not before, as a
+    # distinct right behind the join would keep Spark from splitting it.
+    once = found.repartition("key").dropDuplicates(["key", "pos", "edge"])
     in_text = Window.partitionBy("key").orderBy("pos")  # one text at most
 
     def neighbour(step) -> Column:
         far = F.abs(step("pos").over(in_text) - F.col("pos"))
         return F.when(far <= k, F.xxhash64(step("edge").over(in_text), far))
 
-    linked = found.select("edge", "key", "pos", neighbour(F.lead).alias("right"), neighbour(F.lag).alias("left"))
+    linked = once.select("edge", "key", "pos", neighbour(F.lead).alias("right"), neighbour(F.lag).alias("left"))
 
     def same(side: str) -> Column:
         return (F.count(side) == F.count(F.lit(1))) & (F.min(side) == F.max(side))
