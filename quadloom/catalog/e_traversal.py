@@ -9,7 +9,7 @@ from quadloom.catalog.f_counting import TENANTS, order_facts, shared, tenant
 from quadloom.model import value_fact
 from quadloom.operators import roots, sets, traverse
 from quadloom.operators.traverse import TypeInfo
-from quadloom.plans.pages import nest
+from quadloom.plans.pages import PAGE_SIZE, nest
 from quadloom.sources.tables import Graph
 
 
@@ -152,17 +152,24 @@ def has_one(g: Graph):
     return traverse.follow(g.supplier(), "in_nation", nations, "nation_uid", "left").select("uid", "s_name", "n_name")
 
 
-@query(
-    "e06_has_many",
-    f"""WITH {CONTAINS}, p AS (SELECT *, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // 3 AS page FROM contains)
-    SELECT src AS uid, page, count(*)::INTEGER AS n, string_agg(dst::VARCHAR, ' ' ORDER BY dst) AS parts FROM p GROUP BY src, page""",
-)
-def has_many(g: Graph):
-    parts = traverse.uid_matrix(g.order_parts(), page_size=3)
-    return parts.select(
-        F.col("src").alias("uid"), "page", F.size("uids").alias("n"),
-        F.array_join(F.col("uids").cast("array<string>"), " ").alias("parts"),
+def _has_many(name: str, page_size: int):
+    @query(
+        name,
+        f"""WITH {CONTAINS}, p AS (SELECT *, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // {page_size} AS page FROM contains)
+        SELECT src AS uid, page, count(*)::INTEGER AS n, string_agg(dst::VARCHAR, ' ' ORDER BY dst) AS parts FROM p GROUP BY src, page""",
     )
+    def run(g: Graph):
+        parts = traverse.uid_matrix(g.order_parts(), page_size)
+        return parts.select(
+            F.col("src").alias("uid"), "page", F.size("uids").alias("n"),
+            F.array_join(F.col("uids").cast("array<string>"), " ").alias("parts"),
+        )
+
+    return run
+
+
+_has_many("e06_has_many", PAGE_SIZE)
+_has_many("e06_has_many_pages", 3)
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quadloom.catalog.common import CONTAINS, EVENTS, LOG, query, u
 from quadloom.model import edge_fact, value_fact, wide_to_facts
 from quadloom.operators import counting
+from quadloom.plans.pages import PAGE_SIZE
 from quadloom.sources.tables import Graph, uid_of
 
 TENANTS = 5
@@ -91,14 +92,21 @@ def predicate_sizes(g: Graph):
     return counting.predicate_sizes(facts(g))
 
 
-@query(
-    "f07_posting_lists",
-    f"""WITH {FACTS}, p AS (SELECT *, (row_number() OVER (PARTITION BY namespace, predicate, subject ORDER BY object_uid, value) - 1) // 3 AS page FROM facts)
-    SELECT namespace, predicate, subject, page, string_agg(coalesce(object_uid::VARCHAR, value), ' ' ORDER BY object_uid, value) AS postings FROM p GROUP BY ALL""",
-)
-def posting_lists(g: Graph):
-    rows = counting.posting_lists(order_facts(g).unionByName(contains_facts(g, distinct=False)), page_size=3)
-    return rows.select("namespace", "predicate", "subject", "page", F.array_join("postings", " ").alias("postings"))
+def _postings(name: str, page_size: int):
+    @query(
+        name,
+        f"""WITH {FACTS}, p AS (SELECT *, (row_number() OVER (PARTITION BY namespace, predicate, subject ORDER BY object_uid, value) - 1) // {page_size} AS page FROM facts)
+        SELECT namespace, predicate, subject, page, string_agg(coalesce(object_uid::VARCHAR, value), ' ' ORDER BY object_uid, value) AS postings FROM p GROUP BY ALL""",
+    )
+    def run(g: Graph):
+        rows = counting.posting_lists(order_facts(g).unionByName(contains_facts(g, distinct=False)), page_size)
+        return rows.select("namespace", "predicate", "subject", "page", F.array_join("postings", " ").alias("postings"))
+
+    return run
+
+
+_postings("f07_posting_lists", PAGE_SIZE)
+_postings("f07_posting_pages", 6)
 
 
 @query(

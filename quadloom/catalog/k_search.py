@@ -10,6 +10,7 @@ from quadloom.catalog.common import query, u
 from quadloom.functions import geo
 from quadloom.operators import search
 from quadloom.plans.cut import fresh_path
+from quadloom.plans.pages import PAGE_SIZE
 from quadloom.plans.spread import spread_out
 from quadloom.sources.tables import Graph
 
@@ -191,15 +192,22 @@ def vector_lsh(g: Graph):
     )
 
 
-@query(
-    "k10_inverted_index",
-    f"""WITH {TERMS}, p AS (SELECT *, (row_number() OVER (PARTITION BY term ORDER BY doc_id) - 1) // 50 AS page FROM terms)
-    SELECT 'text' AS predicate, term, page, count(*)::INTEGER AS n, string_agg(({DOC})::VARCHAR, ' ' ORDER BY doc_id) AS uids FROM p GROUP BY term, page""",
-)
-def inverted_index(g: Graph):
-    index = search.term_index(spread_out(g.documents(), "uid"), "text").select(F.lit("text").alias("predicate"), "term", "uid")
-    lists = search.inverted_lists(index, page_size=50)
-    return lists.select("predicate", "term", "page", F.size("uids").alias("n"), F.array_join(F.col("uids").cast("array<string>"), " ").alias("uids"))
+def _inverted(name: str, page_size: int):
+    @query(
+        name,
+        f"""WITH {TERMS}, p AS (SELECT *, (row_number() OVER (PARTITION BY term ORDER BY doc_id) - 1) // {page_size} AS page FROM terms)
+        SELECT 'text' AS predicate, term, page, count(*)::INTEGER AS n, string_agg(({DOC})::VARCHAR, ' ' ORDER BY doc_id) AS uids FROM p GROUP BY term, page""",
+    )
+    def run(g: Graph):
+        index = search.term_index(spread_out(g.documents(), "uid"), "text").select(F.lit("text").alias("predicate"), "term", "uid")
+        lists = search.inverted_lists(index, page_size)
+        return lists.select("predicate", "term", "page", F.size("uids").alias("n"), F.array_join(F.col("uids").cast("array<string>"), " ").alias("uids"))
+
+    return run
+
+
+_inverted("k10_inverted_index", PAGE_SIZE)
+_inverted("k10_inverted_pages", 50)
 
 
 @query(

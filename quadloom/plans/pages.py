@@ -31,6 +31,7 @@ def with_page(df: DataFrame, group: Sequence[str], order: Sequence[str], page_si
     group = list(group)
     if _largest(df, group) <= page_size:
         return df.withColumn("page", F.lit(0).cast("long"))
+    df = written(df, "paged")  # read three times below
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     big = sizes.where(F.col("_n") > page_size).select(*group)  # at most rows / page_size rows
     small_rows = df.join(big, group, "left_anti").withColumn("page", F.lit(0).cast("long"))
