@@ -1,7 +1,8 @@
 """Personal data: fixed forms, and identifiers found from the contexts those forms induce.
 
 1. Seeds: texts that have one of the fixed forms (email, ip, card, phone) or are long key-like
-   strings (secret). The words before a seed are its lexical patterns. A pattern that has at
+   strings (secret). The words before a seed and the marks between are its
+   lexical patterns, whether blanks stand between or not. A pattern that has at
    least `share` of all seed occurrences of a kind is a candidate, so there are at most
    2 / share candidates per kind, whatever the size of the input.
 2. Graph: how often each candidate pattern is followed by which identifier, or by any other
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Container, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -37,9 +38,18 @@ ANY = re.compile(r"[0-9@]")
 DIGITS = re.compile(r"[^0-9]+")
 #: Key-like strings: long hexadecimal, or long and mixed of letters and digits.
 SECRET = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])(?:[0-9a-fA-F]{32,}|[A-Za-z0-9_/+=-]{36,})")
-TOKEN = re.compile(r"\S+")
-OPEN, CLOSE = "\"'`([{<", "\"'`)]}>.,;:!?#*$%&|"
-LONGEST_CONTEXT = 64
+#: Texts are read in units: runs without white space, signs of assignment, quotes and marks of
+#: lists. The same units give patterns and are matched by them, so `key="x"`, `{"key":"x"}` and
+#: `key = "x"` all show what follows the key.
+GAP = re.compile(r"[\s=:\"'`,;&?|(){}\[\]<>]")
+UNIT = re.compile(r"([\s=:\"'`,;&?|(){}\[\]<>]*+)([^\s=:\"'`,;&?|(){}\[\]<>]++)")
+RUN = re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-][A-Za-z0-9_/+=-]{31,}+")
+ASSIGN = re.compile("=+")
+RUN_END = re.compile(r"[\"'`)\]}>.,;:!?#*$%&|]*+(?:\s|$)|[\"'`,;&)}\]>]")
+QUOTES, CLOSE = "\"'`", "\"'`)]}>.,;:!?#*$%&|"
+QUOTED = {q: re.compile(rf"[^\s{q}]+") for q in QUOTES}
+BARE = re.compile(r"""(?:[^\s"'`,;&|}]|[,;&|}](?!["']?[A-Za-z_][\w.-]*+["']?[=:]))+""")
+LONGEST_CONTEXT, LONGEST_GLUE = 64, 8
 
 
 def luhn(digits: str) -> bool:
@@ -83,45 +93,60 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return out
 
 
-def core(token: str) -> tuple[int, int]:
-    """The part of a token without opening and closing marks."""
-    a, b = 0, len(token)
-    while a < b and token[a] in OPEN:
-        a += 1
-    while b > a and token[b - 1] in CLOSE:
+def value_end(text: str, at: int, glue: str) -> int:
+    """Where the value that begins at `at` ends, closing marks left off: at white space or the
+    quote that opened it; without one at any quote, or where a next key begins."""
+    quote = glue[-1:] if glue[-1:] in QUOTES else ""
+    b = (QUOTED[quote] if quote else BARE).match(text, at).end()
+    while b > at and text[b - 1] in CLOSE:
         b -= 1
-    return a, b
+    return b
 
 
 def identifier(word: str) -> bool:
     return len(word) >= 6 and bool(ANY.search(word))
 
 
-def contexts(before: list[str], opening: str) -> list[str]:
-    """Patterns of what stands before an entity: the last word, the last two, each with the
-    marks that open the entity; lower case. Overlong words make no pattern."""
-    words = [w.lower() for w in before[-2:]]
-    return [
-        f"{' '.join(words[-k:])} {opening}"
+def contexts(before: list[str], glue: str) -> list[str]:
+    """Patterns of what stands before an entity: the last word, the last two, and a sign of
+    assignment alone, each with the marks between it and the entity. Overlong words and marks
+    make no pattern."""
+    if len(glue) > LONGEST_GLUE:
+        return []
+    return [" " + glue] * ("=" in glue or ":" in glue) + [
+        f"{' '.join(before[-k:])} {glue}"
         for k in (1, 2)
-        if len(words) >= k and sum(map(len, words[-k:])) <= LONGEST_CONTEXT
+        if len(before) >= k and sum(map(len, before[-k:])) <= LONGEST_CONTEXT
     ]
 
 
-def words_before(text: str, at: int) -> list[str]:
-    return text[max(0, at - 4 * LONGEST_CONTEXT) : at].split()[-2:]
+def lowered(text: str) -> str:
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def before(text: str, at: int) -> tuple[list[str], str] | None:
+    """The last two units before a place and the marks behind them; none inside a unit."""
+    part = lowered(text[max(0, at - 4 * LONGEST_CONTEXT) : at])
+    words = UNIT.findall(part)
+    rest = part[sum(len(g) + len(w) for g, w in words) :]
+    return None if part and not rest else ([w for _, w in words[-2:]], "".join(rest.split()))
 
 
 def seeds(text: str) -> Iterator[tuple[int, str, int]]:
-    """Base spans, and key-like tokens that hold none of them."""
+    """Base spans, and key-like strings that hold none of them, without the key they are
+    attached to."""
     found = base_spans(text)
     yield from found
     if ANY.search(text):
-        for m in TOKEN.finditer(text):
-            if m.end() - m.start() >= 32:
-                a, b = core(m[0])
-                if SECRET.fullmatch(m[0], a, b) and not any(s < m.start() + b and e > m.start() + a for s, _, e in found):
-                    yield m.start() + a, "secret", m.start() + b
+        for m in RUN.finditer(text):
+            a, b = m.span()
+            if text.startswith("//", a) or (a and not GAP.match(text[a - 1])) or not RUN_END.match(text, b):
+                continue
+            starts = [a, *(x.end() for x in ASSIGN.finditer(text, a, b))]
+            a = max((x for x in starts if SECRET.fullmatch(text, x, b)), default=-1)
+            if a >= 0 and not any(s < b and e > a for s, _, e in found):
+                yield a, "secret", b
 
 
 def seed_patterns(texts: DataFrame, share: float, least: int) -> list[tuple[str, str]]:
@@ -134,9 +159,8 @@ def seed_patterns(texts: DataFrame, share: float, least: int) -> list[tuple[str,
             own = set()
             for a, kind, _ in seeds(text or ""):
                 own.add((kind, ""))
-                line = text[max(0, a - 8) : a]
-                opening = line[len(line.rstrip(OPEN)) :]
-                own.update((kind, p) for p in contexts(words_before(text, a - len(opening)), opening))
+                if known := before(text, a):
+                    own.update((kind, p) for p in contexts(*known))
             count.update(own)
         keys = list(count)
         return {"kind": pa.array([k for k, _ in keys], pa.string()), "pattern": pa.array([p for _, p in keys], pa.string()), "n": pa.array([count[k] for k in keys], pa.int64())}
@@ -148,24 +172,31 @@ def seed_patterns(texts: DataFrame, share: float, least: int) -> list[tuple[str,
     return [(r["kind"], r["pattern"]) for r in chosen.select("kind", "pattern").collect()]  # at most 2 / share per kind
 
 
-def followers(text: str, patterns: set[str], last: set[str]) -> Iterator[tuple[str, int, int]]:
-    """(pattern, start, end) of every token that follows a candidate pattern."""
-    low = text.lower().split()
-    if last.isdisjoint(low):
-        return
-    tokens, places = text.split(), [m.start() for m in TOKEN.finditer(text)]
-    for i, word in enumerate(low[:-1]):
-        if word in last:
-            a, b = core(tokens[i + 1])
-            for p in contexts(tokens[max(0, i - 1) : i + 1], tokens[i + 1][:a]):
-                if p in patterns:
-                    yield p, places[i + 1] + a, places[i + 1] + b
+def last_words(patterns: Iterable[str]) -> set[str]:
+    """The words directly before the marks of patterns; empty for marks alone."""
+    return {p.rsplit(" ", 1)[0].rsplit(" ", 1)[-1] for p in patterns}
+
+
+def followers(text: str, patterns: Container[str], last: set[str]) -> Iterator[tuple[str, int, int]]:
+    """(pattern, start, end) of every value that follows a candidate pattern."""
+    at, one, two, marks = 0, "", "", "" in last
+    for gap, word in UNIT.findall(lowered(text)):
+        at += len(gap)
+        if one in last or (marks and ("=" in gap or ":" in gap)):
+            glue = "" if gap == " " else "".join(gap.split())
+            hit = [p for p in contexts([w for w in (two, one) if w], glue) if p in patterns]
+            if hit:
+                end = value_end(text, at, glue)
+                for p in hit:
+                    yield p, at, end
+        at += len(word)
+        one, two = word, one
 
 
 def graph(texts: DataFrame, patterns: set[str]) -> DataFrame:
     """(pattern, instance, kind, n): what follows each pattern how often in all texts; ordinary
     words are one instance without name, kind is set where the instance is a seed."""
-    last = {p.rsplit(" ", 1)[0].rsplit(" ", 1)[-1] for p in patterns}
+    last = last_words(patterns)
 
     def run(batch: pa.RecordBatch) -> dict:
         count: Counter = Counter()
@@ -230,15 +261,15 @@ def find(docs: DataFrame, share: float = 0.01, least: int = 5, rounds: int = 3,
     candidates = seed_patterns(rows.select("text"), share, least)
     known = confident(graph(rows.select("text"), {p for _, p in candidates}), candidates, rounds, confidence) if candidates else {}
     names = set(known)
-    last = {p.rsplit(" ", 1)[0].rsplit(" ", 1)[-1] for p in names}
+    last = last_words(names)
 
     def spans(text: str | None) -> tuple[list, list]:
         base = sorted(base_spans(text or ""), key=lambda s: (s[0], KINDS.index(s[1])))
-        more = {}
+        more, free = {}, 0
         if text and names:
             for p, a, b in followers(text, names, last):
-                if identifier(text[a:b]) and not any(s < b and e > a for s, _, e in base):
-                    more[a, b] = known[p]
+                if (a >= free or (a, b) in more) and identifier(text[a:b]) and not any(s < b and e > a for s, _, e in base):
+                    more[a, b], free = known[p], b
         every = sorted([*base, *((a, k, b) for (a, b), k in more.items())], key=lambda s: (s[0], KINDS.index(s[1])))
         return [[{"kind": k, "start": a, "end": b} for a, k, b in x] for x in (base, every)]
 

@@ -291,6 +291,18 @@ def test_patterns_find_unseen(spark):
     assert all(got[i]["masked"].startswith('some words the 1234567 of api_key = "<SECRET>"') for i in range(40))
 
 
+def test_identifiers_attached_to_their_keys(spark):
+    rnd = random.Random(9)
+    hexa = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    forms = ['set api_key="%s" here', 'x {"token":"%s","next":1} y', "curl ?auth=%s&page=2 now", "login:%s, then on", "id pass = '%s'."]
+    rows = [(i, forms[i % 5] % hexa(40)) for i in range(200)] + [(300 + i, f % "Zx81-unseen") for i, f in enumerate(forms)]
+    rows += [(400, "pass = 'a1,b:2=c3'"), (401, "a login:name and a token are words")]
+    got = {r["doc_id"]: r["masked"] for r in personal_data.find(spark.createDataFrame(rows, "doc_id int, text string"), with_text=True).collect()}
+    assert all(got[i] == forms[i % 5] % "<SECRET>" for i in range(200))
+    assert [got[300 + i] for i in range(5)] == [f % "<SECRET>" for f in forms]
+    assert got[400] == "pass = '<SECRET>'" and got[401] == rows[-1][1]
+
+
 # 7: packing
 
 
