@@ -1,10 +1,11 @@
 """Personal data: fixed forms, and identifiers found from the contexts those forms induce.
 
 1. Seeds: texts that have one of the fixed forms (email, ip, card, phone) or are long key-like
-   strings (secret). The words before a seed and the marks between are its
-   lexical patterns, whether blanks stand between or not. A pattern that has at
-   least `share` of all seed occurrences of a kind is a candidate, so there are at most
-   2 / share candidates per kind, whatever the size of the input.
+   strings (secret). The words before a seed and the marks between are its lexical patterns,
+   whether blanks stand between or not. A pattern with seeds of a kind in `least` documents or
+   more is a candidate, however many other documents there are: more rows never take one away.
+   Candidates, graph and scores are Spark tables; texts are matched with blocks of about BLOCK
+   patterns, more patterns take more passes.
 2. Graph: how often each candidate pattern is followed by which identifier, or by any other
    word, counted over all texts.
 3. Scoring: identifiers start with 1 for the kind of a seed and 0 else. A pattern scores the
@@ -21,7 +22,7 @@ from collections import Counter
 from collections.abc import Container, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
 from quadloom.llm.tables import carried, carried_on, map_batches, schema_of, text_of
 from quadloom.plans.cut import written
@@ -35,6 +36,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 ANY = re.compile(r"[0-9@]")
+DIGIT_START = tuple("+0123456789")
 DIGITS = re.compile(r"[^0-9]+")
 #: Key-like strings: long hexadecimal, or long and mixed of letters and digits.
 SECRET = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])(?:[0-9a-fA-F]{32,}|[A-Za-z0-9_/+=-]{36,})")
@@ -50,6 +52,9 @@ QUOTES, CLOSE = "\"'`", "\"'`)]}>.,;:!?#*$%&|"
 QUOTED = {q: re.compile(rf"[^\s{q}]+") for q in QUOTES}
 BARE = re.compile(r"""(?:[^\s"'`,;&|}]|[,;&|}](?!["']?[A-Za-z_][\w.-]*+["']?[=:]))+""")
 LONGEST_CONTEXT, LONGEST_GLUE = 64, 8
+#: Patterns (of at most 75 characters) that a pass over the texts looks for.
+BLOCK = 200_000
+MARK = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("size", pa.int32()), ("kind", pa.string())])
 
 
 def luhn(digits: str) -> bool:
@@ -149,16 +154,15 @@ def seeds(text: str) -> Iterator[tuple[int, str, int]]:
                 yield a, "secret", b
 
 
-def seed_patterns(texts: DataFrame, share: float, least: int) -> list[tuple[str, str]]:
-    """Candidate (kind, pattern): in `least` documents or more, and at least `share` of the
-    documents with a seed of the kind."""
+def seed_patterns(texts: DataFrame, least: int) -> DataFrame:
+    """Candidate (of, pattern): kinds and what stands before their seeds in `least` documents or
+    more."""
 
     def run(batch: pa.RecordBatch) -> dict:
         count: Counter = Counter()
         for text in batch.column(0).to_pylist():
             own = set()
             for a, kind, _ in seeds(text or ""):
-                own.add((kind, ""))
                 if known := before(text, a):
                     own.update((kind, p) for p in contexts(*known))
             count.update(own)
@@ -166,10 +170,15 @@ def seed_patterns(texts: DataFrame, share: float, least: int) -> list[tuple[str,
         return {"kind": pa.array([k for k, _ in keys], pa.string()), "pattern": pa.array([p for _, p in keys], pa.string()), "n": pa.array([count[k] for k in keys], pa.int64())}
 
     counted = map_batches(texts, run, "kind string, pattern string, n bigint").groupBy("kind", "pattern").agg(F.sum("n").alias("n"))
-    counted = written(counted, "seed-patterns")
-    totals = counted.where("pattern = ''").select("kind", F.col("n").alias("total"))
-    chosen = counted.where("pattern != ''").join(F.broadcast(totals), "kind").where((F.col("n") >= least) & (F.col("n") >= share * F.col("total")))
-    return [(r["kind"], r["pattern"]) for r in chosen.select("kind", "pattern").collect()]  # at most 2 / share per kind
+    return written(counted.where(F.col("n") >= least).select(F.col("kind").alias("of"), "pattern"), "seed-patterns")
+
+
+def in_blocks(patterns: DataFrame) -> Iterator[list[Row]]:
+    """Rows of different patterns in blocks of about BLOCK, the driver holds one at a time; none
+    for no rows."""
+    n = -(-patterns.count() // BLOCK)
+    for i in range(n):
+        yield patterns.where(F.pmod(F.xxhash64("pattern"), F.lit(n)) == i).collect()
 
 
 def last_words(patterns: Iterable[str]) -> set[str]:
@@ -178,77 +187,82 @@ def last_words(patterns: Iterable[str]) -> set[str]:
 
 
 def followers(text: str, patterns: Container[str], last: set[str]) -> Iterator[tuple[str, int, int]]:
-    """(pattern, start, end) of every value that follows a candidate pattern."""
+    """(pattern, start, end) of every value that follows a candidate pattern; of one value the
+    shorter patterns first."""
     at, one, two, marks = 0, "", "", "" in last
     for gap, word in UNIT.findall(lowered(text)):
         at += len(gap)
+        end = at + len(word)
         if one in last or (marks and ("=" in gap or ":" in gap)):
             glue = "" if gap == " " else "".join(gap.split())
-            hit = [p for p in contexts([w for w in (two, one) if w], glue) if p in patterns]
+            after = f"{one} {glue}"
+            hit = [after] if one and after in patterns else []
+            if two and (after := f"{two} {after}") in patterns:
+                hit.append(after)
+            if ("=" in glue or ":" in glue) and (after := " " + glue) in patterns:
+                hit.insert(0, after)
             if hit:
-                end = value_end(text, at, glue)
+                plain = word.isalpha() and text[end : end + 1] == " "
                 for p in hit:
-                    yield p, at, end
-        at += len(word)
-        one, two = word, one
-
-
-def graph(texts: DataFrame, patterns: set[str]) -> DataFrame:
-    """(pattern, instance, kind, n): what follows each pattern how often in all texts; ordinary
-    words are one instance without name, kind is set where the instance is a seed."""
-    last = last_words(patterns)
-
-    def run(batch: pa.RecordBatch) -> dict:
-        count: Counter = Counter()
-        for text in batch.column(0).to_pylist():
-            if not text:
-                continue
-            known = None
-            for p, a, b in followers(text, patterns, last):
-                word = text[a:b]
-                if identifier(word) or (b < len(text) and word[:1] in "+0123456789"):
-                    if known is None:
-                        known = {s: (k, e) for s, k, e in seeds(text)}
-                    kind, end = known.get(a, (None, b))
-                    count[p, text[a : min(end, a + 256)], kind] += 1
-                else:
-                    count[p, "", None] += 1
-        keys = list(count)
-        return {
-            "pattern": pa.array([k[0] for k in keys], pa.string()), "instance": pa.array([k[1] for k in keys], pa.string()),
-            "kind": pa.array([k[2] for k in keys], pa.string()), "n": pa.array([count[k] for k in keys], pa.int64()),
-        }
-
-    edges = map_batches(texts, run, "pattern string, instance string, kind string, n bigint")
-    return written(edges.groupBy("pattern", "instance", "kind").agg(F.sum("n").alias("n")), "pattern-graph")
-
-
-def confident(edges: DataFrame, candidates: list[tuple[str, str]], rounds: int, confidence: float) -> dict[str, str]:
-    """Pattern to kind, for the patterns that score `confidence` or more after `rounds` rounds."""
-    spark = edges.sparkSession
-    pairs = F.broadcast(spark.createDataFrame(candidates, "of string, pattern string"))
-    by_kind = edges.join(pairs, "pattern").select("pattern", "of", "instance", "n", (F.col("kind") == F.col("of")).alias("seed"))
-    by_kind = by_kind.groupBy("pattern", "of", "instance").agg(F.sum("n").alias("n"), F.max(F.coalesce("seed", F.lit(False))).alias("seed"))
-    belief = by_kind.groupBy("of", "instance").agg(F.max(F.col("seed").cast("double")).alias("belief"))
+                    yield p, at, end if plain else value_end(text, at, glue)
+        at, one, two = end, word, one
+
+
+def graph(texts: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(pattern, instance, n, kinds): what follows each candidate pattern how often in all
+    texts; ordinary words are one instance without name, kinds has those of seeds."""
+
+    def one_pass(patterns: set[str]) -> DataFrame:
+        last = last_words(patterns)
+
+        def run(batch: pa.RecordBatch) -> dict:
+            count: Counter = Counter()
+            for text in batch.column(0).to_pylist():
+                if not text:
+                    continue
+                known = None
+                for p, a, b in followers(text, patterns, last):
+                    word = text[a:b]
+                    if identifier(word) or (b < len(text) and word[:1] in DIGIT_START):
+                        if known is None:
+                            known = {s: (k, e) for s, k, e in seeds(text)}
+                        kind, end = known.get(a, (None, b))
+                        count[p, text[a : min(end, a + 256)], kind] += 1
+                    else:
+                        count[p, "", None] += 1
+            keys = list(count)
+            return {
+                "pattern": pa.array([k[0] for k in keys], pa.string()), "instance": pa.array([k[1] for k in keys], pa.string()),
+                "kind": pa.array([k[2] for k in keys], pa.string()), "n": pa.array([count[k] for k in keys], pa.int64()),
+            }
+
+        return map_batches(texts, run, "pattern string, instance string, kind string, n bigint")
+
+    edges = None
+    for block in in_blocks(candidates.select("pattern").distinct()):
+        found = one_pass({r["pattern"] for r in block})
+        edges = found if edges is None else edges.unionAll(found)
+    kinds = F.collect_set("kind").alias("kinds")  # five at most
+    return written(edges.groupBy("pattern", "instance").agg(F.sum("n").alias("n"), kinds), "pattern-graph")
+
+
+def confident(edges: DataFrame, candidates: DataFrame, rounds: int, confidence: float) -> DataFrame:
+    """(pattern, kind) of the patterns that score `confidence` or more after `rounds` rounds."""
+    seed = F.array_contains("kinds", F.col("of")).cast("double").alias("seed")
+    by_kind = written(edges.join(candidates, "pattern").select("pattern", "of", "instance", "n", seed), "pattern-kinds")
+    total = written(by_kind.groupBy("of", "pattern").agg(F.sum("n").alias("all")), "pattern-totals")
+    named = by_kind.where("instance != ''")  # ordinary words stay at 0
+    belief = named.groupBy("of", "instance").agg(F.max("seed").alias("belief"))
     scores = None
     for _ in range(rounds):
-        scores = (
-            by_kind.join(belief, ["of", "instance"]).groupBy("of", "pattern")
-            .agg(F.sum(F.col("n") * F.col("belief")).alias("good"), F.sum("n").alias("all"))
-            .select("of", "pattern", (F.col("good") / (F.col("all") + 1)).alias("score"))
-        )
-        scores = written(scores, "pattern-scores")  # at most as many rows as candidates
-        belief = (
-            by_kind.join(F.broadcast(scores), ["of", "pattern"]).groupBy("of", "instance")
-            .agg(F.greatest(F.max(F.col("seed").cast("double")), F.max(F.when(F.col("instance") != "", F.col("score")).otherwise(0.0))).alias("belief"))
-        )
-    best: dict[str, tuple[float, str]] = {}
-    for r in scores.where(F.col("score") >= confidence).collect():
-        best[r["pattern"]] = max(best.get(r["pattern"], (0.0, "")), (r["score"], r["of"]))
-    return {p: kind for p, (_, kind) in best.items()}
-
-
-def find(docs: DataFrame, share: float = 0.01, least: int = 5, rounds: int = 3, confidence: float = 0.9, with_text: bool = False, carry: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+        good = named.join(belief, ["of", "instance"]).groupBy("of", "pattern").agg(F.sum(F.col("n") * F.col("belief")).alias("good"))
+        scores = written(good.join(total, ["of", "pattern"]).select("of", "pattern", (F.col("good") / (F.col("all") + 1)).alias("score")), "pattern-scores")
+        belief = named.join(scores, ["of", "pattern"]).groupBy("of", "instance").agg(F.greatest(F.max("seed"), F.max("score")).alias("belief"))
+    best = scores.where(F.col("score") >= confidence).groupBy("pattern").agg(F.max(F.struct("score", "of")).alias("best"))
+    return written(best.select("pattern", F.col("best.of").alias("kind")), "confident-patterns")
+
+
+def find(docs: DataFrame, least: int = 5, rounds: int = 3, confidence: float = 0.9, with_text: bool = False, carry: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, `base` and `found`, arrays of (kind, start, end) in
     code points, end exclusive, by start, then kind; `found` has the base spans and the spans of
     confident patterns that touch no base span. `with_text` adds `masked`, the text with every
@@ -258,33 +272,58 @@ def find(docs: DataFrame, share: float = 0.01, least: int = 5, rounds: int = 3,
     A null or empty text has no spans. Texts of any length are read whole. Repeated rows all
     stay, null ids stay null, an empty table gives no rows, other columns are not looked at."""
     rows = carried(docs, F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), text_of(docs, text).alias("text"), carry=carry)
-    candidates = seed_patterns(rows.select("text"), share, least)
-    known = confident(graph(rows.select("text"), {p for _, p in candidates}), candidates, rounds, confidence) if candidates else {}
-    names = set(known)
-    last = last_words(names)
+    texts = rows.select("text")
+    candidates = seed_patterns(texts, least)
+    names = [] if candidates.isEmpty() else in_blocks(confident(graph(texts, candidates), candidates, rounds, confidence))
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    struct = "array<struct<kind: string, start: int, end: int>>"
 
-    def spans(text: str | None) -> tuple[list, list]:
+    def after_patterns(text: str | None, known: dict[str, str], last: set[str], had: list) -> list:
+        """Spans (start, end, length of the pattern, kind) behind the patterns, and `had`."""
+        if not text or not known:
+            return had
+        return had + [{"start": a, "end": b, "size": len(p), "kind": known[p]} for p, a, b in followers(text, known, last) if identifier(text[a:b])]
+
+    def spans(text: str | None, marked: list) -> tuple[list, list]:
         base = sorted(base_spans(text or ""), key=lambda s: (s[0], KINDS.index(s[1])))
         more, free = {}, 0
-        if text and names:
-            for p, a, b in followers(text, names, last):
-                if (a >= free or (a, b) in more) and identifier(text[a:b]) and not any(s < b and e > a for s, _, e in base):
-                    more[a, b], free = known[p], b
+        for s in sorted(marked, key=lambda s: (s["start"], s["size"])):
+            a, b = s["start"], s["end"]
+            if (a >= free or (a, b) in more) and not any(x < b and y > a for x, _, y in base):
+                more[a, b], free = s["kind"], b
         every = sorted([*base, *((a, k, b) for (a, b), k in more.items())], key=lambda s: (s[0], KINDS.index(s[1])))
         return [[{"kind": k, "start": a, "end": b} for a, k, b in x] for x in (base, every)]
 
-    def run(batch: pa.RecordBatch) -> dict:
-        texts = batch.column(1).to_pylist()
-        both = [spans(t) for t in texts]
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        out = {"doc_id": batch.column(0), "base": pa.array([x for x, _ in both], kind), "found": pa.array([x for _, x in both], kind)}
-        if with_text:
-            out["masked"] = pa.array([masked(t, every) for t, (_, every) in zip(texts, both)], pa.string())
-        return out | carried_on(batch)
-
-    struct = "array<struct<kind: string, start: int, end: int>>"
-    columns = f"doc_id bigint, base {struct}, found {struct}" + ", masked string" * with_text
-    return map_batches(rows, run, schema_of(columns, docs if carry else None))
+    def one_pass(df: DataFrame, known: dict[str, str], first: bool, final: bool) -> DataFrame:
+        last = last_words(known)
+
+        def run(batch: pa.RecordBatch) -> dict:
+            texts = batch.column(1).to_pylist()
+            had = [[]] * len(texts) if first else batch.column("marked").to_pylist()
+            marked = [after_patterns(t, known, last, h) for t, h in zip(texts, had)]
+            out = {"doc_id": batch.column(0)}
+            if not final:
+                return out | {"text": batch.column(1), "marked": pa.array(marked, pa.list_(MARK))} | carried_on(batch)
+            both = [spans(t, m) for t, m in zip(texts, marked)]
+            out |= {"base": pa.array([x for x, _ in both], kind), "found": pa.array([x for _, x in both], kind)}
+            if with_text:
+                out["masked"] = pa.array([masked(t, every) for t, (_, every) in zip(texts, both)], pa.string())
+            return out | carried_on(batch)
+
+        columns = f"doc_id bigint, base {struct}, found {struct}" + ", masked string" * with_text
+        if not final:
+            columns = "doc_id bigint, text string, marked array<struct<start: int, end: int, size: int, kind: string>>"
+        return map_batches(df, run, schema_of(columns, docs if carry else None))
+
+    waiting, first = iter(names), True
+    block = next(waiting, [])
+    while block is not None:
+        following = next(waiting, None)
+        rows = one_pass(rows, {r["pattern"]: r["kind"] for r in block}, first, following is None)
+        block, first = following, False
+        if block is not None:
+            rows = written(rows, "marked-texts")
+    return rows
 
 
 def masked(text: str | None, spans: list[dict]) -> str | None:

@@ -303,6 +303,21 @@ def test_identifiers_attached_to_their_keys(spark):
     assert got[400] == "pass = '<SECRET>'" and got[401] == rows[-1][1]
 
 
+@pytest.mark.parametrize("block", [200_000, 2])
+def test_a_hot_source_takes_no_pattern_away(spark, monkeypatch, block):
+    """20 documents show a pattern, whatever the other 3,000 with a seed of its kind look like."""
+    monkeypatch.setattr(personal_data, "BLOCK", block)
+    rnd = random.Random(10)
+    hexa = lambda n: "".join(rnd.choice("abcdef") + rnd.choice("0123456789") for _ in range(n // 2))  # noqa: E731  no card inside
+    rows = [(i, f"the footer has commit {hexa(40)}") for i in range(3000)]
+    rows += [(i, f'set token = "{hexa(40)}" here') for i in range(3000, 3020)] + [(4000, 'set token = "Zx81-unseen" here')]
+    rows += [(i, "mail to a%d@example.org now" % i) for i in range(5000, 5030)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    got = {r["doc_id"]: r["masked"] for r in personal_data.find(docs, with_text=True).collect()}
+    assert len(got) == len(rows) and all(got[i] == 'set token = "<SECRET>" here' for i in [*range(3000, 3020), 4000])
+    assert all(got[i] == "the footer has commit <SECRET>" for i in range(3000)) and got[5000] == "mail to <EMAIL> now"
+
+
 # 7: packing
 
 
