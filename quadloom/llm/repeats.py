@@ -107,7 +107,8 @@ def repeated_edges(all_edges: DataFrame, k: int) -> DataFrame:
         return (F.count(side) == F.count(F.lit(1))) & (F.min(side) == F.max(side))
 
     nodes = linked.groupBy("edge").agg(F.coalesce(same("right"), F.lit(False)).alias("right_same"), F.coalesce(same("left"), F.lit(False)).alias("left_same"))
-    return found.join(written(nodes, "edge-nodes"), "edge").groupBy("key").agg(F.collect_list(F.struct("pos", "edge", "right_same", "left_same")).alias("hits"))
+    # A set: copies of a row have one key, and their equal coordinates meet ahead of the shuffle.
+    return found.join(written(nodes, "edge-nodes"), "edge").groupBy("key").agg(F.collect_set(F.struct("pos", "edge", "right_same", "left_same")).alias("hits"))
 
 
 def proved_and_open(n: int, kept: np.ndarray, is_repeated: np.ndarray, right_same: np.ndarray, left_same: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -218,11 +219,12 @@ def first_reading(joined: DataFrame, window: int, with_text: bool) -> DataFrame:
 
 
 def compared(read: DataFrame) -> DataFrame:
-    """(key, starts): windows among those to compare that occur twice or more."""
+    """(key, starts): windows among those to compare that occur twice or more, each start once
+    however many rows have the key."""
     waiting = read.where("text is not null").select("key", F.explode(F.arrays_zip("x", "one", "two")).alias("w"))
     rows = waiting.select("key", F.col("w.x").alias("x"), F.col("w.one").alias("one"), F.col("w.two").alias("two"))
     often = written(rows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("one", "two"), "often")
-    return rows.join(often, ["one", "two"]).groupBy("key").agg(F.collect_list("x").alias("starts"))
+    return rows.join(often, ["one", "two"]).groupBy("key").agg(F.collect_set("x").alias("starts"))
 
 
 def second_reading(waiting: DataFrame, window: int, with_text: bool) -> DataFrame:

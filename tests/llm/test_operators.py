@@ -449,3 +449,19 @@ def test_dense_repeats(spark, window):
     same(got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect(), [(i, *r) for (i, _), r in zip(rows, plain.repeats(texts, window))])
     for r in got.collect():
         assert len(r["kept"].split()) == r["n_words"] - r["n_removed"]
+
+
+def test_copies_of_a_row_gather_its_coordinates_once(spark):
+    """Rows with one key (same id and text, or no id and equal texts): what is gathered for the
+    key is what one of them has."""
+    text = " ".join(f"w{i}" for i in range(200))
+    rows = spark.createDataFrame([(1, 7, text)] * 50 + [(None, 8, text)] * 50, "doc_id int, key long, text string").repartition(4)
+    k, _ = repeats.sizes(35)
+    got = {r["key"]: r["hits"] for r in repeats.repeated_edges(repeats.edges(rows, 35), k).collect()}
+    one = repeats.edges(rows.where("key = 7").limit(1), 35).count()
+    assert one and len(got[7]) == len(got[8]) == one
+    read = spark.createDataFrame([(7, "t", [0, 3], [1, 2], [1, 2])] * 50, "key long, text string, x array<int>, one array<long>, two array<long>")
+    assert [(r["key"], sorted(r["starts"])) for r in repeats.compared(read).collect()] == [(7, [0, 3])]
+    docs = spark.createDataFrame([(1, text)] * 5 + [(None, text)] * 5 + [(2, "other " + text)], "doc_id int, text string")
+    want = [(r["doc_id"], *p) for r, p in zip(docs.collect(), plain.repeats([r["text"] for r in docs.collect()], 35))]
+    same(repeats.remove_repeats(docs).drop("spans").collect(), want)
