@@ -4,7 +4,8 @@ A page is read into blocks (runs of text between block-level tags) with the open
 them. Costs of a small fixed classifier (which elements stand above, words in their class and id,
 share of linked text) become capacities to the terminals "text" and "rest"; neighbouring blocks
 and blocks close in the tree get edges, stronger the closer they are. Maximum flow gives the
-cheapest labelling; the blocks on the text side, in page order, are the main text.
+cheapest labelling; the blocks on the text side, in page order, are the main text. A form or a
+named element that holds nearly all running text is the page's wrapper and no evidence.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ NAMED_AGAINST = re.compile(
     re.I,
 )
 NAMED_FOR = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text)(?:$|[\s_-])", re.I)
+#: Class and id tokens that tell what a page has or lacks, not what an element is.
+STATE = re.compile(r"(?:has|no|not|with|without)[_-]", re.I)
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "form", "menu", "menubar", "alert"}
 FIXED = 1 << 20
 #: Capacity between neighbours: same parent, same grandparent, elsewhere.
@@ -50,23 +53,34 @@ CLOSE, NEAR, FAR = 20, 8, 1
 
 
 class Element:
-    __slots__ = ("name", "up", "against", "favour", "never", "inline")
+    __slots__ = ("name", "up", "against", "favour", "never", "inline", "hard", "named", "mark")
 
     def __init__(self, name: str, up: "Element | None", attributes: str = ""):
         self.name, self.up = name, up
         self.inline = name in INLINE
-        self.never = (up.never if up else False) or name in NEVER
-        self.against = (up.against if up else 0) + AGAINST.get(name, 0)
+        self.hard = (up.hard if up else False) or (name in NEVER and name != "form")
         self.favour = (up.favour if up else 0) + FOR.get(name, 0)
+        self.named = 0
         if "=" in attributes:
             for key, *values in ATTRIBUTE.findall(attributes):
                 value = "".join(values)
                 if key.lower() == "role":
-                    self.never |= value.lower() in ROLES
-                elif name not in ("html", "body") and NAMED_AGAINST.search(value):
-                    self.against += 90
+                    self.hard |= value.lower() in ROLES
+                    continue
+                value = " ".join(x for x in value.split() if not STATE.match(x))
+                if name not in ("html", "body") and NAMED_AGAINST.search(value):
+                    self.named += 90
                 elif NAMED_FOR.search(value):
                     self.favour += 10
+        #: The innermost element, this one or above, that is a form or named against.
+        self.mark = self if self.named or name == "form" else up.mark if up else None
+        self.settle(False)
+
+    def settle(self, wrapper: bool) -> None:
+        """Costs with those of the elements above; a wrapper's name and form do not count."""
+        up = self.up
+        self.never = self.hard or (up.never if up else False) or (self.name == "form" and not wrapper)
+        self.against = (up.against if up else 0) + AGAINST.get(self.name, 0) + (0 if wrapper else self.named)
 
 
 def blocks(page: str) -> list[tuple[str, Element, float]]:
@@ -162,8 +176,43 @@ def blocks(page: str) -> list[tuple[str, Element, float]]:
     return out
 
 
+def settle_wrappers(found: list[tuple[str, Element, float]]) -> None:
+    """Forms and named elements that hold two paragraphs or more and over four fifths of the
+    running text that nothing else speaks against are wrappers of the page: no evidence."""
+    sizes, marks = [], []
+    for text, e, linked in found:
+        if not e.hard and linked < 0.5 and (words := text.count(" ") + 1) > 3:
+            sizes.append(words)
+            marks.append(e.mark)
+    wrappers: set[Element] = set()
+    while True:
+        held: dict[Element | None, list[int]] = {}
+        for m, words in zip(marks, sizes):
+            one = held.setdefault(m, [0, 0])
+            one[0] += words
+            one[1] += 1
+        free = held.pop(None, [0, 0])[0]
+        most = max(held, key=lambda m: held[m][0], default=None)
+        if most is None or held[most][1] < 2 or held[most][0] <= 4 * free:
+            break
+        wrappers.add(most)
+        marks = [(m.up.mark if m.up else None) if m is most else m for m in marks]
+    if not wrappers:
+        return
+    done: set[Element] = set()
+    for _, e, _ in found:
+        chain = []
+        while e and e not in done:
+            chain.append(e)
+            done.add(e)
+            e = e.up
+        for x in reversed(chain):
+            x.settle(x in wrappers)
+
+
 def capacities(found: list[tuple[str, Element, float]]) -> tuple[list[int], list[int], list[tuple[int, int, int]]]:
     """Cost of leaving each block out, of taking it in, and the edges between blocks."""
+    settle_wrappers(found)
     leave, take = [], []
     for text, e, linked in found:
         if e.never:

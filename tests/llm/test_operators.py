@@ -70,6 +70,20 @@ def test_page_without_article_element():
     assert page_text.main_text(PAGE) == "Title of it First para of linked text & more. A point Another point that is longer. Second para line. Quote"
 
 
+@pytest.mark.parametrize("before, after", [
+    ('<div class="wrapper has-sidebar">', "</div>"), ('<div id="no-sidebar">', "</div>"), ('<div class="header-fixed">', "</div>"), ('<div class="page with-comments">', "</div>"),
+    ("<form>", "</form>"), ('<form id="login"><div class="header-fixed"><article>', "</article></div></form>"),
+])
+def test_a_wrapper_of_the_page_is_no_evidence(before, after):
+    texts = [f"Paragraph {i} of a page tells its readers one more thing about the subject." for i in range(4)]
+    body = "".join(f"<p>{t}</p>" for t in texts)
+    aside = '<div class="sidebar"><p>Some more words in the sidebar.</p><p>And again more words in it.</p></div>'
+    page = f"<html><body>{before}<div class=content>{body}</div>{aside}{after}<footer><p>Copyright 2020 us.</p></footer></body></html>"
+    assert page_text.main_text(page) == " ".join(texts)
+    comments = '<div class="comments">' + "".join(f"<p>Comment {i} says that this is a great article.</p>" for i in range(9)) + "</div>"
+    assert page_text.main_text(f"<div class=content>{body}</div>{comments}<form>{aside}</form>") == " ".join(texts)
+
+
 def test_odd_pages(spark):
     pages = [(1, "u", None), (2, None, ""), (None, "v", PAGE), (None, "v", PAGE), (3, "u", "<" * 1000), (4, "u", "<p>" * 3000 + "One word after <a \"x"), (5, "u", "<article><p>a&am")]
     got = page_text.extract(spark.createDataFrame([(*p, "x") for p in pages], "page_id int, url string, html string, text string")).collect()
