@@ -263,12 +263,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "euclide
     return out
 
 
-def similar_pairs(vectors: DataFrame, queries: DataFrame, threshold: float, bucket: float = 2.0, tables: int = 4, seed: int = 7) -> DataFrame:
+def similar_pairs(vectors: DataFrame, queries: DataFrame, threshold: float, bucket: float | None = None, tables: int = 4, seed: int = 7) -> DataFrame:
     """Approximate Euclidean neighbours by random projections: (query, uid, distance) within
-    `threshold`. Recall is below one; `top_k` is the exact form."""
+    `threshold`. Recall is below one; `top_k` is the exact form.
+
+    Without `bucket` its length is four deviations of what a projection makes of two vectors at
+    the threshold, by the cells of the vectors: such a pair shares a bucket in 0.8 of the tables."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
 
+    if bucket is None:
+        cells = queries.agg(F.max(F.size("embedding"))).first()[0]
+        bucket = 4 * threshold / max(1, cells or 1) ** 0.5
     data = vectors.select("uid", array_to_vector("embedding").alias("v"))
     asked = queries.select("query", array_to_vector("embedding").alias("v"))
     model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket, numHashTables=tables, seed=seed).fit(data)

@@ -404,3 +404,20 @@ def test_no_plan_compares_everything_with_everything(graph, spark):
     for name in ("c07_upsert_variables", "d10_regexp", "e04_expand_all", "k08_geo_radius", "n04_conflicts", "c08_conditional", "l12_pending", "g08_latest"):
         plan = entry.queries()[name](spark, graph.sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_similar_pairs_of_close_vectors(spark):
+    """Every vector with an id divisible by 20 asks at a threshold with few neighbours: recall is
+    0.9 or more whatever the scale of the vectors, the bucket length follows it."""
+    for scale in (1.0, 50.0):
+        cells = F.transform("embedding", lambda x: x.cast("double") * scale)
+        vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select(F.col("vec_id").cast("long").alias("uid"), cells.alias("embedding"))
+        queries = vectors.where("uid % 20 = 0").select(F.col("uid").alias("query"), "embedding")
+        rows = vectors.collect()
+        ids, e = np.array([r["uid"] for r in rows]), np.array([r["embedding"] for r in rows])
+        asked = np.flatnonzero(ids % 20 == 0)
+        far = np.sqrt(((e[asked][:, None, :] - e[None, :, :]) ** 2).sum(axis=2))
+        limit = float(np.quantile(far, 0.05))
+        true = {(int(ids[i]), int(ids[j])) for i, row in zip(asked, far) for j in np.flatnonzero(row <= limit)}
+        got = {(r["query"], r["uid"]) for r in search.similar_pairs(vectors, queries, limit).collect()}
+        assert got <= true and len(got) >= 0.9 * len(true)
