@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quadloom.llm import decontamination, language, near_copies, packing, page_text, personal_data, quality_rules, repeats, resampling, shards
+from quadloom.llm import (
+    conversations, decontamination, hard_negatives, language, near_copies, packing, page_text, personal_data, quality_rules, repeats, resampling,
+    shards, token_counts,
+)
 from quadloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +117,40 @@ FROM d LEFT JOIN lost USING (r)
 @query("op10_repeats", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
+OP11_SQL = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, CAST(vec_id AS BIGINT) AS vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS r, b.vec_id AS vec_id, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r AND len(a.e) = len(b.e)),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id NULLS LAST, r) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.ar, p.r ORDER BY n.score DESC, n.vec_id NULLS LAST, n.r) AS INTEGER) AS rank,
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.ar = p.ar AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+
+@query("op11_hard_negatives", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(rows, "vec_id % 50 = 0")
+
+
+@query("op12_conversations")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.digest(conversations.damage(rows), rows)
+
+
+@query("op13_token_counts")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), model, 4096).drop("cuts")

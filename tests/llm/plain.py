@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
+import math
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
 import xxhash
 
@@ -109,3 +112,69 @@ def best_fit(lengths: list[int], capacity: int) -> int:
         else:
             rooms.append(capacity - n)
     return len(rooms)
+
+
+def hard_negatives(rows: list[tuple]) -> list[tuple]:
+    """rows of (vec_id, vector, label); anchors are ids divisible by 50."""
+    ok = [(i, [math.floor(256 * x) for x in v], l) for i, v, l in rows
+          if l is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    order = lambda s: (-s[0], s[1] is None, s[1] or 0)
+    for n, (i, v, l) in enumerate(ok):
+        if i is None or i % 50:
+            continue
+        scored = [(min(max(sum(a * b for a, b in zip(v, w)), -(2**63)), 2**63 - 1), j, m, k) for k, (j, w, m) in enumerate(ok) if len(w) == len(v)]
+        positives = sorted((s for s in scored if s[2] == l and s[3] != n), key=order)[:5]
+        others = sorted((s for s in scored if s[2] != l), key=order)
+        for p in positives:
+            hits = [s for s in others if 50 * p[0] <= 100 * s[0] <= 95 * p[0]][:3]
+            out += [(i, p[1], r, s[1], p[0], s[0]) for r, s in enumerate(hits, 1)]
+    return out
+
+
+def damaged(rows: list[tuple]) -> dict:
+    """Rows of (conv_id, turn, role, text) after damage, by conversation and in order."""
+    shown = lambda x: " " if x is None else str(x)
+    out = defaultdict(list)
+    for c, t, role, text in rows:
+        out[c]
+        fate = zlib.crc32(f"{shown(c)}:{shown(t)}".encode()) % 20
+        text = "" if fate == 1 else re.sub("[.!?]", "", shown(text)) if fate == 2 else shown(text)
+        out[c] += [(t, "user" if fate == 4 else shown(role), text)] * (0 if fate == 0 else 2 if fate == 3 else 1)
+    for turns in out.values():
+        turns.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.sha256(r[2].encode()).digest()))
+    return out
+
+
+def repaired(turns: list[tuple]) -> tuple:
+    """Cheapest edits by a shortest path search over all of them, equal costs in ASCII order."""
+    seen, faults = set(), []
+    for _, role, text in turns:
+        body = re.sub(r"[\x20\x09-\x0D]", "", text)
+        faults.append("blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1] not in ".!?" else "")
+        seen.add((role, text))
+    numbers = [t for t, _, _ in turns if t is not None]
+    gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+    initials = [role[:1] for _, role, _ in turns]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    fits = lambda last, x: x != "" and x in {"": "su", "s": "u", "u": "a", "a": "u"}[last]
+    heap, done = [(0, "", 0, "", ())], set()
+    while True:
+        cost, audit, i, last, kept = heapq.heappop(heap)
+        if i == len(turns) and last in ("", "a"):
+            break
+        if (i, last) in done:
+            continue
+        done.add((i, last))
+        ways = [(2, "I", i, x, ((x, ""),)) for x in ("user", "assistant") if fits(last, x[0])]
+        if i < len(turns):
+            _, role, text = turns[i]
+            ways.append((3, "D", i + 1, last, ()))
+            if faults[i] in ("", "truncated"):
+                more = int(faults[i] == "truncated")
+                ways += [(more, "K", i + 1, role, ((role, text),))] * fits(last, role[:1])
+                ways += [(2 + more, "R", i + 1, x, ((x, text),)) for x in ("user", "assistant") if fits(last, x[0])]
+        for c, letter, j, role, own in ways:
+            heapq.heappush(heap, (cost + c, audit + letter, j, role[:1], kept + own))
+    text = "\n".join(f"{a}:{b}" for a, b in kept)
+    return gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, hashlib.sha256(text.encode()).hexdigest()
