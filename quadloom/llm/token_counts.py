@@ -7,13 +7,13 @@ and may follow the shorter prefix's last piece: count[i] = count[i - len(piece)]
 all prefixes take one walk over the text, and then the tokens of any cut and the longest cut within
 any budget are lookups.
 
-Pieces hold blanks only in front, so merges never cross the start of a run of blanks. A text is the
-sequence of such chunks; the table of a chunk is made once for all its copies (a bounded cache).
+No merge crosses two letters that no piece holds side by side (a word's end and the next blank,
+most marks and the letters behind them). A text is the sequence of chunks between such places; the
+table of a chunk is made once for all its copies (a bounded cache).
 """
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from functools import cache
@@ -25,9 +25,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quadloom.llm.tables import carried, carried_on, schema_of, text_of
 
-BLANK = "▁"
-#: Tables of chunks and answers about pairs kept by a worker, and the longest chunk kept.
-KEPT, KEPT_LENGTH = 1 << 18, 64
+#: Tables of chunks, of their first letters and answers about pairs kept by a worker; the longest
+#: chunk kept; the letters of a stem.
+KEPT, KEPT_LENGTH, STEM = 1 << 18, 64, 6
 
 
 class _Cache(dict):
@@ -59,11 +59,24 @@ class Pieces:
         own = [i for i in ids if not (self.sp.is_byte(i) or self.sp.is_control(i) or self.sp.is_unknown(i) or self.sp.is_unused(i))]
         self.score = {self.sp.id_to_piece(i): self.sp.get_score(i) for i in own}
         self.tails = {p[i:] for p in self.score for i in range(len(p))}
-        if any(BLANK in p.lstrip(BLANK) for p in self.score):
-            raise ValueError("the vocabulary has pieces with a blank behind a letter")
-        self.cut = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+        letters = sorted(set("".join(self.score)))
+        self.number = np.zeros(0x110000, np.uint16)  # 0: no piece has it
+        self.number[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.joined = np.zeros((len(letters) + 1,) * 2, bool)
+        for p in self.score:
+            at = self.number[[ord(c) for c in p]]
+            self.joined[at[:-1], at[1:]] = True
         self.follows = _Cache(lambda pair: self.merged("".join(pair)) == list(pair))
         self.tables = _Cache(self.table_of)
+        self.stems = _Cache(lambda stem: tuple(map(tuple, self.walked(stem, [0], [""]))))
+
+    def chunks(self, text: str) -> list[str]:
+        """`text` cut wherever two letters are side by side in no piece."""
+        if not text:
+            return []
+        at = self.number[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
+        cuts = (np.flatnonzero(~self.joined[at[:-1], at[1:]]) + 1).tolist()
+        return [text[i:j] for i, j in zip([0, *cuts], [*cuts, len(text)])]
 
     def merged(self, text: str) -> list[str]:
         """The encoding of a few letters: the best pair first, the leftmost of equal ones."""
@@ -80,11 +93,11 @@ class Pieces:
                 pairs[i] = score(parts[i] + parts[i + 1], none)
         return parts
 
-    def table_of(self, chunk: str) -> tuple[int, ...]:
-        """Tokens of every prefix of a chunk, the whole one last."""
+    def walked(self, chunk: str, counts: list[int], last: list[str]) -> tuple[list[int], list[str]]:
+        """Tokens of every prefix of a chunk and the last piece of each, the empty one first,
+        from those of its shorter prefixes."""
         score, follows, tails = self.score, self.follows, self.tails
-        counts, last = [0], [""]
-        for end in range(1, len(chunk) + 1):
+        for end in range(len(counts), len(chunk) + 1):
             ending = [chunk[end - 1 : end]]  # a letter stands for itself, in the vocabulary or not
             for start in range(end - 2, -1, -1):
                 tail = chunk[start:end]
@@ -99,10 +112,15 @@ class Pieces:
                     counts.append(counts[start] + (1 if piece in score else len(piece.encode())))
                     last.append(piece)
                     break
-        return tuple(counts[1:])
+        return counts, last
 
-    def table(self, chunk: str) -> tuple[int, ...]:
-        return self.tables[chunk] if len(chunk) <= KEPT_LENGTH else self.table_of(chunk)
+    def table_of(self, chunk: str) -> tuple[int, ...]:
+        """Tokens of every prefix of a chunk, the whole one last. What chunks have in common at
+        their start is walked once."""
+        counts, last = self.stems[chunk[:STEM]]
+        if len(chunk) > STEM:
+            counts, last = self.walked(chunk, [*counts], [*last])
+        return tuple(counts[1:])
 
     def read(self, text: str | None) -> "Prefixes":
         return Prefixes(self, text or "")
@@ -113,8 +131,9 @@ class Prefixes:
 
     def __init__(self, pieces: Pieces, text: str):
         shown = pieces.sp.normalize(text) if text else ""
-        chunks = pieces.cut.findall(shown)
-        self.tables = [pieces.table(c) for c in chunks]
+        chunks = pieces.chunks(shown)
+        kept, make = pieces.tables, pieces.table_of
+        self.tables = [kept[c] if len(c) <= KEPT_LENGTH else make(c) for c in chunks]
         self.sums = list(accumulate((t[-1] for t in self.tables), initial=0))
         self.ends = list(accumulate(map(len, chunks), initial=0))
         #: Characters the vocabulary's normal form puts in front of the text's own.
