@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quadloom.catalog.common import query, u
 from quadloom.functions import geo
-from quadloom.operators import search
+from quadloom.operators import patterns, search
 from quadloom.plans.cut import fresh_path
 from quadloom.plans.pages import PAGE_SIZE
 from quadloom.plans.spread import spread_out
@@ -83,6 +83,27 @@ def trigram_index(g: Graph):
     return search.trigram_index(g.part(), "p_name").select("uid", "trigram")
 
 
+PART_PATTERNS = ("(ring|bolt)$", "/RING$/i", "[a-c][a-z]+ widget", "^(small|large) [bg]", "re.*wid(get)+", "(?:blue|green) (?:b?olt|gear)", "n.*n")
+TEXT_PATTERNS = ("licen[sc]e", "(token|secret|key) = \"[0-9a-f]{4}", "/copyright \\(c\\)/i", "(der|die|das) [a-z]*ung ", "(qu)+e les", "[0-9]{3}\\.[0-9]{2,3}")
+
+
+def _any_sql(patterns_: tuple[str, ...], uid: str, column: str, source: str) -> str:
+    forms = {p: "(?i)" + p[1:-2] if p.startswith("/") else p for p in patterns_}
+    rows = ", ".join(f"($a${p}$a$, $a${java}$a$)" for p, java in forms.items())
+    return f"SELECT pattern, {uid} AS uid, length({column})::INTEGER AS n_chars FROM {source}, (VALUES {rows}) t(pattern, re) WHERE regexp_matches({column}, re)"
+
+
+@query("k05_trigram_any", _any_sql(PART_PATTERNS, PART, "p_name", "part") + " UNION ALL " + _any_sql(TEXT_PATTERNS, DOC, "text", "documents"))
+def trigram_any(g: Graph):
+    """Patterns with alternatives, groups, classes and ignored case, by their formulas."""
+    out = []
+    for rows, column, asked in ((g.part(), "p_name", PART_PATTERNS), (spread_out(g.documents(), "uid"), "text", TEXT_PATTERNS)):
+        rows = rows.select("uid", column)
+        index = search.stored(patterns.pattern_index(rows, column), fresh_path(g.spark, "patterns"), "trigram")
+        out.append(patterns.search_patterns(rows, index, column, asked).select("pattern", "uid", F.length(column).alias("n_chars")))
+    return out[0].unionByName(out[1])
+
+
 @query(
     "k06_ranges",
     f"""SELECT 'int' AS kind, {PART} AS uid FROM part WHERE p_size BETWEEN 10 AND 20 UNION ALL SELECT 'float', {PART} FROM part WHERE p_retailprice < 950

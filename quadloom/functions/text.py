@@ -15,7 +15,8 @@ def terms(text: Column) -> Column:
 
 def trigrams(text: Column) -> Column:
     """Distinct three-character pieces of the raw text; none below three characters."""
-    last = F.length(text) - 2
-    return F.when(
-        last > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substr(text, i, F.lit(3))))
-    ).otherwise(F.array().cast("array<string>"))
+    pieces = F.transform(  # the letters are bound once, so the work is linear in the text
+        F.array(F.split(text, "")),
+        lambda c: F.transform(F.sequence(F.lit(0), F.size(c) - 3), lambda i: F.concat(F.get(c, i), F.get(c, i + 1), F.get(c, i + 2))),
+    )
+    return F.when(F.length(text) > 2, F.array_distinct(F.get(pieces, F.lit(0)))).otherwise(F.array().cast("array<string>"))
