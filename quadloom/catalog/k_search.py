@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quadloom.catalog.common import query, u
 from quadloom.functions import geo
-from quadloom.operators import patterns, search
+from quadloom.operators import patterns, search, vector_index
 from quadloom.plans.cut import fresh_path
 from quadloom.plans.pages import PAGE_SIZE
 from quadloom.plans.spread import spread_out
@@ -213,6 +213,55 @@ def vector_lsh(g: Graph):
     )
 
 
+VECTOR, ASKED = u("Vector", "vec_id"), "vec_id % 20 = 0"
+
+
+def _index_sql(metric: str) -> str:
+    """All vectors with an id divisible by 20 against all vectors."""
+    of = {"euclidean": "list_distance", "dot": "list_dot_product", "cosine": "list_cosine_similarity"}[metric]
+    return f"""WITH v AS (SELECT {VECTOR} AS uid, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+    s AS (SELECT q.uid AS query, v.uid, round({of}(q.e, v.e), 9) AS score FROM v q, v WHERE q.{ASKED})
+    SELECT query, uid, round(score, 6) AS score, row_number() OVER (PARTITION BY query ORDER BY score {"ASC" if metric == "euclidean" else "DESC"}, uid)::INTEGER AS rank
+    FROM s QUALIFY rank <= 5"""
+
+
+def _asked(g: Graph):
+    return g.vectors().where(ASKED).select(F.col("uid").alias("query"), "embedding")
+
+
+def _indexed(metric: str):
+    @query(f"k09_index_{metric}", _index_sql(metric))
+    def run(g: Graph):
+        """The true neighbours by the stored index: the nearest cells, then all that may hold better ones."""
+        index = vector_index.build(g.vectors().select("uid", "embedding"), fresh_path(g.spark, f"vectors-{metric}"), metric)
+        return index.search(_asked(g), 5, exact=True).select("query", "uid", F.round("score", 6).alias("score"), "rank")
+
+    return run
+
+
+for _metric in vector_index.METRICS:
+    _indexed(_metric)
+
+
+@query(
+    "k09_index_recall",
+    f"""SELECT metric, query, least(10, n)::BIGINT AS found, true AS recall_ok FROM (VALUES ('euclidean'), ('dot'), ('cosine')) m(metric),
+    (SELECT {VECTOR} AS query FROM embeddings WHERE {ASKED}), (SELECT count(*) AS n FROM embeddings)""",
+)
+def index_recall(g: Graph):
+    """The nearest cells alone, as many as the index measured: ten neighbours for every query,
+    and over all queries of a metric at least nine tenths of the true ones."""
+    out = None
+    vectors, asked = g.vectors().select("uid", "embedding"), _asked(g)
+    for metric in vector_index.METRICS:
+        index = vector_index.build(vectors, fresh_path(g.spark, f"vectors-{metric}"), metric)
+        hits = vector_index.recall_of(index.search(asked, 10), vectors, asked, 10, metric)
+        whole = hits.agg((F.sum("hits") >= 0.9 * F.sum("true")).alias("recall_ok"))  # one row
+        rows = hits.select(F.lit(metric).alias("metric"), "query", "found", whole.scalar().alias("recall_ok"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _inverted(name: str, page_size: int):
     @query(
         name,
