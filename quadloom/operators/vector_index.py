@@ -25,6 +25,7 @@ from quadloom.plans.cut import written
 #: sample queries the number of probes is measured with.
 SAMPLE, PER_CELL, MAX_CELLS, TRIALS = 65_536, 64, 4096, 256
 METRICS = ("euclidean", "dot", "cosine")
+CODES = "uid long, code binary, scale double, error double, away double, cell int"
 
 
 def lifted(matrix: np.ndarray, metric: str, longest: float, query: bool = False) -> np.ndarray:
@@ -82,8 +83,11 @@ class VectorIndex:
     radius: np.ndarray
     rows: np.ndarray
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}")
+    def codes(self) -> DataFrame:
+        return self.spark.read.schema(CODES).parquet(f"{self.folder}/codes")
+
+    def vectors(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/vectors")
 
     def point(self, matrix: np.ndarray) -> np.ndarray:
         return lifted(matrix, self.metric, self.longest, query=True)
@@ -148,7 +152,7 @@ class VectorIndex:
             keep = order[lower[order] <= np.repeat(limit, sizes)]
             return {"query": pa.array(query[keep]), "uid": pa.array(uid[keep]), "lower": pa.array(lower[keep]), "upper": pa.array(upper[keep])}
 
-        pairs = probed.join(self.table("codes"), "cell").select("query", "residual", "uid", "code", "scale", "error")
+        pairs = probed.join(self.codes(), "cell").select("query", "residual", "uid", "code", "scale", "error")
         return _mapped(pairs, bounds, "query long, uid long, lower double, upper double")
 
     def _scored(self, found: DataFrame, queries: DataFrame) -> DataFrame:
@@ -165,7 +169,7 @@ class VectorIndex:
             return {"query": batch.column("query"), "uid": batch.column("uid"), "score": pa.array(np.round(exact, 9)), "away": pa.array(away)}
 
         asked = queries.select(F.col("query").cast("long").alias("query"), F.col("embedding").alias("asked"))
-        rows = found.select("query", "uid").join(self.table("vectors"), "uid").join(asked, "query").select("query", "uid", "asked", "embedding")
+        rows = found.select("query", "uid").join(self.vectors(), "uid").join(asked, "query").select("query", "uid", "asked", "embedding")
         return _mapped(rows, score, "query long, uid long, score double, away double")
 
     def search(self, queries: DataFrame, k: int, probes: int | None = None, exact: bool = False) -> DataFrame:
@@ -238,7 +242,7 @@ def build(vectors: DataFrame, folder: str, metric: str = "euclidean", cells: int
 
     codes = _mapped(rows, filed, "uid long, cell int, code binary, scale double, error double, away double")
     codes.hint("rebalance", "cell").write.partitionBy("cell").parquet(f"{folder}/codes")
-    sums = spark.read.schema("away double, cell int").parquet(f"{folder}/codes").groupBy("cell").agg(F.max("away").alias("radius"), F.count(F.lit(1)).alias("rows"))
+    sums = spark.read.schema(CODES).parquet(f"{folder}/codes").groupBy("cell").agg(F.max("away").alias("radius"), F.count(F.lit(1)).alias("rows"))
     radius, held = np.zeros(len(centres)), np.zeros(len(centres), np.int64)
     for r in sums.collect():  # one line per cell
         radius[r["cell"]], held[r["cell"]] = r["radius"] * (1 + 1e-9), r["rows"]
@@ -255,7 +259,7 @@ def _measured(index: VectorIndex, sample: DataFrame, k: int, recall: float) -> i
     cell each of them is filed in."""
     queries = written(sample.select(F.col("uid").alias("query"), "embedding"), "trials")
     true = index.search(queries, k, exact=True).where("query != uid")
-    cells = index.table("codes").select("uid", "cell")
+    cells = index.codes().select("uid", "cell")
     places = index._probed(queries, len(index.centres)).select("query", "cell", "place")
     counts = dict(true.join(cells, "uid").join(places, ["query", "cell"]).groupBy("place").count().collect())  # one line per cell at most
     total, seen = sum(counts.values()), 0

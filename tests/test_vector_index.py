@@ -48,7 +48,7 @@ def test_recall_and_share(vectors, index):
 
 
 def test_every_row_is_indexed(vectors, index):
-    codes = index.table("codes")
+    codes = index.codes()
     assert codes.count() == usable(vectors, index).count() == index.rows.sum()
     assert codes.where("error < 0 or away < 0").count() == 0
     plan = codes.where("cell = 3")._jdf.queryExecution().toString()
