@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from quadloom.catalog.common import CONTAINS, EVENTS, query, u
 from quadloom.catalog.f_counting import TENANTS, order_facts, shared, tenant
 from quadloom.model import value_fact
-from quadloom.operators import roots, sets, traverse
+from quadloom.operators import reach, roots, sets, traverse
 from quadloom.operators.traverse import TypeInfo
 from quadloom.plans.pages import PAGE_SIZE, nest
-from quadloom.sources.tables import Graph
+from quadloom.sources.tables import Graph, uid_of
 
 
 @query(
@@ -129,9 +129,13 @@ EXPANDED = {
 )
 def expand_all(g: Graph):
     """Customers, two hops: single, list and reverse edges side by side."""
+    return traverse.expand_all(two_hops(g), "Customer", 2)
+
+
+def two_hops(g: Graph) -> dict[str, TypeInfo]:
     customers, nations, orders, suppliers, events = g.customer(), g.nation(), g.orders(), g.supplier(), g.events()
     edge = lambda df, src, dst: df.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    types = {
+    return {
         "Customer": TypeInfo(customers, ["c_name"], {
             "in_nation": (edge(customers, "uid", "in_nation"), "Nation"), "~placed_by": (edge(orders, "placed_by", "uid"), "Order"), "did": (edge(events, "user", "uid"), "Event")}),
         "Nation": TypeInfo(nations, ["n_name"], {
@@ -140,7 +144,42 @@ def expand_all(g: Graph):
             "contains": (g.contains_pairs(), "Part"), "placed_by": (edge(orders, "uid", "placed_by"), "Customer")}),
         "Supplier": TypeInfo(suppliers, ["s_name"]), "Region": TypeInfo(g.region(), ["r_name"]), "Part": TypeInfo(g.part(), ["p_brand"]), "Event": TypeInfo(events, ["event_type"]),
     }
-    return traverse.expand_all(types, "Customer", 2)
+
+
+#: (type, key, edges to: predicate, target type, target key, rows) of a graph in which every edge can be followed both ways.
+BOTH_WAYS = [
+    ("Nation", "n_nationkey", "in_region", "Region", "n_regionkey", "nation"), ("Customer", "c_custkey", "in_nation", "Nation", "c_nationkey", "customer"),
+    ("Supplier", "s_suppkey", "in_nation", "Nation", "s_nationkey", "supplier"), ("Order", "o_orderkey", "placed_by", "Customer", "o_custkey", "orders"),
+    ("Part", "l_partkey", "supplied_by", "Supplier", "l_suppkey", "lineitem"),
+]
+NAMES = [("Region", "r_regionkey", "r_name", "region"), ("Nation", "n_nationkey", "n_name", "nation"), ("Customer", "c_custkey", "c_name", "customer"),
+         ("Supplier", "s_suppkey", "s_name", "supplier"), ("Order", "o_orderkey", "o_orderstatus", "orders"), ("Part", "p_partkey", "p_brand", "part")]
+
+
+def both_ways(g: Graph) -> dict[str, TypeInfo]:
+    types = {name: TypeInfo(g.raw(rows).select(uid_of(name, k).alias("uid"), value), [value]) for name, k, value, rows in NAMES}
+    for name, k, predicate, target, target_key, rows in BOTH_WAYS:
+        edges = g.raw(rows).select(uid_of(name, k).alias("src"), uid_of(target, target_key).alias("dst"))
+        types[name].edges[predicate] = (edges, target)
+        types[target].edges[f"~{predicate}.{name}"] = (traverse.reverse(edges), name)
+    return types
+
+
+DEEPEST = 9
+ANY_DEPTH = f"""WITH RECURSIVE e AS MATERIALIZED ({" UNION ".join(
+    f"SELECT {u(a, k)} AS src, {u(b, t)} AS dst, '{p}' AS via FROM {rows} UNION SELECT {u(b, t)}, {u(a, k)}, '~{p}.{a}' FROM {rows}" for a, k, p, b, t, rows in BOTH_WAYS)}),
+r AS (SELECT {u("Region", "r_regionkey")} AS root, {u("Region", "r_regionkey")} AS uid, 0 AS depth FROM region
+  UNION SELECT root, dst, depth + 1 FROM r JOIN e ON src = uid WHERE depth < {DEEPEST}),
+least AS (SELECT root, uid, min(depth) AS depth FROM r GROUP BY ALL),
+nodes AS ({" UNION ALL ".join(f"SELECT {u(t, k)} AS uid, '{t}' AS type, {NAMED.format(v)} AS fields FROM {rows}" for t, k, v, rows in NAMES)}),
+parents AS (SELECT a.root, e.dst AS uid, min(struct_pack(parent := e.src, via := e.via)) AS b FROM least a JOIN e ON e.src = a.uid JOIN least c ON c.root = a.root AND c.uid = e.dst AND c.depth = a.depth + 1 GROUP BY ALL)
+SELECT least.root, least.uid, least.depth, b.parent AS parent, b.via AS via, type, fields FROM least JOIN nodes USING (uid) LEFT JOIN parents ON parents.root = least.root AND parents.uid = least.uid"""
+
+
+@query("e04_any_depth", ANY_DEPTH)
+def any_depth(g: Graph):
+    """Everything each region leads to, over edges in both directions: a graph full of cycles."""
+    return reach.expand_to_any_depth(both_ways(g), "Region")
 
 
 @query(

@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quadloom.plans.cut import written
 from quadloom.plans.pages import PAGE_SIZE, nest
 from quadloom.plans.semi import with_partners
 
@@ -78,33 +79,47 @@ class TypeInfo:
     edges: dict[str, tuple[DataFrame, str]] = field(default_factory=dict)
 
 
+def typed_edges(types: dict[str, TypeInfo], names: Sequence[str] | None = None) -> list[DataFrame]:
+    """(type, predicate, src, dst, target) of every edge of the named types (all by default)."""
+    return [
+        edges.select(F.lit(name).alias("type"), F.lit(predicate).alias("predicate"), "src", "dst", F.lit(target).alias("target"))
+        for name in names or types for predicate, (edges, target) in types[name].edges.items()
+    ]
+
+
+def typed_nodes(types: dict[str, TypeInfo], name: str, key: str = "uid") -> DataFrame:
+    """(uid, type, fields): a type's nodes with labels and values as a JSON object."""
+    info = types[name]
+    labels = [c for c in ("labels",) if c in info.nodes.columns and c not in info.values]
+    return info.nodes.select(F.col(key).alias("uid"), F.lit(name).alias("type"), F.to_json(F.struct(*labels, *info.values)).alias("fields"))
+
+
 def expand_all(types: dict[str, TypeInfo], type_name: str, depth: int = 0, key: str = "uid") -> DataFrame:
     """Every predicate of a type, edges followed while depth > 0 (list and reverse edges too).
 
     One row per node reached: root, path (predicates joined by dots, empty for the root), the
     parent's uid, uid, type and `fields`, the node's labels and values as a JSON object. Sibling
-    edges are branches of their own, so their lists do not multiply each other, and a hot
-    parent is as many rows as it has children. The loop runs over depth and metadata only."""
-    branches: list[DataFrame] = []
-
-    def add(reached: DataFrame, name: str, path: str, left: int) -> None:
-        info = types[name]
-        labels = [c for c in ("labels",) if c in info.nodes.columns and c not in info.values]
-        nodes = info.nodes.select(F.col(key).alias("uid"), F.to_json(F.struct(*labels, *info.values)).alias("fields"))
-        branches.append(
-            reached.join(nodes, "uid").select(
-                "root", F.lit(path).alias("path"), "parent", "uid", F.lit(name).alias("type"), "fields"
-            )
-        )
-        if left:
-            for predicate, (edges, target) in info.edges.items():
-                hop = edges.select(F.col("src").alias("parent"), F.col("dst").alias("uid"))
-                step = reached.select("root", F.col("uid").alias("parent")).join(hop, "parent")
-                add(step, target, f"{path}.{predicate}" if path else predicate, left - 1)
-
-    start = types[type_name].nodes.select(F.col(key).alias("root"), F.lit(None).cast("long").alias("parent"), F.col(key).alias("uid"))
-    add(start, type_name, "", depth)
-    return reduce(DataFrame.unionByName, branches)
+    edges are rows of their own, so their lists do not multiply each other, and a hot
+    parent is as many rows as it has children. A level is written once and all its edges are
+    followed by one join, so each table of edges or nodes is read once. `reach` goes to any depth."""
+    start = types[type_name].nodes.select(
+        F.col(key).alias("root"), F.lit("").alias("path"), F.lit(None).cast("long").alias("parent"), F.col(key).alias("uid"), F.lit(type_name).alias("type"))
+    levels, seen = [start], [{type_name}]
+    for _ in range(depth):
+        seen.append({target for name in seen[-1] for _, target in types[name].edges.values()})
+    followed = typed_edges(types, sorted(set().union(*seen[:depth]))) if depth else []
+    if followed:
+        edges = reduce(DataFrame.unionByName, followed)
+        if depth > 1:
+            edges = written(edges, "edges")
+        for _ in range(depth):
+            here = levels[-1].withColumnsRenamed({"uid": "src", "parent": "_"})
+            step = F.when(F.col("path") == "", F.col("predicate")).otherwise(F.concat_ws(".", "path", "predicate"))
+            hop = here.join(edges, ["type", "src"]).select("root", step.alias("path"), F.col("src").alias("parent"), F.col("dst").alias("uid"), F.col("target").alias("type"))
+            levels.append(written(hop, "level"))
+    nodes = reduce(DataFrame.unionByName, [typed_nodes(types, name, key) for name in sorted(set().union(*seen))])
+    reached = reduce(DataFrame.unionByName, levels)
+    return reached.join(nodes, ["type", "uid"]).select("root", "path", "parent", "uid", "type", "fields")
 
 
 def wide(
