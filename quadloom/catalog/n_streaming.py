@@ -7,15 +7,15 @@ from quadloom.catalog.common import LOG, query, state_sql
 from quadloom.model import LOG_SCHEMA
 from quadloom.plans.cut import fresh_path
 from quadloom.sources.tables import Graph
-from quadloom.streaming import feeds
+from quadloom.streaming import feeds, levels
 
 BATCHES = 3
 
 
-def log_files(g: Graph, log) -> str:
+def log_files(g: Graph, log, batches: int = BATCHES) -> str:
     """The change log as files in commit order, as a writer would have left them."""
     path = fresh_path(g.spark, "log")
-    log.select(*LOG_SCHEMA.fieldNames()).repartitionByRange(BATCHES, "commit_ts").write.parquet(path)
+    log.select(*LOG_SCHEMA.fieldNames()).repartitionByRange(batches, "commit_ts").write.parquet(path)
     return path
 
 
@@ -41,3 +41,13 @@ def streaming_apply(g: Graph):
     run = kept.start(stream, fresh_path(g.spark, "progress"), available_now=True)
     run.awaitTermination()
     return state_rows(kept.state(run.lastProgress["batchId"]))
+
+
+@query("n06_leveled_apply", f"WITH {LOG}, {state_sql('log')} SELECT namespace, subject, predicate, value, k FROM state")
+def leveled_apply(g: Graph):
+    """Six batches into buckets and levels; a bucket carries at every second write."""
+    source = log_files(g, log_with_stars(g), 6)
+    kept = levels.LeveledState(g.spark, fresh_path(g.spark, "levels"), LISTS, buckets=8, fan_out=2)
+    run = kept.start(feeds.log_stream(g.spark, source, files_per_batch=1), fresh_path(g.spark, "progress"), available_now=True)
+    run.awaitTermination()
+    return state_rows(kept.state(run.lastProgress["batchId"]))
