@@ -51,3 +51,21 @@ def leveled_apply(g: Graph):
     run = kept.start(feeds.log_stream(g.spark, source, files_per_batch=1), fresh_path(g.spark, "progress"), available_now=True)
     run.awaitTermination()
     return state_rows(kept.state(run.lastProgress["batchId"]))
+
+
+TERM_SPLIT = r"[^\p{L}\p{N}]+"
+
+
+@query(
+    "k10_kept_indexes",
+    f"""WITH {LOG}, {state_sql('log')} SELECT 'exact' AS kind, namespace, predicate, value AS entry, subject AS uid FROM state GROUP BY ALL
+    UNION ALL SELECT DISTINCT 'term', namespace, predicate, unnest(list_filter(regexp_split_to_array(value, '{TERM_SPLIT}'), lambda x: x <> '')), subject FROM state
+    UNION ALL SELECT 'count', namespace, predicate, count(*)::VARCHAR, subject FROM state GROUP BY namespace, predicate, subject""",
+)
+def kept_indexes(g: Graph):
+    """Exact, term and count index after three batches, kept up from what each batch changed."""
+    source = log_files(g, log_with_stars(g))
+    kept = levels.KeptIndexes(g.spark, fresh_path(g.spark, "kept"), ("exact", "term", "count"), LISTS, buckets=4, fan_out=2)
+    run = kept.start(feeds.log_stream(g.spark, source, files_per_batch=1), fresh_path(g.spark, "progress"), available_now=True)
+    run.awaitTermination()
+    return kept.entries(run.lastProgress["batchId"])

@@ -7,7 +7,7 @@ import pytest
 from quadloom.model import LOG_SCHEMA, OP_DEL, OP_OVR, OP_SET, STAR
 from quadloom.operators.mutate import resolve
 from quadloom.streaming import feeds
-from quadloom.streaming.levels import LeveledState
+from quadloom.streaming.levels import KeptIndexes, LeveledState, summed
 
 LISTS = ["tag"]
 
@@ -97,7 +97,39 @@ def test_stream_survives_a_restart(spark, tmp_path):
 
 @pytest.mark.parametrize("fan_out", [2, 4])
 def test_buckets_carry_at_different_batches(fan_out):
-    kept = LeveledState(None, "x", buckets=fan_out**2, fan_out=fan_out)
+    kept = LeveledState.__new__(LeveledState)
+    kept.buckets, kept.fan_out = fan_out**2, fan_out
     for writes in range(1, 70):
         highest = [kept.carried(writes, b) for b in range(kept.buckets)]
         assert sum(x > 0 for x in highest) <= len(highest) // fan_out
+
+
+def test_kept_indexes_equal_a_rebuild_after_every_batch(spark, tmp_path):
+    """Ten batches with overwrites, star deletes, deletes of nodes, edges, late and repeated rows."""
+    rnd, seen = random.Random(14), []
+    kept = KeptIndexes(spark, str(tmp_path / "kept"), list_predicates=LISTS, buckets=4, fan_out=2)
+    for n in range(10):
+        rows = changes(rnd, 25, 1 + 25 * n, nodes=12)
+        rows = [(*r[:3], rnd.randrange(5), None, "uid", *r[6:]) if r[2] == "tag" and r[4] != STAR and rnd.random() < 0.4 else r for r in rows]
+        seen += rows
+        batch = spark.createDataFrame(rows, LOG_SCHEMA)
+        kept.fold(batch, n)
+        if n == 6:
+            kept.fold(batch, n)
+        facts_now = resolve(spark.createDataFrame(seen, LOG_SCHEMA), LISTS)
+        want = sorted(map(tuple, kept.derived(facts_now, 1).drop("n").distinct().collect()))
+        assert sorted(map(tuple, kept.entries(n).collect())) == want, n
+    kind, namespace, predicate, entry, _ = next(w for w in want if w[0] == "exact")
+    got = sorted(r.uid for r in kept.lookup(9, kind, namespace, predicate, entry).collect())
+    assert got == sorted(w[4] for w in want if w[:4] == (kind, namespace, predicate, entry))
+
+
+def test_rows_of_an_index_follow_the_change(spark, tmp_path):
+    kept = KeptIndexes(spark, str(tmp_path / "kept"), ["term", "reverse"], buckets=2)
+    row = lambda node, text, ts: (0, node, "name", None, text, "string", None, None, OP_SET, 0, ts, ts)
+    kept.fold(spark.createDataFrame([row(i, "red ball", 1) for i in range(50)], LOG_SCHEMA), 0)
+    kept.fold(spark.createDataFrame([row(7, "blue ball", 2), (0, 7, "knows", 9, None, "uid", None, None, OP_SET, 1, 2, 2)], LOG_SCHEMA), 1)
+    signed = summed(kept.derived(kept.state.state(1), 1).unionByName(kept.derived(kept.state.state(0), -1)))
+    assert sorted((r.kind, r.entry, r.uid, r.n) for r in signed.collect()) == [("reverse", "9", 7, 1), ("term", "blue", 7, 1), ("term", "red", 7, -1)]
+    assert [r.uid for r in kept.lookup(1, "term", 0, "name", "blue").collect()] == [7] == [r.uid for r in kept.lookup(1, "reverse", 0, "knows", "9").collect()]
+    assert kept.lookup(1, "term", 0, "name", "red").count() == 49 and kept.lookup(1, "term", 0, "name", "ball").count() == 50
