@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quadloom.catalog.common import CONTAINS, EVENTS, LOG, query, u
 from quadloom.model import edge_fact, value_fact, wide_to_facts
-from quadloom.operators import counting
+from quadloom.operators import checks, counting, roots
 from quadloom.plans.pages import PAGE_SIZE
 from quadloom.sources.tables import Graph, uid_of
 
@@ -89,9 +89,74 @@ def uids_per_predicate(g: Graph):
     f"""WITH {FACTS} SELECT predicate, count(*) AS rows, cast(sum(coalesce(strlen(value), 8)) AS BIGINT) AS bytes FROM facts GROUP BY predicate""",
 )
 def predicate_sizes(g: Graph):
+    return counting.predicate_sizes(facts(g), per_tenant=False)
+
+
+@query(
+    "f06_tenant_sizes",
+    f"""WITH {FACTS} SELECT namespace, predicate, count(*) AS rows, cast(sum(coalesce(strlen(value), 8)) AS BIGINT) AS bytes FROM facts GROUP BY ALL""",
+)
+def tenant_sizes(g: Graph):
     return counting.predicate_sizes(facts(g))
 
 
+# Edges order node -> part of five tenants, and every node in every tenant.
+TENANT_EDGES = f"""edges AS (SELECT DISTINCT cast(l_orderkey % {TENANTS} AS BIGINT) AS namespace, {u('Order', f'l_orderkey // {TENANTS}')} AS src, {u('Part', 'l_partkey')} AS dst FROM lineitem)"""
+EVERY = f"(SELECT unnest(range({TENANTS}))::BIGINT AS namespace)"
+
+
+def tenant_edges(g: Graph):
+    return g.raw("lineitem").select(tenant("l_orderkey").alias("namespace"), shared("Order", "l_orderkey").alias("src"), uid_of("Part", "l_partkey").alias("dst"))
+
+
+def in_every_tenant(nodes):
+    return nodes.withColumn("namespace", F.explode(F.array(*[F.lit(i).cast("long") for i in range(TENANTS)])))
+
+
+@query(
+    "f02_tenant_counts",
+    f"""WITH {TENANT_EDGES}, nodes AS (SELECT namespace, uid FROM (SELECT DISTINCT src AS uid FROM edges), {EVERY}), parts AS (SELECT namespace, {u('Part', 'p_partkey')} AS uid FROM part, {EVERY})
+    SELECT 'out' AS kind, n.namespace, uid, count(dst) AS n FROM nodes n LEFT JOIN edges e ON e.namespace = n.namespace AND src = uid GROUP BY ALL
+    UNION ALL SELECT 'in', p.namespace, uid, count(src) FROM parts p LEFT JOIN edges e ON e.namespace = p.namespace AND dst = uid GROUP BY ALL
+    UNION ALL SELECT 'index', namespace, src, count(*) FROM edges GROUP BY ALL""",
+)
+def tenant_counts(g: Graph):
+    """Edges out of and into the same nodes, tenant by tenant."""
+    edges = tenant_edges(g)
+    nodes = in_every_tenant(edges.select(F.col("src").alias("uid")).distinct())
+    rows = counting.out_counts(nodes, edges).select(F.lit("out").alias("kind"), "namespace", "uid", "n")
+    rows = rows.unionByName(counting.in_counts(in_every_tenant(g.part().select("uid")), edges).select(F.lit("in").alias("kind"), "namespace", "uid", "n"))
+    return rows.unionByName(counting.count_index(edges).select(F.lit("index").alias("kind"), "namespace", "uid", F.col("cnt").alias("n")))
+
+
+@query(
+    "e14_tenant_edges",
+    f"""WITH {TENANT_EDGES}, parts AS (SELECT namespace, {u('Part', 'p_partkey')} AS uid FROM part, {EVERY})
+    SELECT EXISTS (SELECT 1 FROM edges e WHERE e.namespace = p.namespace AND e.dst = p.uid) AS linked, namespace, uid FROM parts p
+    UNION ALL SELECT NULL, namespace, src FROM edges WHERE dst % 2 = 0 AND namespace = 0""",
+)
+def tenant_links(g: Graph):
+    """Parts with and without an order in each tenant; edges whose target one tenant has deleted."""
+    edges, parts = tenant_edges(g), in_every_tenant(g.part().select("uid"))
+    linked = roots.has_edge(parts, edges, reverse=True).select(F.lit(True).alias("linked"), "namespace", "uid")
+    free = roots.lacks_edge(parts, edges, reverse=True).select(F.lit(False).alias("linked"), "namespace", "uid")
+    left = parts.where("namespace <> 0 or uid % 2 <> 0")
+    broken = checks.dangling(edges.distinct(), left).select(F.lit(None).cast("boolean").alias("linked"), "namespace", F.col("src").alias("uid"))
+    return linked.unionByName(free).unionByName(broken)
+
+
+@query(
+    "m03_tenant_keys",
+    f"""WITH b AS (SELECT cast(user_id % {TENANTS} AS BIGINT) AS namespace, event_type AS email FROM events), s AS (SELECT DISTINCT 0::BIGINT AS namespace, 'click' AS email UNION ALL SELECT 3, 'view')
+    SELECT namespace, email, count(*) AS n, (namespace, email) IN (SELECT (namespace, email) FROM s) AS known FROM b GROUP BY ALL HAVING count(*) > 1""",
+)
+def tenant_keys(g: Graph):
+    """The same keys in five tenants; one tenant knows one of them, another one another."""
+    events = g.raw("events").select(tenant("user_id").alias("namespace"), F.col("event_type").alias("email"))
+    known = events.where("namespace = 0 and email = 'click' or namespace = 3 and email = 'view'").distinct()
+    return checks.repeated_keys(events, "email", known)
+
+
 def _postings(name: str, page_size: int):
     @query(
         name,

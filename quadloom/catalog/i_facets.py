@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quadloom.catalog.common import CONTAINS, EVENTS, query, u
+from quadloom.catalog.common import CONTAINS, EVENTS, LOG, query, u
 from quadloom.functions import facets as fx
 from quadloom.functions.values import json_literal
 from quadloom.model import FACETS, edge_fact, value_fact
@@ -53,6 +53,12 @@ def value_facets(g: Graph):
     return facet_ops.value_with_facets(faceted_names(g), "c_name", ["segment", "balance"])
 
 
+@query("i02_tenant_facets", f"WITH {LOG} SELECT namespace, subject AS uid, value AS click, k::VARCHAR AS \"click|k\" FROM log WHERE predicate = 'click'")
+def tenant_facets(g: Graph):
+    """A predicate of five tenants with its facet."""
+    return facet_ops.value_with_facets(g.log(), "click", ["k"], tenant=True)
+
+
 @query(
     "i03_edge_facets",
     f"""WITH {CONTAINS} SELECT src AS uid, dst AS part_uid, p_name AS part_name, quantity AS "contains|quantity", price AS "contains|price", first_ship AS "contains|first_ship"

@@ -53,6 +53,16 @@ def namespace_of(df: DataFrame) -> Column:
     return F.col("namespace").cast("long") if "namespace" in df.columns else F.lit(0).cast("long")
 
 
+def tenant_key(*frames: DataFrame) -> list[str]:
+    """The tenant column as a part of a key, where one of the frames has it."""
+    return ["namespace"] if any("namespace" in df.columns for df in frames) else []
+
+
+def with_tenant(df: DataFrame, key: list[str]) -> DataFrame:
+    """`df` with the columns of a `tenant_key`; rows without a tenant belong to tenant 0."""
+    return df if all(k in df.columns for k in key) else df.withColumn("namespace", namespace_of(df))
+
+
 def no_facets() -> Column:
     return F.lit(None).cast(FACETS)
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from quadloom.functions.values import conforms
-from quadloom.model import namespace_of
+from quadloom.model import namespace_of, tenant_key, with_tenant
 from quadloom.plans.semi import lacking
 
 
@@ -32,12 +33,16 @@ def null_elements(df: DataFrame, column: str, key: str = "uid") -> DataFrame:
 
 
 def repeated_keys(batch: DataFrame, key: str, state: DataFrame | None = None) -> DataFrame:
-    """Upsert keys occurring more than once in a batch, and whether the state has them."""
-    rows = batch.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    """Upsert keys occurring more than once in a batch (and tenant), and whether the state has
+    them there."""
+    tenant = tenant_key(*[batch] + [state] * (state is not None))
+    keys = [*tenant, key]
+    rows = with_tenant(batch, tenant).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if state is None:
         return rows
-    known = state.select(F.col(key).alias("_k")).distinct()
-    return rows.join(known, rows[key] == known["_k"], "left").select(key, "n", F.col("_k").isNotNull().alias("known"))
+    known = with_tenant(state, tenant).select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [rows[k] == known[f"_{k}"] for k in keys])
+    return rows.join(known, same, "left").select(*keys, "n", F.col(f"_{key}").isNotNull().alias("known"))
 
 
 def several_values(facts: DataFrame, single: Sequence[str] | None = None) -> DataFrame:
@@ -58,6 +63,8 @@ def wrong_type(facts: DataFrame, declared: dict[str, str]) -> DataFrame:
 
 
 def dangling(edges: DataFrame, nodes: DataFrame, key: str = "uid") -> DataFrame:
-    """Edges whose target is missing or not of the declared type: `nodes` are the nodes of
-    that type."""
-    return lacking(edges, nodes.select(F.col(key).alias("dst")), "dst").select("src", "dst")
+    """Edges whose target is missing in their tenant or not of the declared type: `nodes` are the
+    nodes of that type."""
+    tenant = tenant_key(edges, nodes)
+    known = with_tenant(nodes, tenant).select(*tenant, F.col(key).alias("dst"))
+    return lacking(with_tenant(edges, tenant), known, [*tenant, "dst"]).select(*tenant, "src", "dst")

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from quadloom.functions.values import is_bool, is_float, is_int, is_time
+from quadloom.model import tenant_key, with_tenant
 from quadloom.operators.roots import compare
 from quadloom.plans.pages import PAGE_SIZE, nest
 
@@ -16,20 +17,25 @@ def size_of(variable: DataFrame, key: str = "uid") -> DataFrame:
 
 
 def out_counts(nodes: DataFrame, edges: DataFrame, key: str = "uid") -> DataFrame:
-    """Edges leaving each node, zero included."""
-    counts = edges.groupBy(F.col("src").alias(key)).agg(F.count_distinct("dst").alias("n"))
-    return nodes.join(counts, key, "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+    """Edges leaving each node in its tenant, zero included."""
+    return _counted(nodes, edges, key, "src", "dst")
 
 
 def in_counts(nodes: DataFrame, edges: DataFrame, key: str = "uid") -> DataFrame:
-    """Edges arriving at each node, zero included."""
-    counts = edges.groupBy(F.col("dst").alias(key)).agg(F.count_distinct("src").alias("n"))
-    return nodes.join(counts, key, "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+    """Edges arriving at each node in its tenant, zero included."""
+    return _counted(nodes, edges, key, "dst", "src")
+
+
+def _counted(nodes: DataFrame, edges: DataFrame, key: str, end: str, other: str) -> DataFrame:
+    tenant = tenant_key(nodes, edges)
+    counts = with_tenant(edges, tenant).groupBy(*tenant, F.col(end).alias(key)).agg(F.count_distinct(other).alias("n"))
+    return with_tenant(nodes, tenant).join(counts, [*tenant, key], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
 
 
 def count_index(edges: DataFrame) -> DataFrame:
-    """(cnt, uid) rows: the nodes behind each edge count, as rows so no list grows."""
-    return edges.groupBy(F.col("src").alias("uid")).agg(F.count_distinct("dst").alias("cnt"))
+    """(cnt, uid) rows, per tenant where edges have one: the nodes behind each edge count, as rows
+    so no list grows."""
+    return edges.groupBy(*tenant_key(edges), F.col("src").alias("uid")).agg(F.count_distinct("dst").alias("cnt"))
 
 
 def with_count(edges: DataFrame, how: str, n: int) -> DataFrame:
@@ -42,10 +48,11 @@ def uids_per_predicate(facts: DataFrame, approximate: bool = False) -> DataFrame
     return facts.groupBy("namespace", "predicate").agg(n.alias("num_uids"))
 
 
-def predicate_sizes(facts: DataFrame) -> DataFrame:
-    """Rows and uncompressed bytes per predicate: value bytes, or 8 per uid."""
+def predicate_sizes(facts: DataFrame, per_tenant: bool = True) -> DataFrame:
+    """Rows and uncompressed bytes per tenant and predicate, or per predicate of the whole
+    store: value bytes, or 8 per uid."""
     size = F.coalesce(F.octet_length("value"), F.lit(8)).cast("long")
-    return facts.groupBy("predicate").agg(
+    return facts.groupBy(*["namespace"] * per_tenant, "predicate").agg(
         F.count(F.lit(1)).alias("rows"), F.sum(size).cast("long").alias("bytes")
     )
 

@@ -11,10 +11,11 @@ from quadloom.functions.text import terms
 from quadloom.functions.values import decode_literal, json_literal
 
 
-def value_with_facets(facts: DataFrame, predicate: str, names: Sequence[str]) -> DataFrame:
-    """`p @facets`: the value beside its `p|facet` columns."""
+def value_with_facets(facts: DataFrame, predicate: str, names: Sequence[str], tenant: bool = False) -> DataFrame:
+    """`p @facets`: the value beside its `p|facet` columns; with `tenant` also the namespace, which
+    facts of several tenants need to tell their nodes apart."""
     return facts.where(F.col("predicate") == predicate).select(
-        F.col("subject").alias("uid"), F.col("value").alias(predicate), *fx.columns(F.col("facets"), predicate, names)
+        *["namespace"] * tenant, F.col("subject").alias("uid"), F.col("value").alias(predicate), *fx.columns(F.col("facets"), predicate, names)
     )
 
 

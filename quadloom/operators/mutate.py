@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quadloom.functions import uid as uids
-from quadloom.model import FACT_COLUMNS, OP_DEL, OP_OVR, OP_SET, STAR, namespace_of
+from quadloom.model import FACT_COLUMNS, OP_DEL, OP_OVR, OP_SET, STAR, namespace_of, tenant_key, with_tenant
 from quadloom.plans.semi import lacking
 
 NODE_KEY = ["namespace", "subject"]
@@ -195,10 +195,14 @@ def complete_labels(labels: Column, type_name: str) -> Column:
 
 # upserts and conditions ------------------------------------------------------
 def upsert(batch: DataFrame, state: DataFrame, key: str, uid: str = "uid") -> DataFrame:
-    """Give every batch key a uid text: that of the node holding the key, or a new blank
-    label. `state` has (key, uid BIGINT). Adds `uid` and `is_new`."""
-    known = state.select(F.col(key).alias("_key"), uids.to_text(F.col(uid)).alias("_uid"))
-    rows = batch.join(known, batch[key] == F.col("_key"), "left")
+    """Give every batch key a uid text: that of the node holding the key in the same tenant, or a
+    new blank label. `state` has (key, uid BIGINT), both may have namespace. Adds `uid` and `is_new`.
+    Blank labels name a key, so batches of several tenants are assigned tenant by tenant."""
+    tenant = tenant_key(batch, state)
+    batch = with_tenant(batch, tenant)
+    known = with_tenant(state, tenant).select(*[F.col(t).alias("_tenant") for t in tenant], F.col(key).alias("_key"), uids.to_text(F.col(uid)).alias("_uid"))
+    same = batch[key] == F.col("_key")
+    rows = batch.join(known, same & (batch["namespace"] == F.col("_tenant")) if tenant else same, "left").drop("_tenant")
     return rows.withColumn("is_new", F.col("_uid").isNull()).withColumn(
         "uid", F.coalesce("_uid", uids.blank_label(F.col(key)))
     ).drop("_key", "_uid")

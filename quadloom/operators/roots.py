@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from quadloom.model import tenant_key, with_tenant
 from quadloom.plans.semi import having, lacking
 
 _COMPARE = {"eq": op.eq, "lt": op.lt, "le": op.le, "gt": op.gt, "ge": op.ge}
@@ -41,13 +42,17 @@ def has_value(nodes: DataFrame, predicate: str) -> DataFrame:
 
 
 def has_edge(nodes: DataFrame, edges: DataFrame, key: str = "uid", reverse: bool = False) -> DataFrame:
-    end = "dst" if reverse else "src"
-    return having(nodes, edges.select(F.col(end).alias(key)), key)
+    """Nodes with an edge, of their own tenant where nodes or edges have one."""
+    tenant, end = tenant_key(nodes, edges), "dst" if reverse else "src"
+    ends = with_tenant(edges, tenant).select(*tenant, F.col(end).alias(key))
+    return having(with_tenant(nodes, tenant), ends, [*tenant, key]).select(*nodes.columns)
 
 
 def lacks_edge(nodes: DataFrame, edges: DataFrame, key: str = "uid", reverse: bool = False) -> DataFrame:
-    end = "dst" if reverse else "src"
-    return lacking(nodes, edges.select(F.col(end).alias(key)), key)
+    """Nodes without an edge in their own tenant."""
+    tenant, end = tenant_key(nodes, edges), "dst" if reverse else "src"
+    ends = with_tenant(edges, tenant).select(*tenant, F.col(end).alias(key))
+    return lacking(with_tenant(nodes, tenant), ends, [*tenant, key]).select(*nodes.columns)
 
 
 def subjects_with(facts: DataFrame, predicate: str) -> DataFrame:
