@@ -5,13 +5,13 @@ them. Costs of a small fixed classifier (which elements stand above, words in th
 share of linked text) become capacities to the terminals "text" and "rest"; neighbouring blocks
 and blocks close in the tree get edges, stronger the closer they are. Maximum flow gives the
 cheapest labelling; the blocks on the text side, in page order, are the main text. A form or a
-named element that holds nearly all running text is the page's wrapper and no evidence.
+named element that holds nearly all running text, or more than half and the page's article, is the
+page's wrapper and no evidence. A page on which nothing is spoken for keeps what nothing speaks against.
 """
 
 from __future__ import annotations
 
 import re
-from collections import deque
 from collections.abc import Iterator
 from html import unescape
 
@@ -48,6 +48,14 @@ NAMED_FOR = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|sto
 STATE = re.compile(r"(?:has|no|not|with|without)[_-]", re.I)
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "form", "menu", "menubar", "alert"}
 FIXED = 1 << 20
+#: Elements that are not shown: by attribute or style.
+HIDDEN = re.compile(r"""\shidden(?=[\s=/>])(?!\s*=\s*["']?(?:false|until-found))|\sstyle\s*=\s*(?:"[^"]*|'[^']*)(?:display\s*:\s*none|visibility\s*:\s*hidden)""", re.I)
+QUOTED = re.compile(r"""=\s*(?:"[^"]*"|'[^']*')""")
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+#: Headings of what readers have written.
+READERS = re.compile(r"(?:\(?\d+\)?\s*(?:comments?|responses?|replies)(?: (?:on|to)\b.*)?|(?:reader |user |recent |all )?comments?\s*(?:\(?\d+\)?)?:?|(?:leave|post|add|write) an? (?:reply|comment)[.:]?)", re.I)
+#: Cost of taking any block in.
+PRIOR = 8
 #: Capacity between neighbours: same parent, same grandparent, elsewhere.
 CLOSE, NEAR, FAR = 20, 8, 1
 
@@ -61,6 +69,9 @@ class Element:
         self.hard = (up.hard if up else False) or (name in NEVER and name != "form")
         self.favour = (up.favour if up else 0) + FOR.get(name, 0)
         self.named = 0
+        if name not in ("html", "body") and (found := HIDDEN.search(attributes)):
+            # the bare word must not stand inside a value
+            self.hard |= "style" in found[0].lower() or bool(HIDDEN.search(QUOTED.sub("=x", attributes)))
         if "=" in attributes:
             for key, *values in ATTRIBUTE.findall(attributes):
                 value = "".join(values)
@@ -176,24 +187,62 @@ def blocks(page: str) -> list[tuple[str, Element, float]]:
     return out
 
 
+def settle_readers(found: list[tuple[str, Element, float]]) -> None:
+    """What readers have written under a heading that says so, without a class of its own: the
+    heading and what follows it in the element around it, up to a heading as high."""
+    rank = lambda e: HEADINGS.index(e.name) if e.name in HEADINGS else len(HEADINGS)
+    part: tuple[Element, int] | None = None
+    for text, e, _ in found:
+        mine = e.name in HEADINGS and READERS.fullmatch(text) is not None
+        if part and not mine and (rank(e) <= part[1] or not inside(e, part[0])):
+            part = None
+        if mine:
+            part = (e.up, rank(e))
+        if part:
+            e.hard = e.never = True
+
+
+def inside(e: Element | None, around: Element) -> bool:
+    while e and e is not around:
+        e = e.up
+    return e is around
+
+
+def in_article(e: Element | None, mark: Element | None) -> bool:
+    """Whether an article or main element stands between a block and its mark (or the page)."""
+    while e and e is not mark:
+        if e.name in ("article", "main"):
+            return True
+        e = e.up
+    return False
+
+
 def settle_wrappers(found: list[tuple[str, Element, float]]) -> None:
-    """Forms and named elements that hold two paragraphs or more and over four fifths of the
-    running text that nothing else speaks against are wrappers of the page: no evidence."""
-    sizes, marks = [], []
+    """Forms and named elements that hold over four fifths of the running text that nothing else
+    speaks against, or over half of it (a form without a name: any) in an article where there is no
+    other, are wrappers of the page: no evidence."""
+    sizes, marks, owners = [], [], []
     for text, e, linked in found:
-        if not e.hard and linked < 0.5 and (words := text.count(" ") + 1) > 3:
-            sizes.append(words)
+        if not e.hard and linked < 0.5:
+            words = text.count(" ") + 1
+            sizes.append(words if words > 3 else 0)  # a few words are no running text
             marks.append(e.mark)
+            owners.append(e)
     wrappers: set[Element] = set()
     while True:
         held: dict[Element | None, list[int]] = {}
-        for m, words in zip(marks, sizes):
+        for m, words, e in zip(marks, sizes, owners):
             one = held.setdefault(m, [0, 0])
             one[0] += words
-            one[1] += 1
-        free = held.pop(None, [0, 0])[0]
-        most = max(held, key=lambda m: held[m][0], default=None)
-        if most is None or held[most][1] < 2 or held[most][0] <= 4 * free:
+            one[1] += (words or 1) * in_article(e, m)
+        free, free_article = held.pop(None, [0, 0])
+        # where an article stands on its own, what is around or beside it wraps nothing
+        most = max((m for m in held if not free_article or in_article(m.up, None)), key=lambda m: held[m][0], default=None)
+        if most is None:
+            break
+        words, article = held[most]
+        holds = article > free or (article and most.name == "form" and not most.named)  # no bare form stands in for an article
+        if not words or (words <= 4 * free and not (holds and not free_article)):
             break
         wrappers.add(most)
         marks = [(m.up.mark if m.up else None) if m is most else m for m in marks]
@@ -212,6 +261,7 @@ def settle_wrappers(found: list[tuple[str, Element, float]]) -> None:
 
 def capacities(found: list[tuple[str, Element, float]]) -> tuple[list[int], list[int], list[tuple[int, int, int]]]:
     """Cost of leaving each block out, of taking it in, and the edges between blocks."""
+    settle_readers(found)
     settle_wrappers(found)
     leave, take = [], []
     for text, e, linked in found:
@@ -222,7 +272,7 @@ def capacities(found: list[tuple[str, Element, float]]) -> tuple[list[int], list
         words = text.count(" ") + 1
         sentence = text[-1] in ".!?…:;\"'”»)" and words > 3
         leave.append(e.favour + min(words, 30) // 3 + 4 * sentence)
-        take.append(e.against + 8 + int(40 * linked))
+        take.append(e.against + PRIOR + int(40 * linked))
     edges, last_in = [], {}
     for i, (_, e, _) in enumerate(found):
         if i:
@@ -245,34 +295,58 @@ def minimum_cut(leave: list[int], take: list[int], edges: list[tuple[int, int, i
     several minimum cuts the one with the fewest nodes on the text side."""
     n = len(leave)
     spare = [a - b for a, b in zip(leave, take)]  # flow text -> node -> rest is taken at once
-    around: list[dict[int, int]] = [{} for _ in range(n)]
+    joint: dict[tuple[int, int], int] = {}
     for a, b, c in edges:
-        around[a][b] = around[a].get(b, 0) + c
-        around[b][a] = around[b].get(a, 0) + c
-    while True:  # shortest augmenting paths from any node with text capacity left
-        queue = deque(i for i in range(n) if spare[i] > 0)
-        parent = {i: -1 for i in queue}
-        end = -1
-        while queue and end < 0:
-            i = queue.popleft()
-            for j, c in around[i].items():
-                if c > 0 and j not in parent:
-                    parent[j] = i
-                    if spare[j] < 0:
-                        end = j
+        pair = (a, b) if a < b else (b, a)
+        joint[pair] = joint.get(pair, 0) + c
+    ends, room = [], []  # edge k leads to ends[k] and has room[k] left, k ^ 1 leads back
+    around: list[list[int]] = [[] for _ in range(n)]
+    for (a, b), c in joint.items():
+        around[a].append(len(ends))
+        around[b].append(len(ends) + 1)
+        ends += [b, a]
+        room += [c, c]
+    while True:  # rounds of all shortest paths from nodes with text capacity left to nodes that lack it
+        level = [0 if x > 0 else -1 for x in spare]
+        ring, depth, met = [i for i in range(n) if spare[i] > 0], 0, False
+        while ring and not met:
+            depth, after = depth + 1, []
+            for i in ring:
+                for k in around[i]:
+                    j = ends[k]
+                    if room[k] and level[j] < 0:
+                        level[j] = depth
+                        after.append(j)
+                        met = met or spare[j] < 0
+            ring = after
+        if not met:
+            return [x >= 0 for x in level]
+        at = [0] * n
+        for source in range(n):
+            while spare[source] > 0:
+                path, i = [], source  # edges walked; each is looked at until it has no use left
+                while not (spare[i] < 0 and path):
+                    while at[i] < len(around[i]):
+                        k = around[i][at[i]]
+                        if room[k] and level[ends[k]] == level[i] + 1:
+                            break
+                        at[i] += 1
+                    if at[i] < len(around[i]):
+                        path.append(k)
+                        i = ends[k]
+                    elif path:
+                        i = ends[path.pop() ^ 1]
+                        at[i] += 1
+                    else:
                         break
-                    queue.append(j)
-        if end < 0:
-            return [i in parent for i in range(n)]
-        path = [end]
-        while parent[path[-1]] >= 0:
-            path.append(parent[path[-1]])
-        flow = min(spare[path[-1]], -spare[end], *(around[a][b] for a, b in zip(path[1:], path)))
-        spare[path[-1]] -= flow
-        spare[end] += flow
-        for a, b in zip(path[1:], path):
-            around[a][b] -= flow
-            around[b][a] = around[b].get(a, 0) + flow
+                if not path:
+                    break
+                flow = min(spare[source], -spare[i], *[room[k] for k in path])
+                spare[source] -= flow
+                spare[i] += flow
+                for k in path:
+                    room[k] -= flow
+                    room[k ^ 1] += flow
 
 
 def main_text(page: str | None) -> str:
@@ -280,7 +354,12 @@ def main_text(page: str | None) -> str:
     found = blocks(page or "")
     if not found:
         return ""
-    taken = minimum_cut(*capacities(found))
+    leave, take, edges = capacities(found)
+    taken = minimum_cut(leave, take, edges)
+    if not any(taken):  # nothing is spoken for: what nothing speaks against stays
+        fair = [not e.never and e.against < PRIOR and linked < 0.5 for _, e, linked in found]
+        leave = [x + 1 + PRIOR * f for x, f in zip(leave, fair)]
+        taken = minimum_cut(leave, take, edges)
     return " ".join(text for (text, _, _), keep in zip(found, taken) if keep)
 
 

@@ -84,6 +84,50 @@ def test_a_wrapper_of_the_page_is_no_evidence(before, after):
     assert page_text.main_text(f"<div class=content>{body}</div>{comments}<form>{aside}</form>") == " ".join(texts)
 
 
+LONG = "This paragraph tells its readers at some length what happened. " * 30
+
+
+@pytest.mark.parametrize("page", [
+    "<form><article><p>{}</p></article></form>", "<form><article><p>{}</p><p>{}</p></article></form>", '<div class="comments-open"><article><p>{}</p></article></div>',
+    '<div id="search-page"><p>{}</p></div>', "<body><form><main><p>{}</p></main></form><div>A few words that stand alone here.</div></body>", "{}", "<div>{}</div>", "<p>{}</p>",
+])
+@pytest.mark.parametrize("text", [LONG.strip(), "The store opens at nine."])
+def test_no_article_is_lost(page, text):
+    got = page_text.main_text(page.replace("{}", text))
+    assert got.startswith(" ".join([text] * page.count("{}")))
+
+
+@pytest.mark.parametrize("part", [
+    "<section><h2>Comments</h2><p>Reader says that this is a very fine article indeed.</p></section>", "<h3>3 responses</h3><ol class=commentlist><li>I was there too, it was great.</li></ol>",
+    "<h2>Comments (12)</h2><div><p>First reader writes a whole sentence.</p><h4>Second</h4><p>Second reader writes one more.</p></div>", "<h3>Leave a reply</h3><p>Your address will not be shown to others.</p>",
+    "<div hidden><p>Something that is not shown to anyone at all.</p></div>", '<div style="color:red; display: none"><p>Something that is not shown.</p></div>',
+])
+def test_readers_and_hidden_parts_go(part):
+    text = LONG.strip()
+    assert page_text.main_text(f"<article><h1>Title</h1><p>{text}</p>{part}</article>") == f"Title {text}"
+
+
+def test_what_only_looks_hidden_stays():
+    text = LONG.strip()
+    page = f'<article><h1>No comment</h1><div class="not hidden" data-hidden="no" title="a hidden >"><p>{text}</p></div><h2>Discussion</h2><p>{text}</p></article>'
+    assert page_text.main_text(page) == f"No comment {text} Discussion {text}"
+    after = f"<article><p>{text}</p><h2>Comments</h2><p>Reader says so and so.</p><h2>More of it</h2><p>{text}</p></article>"
+    assert page_text.main_text(after) == f"{text} More of it {text}"
+
+
+@pytest.mark.parametrize("unit", ['<div class="sidebar"><p>Some words of a sidebar, {}.</p></div><p>Some words of the article, number {}.</p>', "<p>Some words of the article, number {}.</p>", "<li><a href=x>Link {}</a></li><td>{}</td>"])
+def test_a_page_of_many_blocks_takes_linear_time(unit):
+    import time
+
+    pages = ["<article>" + "".join(unit.replace("{}", str(i)) for i in range(n)) + "</article>" for n in (5_000, 50_000)]
+    spent = []
+    for page in pages:
+        begin = time.perf_counter()
+        page_text.main_text(page)
+        spent.append(time.perf_counter() - begin)
+    assert spent[1] < 40 * max(spent[0], 0.05)
+
+
 def test_odd_pages(spark):
     pages = [(1, "u", None), (2, None, ""), (None, "v", PAGE), (None, "v", PAGE), (3, "u", "<" * 1000), (4, "u", "<p>" * 3000 + "One word after <a \"x"), (5, "u", "<article><p>a&am")]
     got = page_text.extract(spark.createDataFrame([(*p, "x") for p in pages], "page_id int, url string, html string, text string")).collect()
