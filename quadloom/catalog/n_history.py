@@ -8,7 +8,7 @@ from quadloom.catalog.c_mutations import LISTS, log_with_stars, state_rows
 from quadloom.catalog.common import LOG, hexa, query, state_sql, u
 from quadloom.catalog.f_counting import FACTS, TENANTS, facts, shared, tenant
 from quadloom.model import TYPE_PREDICATE, edge_fact, value_fact
-from quadloom.operators import history, mutate
+from quadloom.operators import backups, history, mutate
 from quadloom.plans.cut import fresh_path, written
 from quadloom.sources.tables import Graph
 
@@ -166,3 +166,41 @@ def restore_incremental(g: Graph):
     moved = history.restore(slices, at(g, 7), list_predicates=LISTS, from_namespace=2, to_namespace=7)
     rows = [state_rows(s).select(F.lit(i).cast("long").alias("asked"), "*") for i, s in ((3, on_top), (4, moved))]
     return rows[0].unionByName(rows[1])
+
+
+def stored_backups(g: Graph) -> tuple[backups.Backups, list[int]]:
+    """A full backup, increments of which two overlap, and one of a single predicate."""
+    tenths = [int(g.spark.range(1).select(at(g, i)).first()[0]) for i in (3, 5, 6, 7, 9)]
+    done = written(history.committed(log_with_stars(g), g.txn_status()), "committed")
+    kept = backups.Backups(g.spark, fresh_path(g.spark, "backups"))
+    for name, since, read, predicates in (("full", 0, 0, None), ("a", 0, 1, None), ("b", 1, 2, None), ("c", 2, 4, None), ("wide", 0, 4, None), ("clicks", 0, 4, ["click"])):
+        kept.write(done, name, tenths[read], 0 if name == "full" else tenths[since], predicates)
+    return kept, tenths
+
+
+@query(
+    "a08_backup_chain",
+    f"""WITH {LOG}, s(name, since, read, predicate) AS (VALUES ('full', 0, {at_sql(3)}, NULL), ('a', {at_sql(3)}, {at_sql(5)}, NULL), ('b', {at_sql(5)}, {at_sql(6)}, NULL),
+      ('c', {at_sql(6)}, {at_sql(9)}, NULL), ('wide', {at_sql(3)}, {at_sql(9)}, NULL), ('clicks', {at_sql(3)}, {at_sql(9)}, 'click'))
+    SELECT name, since::BIGINT AS since, read::BIGINT AS read, (SELECT count(*) FROM log WHERE NOT aborted AND commit_ts > since AND commit_ts <= read
+      AND (s.predicate IS NULL OR log.predicate = s.predicate OR k = 50)) AS rows, name IN ('full', 'a', 'b', 'c') AS needed, false AS damaged FROM s""",
+)
+def backup_chain(g: Graph):
+    """The manifest, which slices a restore needs, and whether any of them is damaged."""
+    kept, tenths = stored_backups(g)
+    needed, damaged = {s.name for s in kept.chain(tenths[2])} | {"c"}, set(kept.damaged())
+    lines = [(s.name, s.since, s.read, s.rows, s.name in needed, s.name in damaged) for s in kept.manifest()]
+    return g.spark.createDataFrame(lines, "name string, since long, read long, rows long, needed boolean, damaged boolean")
+
+
+@query(
+    "a09_restore_chain",
+    f"""WITH {LOG}, past AS (SELECT * FROM log WHERE NOT aborted AND commit_ts <= {READ_SQL}), {state_sql('past')}
+    SELECT 'all' AS part, namespace, subject, predicate, value, k FROM state
+    UNION ALL SELECT 'clicks', namespace, subject, predicate, value, k FROM state WHERE predicate = 'click'""",
+)
+def restore_chain(g: Graph):
+    """Everything, and one predicate alone, from the fewest rows of verified slices."""
+    kept, tenths = stored_backups(g)
+    whole = state_rows(kept.restore(tenths[3], list_predicates=LISTS, verify=True)).select(F.lit("all").alias("part"), "*")
+    return whole.unionByName(state_rows(kept.restore(tenths[3], ["click"], LISTS)).select(F.lit("clicks").alias("part"), "*"))
