@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quadloom.functions import uid as uids
 from quadloom.model import FACT_COLUMNS, OP_DEL, OP_OVR, OP_SET, STAR, namespace_of, tenant_key, with_tenant
+from quadloom.plans.cut import written
 from quadloom.plans.semi import lacking
 
 NODE_KEY = ["namespace", "subject"]
@@ -214,8 +215,8 @@ _VARIABLE = r"^uid\((\w+)\)$"
 def bind(triples: DataFrame, variables: dict[str, DataFrame], create: bool = False) -> DataFrame:
     """Replace `uid(v)` by every uid of variable v.
 
-    Triples that name a variable are joined with (variable, node) rows on the variable's name,
-    once per position; Spark splits a variable with very many nodes. Triples without variables
+    Triples are written once, so that their parsing is planned and run once. Those that name a
+    variable are joined with (variable, node) rows on the variable's name, once per position; Spark splits a variable with very many nodes. Triples without variables
     pass through. A statement over an empty or unknown variable falls away or, with `create`,
     names one new node per variable. A statement with variables in both positions means every
     pair of their nodes: its result has as many rows as the two sizes multiplied, so keep one of
@@ -228,7 +229,7 @@ def bind(triples: DataFrame, variables: dict[str, DataFrame], create: bool = Fal
             new = known.sparkSession.range(1).select(F.lit(name).alias("_name"), F.lit(f"_:{name.lower()}").alias("_node"))
             rows = rows.unionByName(new.where(known.agg(F.count("uid") == 0).scalar()))
         nodes = rows if nodes is None else nodes.unionByName(rows)
-    out = triples
+    out = written(triples, "statements")
     for position in ("subject", "object"):
         name = F.regexp_extract(position, _VARIABLE, 1)
         marked = out.withColumn("_name", F.when(F.col(position).rlike(_VARIABLE), name))
