@@ -54,6 +54,21 @@ def language_sort(g: Graph):
     return order.by_language(nodes, texts, "body", ["de", "fr"], descending=True)
 
 
+LOCALES = ("de", "fr", "es", "en")
+
+
+@query(
+    "g03_locale_sort",
+    r"WITH w AS (SELECT doc_id, lang, regexp_extract(text, '\p{L}+') AS word FROM documents) " + " UNION ALL ".join(
+        f"SELECT doc_id, lang, word, row_number() OVER (ORDER BY word COLLATE {tag} NULLS LAST, word NULLS LAST, doc_id) AS position FROM w WHERE lang = '{tag}'" for tag in LOCALES)
+    + f" UNION ALL SELECT doc_id, lang, word, row_number() OVER (PARTITION BY lang ORDER BY word NULLS LAST, doc_id) FROM w WHERE lang IS NULL OR lang NOT IN {LOCALES}",
+)
+def locale_sort(g: Graph):
+    """Documents by their first word in the dictionary order of their language."""
+    rows = g.raw("documents").select("doc_id", "lang", F.regexp_extract("text", r"\p{L}+", 0).alias("word"))
+    return order.by_locale(rows, "word", "lang", LOCALES, [F.asc("doc_id")])
+
+
 @query(
     "g04_first",
     f"""SELECT {u('Order', 'o_orderkey')} AS uid, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""",

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from quadloom.plans.rank import positions
 
@@ -45,6 +48,32 @@ def by_language(nodes: DataFrame, facts: DataFrame, predicate: str, preference:
     return positions(rows, [first, F.asc("namespace"), F.asc("uid")], out=out)
 
 
+def known_locales(spark: SparkSession) -> set[str]:
+    """The locales the engine has dictionary orders of."""
+    rows = spark.sql("SELECT name FROM collations()").collect()  # a fixed list of the engine
+    return {r["name"] for r in rows if not r["name"].startswith(("UTF8", "UNICODE")) and not r["name"].endswith(("_CI", "_AI", "_RTRIM"))}
+
+
+def by_locale(df: DataFrame, column: str, lang: str, languages: Iterable[str], ties: list[Column], descending: bool = False, out: str = "position") -> DataFrame:
+    """Rows with their position in the dictionary order of `column`, language by language.
+
+    `languages` are tags from metadata; each list is ordered by the rules of its own language (base
+    letters first, then accents, then case), texts the rules hold equal by code point, then by
+    `ties`. Rows of other tags, of none, and of tags without rules are one list each by code point.
+    Null texts come last. Range bounds, ties and positions all go by the collated text, so a hot
+    language is spread over partitions as any order is."""
+    known, listed = known_locales(df.sparkSession), sorted(set(languages))
+    way = (lambda c: c.desc_nulls_last()) if descending else (lambda c: c.asc_nulls_last())
+    lists = []
+    for tag in listed:
+        own = df.where(F.col(lang) == tag)
+        text = F.collate(F.col(column), tag) if tag in known else F.col(column)
+        lists.append(positions(own.withColumn("_key", text), [way(F.col("_key")), way(F.col(column)), *ties], out=out).drop("_key"))
+    rest = df.where(~F.coalesce(F.col(lang).isin(listed), F.lit(False)))
+    lists.append(positions(rest, [way(F.col(column)), *ties], group=[lang], out=out))
+    return reduce(DataFrame.unionByName, lists)
+
+
 def latest(df: DataFrame, order: str) -> DataFrame:
     """The one newest row, as one aggregation without a sort."""
     whole = F.struct(*df.columns)
