@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from quadloom.catalog.common import CONTAINS, EVENTS, LOG, query, u
 from quadloom.model import edge_fact, value_fact, wide_to_facts
-from quadloom.operators import checks, counting, roots
+from quadloom.operators import checks, counting, roots, sketches
+from quadloom.plans.cut import written
 from quadloom.plans.pages import PAGE_SIZE
 from quadloom.sources.tables import Graph, uid_of
 
@@ -84,6 +85,31 @@ def uids_per_predicate(g: Graph):
     return counting.uids_per_predicate(facts(g))
 
 
+SPAN, AFTER, UNTIL = 100, 199, 799
+
+
+@query(
+    "f05_sketches",
+    f"""WITH {LOG} SELECT namespace, predicate, count(*) AS rows, cast(sum(coalesce(strlen(value), 8)) AS BIGINT) AS bytes, true AS nodes_ok, true AS median_ok
+    FROM log WHERE commit_ts > {AFTER} AND commit_ts <= {UNTIL} GROUP BY ALL""",
+)
+def stored_sketches(g: Graph):
+    """A range of commits from stored sketches: rows and bytes are exact, distinct nodes and the
+    median within the errors that are promised, against the facts themselves."""
+    stored = written(sketches.build(g.log(), SPAN), "sketches")
+    asked = sketches.merged(stored, SPAN, AFTER, UNTIL).select(
+        "namespace", "predicate", "rows", "bytes", sketches.node_count().alias("about"), sketches.quantile(0.5).alias("middle"))
+    facts_ = g.log().where((F.col("commit_ts") > AFTER) & (F.col("commit_ts") <= UNTIL)).withColumn("x", F.col("value").cast("double"))
+    rank = facts_.join(asked, ["namespace", "predicate"]).groupBy("namespace", "predicate").agg(
+        F.first("rows").alias("rows"), F.first("bytes").alias("bytes"), F.first("about").alias("about"), F.count_distinct("subject").alias("nodes"),
+        F.avg((F.col("x") < F.col("middle")).cast("double")).alias("below"), F.avg((F.col("x") <= F.col("middle")).cast("double")).alias("up_to"))
+    error = sketches.RANK_ERROR
+    return rank.select(
+        "namespace", "predicate", "rows", "bytes", (F.abs(F.col("about") - F.col("nodes")) <= F.greatest(F.lit(1.0), F.col("nodes") * sketches.NODE_ERROR)).alias("nodes_ok"),
+        ((F.col("below") <= 0.5 + error) & (F.col("up_to") >= 0.5 - error)).alias("median_ok"),
+    )
+
+
 @query(
     "f06_predicate_sizes",
     f"""WITH {FACTS} SELECT predicate, count(*) AS rows, cast(sum(coalesce(strlen(value), 8)) AS BIGINT) AS bytes FROM facts GROUP BY predicate""",
