@@ -9,6 +9,7 @@ from html import unescape
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quadloom.llm import (
     components, decontamination, language, near_copies, packing, page_text, personal_data, quality_rules, repeats, resampling, shards,
@@ -276,6 +277,50 @@ def test_junk_weighs_less(spark):
     assert np.mean([[g > b for b in bad] for g in good]) > 0.95
 
 
+def test_rows_are_drawn_apart(spark):
+    """Repeated rows and rows without id have noise of their own, whatever the files."""
+    rows = [(None, "same words here")] * 30 + [(7, "same words here")] * 30 + [(8, "other words")]
+    labels = spark.createDataFrame([(8, 1, 0)], "doc_id bigint, quality int, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = resampling.resample(docs.repartition(5), labels).collect()
+    noise = [r["noisy"] - r["log_weight"] for r in got]
+    assert len(got) == 61 and len({round(x, 9) for x in noise}) == 61
+    again = resampling.resample(docs.repartition(2), labels).collect()
+    key = lambda rows: sorted((r["doc_id"] or -1, round(r["noisy"], 9), r["selected"]) for r in rows)
+    assert key(got) == key(again)
+
+
+def test_inclusion_rates(spark):
+    """The whole ratio as weight: over seeds, rows are the first drawn in proportion to p/q."""
+    texts = ["a a b", "a b b", "b c", "c c a", "a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    labels = spark.createDataFrame([(0, 1, 0), (4, 1, 0)], "doc_id bigint, quality int, toxic int")
+    first = resampling.resample(docs, labels, per_ngram=False, sharpness=1.0, fraction=0.2).collect()
+    weight = {r["doc_id"]: r["log_weight"] for r in first}
+    grams = [resampling.ngrams([t.encode()]) for t in texts]
+    own = [one.tolist() + [x for x in two.tolist() if x >= 0] for one, two, _ in grams]
+    raw, target = Counter(x for g in own for x in g), Counter(own[0] + own[4])
+    n, m = sum(raw.values()) + resampling.BUCKETS, sum(target.values()) + resampling.BUCKETS
+    for i, g in enumerate(own):
+        assert weight[i] == pytest.approx(sum(np.log((target[b] + 1) / m) - np.log((raw[b] + 1) / n) for b in g), abs=1e-6)
+    law = np.exp([weight[i] for i in range(5)])
+    law /= law.sum()
+    # the noise of many seeds, without a job for each: the same columns over (row, seed)
+    drawn = spark.createDataFrame([(i, weight[i]) for i in range(5)], "doc_id bigint, w double").crossJoin(spark.range(4000).withColumnRenamed("id", "seed"))
+    noise = resampling.gumbel(11, "seed", "doc_id")
+    top = drawn.groupBy("seed").agg(F.max_by("doc_id", F.col("w") + noise).alias("doc_id")).groupBy("doc_id").count().collect()
+    for r in top:
+        assert r["count"] / 4000 == pytest.approx(law[r["doc_id"]], abs=0.03)
+    seeds = {tuple(sorted(r["doc_id"] for r in resampling.resample(docs, labels, per_ngram=False, sharpness=1.0, fraction=0.2, seed=s).collect() if r["selected"])) for s in range(4)}
+    assert len(seeds) > 1 and all(len(x) == 1 for x in seeds)
+
+
+def test_buckets_grow():
+    assert resampling.buckets_for(0) == resampling.BUCKETS
+    sizes = [resampling.buckets_for(10**k) for k in range(6, 15)]
+    assert sizes == sorted(sizes) and all(s & (s - 1) == 0 and s >= 4 * 10 ** (k / 2) for k, s in zip(range(6, 15), sizes))
+
+
 # 5: decontamination
 
 
