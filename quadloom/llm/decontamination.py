@@ -52,13 +52,15 @@ class Automaton:
         self.keys, self.to = keys[order], to[order]
         del moves
         self.whole: dict[int, list[tuple[int, int]]] = {}  # state: (words, item) of short items ending there
-        self.holders: dict[int, set[int]] = {}  # state of a window: items that have it
         for item, t in enumerate(texts):
             if 0 < len(t) < window:
                 self.whole.setdefault(ends[item], []).append((len(t), item))
+        self._settle_links()
+        self.holders: dict[int, set[int]] = {}  # state of a window: items that have it
+        for item, t in enumerate(texts):
             for _, state, size in self.walk(t):
                 if size >= window:
-                    self.holders.setdefault(self._window_state(state), set()).add(item)
+                    self.holders.setdefault(int(self.window_state[state]), set()).add(item)
 
     @staticmethod
     def _extend(moves, link, length, last, c) -> int:
@@ -95,11 +97,17 @@ class Automaton:
         at = int(self.keys.searchsorted(key))
         return int(self.to[at]) if at < len(self.keys) and self.keys[at] == key else -1
 
-    def _window_state(self, state: int) -> int:
-        """The state of the last `window` words of a match in `state`."""
-        while self.length[self.link[state]] >= self.window:
-            state = int(self.link[state])
-        return state
+    def _settle_links(self) -> None:
+        """For every state, once: the state of the last `window` words of a match there, and the
+        nearest state up its suffix links, itself included, at which a short item ends (0: none).
+        A word of a document then looks at no more states than there are lengths below a window."""
+        self.window_state = np.arange(len(self.link), dtype=np.int32)
+        self.short_state = np.zeros(len(self.link), np.int32)
+        for state in np.argsort(self.length, kind="stable")[1:].tolist():  # suffixes are shorter
+            up = self.link[state]
+            if self.length[up] >= self.window:
+                self.window_state[state] = self.window_state[up]
+            self.short_state[state] = state if state in self.whole else self.short_state[up]
 
     def walk(self, words: list[int]) -> Iterator[tuple[int, int, int]]:
         """(position, state, words matched) after each word of known words."""
@@ -122,21 +130,21 @@ class Automaton:
         edge = np.diff(np.concatenate([[0], (known >= 0).astype(np.int8), [0]]))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         long = ends - starts >= self.shortest  # an unknown word sends the automaton to its start
-        spans, found = [], set()
+        spans, found, held = [], set(), set()
         for a, b in zip(starts[long].tolist(), ends[long].tolist()):
             for i, state, size in self.walk(known[a:b].tolist()):
                 if size >= self.window:
                     spans += (a + i + 1 - self.window, a + i + 1)
-                    found |= self.holders[self._window_state(state)]
+                    held.add(int(self.window_state[state]))
                 if self.whole:
-                    up = state
+                    up = int(self.short_state[state])
                     while up > 0:
-                        for n, item in self.whole.get(up, ()):
+                        for n, item in self.whole[up]:
                             if n <= size:
                                 spans += (a + i + 1 - n, a + i + 1)
                                 found.add(item)
-                        up = int(self.link[up])
-        return spans, found
+                        up = int(self.short_state[self.link[up]])
+        return spans, found.union(*(self.holders[state] for state in held))
 
 
 def blocks(items: DataFrame, window: int, limit: int) -> Iterator[Automaton]:

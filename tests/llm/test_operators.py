@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from html import unescape
 
@@ -333,6 +334,21 @@ def items_of(spark):
     return [(str(i), t) for i, t in items] + [("z1", " ".join(text[10:40])), ("z2", "Two, words!"), ("z3", None), (None, "x x x"), ("z1", "")], kind
 
 
+def test_repeats_in_items_take_linear_time():
+    """One word thousands of times, in a long item and in many short ones that nest."""
+    items = [("long", "x " * 2000), *[(f"s{n}", "x " * n + "y") for n in range(12)], ("many", "a b " * 1500)]
+    started = time.perf_counter()
+    automaton = decontamination.Automaton([(i, t.encode().split()) for i, t in items], 13)
+    for text in ("x " * 20_000 + "y", "a b " * 10_000, "x " * 5 + "y a b x"):
+        spans, found = automaton.match(text.encode().split())
+        joint = decontamination.union(spans)
+        hit = sum(joint[1::2]) - sum(joint[::2])
+        want = plain.contamination(text[-400:].strip(), items)
+        assert {automaton.ids[i] for i in found} == {i for i, t in items if f" {' '.join(t.split()[:13])} " in f" {text}  "}
+        assert hit == len(text.split()) if len(text) > 400 else hit == want[1]
+    assert time.perf_counter() - started < 5
+
+
 @pytest.mark.parametrize("block", [400_000, 60])
 def test_contamination(spark, docs, block):
     items, _ = items_of(spark)
