@@ -10,7 +10,7 @@ from quadloom.functions.values import json_literal
 from quadloom.model import FACETS
 from quadloom.plans.cut import written
 from quadloom.plans.spread import spread_out
-from quadloom.sources import json_io, nquads
+from quadloom.sources import json_io, json_open, nquads
 from quadloom.sources.tables import Graph
 
 ORDER, CUSTOMER, PART = u("Order", "o_orderkey"), u("Customer", "o_custkey"), u("Part", "dst")
@@ -100,9 +100,7 @@ def nquad_sink(g: Graph):
     return nquads.lines(rows.unionByName(labels))
 
 
-@query(
-    "a03_json_source",
-    f"""WITH {EVENTS}, o AS (SELECT *, {hexa(ORDER)} AS s, {hexa(CUSTOMER)} AS c FROM orders),
+JSON_TRIPLES = f"""WITH {EVENTS}, o AS (SELECT *, {hexa(ORDER)} AS s, {hexa(CUSTOMER)} AS c FROM orders),
     e AS (SELECT *, {hexa('cust')} AS s, {hexa('uid')} AS o FROM ev)
     SELECT s AS subject, 'o_totalprice' AS predicate, NULL AS object, o_totalprice::VARCHAR AS value, 'float' AS value_type, NULL AS facets FROM o
     UNION ALL SELECT s, 'tags', NULL, o_orderstatus, 'string', NULL FROM o
@@ -111,10 +109,10 @@ def nquad_sink(g: Graph):
     UNION ALL SELECT c, 'c_custkey', NULL, o_custkey::VARCHAR, 'int', NULL FROM o
     UNION ALL SELECT s, 'did', o, NULL, 'uid', 'k=' || k FROM e
     UNION ALL SELECT o, 'event_type', NULL, event_type, 'string', NULL FROM e
-    UNION ALL SELECT o, 'value', NULL, value::VARCHAR, 'float', NULL FROM e""",
-)
-def json_source(g: Graph):
-    """Orders with a nested customer, and customers with an array of nested events."""
+    UNION ALL SELECT o, 'value', NULL, value::VARCHAR, 'float', NULL FROM e"""
+
+
+def _json_texts(g: Graph):
     orders = spread_out(g.orders(), "uid").select(
         F.to_json(
             F.struct(
@@ -135,14 +133,57 @@ def json_source(g: Graph):
             )
         ).alias("json")
     )
+    return orders, events
+
+
+def _with_facet_text(rows):
+    facets = F.array_join(F.transform(F.map_entries("facets"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ", ")
+    return rows.select("subject", "predicate", "object", "value", "value_type", facets.alias("facets"))
+
+
+@query(
+    "a03_json_source",
+    JSON_TRIPLES,
+)
+def json_source(g: Graph):
+    """Orders with a nested customer, and customers with an array of nested events."""
+    orders, events = _json_texts(g)
     from pyspark.sql import types as T
 
     person = T.StructType.fromDDL("uid string, c_custkey bigint, `placed_by|since` string")
     order = T.StructType.fromDDL("uid string, o_totalprice double, tags array<string>").add("placed_by", person)
     event = T.StructType.fromDDL("uid string, did array<struct<uid: string, event_type: string, value: double, `did|k`: bigint>>")
     rows = json_io.to_triples(orders, "json", order).unionByName(json_io.to_triples(events, "json", event))
-    facets = F.array_join(F.transform(F.map_entries("facets"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ", ")
-    return rows.select("subject", "predicate", "object", "value", "value_type", facets.alias("facets"))
+    return _with_facet_text(rows)
+
+
+@query("a03_json_open", JSON_TRIPLES)
+def json_open_source(g: Graph):
+    """The same texts, read without a declared schema."""
+    orders, events = _json_texts(g)
+    return _with_facet_text(json_open.to_triples(orders.unionByName(events), "json"))
+
+
+@query(
+    "a03_json_depth",
+    f"""WITH o AS (SELECT *, {hexa(ORDER)} AS s, {hexa(CUSTOMER)} AS c FROM orders)
+    SELECT s AS subject, 'priority' AS predicate, NULL AS object, o_orderpriority AS value, 'string' AS value_type FROM o
+    UNION ALL SELECT s, 'grid', NULL, unnest([o_orderkey, o_custkey, o_orderkey + 1])::VARCHAR, 'int' FROM o
+    UNION ALL SELECT s, 'by', c, NULL, 'uid' FROM o WHERE o_orderkey % 3 > 0
+    UNION ALL SELECT c, 'last', s, NULL, 'uid' FROM o WHERE o_orderkey % 3 > 0
+    UNION ALL SELECT s, 'final', NULL, CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END, 'bool' FROM o WHERE o_orderkey % 3 = 2""",
+)
+def json_depth(g: Graph):
+    """Texts of three depths: lists in lists, an object in an object in an object."""
+    uid, by, n = uids.to_text(F.col("uid")), uids.to_text(F.col("placed_by")), F.col("o_orderkey") % 3
+    last = F.struct(uid.alias("uid"), F.when(n == 2, F.col("o_orderstatus") == "F").alias("final"))
+    lists = F.array(F.array("o_orderkey"), F.array(F.col("o_custkey"), F.col("o_orderkey") + 1))
+    texts = spread_out(g.orders(), "uid").select(F.to_json(F.struct(
+        uid.alias("uid"), F.col("o_orderpriority").alias("priority"), lists.alias("grid"),
+        F.when(n > 0, F.struct(by.alias("uid"), last.alias("last"))).alias("by"),
+    )).alias("json"))
+    rows = json_open.to_triples(texts, "json")
+    return rows.select("subject", "predicate", "object", "value", "value_type")
 
 
 @query(
