@@ -19,12 +19,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from quadloom.operators.search import top_k, write_sorted
+from quadloom.plans.blocks import BLOCK_TYPES, BLOCKS, CHUNK, CHUNK_TYPES, CHUNKS, best_of, block_name, emitted, packed_bytes, product_error
 from quadloom.plans.cut import written
 
 #: Vectors the cells are fitted on at most (SAMPLE, and PER_CELL for each cell), cells at most, and
 #: sample queries the number of probes is measured with.
 SAMPLE, PER_CELL, MAX_CELLS, TRIALS = 65_536, 64, 4096, 256
 METRICS = ("euclidean", "dot", "cosine")
+#: Queries of a block.
+BLOCK = 512
+ASKED = "query long, point array<double>, cells array<int>"
 CODES = "uid long, code binary, scale double, error double, away double, cell int"
 
 
@@ -94,30 +98,26 @@ class VectorIndex:
 
     def share_read(self, queries: DataFrame, probes: int | None = None) -> float:
         """The share of rows whose codes a search reads, over all queries."""
-        looked = self._probed(queries, probes or self.probes).groupBy("cell").count().collect()  # one line per cell
+        looked = self._probed(queries, probes or self.probes).select(F.explode("cells").alias("cell")).groupBy("cell").count().collect()  # one line per cell
         asked = sum(r["count"] for r in looked)
         read = sum(r["count"] * int(self.rows[r["cell"]]) for r in looked)
         return read / max(1, self.rows.sum() * asked / (min(probes or self.probes, len(self.rows)) or 1))
 
     def _probed(self, queries: DataFrame, probes: int) -> DataFrame:
-        """(query, cell, place, residual) of the cells nearest to each query, the nearest at 1."""
+        """(query, point, cells) with the cells nearest to each query, the nearest first."""
         shared = self.spark.sparkContext.broadcast((self.centres, self.metric, self.longest))
 
         def nearest(batch: pa.RecordBatch) -> dict:
             centres, metric, longest = shared.value
             points = lifted(_matrix(batch.column("embedding")), metric, longest, query=True)
-            away = _distances(points, centres)
-            cells = np.argsort(away, axis=1, kind="stable")[:, :probes]
-            each = cells.shape[1]
-            residual = np.repeat(points, each, axis=0) - centres[cells.ravel()]
-            return {"query": pa.array(np.repeat(batch.column("query").to_numpy(), each)), "cell": pa.array(cells.ravel().astype(np.int32)),
-                    "place": pa.array(np.tile(np.arange(1, each + 1, dtype=np.int32), len(points))), "residual": _lists(residual)}
+            cells = np.argsort(_distances(points, centres), axis=1, kind="stable")[:, :probes]
+            return {"query": batch.column("query"), "point": _lists(points), "cells": _lists(cells.astype(np.int32))}
 
         asked = comparable(queries, self.size, self.metric).select(F.col("query").cast("long").alias("query"), "embedding")
-        return _mapped(asked, nearest, "query long, cell int, place int, residual array<double>")
+        return _mapped(asked, nearest, ASKED)
 
     def _others(self, queries: DataFrame, limits: DataFrame, probes: int) -> DataFrame:
-        """(query, cell, residual) of cells behind the first `probes` that may hold a point as
+        """(query, point, cells) with the cells behind the first `probes` that may hold a point as
         near as the query's limit."""
         shared = self.spark.sparkContext.broadcast((self.centres, self.radius, self.metric, self.longest))
 
@@ -125,35 +125,58 @@ class VectorIndex:
             centres, radius, metric, longest = shared.value
             points = lifted(_matrix(batch.column("embedding")), metric, longest, query=True)
             away, limit = _distances(points, centres), batch.column("limit").to_numpy(zero_copy_only=False)
-            rank = np.argsort(np.argsort(away, axis=1, kind="stable"), axis=1)
-            hit = (rank >= probes) & (np.maximum(0.0, away - radius[None, :]) <= limit[:, None] * (1 + 1e-9) + 1e-9)
-            i, cells = np.nonzero(hit)
-            return {"query": pa.array(batch.column("query").to_numpy()[i]), "cell": pa.array(cells.astype(np.int32)), "residual": _lists(points[i] - centres[cells])}
+            order = np.argsort(away, axis=1, kind="stable")[:, probes:]
+            near = np.maximum(0.0, away - radius[None, :]) <= limit[:, None] * (1 + 1e-9) + 1e-9
+            cells = [row[near[i, row]].astype(np.int32) for i, row in enumerate(order)]
+            return {"query": batch.column("query"), "point": _lists(points), "cells": pa.array(cells, pa.list_(pa.int32()))}
 
         asked = comparable(queries, self.size, self.metric).select(F.col("query").cast("long").alias("query"), "embedding")
         asked = asked.join(limits, "query", "left").select("query", "embedding", F.coalesce("limit", F.lit(float("inf"))).alias("limit"))
-        return _mapped(asked, possible, "query long, cell int, residual array<double>")
-
-    def _bounded(self, probed: DataFrame, k: int) -> DataFrame:
-        """(query, uid, lower, upper) bounds of the distances to the vectors of the probed cells.
-        A batch hands on what can be among its own best k of a query."""
-
-        def bounds(batch: pa.RecordBatch) -> dict:
+        return _mapped(asked, possible, ASKED).where(F.size("cells") > 0)
+
+    def _bounded(self, asked: DataFrame, k: int) -> DataFrame:
+        """(query, uid, lower, upper) bounds of the distances to the vectors of the cells asked for.
+        Blocks of queries with near first cells meet the codes of a cell as a whole; what can be among
+        the best k of a query is handed on."""
+        shared = self.spark.sparkContext.broadcast(self.centres)
+
+        def blocks(batch: pa.RecordBatch) -> Iterator[dict]:
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
+                cells = [np.asarray(c, np.int32) for c in part.column("cells").to_pylist()]
+                wanted, place = np.zeros((len(cells), len(shared.value)), bool), np.full(len(shared.value), 1 << 30, np.int32)
+                for i, c in enumerate(cells):
+                    wanted[i, c], place[c] = True, np.minimum(place[c], np.arange(len(c)))
+                points, some = _matrix(part.column("point")), np.flatnonzero(wanted.any(axis=0))
+                yield {"block": block_name(), "size": points.shape[1], "queries": packed_bytes(part.column("query").to_numpy()), "points": packed_bytes(points),
+                       "wanted": packed_bytes(np.packbits(wanted, axis=1)), "cells": [{"kind": int(c), "place": int(place[c])} for c in some]}
+
+        def chunks(batch: pa.RecordBatch) -> Iterator[dict]:
+            cell, uid, scale, error = (batch.column(n).to_numpy() for n in ("cell", "uid", "scale", "error"))
             code = np.frombuffer(b"".join(batch.column("code").to_pylist()), np.int8).reshape(batch.num_rows, -1)
-            scale, error = (batch.column(n).to_numpy() for n in ("scale", "error"))
-            about = np.sqrt(((_matrix(batch.column("residual")) - code * scale[:, None]) ** 2).sum(axis=1))
-            slack = error + 1e-9 * (1 + about)
-            lower, upper = np.maximum(0.0, about - slack), about + slack
-            query, uid = batch.column("query").to_numpy(), batch.column("uid").to_numpy()
-            order = np.lexsort((upper, query))
-            first = np.flatnonzero(np.r_[True, query[order][1:] != query[order][:-1]])
-            sizes = np.diff(np.r_[first, len(order)])
-            limit = np.where(sizes >= k, upper[order][np.minimum(first + k - 1, len(order) - 1)], np.inf)
-            keep = order[lower[order] <= np.repeat(limit, sizes)]
-            return {"query": pa.array(query[keep]), "uid": pa.array(uid[keep]), "lower": pa.array(lower[keep]), "upper": pa.array(upper[keep])}
-
-        pairs = probed.join(self.codes(), "cell").select("query", "residual", "uid", "code", "scale", "error")
-        return _mapped(pairs, bounds, "query long, uid long, lower double, upper double")
+            for c in np.unique(cell):
+                rows = np.flatnonzero(cell == c)
+                for at in range(0, len(rows), CHUNK):
+                    x = rows[at : at + CHUNK]
+                    yield {"kind": int(c), "size": code.shape[1], "uids": packed_bytes(uid[x]), "body": packed_bytes(code[x]), "scale": packed_bytes(scale[x]), "error": packed_bytes(error[x])}
+
+        def bounds(points: np.ndarray, wanted: np.ndarray, chunk: dict) -> tuple | None:
+            rows = np.flatnonzero(wanted[:, chunk["kind"]])
+            scale, error = np.frombuffer(chunk["scale"]), np.frombuffer(chunk["error"])
+            rest = np.frombuffer(chunk["body"], np.int8).reshape(len(scale), -1) * scale[:, None]
+            residual = points[rows] - shared.value[chunk["kind"]]
+            both = (residual**2).sum(axis=1)[:, None] + (rest**2).sum(axis=1)[None, :]
+            square, off = both - 2 * residual @ rest.T, both * product_error(rest.shape[1])
+            nearest, farthest = np.sqrt(np.maximum(square - off, 0.0)), np.sqrt(np.maximum(square + off, 0.0))
+            slack = error[None, :] + 1e-9 * (1 + farthest)
+            lower, upper = np.full((2, len(points), len(scale)), np.nan)
+            lower[rows], upper[rows] = np.maximum(0.0, nearest - slack), farthest + slack
+            return lower, upper
+
+        near = asked.repartitionByRange(F.col("cells")[0], "query").sortWithinPartitions(F.col("cells")[0], "query")
+        packed = written(emitted(near, blocks, BLOCKS, BLOCK_TYPES), "blocks")
+        looked = packed.select("block", F.inline("cells"))
+        return best_of(packed, looked.join(emitted(self.codes(), chunks, CHUNKS, CHUNK_TYPES), "kind"), k, bounds)
 
     def _scored(self, found: DataFrame, queries: DataFrame) -> DataFrame:
         """(query, uid, score, away): the exact similarity and the distance of the points."""
@@ -260,7 +283,7 @@ def _measured(index: VectorIndex, sample: DataFrame, k: int, recall: float) -> i
     queries = written(sample.select(F.col("uid").alias("query"), "embedding"), "trials")
     true = index.search(queries, k, exact=True).where("query != uid")
     cells = index.codes().select("uid", "cell")
-    places = index._probed(queries, len(index.centres)).select("query", "cell", "place")
+    places = index._probed(queries, len(index.centres)).select("query", F.posexplode("cells").alias("place", "cell")).withColumn("place", F.col("place") + 1)
     counts = dict(true.join(cells, "uid").join(places, ["query", "cell"]).groupBy("place").count().collect())  # one line per cell at most
     total, seen = sum(counts.values()), 0
     for probes in range(1, len(index.centres) + 1):
@@ -283,7 +306,7 @@ def recall_of(found: DataFrame, vectors: DataFrame, queries: DataFrame, k: int,
     """(query, found, true, hits) against the full scan; equally good neighbours count as hits."""
     true = top_k(vectors, queries, k, metric)
     sign = 1 if metric == "euclidean" else -1
-    edge = true.groupBy("query").agg(F.max(sign * F.col("score")).alias("edge"), F.count(F.lit(1)).alias("true"))
+    edge = written(true.groupBy("query").agg(F.max(sign * F.col("score")).alias("edge"), F.count(F.lit(1)).alias("true")), "edges")  # read twice
     near = found.join(edge, "query").groupBy("query").agg(
         F.count(F.lit(1)).alias("found"), F.sum((sign * F.col("score") <= F.col("edge") + 1e-9).cast("long")).alias("hits"))
     return edge.select("query", "true").join(near, "query", "left").select("query", F.coalesce("found", F.lit(0)).alias("found"), "true", F.coalesce("hits", F.lit(0)).alias("hits"))

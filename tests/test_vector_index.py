@@ -74,3 +74,22 @@ def test_few_and_no_vectors(spark, vectors, tmp_path):
     assert none.search(asked(vectors), 5, exact=True).collect() == []
     with pytest.raises(ValueError):
         vector_index.build(vectors, str(tmp_path / "x"), "manhattan")
+
+
+def test_many_queries_stream_past_the_vectors(spark, vectors, index, monkeypatch):
+    """More queries than one scan takes: the same best rows as scan by scan, for repeated queries and
+    vectors too; the index hands on a few pairs a query and makes no row per pair of query and code."""
+    from quadloom.plans import blocks
+
+    rows = usable(vectors, index)
+    queries = vector_index.comparable(asked(vectors, 3), SIZE, index.metric)
+    want = sorted(map(tuple, search.top_k(rows, queries.where("query < 700"), 7, index.metric).collect()))
+    monkeypatch.setattr(search, "MAX_QUERIES", 50)
+    monkeypatch.setattr(search, "QUERY_BLOCK", 64)
+    assert sorted(map(tuple, search.top_k(rows, queries.where("query < 700"), 7, index.metric).collect())) == want
+    twice = sorted(map(tuple, search.top_k(rows.union(rows), queries.where("query < 700"), 14, index.metric).select("query", "uid", "score").collect()))
+    assert twice[::2] == twice[1::2]
+    plan = index._bounded(index._probed(queries, 3), 5)._jdf.queryExecution().executedPlan().toString()
+    assert "residual" not in plan and "MapInArrow" in plan and "scale#" in plan and blocks.PARTS > 1
+    near = index._bounded(index._probed(queries.where("query < 700 and query % 30 <> 7"), len(index.centres)), 5)
+    assert near.count() <= 20 * blocks.PARTS * queries.count()
