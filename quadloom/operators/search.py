@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quadloom.functions import geo, text as tx
 from quadloom.operators.roots import to_java_pattern
+from quadloom.plans.blocks import BLOCK_TYPES, BLOCKS, CHUNK, CHUNK_TYPES, CHUNKS, best_of, block_name, emitted, packed_bytes, product_error
+from quadloom.plans.cut import written
 from quadloom.plans.pages import PAGE_SIZE, nest
-from quadloom.plans.rank import positions
 
 # Stop words per language tag (ours; no stemming).
 STOP_WORDS = {
@@ -160,7 +161,7 @@ def near(points: DataFrame, centres: DataFrame) -> DataFrame:
 
 
 # vectors ---------------------------------------------------------------------
-MAX_QUERIES = 256
+MAX_QUERIES, QUERY_BLOCK = 256, 2048
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -221,18 +222,6 @@ def _score_batches(metric: str, k: int, ids: list, matrix):
     return run
 
 
-def _query_blocks(queries: DataFrame):
-    """Query rows in blocks of at most MAX_QUERIES, one block at a time on the driver."""
-    head = queries.limit(MAX_QUERIES + 1).collect()
-    if len(head) <= MAX_QUERIES:
-        yield head
-        return
-    ranked = positions(queries, [F.col("query").asc()], out="_pos")
-    total = ranked.agg(F.max("_pos")).first()[0]
-    for low in range(0, total, MAX_QUERIES):
-        yield ranked.where((F.col("_pos") > low) & (F.col("_pos") <= low + MAX_QUERIES)).collect()
-
-
 def other_length(vectors: DataFrame, size: int) -> DataFrame:
     """Vectors `top_k` cannot compare with queries of `size` cells: nulls and other lengths."""
     return vectors.where(F.coalesce(F.size("embedding") != size, F.lit(True)))
@@ -241,26 +230,95 @@ def other_length(vectors: DataFrame, size: int) -> DataFrame:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "euclidean") -> DataFrame:
     """Exact k best vectors per query: (query, uid, score, rank); ties by uid.
 
-    `vectors` has uid, embedding; `queries` has query (long), embedding. Query vectors are
-    parameters of the scan: up to MAX_QUERIES of them per pass, more take more passes, so
-    no task ever holds more than one block. Vectors of another length are left out
-    (`other_length` has them), as are undefined cosines."""
+    `vectors` has uid, embedding; `queries` has query (long), embedding. Up to MAX_QUERIES query
+    vectors are parameters of one scan; more are packed into blocks of QUERY_BLOCK, and chunks of the
+    vectors stream past every block (`plans.blocks`), so the work is the product of the two numbers,
+    as matrix products over all tasks, and no task holds more than one block. Vectors of another length
+    are left out (`other_length` has them), as are undefined cosines."""
     import numpy as np
 
     queries = queries.select("query", "embedding")
     first = F.col("score").asc() if metric == "euclidean" else F.col("score").desc()
     best = Window.partitionBy("query").orderBy(first, F.col("uid").asc())
-    out = None
-    for rows in _query_blocks(queries):
-        if not rows:
-            return vectors.sparkSession.createDataFrame([], "query long, uid long, score double, rank int")
+    rows = queries.limit(MAX_QUERIES + 1).collect()
+    if not rows:
+        return vectors.sparkSession.createDataFrame([], "query long, uid long, score double, rank int")
+    if len(rows) > MAX_QUERIES:
+        scored = _scored_blocks(vectors, queries, k, metric)
+    else:
         ids, matrix = [r["query"] for r in rows], np.array([r["embedding"] for r in rows], dtype=np.float64)
         scored = vectors.select("uid", "embedding").mapInArrow(
             _score_batches(metric, k, ids, matrix), "query long, uid long, score double"
         )
-        ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-        out = ranked if out is None else out.unionByName(ranked)
-    return out
+    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+def _scored_blocks(vectors: DataFrame, queries: DataFrame, k: int, metric: str) -> DataFrame:
+    """(query, uid, score) of what can be among the best `k`: every vector against every query. Matrix
+    products with their error bounds sift the pairs; those left are scored as in `_score_batches`."""
+    import numpy as np
+
+    def matrix(batch):
+        cells = batch.column("embedding")
+        size = cells.value_lengths().to_numpy(zero_copy_only=False)
+        if len(set(size)) > 1 or np.isnan(size).any():
+            raise ValueError("queries of one block have vectors of one length")
+        return cells.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(cells), int(size[0]))
+
+    def blocks(batch):
+        for at in range(0, batch.num_rows, QUERY_BLOCK):
+            part = batch.slice(at, QUERY_BLOCK)
+            points = matrix(part)
+            yield {"block": block_name(), "size": points.shape[1], "queries": packed_bytes(part.column("query").to_numpy()), "points": packed_bytes(points)}
+
+    def chunks(batch):
+        batch = batch.filter(batch.column("embedding").is_valid())
+        sizes = batch.column("embedding").value_lengths().to_numpy(zero_copy_only=False)
+        for size in set(sizes.tolist()):
+            rows = np.flatnonzero(sizes == size)
+            for at in range(0, len(rows), CHUNK):
+                part = batch.take(rows[at : at + CHUNK])
+                yield {"kind": 0, "size": int(size), "uids": packed_bytes(part.column("uid").to_numpy()), "body": packed_bytes(matrix(part))}
+
+    def bounds(points, wanted, chunk):
+        if chunk["size"] != points.shape[1]:
+            return None
+        data = np.frombuffer(chunk["body"]).reshape(len(chunk["uids"]) // 8, chunk["size"])
+        a, b, product = (points**2).sum(axis=1)[:, None], (data**2).sum(axis=1)[None, :], points @ data.T
+        with np.errstate(divide="ignore", invalid="ignore"):
+            if metric == "euclidean":
+                off = (a + b) * product_error(chunk["size"])
+                about = a + b - 2 * product
+            elif metric == "dot":
+                about, off = -product, (a + b) * product_error(chunk["size"])
+            else:
+                norm = np.sqrt(a) * np.sqrt(b)
+                about, off = -product / np.where(norm > 0, norm, np.nan), product_error(chunk["size"])
+            off = off + 1e-8 * (1 + np.abs(about))  # scores are compared to nine digits
+            bad = ~np.isfinite(about)
+            return np.where(bad, np.nan, about - off), np.where(bad, np.nan, about + off)
+
+    asked = written(queries.select(F.monotonically_increasing_id().alias("row"), F.col("query").cast("long").alias("query"), F.col("embedding").alias("asked")), "asked")
+    full = asked.select(F.col("row").alias("query"), F.col("asked").alias("embedding")).repartition(-(-asked.count() // QUERY_BLOCK), "query")
+    packed = written(emitted(full, blocks, BLOCKS, BLOCK_TYPES), "blocks")
+    rows = emitted(vectors.select(F.col("uid").cast("long"), "embedding"), chunks, CHUNKS, CHUNK_TYPES)
+    names = packed.agg(F.collect_list("block")).scalar()  # one for QUERY_BLOCK queries
+    found = best_of(packed, rows.select(F.explode(names).alias("block"), F.lit(0).alias("place"), "*"), k, bounds)
+
+    def score(batches):
+        for batch in batches:
+            a, b = (np.asarray(batch.column(n).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(batch.num_rows, -1) for n in ("asked", "embedding"))
+            if metric == "euclidean":
+                exact = np.sqrt(((a - b) ** 2).sum(axis=1))
+            else:
+                exact = (a * b).sum(axis=1)
+            if metric == "cosine":
+                exact = exact / (np.sqrt((b * b).sum(axis=1)) * np.sqrt((a * a).sum(axis=1)))
+            yield type(batch).from_pydict({"query": batch.column("query"), "uid": batch.column("uid"), "score": np.round(exact, 9)})
+
+    pairs = found.select(F.col("query").alias("row"), "uid").distinct().join(vectors.select(F.col("uid").cast("long").alias("uid"), "embedding"), "uid").join(asked, "row")
+    pairs = pairs.where(F.size("asked") == F.size("embedding")).select("query", "uid", "asked", "embedding")
+    return pairs.mapInArrow(score, "query long, uid long, score double").where(~F.isnan("score") & (F.abs("score") < F.lit(float("inf"))))
 
 
 def similar_pairs(vectors: DataFrame, queries: DataFrame, threshold: float, bucket: float | None = None, tables: int = 4, seed: int = 7) -> DataFrame:
