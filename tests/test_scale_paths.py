@@ -421,3 +421,38 @@ def test_similar_pairs_of_close_vectors(spark):
         true = {(int(ids[i]), int(ids[j])) for i, row in zip(asked, far) for j in np.flatnonzero(row <= limit)}
         got = {(r["query"], r["uid"]) for r in search.similar_pairs(vectors, queries, limit).collect()}
         assert got <= true and len(got) >= 0.9 * len(true)
+
+
+def test_folders_are_written_without_sorting_the_rows(spark, monkeypatch, tmp_path):
+    """Tasks may keep a file a folder open while folders are written, and only then."""
+    from pyspark.sql import DataFrameWriter
+    from quadloom.plans import cut
+
+    key, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **b: (seen.append(int(spark.conf.get(key, "0"))), write(self, path, *a, **b)))
+    rows = spark.createDataFrame([(i, "abc"[i % 3]) for i in range(300)] + [(None, None), (7, "b")], "x long, name string").repartition(3)
+    got = cut.written(rows, "folders", partition_by=["name"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+    assert seen == [cut.OPEN_FILES] and int(spark.conf.get(key, "0")) == 0
+
+
+def test_the_last_level_is_not_written(spark, graph, monkeypatch):
+    """The product of the ways into and out of a hub is neither stored nor joined by uid again."""
+    from quadloom.catalog.e_traversal import two_hops
+    from quadloom.operators import traverse
+
+    names, keep = [], traverse.written
+    monkeypatch.setattr(traverse, "written", lambda df, name="cut", **more: names.append(name) or keep(df, name, **more))
+    traverse.expand_all(two_hops(graph), "Customer", 2)
+    assert sorted(names) == ["edges", "level", "nodes"]
+
+
+def test_pages_of_stored_rows_are_not_written_again(spark, monkeypatch):
+    from quadloom.plans import pages
+
+    names, keep = [], pages.written
+    monkeypatch.setattr(pages, "written", lambda df, name="cut", **more: names.append(name) or keep(df, name, **more))
+    rows = spark.createDataFrame([("text", "the", i) for i in range(500)] + [("text", None, 3)] * 301, "predicate string, term string, uid long")
+    lists = search.inverted_lists(rows, page_size=300)
+    assert names == ["children"]
+    assert "BroadcastHashJoin" in lists._jdf.queryExecution().sparkPlan().toString()
