@@ -18,22 +18,33 @@ from quadloom.plans.rank import positions
 PAGE_SIZE = 100_000
 
 
-def _largest(df: DataFrame, group: list[str]) -> int:
+#: Groups above the page size, up to so many, are sent to all tasks: no shuffle of the rows to find theirs.
+FEW_GROUPS = 1 << 16
+
+
+def _largest(df: DataFrame, group: list[str], page_size: int = PAGE_SIZE) -> tuple[int, int]:
+    """Rows of the largest group, and the number of groups above `page_size`."""
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    return sizes.agg(F.max("_n")).first()[0] or 0
+    most, above = sizes.agg(F.max("_n"), F.count_if(F.col("_n") > page_size)).first()
+    return most or 0, above
 
 
-def with_page(df: DataFrame, group: Sequence[str], order: Sequence[str], page_size: int = PAGE_SIZE) -> DataFrame:
+def with_page(df: DataFrame, group: Sequence[str], order: Sequence[str], page_size: int = PAGE_SIZE, stored: bool = False) -> DataFrame:
     """Add `page`: 0 for every row of a parent that fits, else position // page_size.
 
     The size check is one pre-aggregated count over the group columns alone; only
-    when some parent is too large are its rows ranked by range partitions."""
+    when some parent is too large are its rows ranked by range partitions. `stored`: `df` is a
+    written table already."""
     group = list(group)
-    if _largest(df, group) <= page_size:
+    most, above = _largest(df, group, page_size)
+    if most <= page_size:
         return df.withColumn("page", F.lit(0).cast("long"))
-    df = written(df, "paged")  # read three times below
+    if not stored:
+        df = written(df, "paged")  # read three times below
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     big = sizes.where(F.col("_n") > page_size).select(*group)  # at most rows / page_size rows
+    if above <= FEW_GROUPS:
+        big = F.broadcast(big)
     small_rows = df.join(big, group, "left_anti").withColumn("page", F.lit(0).cast("long"))
     big_rows = positions(
         df.join(big, group, "left_semi"), [F.col(o).asc() for o in order], group=group, out="_pos"
@@ -66,11 +77,11 @@ def nest(
         df = written(df, "children")
     gather, fits = F.collect_list, False
     if unique:
-        fits = _largest(df, group) <= page_size
-        gather, df = (F.collect_set, df) if fits else (F.collect_list, df.distinct())
+        fits = _largest(df, group)[0] <= page_size
+        gather, df, keep = (F.collect_set, df, keep) if fits else (F.collect_list, df.distinct(), False)
     rest = [c for c in df.columns if c not in group]
     element = items if items is not None else F.struct(*rest)
-    rows = df.withColumn("page", F.lit(0).cast("long")) if fits else with_page(df, group, order, page_size)
+    rows = df.withColumn("page", F.lit(0).cast("long")) if fits else with_page(df, group, order, page_size, stored=keep)
     if len(order) == 1 and items is None and rest == order:
         return rows.groupBy(*group, "page").agg(F.sort_array(gather(order[0])).alias(out))
     rows = rows.select(*group, "page", F.struct(*[F.col(o) for o in order], element.alias("_item")).alias("_e"))
