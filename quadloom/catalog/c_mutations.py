@@ -154,7 +154,7 @@ def upsert_variables(g: Graph):
     }
     bound = mutate.bind(changes, variables)
     changes = written(mutate.changes_from(bound, commit_ts=1), "log")
-    state = mutate.apply(g.customer_facts(), changes)
+    state = mutate.apply(g.dealt().customer_facts(), changes)
     return state.select("subject", "predicate", "value", "object_uid")
 
 

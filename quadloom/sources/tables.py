@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quadloom.model import FACETS, wide_to_facts
+from quadloom.plans.spread import dealt
 
 # Type codes: uid = code * 2^40 + key, so keys may start at 0 and types never collide.
 TYPE_CODES = {
@@ -38,14 +39,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Graph:
-    """Lazy frames over one data folder. Nothing is read before an action."""
+    """Lazy frames over one data folder. Nothing is read before an action, but for the row
+    counts of a graph whose scans are `dealt`."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, deal: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.deal = deal
 
     def raw(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        rows = table(self.spark, self.sf_dir, name)
+        return dealt(rows) if self.deal else rows
+
+    def dealt(self) -> Graph:
+        """The same graph with every scan dealt out by rows, for queries that fold facts."""
+        return Graph(self.spark, self.sf_dir, deal=True)
 
     # nodes -----------------------------------------------------------------
     def region(self) -> DataFrame:

@@ -456,3 +456,42 @@ def test_pages_of_stored_rows_are_not_written_again(spark, monkeypatch):
     lists = search.inverted_lists(rows, page_size=300)
     assert names == ["children"]
     assert "BroadcastHashJoin" in lists._jdf.queryExecution().sparkPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def one_split(spark, tmp_path_factory):
+    """Customers in one file with one row group, more than a task should make facts of; equal and null keys among them."""
+    from quadloom.plans.spread import DEAL_ROWS
+
+    at = tmp_path_factory.mktemp("one_split")
+    key = F.when(F.col("id") % 3 == 0, F.col("id")).when(F.col("id") % 3 == 1, 7).cast("int")
+    rows = spark.range(0, 2 * DEAL_ROWS + 2, 1, 1).select(
+        key.alias("c_custkey"), F.format_string("n%d", "id").alias("c_name"), (F.col("id") % 25).cast("int").alias("c_nationkey"),
+        (F.col("id") % 200 - 100).cast("double").alias("c_acctbal"), F.lit("BUILDING").alias("c_mktsegment"))
+    rows.write.parquet(f"{at}/customer.parquet")
+    spark.range(0, 25, 1, 1).select(
+        F.col("id").cast("int").alias("n_nationkey"), (F.col("id") % 5).cast("int").alias("n_regionkey"), F.format_string("N%d", "id").alias("n_name")
+    ).write.parquet(f"{at}/nation.parquet")
+    return str(at)
+
+
+def test_a_split_with_many_rows_is_dealt_out(spark, one_split):
+    from quadloom.plans.spread import DEAL_ROWS
+    from quadloom.sources.tables import Graph
+
+    plain, dealt = Graph(spark, one_split), Graph(spark, one_split).dealt()
+    sizes = [r["count"] for r in dealt.customer().groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 2 * DEAL_ROWS + 2 and len(sizes) == 3 and max(sizes) < DEAL_ROWS
+    total = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns) % 1_000_003)).first()
+    assert total(dealt.customer()) == total(plain.customer())
+    assert dealt.nation().rdd.getNumPartitions() == plain.nation().rdd.getNumPartitions()
+
+
+@pytest.mark.parametrize("name", ["c07_upsert_variables"])
+def test_facts_of_a_snapshot_are_folded_in_bounded_tasks(spark, one_split, name):
+    """The fold sorts what a task reads, so a scan goes through a deal before its rows become facts."""
+    import __spark_entry__ as entry
+
+    plan = entry.queries()[name](spark, one_split)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Generate") :]
+    assert "RepartitionByExpression [_place" in below
