@@ -236,6 +236,7 @@ def save(g: Graph):
     2^63; a missing segment deletes the stored one."""
     from quadloom.functions import uid as uids
 
+    g = g.dealt()
     entities = g.customer().select(
         F.when(F.col("c_acctbal") > 0, uids.to_text(F.col("uid"))).otherwise("").alias("uid"),
         "c_name",

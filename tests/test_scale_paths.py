@@ -487,7 +487,7 @@ def test_a_split_with_many_rows_is_dealt_out(spark, one_split):
     assert dealt.nation().rdd.getNumPartitions() == plain.nation().rdd.getNumPartitions()
 
 
-@pytest.mark.parametrize("name", ["c07_upsert_variables"])
+@pytest.mark.parametrize("name", ["c07_upsert_variables", "c12_save"])
 def test_facts_of_a_snapshot_are_folded_in_bounded_tasks(spark, one_split, name):
     """The fold sorts what a task reads, so a scan goes through a deal before its rows become facts."""
     import __spark_entry__ as entry
