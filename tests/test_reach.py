@@ -45,6 +45,25 @@ def test_cycles_tenants_and_hubs(spark, limit):
     assert found.count() == len(plain(roots, edges, limit))
 
 
+def test_roots_of_many_words(spark):
+    """Roots below zero, in one word and far apart, that reach the same nodes at different depths and by different edges."""
+    rnd = random.Random(3)
+    nodes = [*range(-70, 70), *(10**12 * i for i in range(1, 20)), -(2**63), 2**63 - 1]
+    edges = [(0, rnd.choice(nodes), rnd.choice(nodes), rnd.choice("pq")) for _ in range(200)]
+    roots = [(0, n) for n in nodes[::3]] + [(0, -(2**63)), (0, 2**63 - 1)]
+    found = reach.reach(spark.createDataFrame(roots, "namespace long, uid long"), spark.createDataFrame(edges, "namespace long, src long, dst long, predicate string"), buckets=8)
+    assert rows(found) == plain(roots, edges)
+    assert found.count() == len(plain(roots, edges))
+
+
+def test_roots_of_a_word_share_the_rows_of_a_node(spark):
+    """64 roots over a common chain: each of its nodes has one row, not one per root."""
+    edges = [(r, 100) for r in range(64)] + [(n, n + 1) for n in range(100, 106)]
+    packed = reach.reach_words(spark.range(64).withColumnRenamed("id", "uid"), spark.createDataFrame(edges, "src long, dst long"), buckets=4)
+    assert packed.count() == 64 + 7
+    assert reach.per_root(packed).count() == 64 + 64 * 7
+
+
 def test_without_tenant_and_predicate(spark):
     found = reach.reach(spark.createDataFrame([(1,)], "uid long"), spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "src long, dst long"))
     assert rows(found) == {(0, 1, 1): (0, None, None), (0, 1, 2): (1, 1, ""), (0, 1, 3): (2, 2, "")}
