@@ -72,15 +72,19 @@ def within(column: str, frontier: DataFrame, least: int, most: int) -> Column:
     return reduce(Column.__or__, [F.col(column).between(z["low"], z["high"]) for z in zones])
 
 
-def reach(roots: DataFrame, edges: DataFrame, max_depth: int | None = None, buckets: int | None = None, rounds: Rounds | None = None) -> DataFrame:
+def reach(
+    roots: DataFrame, edges: DataFrame, max_depth: int | None = None, buckets: int | None = None, rounds: Rounds | None = None, words: bool = False
+) -> DataFrame:
     """(namespace, root, uid, depth, parent, via): every node each root reaches, at its least
     number of steps, with the least (parent, predicate) that leads there in so many.
 
     `roots` has uid, `edges` src, dst and, if it has one, predicate; both may have namespace, and
     an edge is followed in its own tenant only. A root reaches itself at depth 0, without a parent.
     Edges to nodes without edges of their own are followed too; repeated edges and roots count once;
-    null ends lead nowhere. Without `max_depth` the rounds go on until nothing new is found."""
-    return per_root(reach_words(roots, edges, max_depth, buckets, rounds)).select("namespace", "root", "uid", "depth", "parent", "via")
+    null ends lead nowhere. Without `max_depth` the rounds go on until nothing new is found. `words`: rows as
+    they are stored, 64 roots a row, for `per_root` after a join."""
+    found = reach_words(roots, edges, max_depth, buckets, rounds)
+    return found if words else per_root(found).select("namespace", "root", "uid", "depth", "parent", "via")
 
 
 def per_root(found: DataFrame) -> DataFrame:
@@ -149,6 +153,6 @@ def expand_to_any_depth(types: dict[str, TypeInfo], type_name: str, max_depth: i
     (root, uid, depth, parent, via, type, fields), one row per root and node. Each table of nodes
     and of edges is read once. Uids name a node whatever its type."""
     edges = reduce(DataFrame.unionByName, [e.select("src", "dst", "predicate") for e in typed_edges(types)])
-    found = reach_words(types[type_name].nodes.select(F.col(key).alias("uid")), edges, max_depth)
+    found = reach(types[type_name].nodes.select(F.col(key).alias("uid")), edges, max_depth, words=True)
     nodes = reduce(DataFrame.unionByName, [typed_nodes(types, name, key) for name in types])
     return per_root(found.drop("namespace").join(nodes, "uid")).select("root", "uid", "depth", "parent", "via", "type", "fields")
